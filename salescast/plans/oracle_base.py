@@ -52,6 +52,33 @@ def calendar_sql(d: str) -> str:
       CAST(day({d}) <= 5 AS INTEGER) AS is_month_start"""
 
 
+def forecast_chain(frame: str, p: str) -> str:
+    """Rule forecast (noise 0) and forecast fact over a frame CTE."""
+    ff = "fact_forecasts" if p == "fc" else "bt_forecasts"
+    return f"""{p}_pred AS (
+  SELECT *, round_even(greatest(
+           COALESCE({case_map('family', fixed.DEMO_FAMILY_BASE, fixed.DEMO_DEFAULT_BASE, 'DOUBLE')}, 50.0)
+           * (CASE WHEN is_weekend = 1 THEN CAST(1.15 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END)
+           * (CAST(1.0 AS DOUBLE) + CAST(0.15 AS DOUBLE) * sin(CAST({2 * 3.141592653589793!r} AS DOUBLE) * (month - 3) / 12))
+           * (CAST(0.8 AS DOUBLE) + CAST(0.4 AS DOUBLE) * (store_nbr % 10) / 10), CAST(0.0 AS DOUBLE)), 0) AS predicted_sales,
+         {category_sql('family')} AS category
+  FROM {frame}),
+{p}1 AS (
+  SELECT p.date, {date_key_sql('p.date')} AS date_key, p.store_nbr AS store_key, d.product_key,
+         CAST(p.predicted_sales AS DOUBLE) AS predicted_sales,
+         CAST(round_even(CAST(p.predicted_sales AS DECIMAL(18,4)) * {price_sql('p.category')}, 2) AS DECIMAL(18,4)) AS predicted_revenue,
+         p.category,
+         datediff('day', (SELECT MIN(date) FROM {p}_pred), p.date) AS days_ahead
+  FROM {p}_pred p LEFT JOIN dim_product d ON p.family = d.family),
+{ff} AS (
+  SELECT date, date_key, store_key, product_key, predicted_sales, predicted_revenue,
+         CAST(round_even(predicted_revenue * {rate_sql('category')}, 2) AS DECIMAL(18,4)) AS predicted_margin,
+         CASE WHEN days_ahead > -1 AND days_ahead <= 30 THEN '30-Day'
+              WHEN days_ahead > 30 AND days_ahead <= 60 THEN '60-Day'
+              WHEN days_ahead > 60 AND days_ahead <= 90 THEN '90-Day' END AS forecast_horizon
+  FROM {p}1)"""
+
+
 FFILL = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 BASE = f"""
@@ -160,28 +187,11 @@ fc_frame AS (
         FROM (SELECT DISTINCT store_nbr, family FROM features),
              (SELECT MAX(date) + 1 AS st FROM features)) g
   LEFT JOIN dim_store s ON g.store_nbr = s.store_key),
-fc_pred AS (
-  SELECT *, round_even(greatest(
-           COALESCE({case_map('family', fixed.DEMO_FAMILY_BASE, fixed.DEMO_DEFAULT_BASE, 'DOUBLE')}, 50.0)
-           * (CASE WHEN is_weekend = 1 THEN CAST(1.15 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END)
-           * (CAST(1.0 AS DOUBLE) + CAST(0.15 AS DOUBLE) * sin(CAST({2 * 3.141592653589793!r} AS DOUBLE) * (month - 3) / 12))
-           * (CAST(0.8 AS DOUBLE) + CAST(0.4 AS DOUBLE) * (store_nbr % 10) / 10), CAST(0.0 AS DOUBLE)), 0) AS predicted_sales,
-         {category_sql('family')} AS category
-  FROM fc_frame),
-fc1 AS (
-  SELECT p.date, {date_key_sql('p.date')} AS date_key, p.store_nbr AS store_key, d.product_key,
-         CAST(p.predicted_sales AS DOUBLE) AS predicted_sales,
-         CAST(round_even(CAST(p.predicted_sales AS DECIMAL(18,4)) * {price_sql('p.category')}, 2) AS DECIMAL(18,4)) AS predicted_revenue,
-         p.category,
-         datediff('day', (SELECT MIN(date) FROM fc_pred), p.date) AS days_ahead
-  FROM fc_pred p LEFT JOIN dim_product d ON p.family = d.family),
-fact_forecasts AS (
-  SELECT date, date_key, store_key, product_key, predicted_sales, predicted_revenue,
-         CAST(round_even(predicted_revenue * {rate_sql('category')}, 2) AS DECIMAL(18,4)) AS predicted_margin,
-         CASE WHEN days_ahead > -1 AND days_ahead <= 30 THEN '30-Day'
-              WHEN days_ahead > 30 AND days_ahead <= 60 THEN '60-Day'
-              WHEN days_ahead > 60 AND days_ahead <= 90 THEN '90-Day' END AS forecast_horizon
-  FROM fc1),
+bt_frame AS (
+  SELECT date, store_nbr, family, is_weekend, month FROM features
+  WHERE date > (SELECT MAX(date) - 90 FROM features)),
+{forecast_chain("fc_frame", "fc")},
+{forecast_chain("bt_frame", "bt")},
 fc_star AS (
   SELECT f.*, p.family, p.category, s.city, s.state, s.store_type, s.region
   FROM fact_forecasts f LEFT JOIN dim_product p ON f.product_key = p.product_key
@@ -190,5 +200,10 @@ fc_star AS (
 
 
 def with_base(select: str, ctes: str = "") -> str:
+    body = select.strip()
+    if body[:4].upper() == "WITH":
+        # the query's own CTEs follow the base ones
+        body = ",\n" + body[4:].lstrip()
+        return f"WITH {BASE}{(',' + ctes) if ctes.strip() else ''}{body}"
     extra = f",\n{ctes}" if ctes.strip() else ""
-    return f"WITH {BASE}{extra}\n{select}"
+    return f"WITH {BASE}{extra}\n{body}"
