@@ -28,10 +28,11 @@ def kpis(star) -> DataFrame:
     out = star.fact_sales.agg(_d(F.sum("revenue")).alias("total_revenue"),
                               F.sum("sales").alias("total_units"))
     if fc is not None:
-        out = out.select("*",
-                         _d(fc.agg(F.sum("predicted_revenue")).scalar()).alias("forecast_revenue"),
-                         fc.agg(F.sum("predicted_sales")).scalar().alias("forecast_units"),
-                         _d(fc.agg(F.sum("predicted_margin")).scalar()).alias("forecast_margin"))
+        # one scalar subquery (a struct) for the three forecast totals
+        t = fc.agg(F.struct(F.sum("predicted_revenue").alias("r"), F.sum("predicted_sales").alias("u"),
+                            F.sum("predicted_margin").alias("m"))).scalar()
+        out = out.select("*", _d(t["r"]).alias("forecast_revenue"), t["u"].alias("forecast_units"),
+                         _d(t["m"]).alias("forecast_margin"))
     return out
 
 

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
     """
     def deco(fn: Callable[[Context], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Context(spark, sf_dir))
+            return fn(Context.shared(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -1,25 +1,55 @@
-"""Lazy per-call context: raw test views -> cleaned -> features -> star.
+"""Per-session context: raw test views -> cleaned -> features -> star.
 
 Every registered query builds its plan from the driver tables through this
-context, so the whole chain is one Catalyst plan and its work grows with the
-input tables.
+context, so its work grows with the input tables.  The feature table and the
+two facts are reused by many branches of one plan (dimensions, facts, scoring
+frame, scalar totals); they are materialized once with a reliable checkpoint
+in the session's shared checkpoint folder, so the raw join and aggregation run
+once per session and data set instead of once per branch.
 """
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from salescast.functions import fixed
 from salescast.operators import star as starmod
+from salescast.session import materialize
 from salescast.sources import testviews
 
+_SHARED: dict[tuple, "Context"] = {}
+
+
+def _fingerprint(sf_dir: str) -> tuple:
+    out = []
+    for t in testviews.TABLES:
+        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        try:
+            st = os.stat(p)
+            out.append((t, st.st_mtime_ns, st.st_size))
+        except OSError:
+            out.append((t, None, None))
+    return tuple(out)
+
 
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Context":
+        """One context per (session, data set); rebuilt when files change."""
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, _fingerprint(sf_dir))
+        ctx = _SHARED.get(key)
+        if ctx is None:
+            ctx = _SHARED[key] = cls(spark, sf_dir)
+        return ctx
+
     def table(self, name: str) -> DataFrame:
         return testviews.read_table(self.spark, self.sf_dir, name)
 
@@ -33,7 +63,7 @@ class Context:
 
     @cached_property
     def features(self) -> DataFrame:
-        return starmod.features(self.cleaned)
+        return materialize(starmod.features(self.cleaned), self.spark)
 
     @property
     def family_to_category(self) -> dict:
@@ -45,7 +75,8 @@ class Context:
 
     @cached_property
     def star(self) -> starmod.Star:
-        return starmod.build_star(self.features, self.family_to_category, self.state_to_region)
+        s = starmod.build_star(self.features, self.family_to_category, self.state_to_region)
+        return s.replace(fact_sales=materialize(s.fact_sales, self.spark))
 
     @cached_property
     def forecast_star(self) -> starmod.Star:
@@ -54,18 +85,16 @@ class Context:
         frame = fc.scoring_frame(self.star, self.features)
         preds = fc.demo_forecast(frame, noise=0.0)
         ff = fc.fact_forecasts(preds, self.star.dim_product, self.family_to_category)
-        return self.star.replace(fact_forecasts=ff)
+        return self.star.replace(fact_forecasts=materialize(ff, self.spark))
 
     @cached_property
     def backtest_star(self) -> starmod.Star:
         """Star whose ``fact_forecasts`` is the rule forecast (noise 0) over
         the holdout window — the last 90 days of actual rows — so actuals and
         forecasts overlap (MAPE, matching, accuracy by grain)."""
-        from pyspark.sql import functions as F
-        from salescast.functions import fixed
         from salescast.operators import forecast as fc
         feats = self.features
         cutoff = F.date_sub(feats.agg(F.max("date")).scalar(), fixed.HOLDOUT_DAYS)
         preds = fc.demo_forecast(feats.where(F.col("date") > cutoff), noise=0.0)
         ff = fc.fact_forecasts(preds, self.star.dim_product, self.family_to_category)
-        return self.star.replace(fact_forecasts=ff)
+        return self.star.replace(fact_forecasts=materialize(ff, self.spark))

@@ -44,6 +44,23 @@ def get_session(master: str | None = None, app: str = "salescast",
     return spark
 
 
+def materialize(df, spark: SparkSession | None = None):
+    """Cut lineage of an intermediate that several plans reuse: a reliable
+    ``checkpoint`` into the shared checkpoint folder (never a local one).
+    Tasks lost after this point recompute from the checkpoint files, not from
+    the raw tables."""
+    spark = spark or df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        checkpoint_dir(spark, _local_fallback())
+    return df.checkpoint(eager=True)
+
+
+def _local_fallback() -> str:
+    """Only for local runs and tests, where no shared folder is configured."""
+    import tempfile
+    return tempfile.mkdtemp(prefix="salescast-checkpoints-")
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts.
 
@@ -53,8 +70,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
         return current
+    existing = spark.sparkContext.getCheckpointDir()
+    if existing:
+        return existing
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback given")
     os.makedirs(fallback, exist_ok=True)
