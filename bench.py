@@ -40,7 +40,7 @@ def main() -> None:
 
     # end-to-end preparation: raw tables -> features -> star -> Parquet
     t0 = time.time()
-    ctx = Context(spark, sf_dir)
+    ctx = Context.shared(spark, sf_dir)
     io.write_star(ctx.forecast_star, os.path.join(scratch, "star"), features=ctx.features)
     times["prepare_write_star"] = round(time.time() - t0, 3)
 

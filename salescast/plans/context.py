@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.functions import fixed
-from salescast.operators import star as starmod
+from salescast.operators import joins, star as starmod
 from salescast.session import materialize
 from salescast.sources import testviews
 
@@ -75,8 +75,13 @@ class Context:
 
     @cached_property
     def star(self) -> starmod.Star:
+        """Dimensions are materialized and broadcast behind a row-count check;
+        the fact is materialized once."""
         s = starmod.build_star(self.features, self.family_to_category, self.state_to_region)
-        return s.replace(fact_sales=materialize(s.fact_sales, self.spark))
+        dims = {n: joins.broadcast_if_small(materialize(getattr(s, n), self.spark))
+                for n in ("dim_date", "dim_store", "dim_product")}
+        fact = starmod.build_fact_sales(self.features, dims["dim_product"], self.family_to_category)
+        return s.replace(fact_sales=materialize(fact, self.spark), **dims)
 
     @cached_property
     def forecast_star(self) -> starmod.Star:

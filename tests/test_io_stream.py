@@ -76,3 +76,24 @@ def test_checkpointed_features_cut_lineage(spark):
     cp = ctx.features.checkpoint(eager=True)
     assert cp.count() == ctx.features.count()
     assert starmod.build_star(cp, ctx.family_to_category).fact_sales.count() == cp.count()
+
+
+def test_prepare_plan_writes_and_reloads_star(spark, tmpdir_path):
+    from salescast.plans.prepare import prepare
+    ctx = Context(spark, SF_SMALL)
+    star = prepare(spark, ctx.raw.as_dict(), tmpdir_path, ctx.family_to_category, ctx.state_to_region)
+    assert star.fact_sales.count() == ctx.star.fact_sales.count()
+    assert sorted(star.fact_sales.columns) == sorted(ctx.star.fact_sales.columns)
+    assert star.fact_forecasts is None
+    a = star.fact_sales.agg(F.sum("revenue")).first()[0]
+    b = ctx.star.fact_sales.agg(F.sum("revenue")).first()[0]
+    assert a == b
+
+
+def test_register_measure_extension_point(spark):
+    from salescast.operators import measures as me
+    ctx = Context(spark, SF_SMALL)
+    me.register_measure("promo_lines", lambda df: F.sum("onpromotion"))
+    out = me.custom(ctx.star, "promo_lines", by=["category"])
+    tot = ctx.star.fact_sales.agg(F.sum("onpromotion")).first()[0]
+    assert out.agg(F.sum("promo_lines")).first()[0] == tot
