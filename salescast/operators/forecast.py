@@ -133,6 +133,15 @@ def weekly_rollup(ff: DataFrame, cols=("predicted_sales", "predicted_revenue", "
                                 for c in cols])
 
 
+def export_forecasts(ff: DataFrame, path: str) -> None:
+    """FC7: the forecast fact as Parquet and CSV, plus the weekly rollup CSV."""
+    from salescast.sources import io
+    root = path.rstrip("/")
+    io.write_parquet(ff, f"{root}/fact_forecasts.parquet")
+    io.write_csv(ff, f"{root}/fact_forecasts.csv")
+    io.write_csv(weekly_rollup(ff), f"{root}/fact_forecasts_weekly.csv")
+
+
 def horizon_breakdown(ff: DataFrame) -> DataFrame:
     """FC9 / AG15: rows per forecast horizon."""
     return ff.groupBy("forecast_horizon").agg(F.count(F.lit(1)).alias("rows"))

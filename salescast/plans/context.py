@@ -59,7 +59,12 @@ class Context:
 
     @cached_property
     def cleaned(self) -> dict[str, DataFrame]:
-        return starmod.load_raw(self.raw.as_dict())
+        """The derived ``train`` view (the big line-item join and aggregation)
+        is read twice — for the rows and for the date range of the oil
+        series — so it is materialized once first."""
+        raw = self.raw.as_dict()
+        raw["train"] = materialize(raw["train"], self.spark)
+        return starmod.load_raw(raw)
 
     @cached_property
     def features(self) -> DataFrame:

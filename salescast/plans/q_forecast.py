@@ -100,3 +100,16 @@ def fc8_explorer_by_category(ctx):
     s = ctx.forecast_star
     f = fc.filter_forecasts(s, "All", "NATION_3")
     return an.by_dim(s.replace(fact_forecasts=f), "category", "forecast")
+
+
+@query("ag12_weekly_actual_revenue", """
+WITH wk AS (SELECT CAST(date_trunc('week', date) AS DATE) + 6 AS date, SUM(revenue) AS r, SUM(sales) AS s
+            FROM fact_sales WHERE date >= DATE '2000-01-01' GROUP BY 1),
+spine AS (SELECT CAST(UNNEST(generate_series(CAST(MIN(date) AS TIMESTAMP), CAST(MAX(date) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS date FROM wk)
+SELECT s.date, CAST(COALESCE(r, 0) AS DOUBLE) AS revenue, COALESCE(w.s, 0) AS sales
+FROM spine s LEFT JOIN wk w ON s.date = w.date""")
+def ag12_weekly_actual_revenue(ctx):
+    """AG12 on actuals since 2000: weekly sums, empty weeks as 0."""
+    f = ctx.star.fact_sales.where(F.col("date") >= F.lit("2000-01-01").cast("date"))
+    w = fc.weekly_rollup(f, ("revenue", "sales"))
+    return w.select("date", F.col("revenue").cast("double"), "sales")

@@ -327,3 +327,11 @@ def fc3_model_forecast(ctx):
                                             .withColumn("family", F.col("__family")), enc))
     scored = scored.drop("family").withColumnRenamed("__family", "family")
     return fc.fact_forecasts(scored, ctx.star.dim_product, ctx.family_to_category)
+
+
+@query("sl8_leaderboard_head2", "SELECT model, normalized_rmse, rank FROM (" + BASELINES_SQL + ") WHERE rank <= 2",
+       ctes=BT_ROWS)
+def sl8_leaderboard_head2(ctx):
+    """SL8: the first rows of the leaderboard in rank order."""
+    lb = ev.leaderboard(_baseline_metrics(ctx))
+    return lb.orderBy("rank").limit(2).select("model", "normalized_rmse", "rank")

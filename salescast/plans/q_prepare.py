@@ -229,3 +229,17 @@ def sc9_days_between(ctx):
     first = d.agg(F.min("date")).scalar()
     return d.select("date", "date_key", F.datediff(F.col("date"), first).alias("days_from_start"),
                     F.date_add("date", 90).alias("plus_90"), F.date_sub("date", 90).alias("minus_90"))
+
+
+@query("pr12_fill_zero_check", """
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE transactions = 0) AS zero_transactions,
+       COUNT(*) FILTER (WHERE is_holiday = 1) AS holiday_rows,
+       COUNT(*) - COUNT(transactions) - (COUNT(*) - COUNT(is_holiday)) AS nulls_left FROM features""")
+def pr12_fill_zero_check(ctx):
+    """PR12: after the left joins no transaction or holiday value is NULL."""
+    f = ctx.features
+    return f.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(F.col("transactions") == 0).alias("zero_transactions"),
+                 F.count_if(F.col("is_holiday") == 1).alias("holiday_rows"),
+                 (F.count(F.lit(1)) - F.count("transactions") - (F.count(F.lit(1)) - F.count("is_holiday")))
+                 .alias("nulls_left"))

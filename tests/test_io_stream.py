@@ -97,3 +97,21 @@ def test_register_measure_extension_point(spark):
     out = me.custom(ctx.star, "promo_lines", by=["category"])
     tot = ctx.star.fact_sales.agg(F.sum("onpromotion")).first()[0]
     assert out.agg(F.sum("promo_lines")).first()[0] == tot
+
+
+def test_export_forecasts_and_null_on_failed_rows(spark, tmpdir_path):
+    ctx = Context(spark, SF_SMALL)
+    ff = ctx.forecast_star.fact_forecasts
+    fc.export_forecasts(ff, tmpdir_path)
+    back = spark.read.option("header", True).csv(f"{tmpdir_path}/fact_forecasts.csv")
+    assert back.count() == ff.count()
+    wk = spark.read.option("header", True).csv(f"{tmpdir_path}/fact_forecasts_weekly.csv")
+    assert wk.count() >= 13
+
+    class NaNModel:  # a model whose scoring fails for some rows
+        def transform(self, df):
+            return df.withColumn("prediction", F.when(F.col("x") > 1, F.lit(float("nan"))).otherwise(F.col("x") * 1.0))
+
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    got = [r.predicted_sales for r in fc.score(NaNModel(), df).orderBy("x").collect()]
+    assert got == [1.0, None]
