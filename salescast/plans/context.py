@@ -3,8 +3,8 @@
 Every registered query builds its plan from the driver tables through this
 context, so its work grows with the input tables.  The feature table and the
 two facts are reused by many branches of one plan (dimensions, facts, scoring
-frame, scalar totals); they are materialized once with a reliable checkpoint
-in the session's shared checkpoint folder, so the raw join and aggregation run
+frame, scalar totals); they are materialized once as Parquet tables written
+under the session's shared checkpoint folder, so the raw join and aggregation run
 once per session and data set instead of once per branch.
 """
 
@@ -63,12 +63,12 @@ class Context:
         is read twice — for the rows and for the date range of the oil
         series — so it is materialized once first."""
         raw = self.raw.as_dict()
-        raw["train"] = materialize(raw["train"], self.spark)
+        raw["train"] = materialize(raw["train"], self.spark, "train")
         return starmod.load_raw(raw)
 
     @cached_property
     def features(self) -> DataFrame:
-        return materialize(starmod.features(self.cleaned), self.spark)
+        return materialize(starmod.features(self.cleaned), self.spark, "features")
 
     @property
     def family_to_category(self) -> dict:
@@ -83,10 +83,10 @@ class Context:
         """Dimensions are materialized and broadcast behind a row-count check;
         the fact is materialized once."""
         s = starmod.build_star(self.features, self.family_to_category, self.state_to_region)
-        dims = {n: joins.broadcast_if_small(materialize(getattr(s, n), self.spark))
+        dims = {n: joins.broadcast_if_small(materialize(getattr(s, n), self.spark, n))
                 for n in ("dim_date", "dim_store", "dim_product")}
         fact = starmod.build_fact_sales(self.features, dims["dim_product"], self.family_to_category)
-        return s.replace(fact_sales=materialize(fact, self.spark), **dims)
+        return s.replace(fact_sales=materialize(fact, self.spark, "fact_sales"), **dims)
 
     @cached_property
     def forecast_star(self) -> starmod.Star:
@@ -95,7 +95,7 @@ class Context:
         frame = fc.scoring_frame(self.star, self.features)
         preds = fc.demo_forecast(frame, noise=0.0)
         ff = fc.fact_forecasts(preds, self.star.dim_product, self.family_to_category)
-        return self.star.replace(fact_forecasts=materialize(ff, self.spark))
+        return self.star.replace(fact_forecasts=materialize(ff, self.spark, "fact_forecasts"))
 
     @cached_property
     def backtest_star(self) -> starmod.Star:
@@ -107,4 +107,4 @@ class Context:
         cutoff = F.date_sub(feats.agg(F.max("date")).scalar(), fixed.HOLDOUT_DAYS)
         preds = fc.demo_forecast(feats.where(F.col("date") > cutoff), noise=0.0)
         ff = fc.fact_forecasts(preds, self.star.dim_product, self.family_to_category)
-        return self.star.replace(fact_forecasts=materialize(ff, self.spark))
+        return self.star.replace(fact_forecasts=materialize(ff, self.spark, "fact_forecasts"))

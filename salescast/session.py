@@ -44,15 +44,22 @@ def get_session(master: str | None = None, app: str = "salescast",
     return spark
 
 
-def materialize(df, spark: SparkSession | None = None):
-    """Cut lineage of an intermediate that several plans reuse: a reliable
-    ``checkpoint`` into the shared checkpoint folder (never a local one).
-    Tasks lost after this point recompute from the checkpoint files, not from
-    the raw tables."""
+def materialize(df, spark: SparkSession | None = None, name: str = "table"):
+    """Cut lineage of an intermediate that several plans reuse by writing it
+    as a Parquet table under the shared checkpoint folder and reading it back
+    (never a local checkpoint).  One pass computes it; the read-back has
+    column pruning and file statistics, and a lost executor re-reads files
+    instead of recomputing from the raw tables."""
+    import uuid
     spark = spark or df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        checkpoint_dir(spark, _local_fallback())
-    return df.checkpoint(eager=True)
+    root = checkpoint_dir(spark, None if _configured(spark) else _local_fallback())
+    path = f"{root.rstrip('/')}/salescast-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _configured(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
 
 
 def _local_fallback() -> str:
