@@ -146,26 +146,25 @@ def top_share(df: DataFrame, key: str, col: str, n: int) -> DataFrame:
 
 # AG20 / AG22 / AG23 ----------------------------------------------------------
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, 25/50/75 % (linear interpolation), max per column.
+    """count, mean, std, min, 25/50/75 % (linear interpolation), max per column,
+    all columns in one aggregation pass, one output row per column.
 
     Exact quantiles keep a value -> count map per column, so memory follows the
     number of distinct values, not rows.
     """
-    rows = []
+    stats = []
     for c in cols:
         x = F.col(c).cast("double")
-        rows.append(df.agg(
+        stats.append(F.struct(
             F.lit(c).alias("column"), F.count(x).alias("count"),
             F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("std"),
             F.min(x).alias("min"),
             F.round(F.percentile(x, 0.25), 6).alias("p25"),
             F.round(F.percentile(x, 0.5), 6).alias("p50"),
             F.round(F.percentile(x, 0.75), 6).alias("p75"),
-            F.max(x).alias("max")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+            F.max(x).alias("max")).alias(f"__s{len(stats)}"))
+    row = df.agg(*stats)
+    return row.select(F.inline(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])))
 
 
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -197,6 +197,21 @@ def selected_metric(star, metric: str | None = "Revenue", by: Sequence[str] = ()
     return total(star, name, by, out="selected_metric")
 
 
+def selected_metric_table(star, by: Sequence[str] = (), selections=None) -> DataFrame:
+    """ME10 for several slicer selections at once: one pass computes the three
+    measures, then one row per (selection, grain) picks its measure (an
+    unknown or empty selection means Revenue)."""
+    selections = selections or [*fixed.METRIC_SELECTOR, None]
+    df = with_dims(star, "fact_sales", by)
+    per = df.groupBy(*by).agg(F.sum("revenue").cast("double").alias("Revenue"),
+                              F.sum("sales").cast("double").alias("Units"),
+                              F.sum("margin").cast("double").alias("Margin"))
+    rows = [F.struct(F.lit(sel if sel is not None else "(none)").alias("metric"),
+                     F.col(sel if sel in fixed.METRIC_SELECTOR else "Revenue").alias("selected_metric"))
+            for sel in selections]
+    return per.select(*by, F.inline(F.array(*rows))).select("metric", *by, "selected_metric")
+
+
 def metric_selector(spark) -> DataFrame:
     return spark.createDataFrame([(m,) for m in fixed.METRIC_SELECTOR], "Metric string")
 

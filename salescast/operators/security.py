@@ -51,6 +51,27 @@ def secure_for(star, user: str, grants: DataFrame, roles: DataFrame):
     return star.replace(**out)
 
 
+def role_kpis(star, roles: Mapping[str, str | None] | None = None) -> DataFrame:
+    """RL1 for every regional role in one pass per fact: both facts are
+    aggregated by the region of their store, then each role takes its
+    region's totals (the same numbers ``secure(star, role)`` gives)."""
+    roles = roles or fixed.ROLES
+    spark = star.fact_sales.sparkSession
+    regional = [(r, g) for r, g in roles.items() if g is not None]
+    role_df = spark.createDataFrame(regional, "role string, region string")
+    stores = star.dim_store.select("store_key", "region")
+    a = (star.fact_sales.join(stores, "store_key").groupBy("region")
+         .agg(F.sum("revenue").cast("double").alias("total_revenue"), F.sum("sales").alias("total_units")))
+    out = role_df.join(a, "region", "left")
+    if star.fact_forecasts is not None:
+        f = (star.fact_forecasts.join(stores, "store_key").groupBy("region")
+             .agg(F.sum("predicted_revenue").cast("double").alias("forecast_revenue"),
+                  F.sum("predicted_sales").alias("forecast_units"),
+                  F.sum("predicted_margin").cast("double").alias("forecast_margin")))
+        out = out.join(f, "region", "left")
+    return out.drop("region")
+
+
 def stores_by_region(dim_store: DataFrame) -> DataFrame:
     """RL4: number of stores per region."""
     return dim_store.groupBy("region").agg(F.count(F.lit(1)).alias("stores"))

@@ -163,13 +163,8 @@ SELECT m.metric, category,
 FROM sales_star, (VALUES ('Revenue'), ('Units'), ('Margin'), ('(none)')) m(metric)
 GROUP BY m.metric, category""")
 def me10_selected_metric(ctx):
-    """ME10 / ME11: each selector value (and no selection -> Revenue)."""
-    out = None
-    for m in [*fixed.METRIC_SELECTOR, "(none)"]:
-        part = me.selected_metric(ctx.star, None if m == "(none)" else m, ["category"])
-        part = part.select(F.lit(m).alias("metric"), "category", F.col("selected_metric").cast("double"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """ME10 / ME11: each selector value (and no selection -> Revenue), one pass."""
+    return me.selected_metric_table(ctx.star, ["category"])
 
 
 @query("me12_forecast_revenue_by_region", """
@@ -263,12 +258,8 @@ SELECT region AS role, CAST(SUM(revenue) AS DOUBLE) AS total_revenue, SUM(sales)
 FROM sales_star s WHERE region IN ('Highland', 'Coastal', 'Amazon') GROUP BY region""")
 def rl1_role_kpis(ctx):
     """RL1: KPIs as each regional role sees them (filter on dim_store,
-    propagated to both facts)."""
-    out = None
-    for role in ("Highland", "Coastal", "Amazon"):
-        part = _secured_kpis(sec.secure(ctx.forecast_star, role), role)
-        out = part if out is None else out.unionByName(part)
-    return out
+    propagated to both facts) — one grouped pass per fact."""
+    return sec.role_kpis(ctx.forecast_star)
 
 
 @query("rl2_all_regions_kpis", """

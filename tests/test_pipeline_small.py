@@ -184,3 +184,20 @@ def test_semi_join_filters_fact(star):
     hi = joins.apply_context(star, {"dim_store": F.col("region") == "Coastal"})
     assert {r.store_key for r in hi.fact_sales.select("store_key").distinct().collect()} == {2}
     assert {r.store_key for r in hi.fact_forecasts.select("store_key").distinct().collect()} == {2}
+
+
+def test_role_kpis_equal_secure_per_role(star):
+    grouped = {r.role: r for r in sec.role_kpis(star).collect()}
+    for role in ("Highland", "Coastal", "Amazon"):
+        k = an.kpis(sec.secure(star, role)).first()
+        g = grouped[role]
+        assert (g.total_revenue, g.total_units, g.forecast_revenue, g.forecast_units, g.forecast_margin) == \
+               (k.total_revenue, k.total_units, k.forecast_revenue, k.forecast_units, k.forecast_margin)
+
+
+def test_selected_metric_table_matches_single(star):
+    t = {(r.metric, r.category): r.selected_metric for r in me.selected_metric_table(star, ["category"]).collect()}
+    for sel in ("Revenue", "Units", "Margin", None):
+        single = {r.category: r.selected_metric for r in me.selected_metric(star, sel, ["category"]).collect()}
+        for cat, v in single.items():
+            assert abs(t[(sel or "(none)", cat)] - float(v)) < 1e-9
