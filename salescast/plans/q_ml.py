@@ -335,3 +335,23 @@ def sl8_leaderboard_head2(ctx):
     """SL8: the first rows of the leaderboard in rank order."""
     lb = ev.leaderboard(_baseline_metrics(ctx))
     return lb.orderBy("rank").limit(2).select("model", "normalized_rmse", "rank")
+
+
+@query("st1_stream_scoring")
+def st1_stream_scoring(ctx):
+    """ST1: the scoring frame lands as request files; a Structured Streaming
+    job (file source, stateless, checkpointed file sink, available-now
+    trigger) scores them with a fitted model.  Returns the streamed output."""
+    import uuid
+    from salescast.session import shared_folder
+    from salescast.streaming import scoring
+    spark = ctx.spark
+    train, _, enc = _prepared(ctx)
+    model, _ = tr.fit(train, SMALL["DecisionTree"])
+    run = f"{shared_folder(spark).rstrip('/')}/salescast-stream/{uuid.uuid4().hex}"
+    frame = fc.scoring_frame(ctx.star, ctx.features, transactions="profile")
+    frame.select(*[f.name for f in scoring.REQUEST_SCHEMA.fields]).write.parquet(f"{run}/requests")
+    q = scoring.start(scoring.score_stream(scoring.request_stream(spark, f"{run}/requests"), model, enc),
+                      f"{run}/scored", f"{run}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/scored")

@@ -52,12 +52,17 @@ def materialize(df, spark: SparkSession | None = None, name: str = "table"):
     instead of recomputing from the raw tables."""
     import uuid
     spark = spark or df.sparkSession
-    root = checkpoint_dir(spark, None if _configured(spark) else _local_fallback())
-    path = f"{root.rstrip('/')}/salescast-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/salescast-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a local one is installed only when
+    none is configured (tests, local runs)."""
+    return checkpoint_dir(spark, None if _configured(spark) else _local_fallback())
+
+
 def _configured(spark: SparkSession) -> bool:
     return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
 

@@ -115,3 +115,22 @@ def test_export_forecasts_and_null_on_failed_rows(spark, tmpdir_path):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     got = [r.predicted_sales for r in fc.score(NaNModel(), df).orderBy("x").collect()]
     assert got == [1.0, None]
+
+
+def test_train_and_forecast_plan(spark, tmpdir_path):
+    from salescast.plans.train_score import rule_forecast, train_and_forecast
+    ctx = Context(spark, SF_SMALL)
+    cands = {"DecisionTree": dict(kind="dt", maxDepth=4), "ElasticNet": dict(kind="lr", regParam=1.0,
+                                                                             elasticNetParam=0.5, maxIter=20)}
+    out = train_and_forecast(spark, ctx.features, ctx.star, tmpdir_path, cands, horizon=5,
+                             family_to_category=ctx.family_to_category)
+    assert out["best_model"] in cands
+    res = io.read_results(spark, f"{tmpdir_path}/training_results").first()
+    assert res.best_model == out["best_model"] and len(res.all_models) == 2
+    series = ctx.features.select("store_nbr", "family").distinct().count()
+    assert out["fact_forecasts"].count() == series * 5
+    assert spark.read.option("header", True).csv(f"{tmpdir_path}/leaderboard").count() == 2
+    assert io.load_model(f"{tmpdir_path}/models/{out['best_model']}") is not None
+    rf = rule_forecast(spark, ctx.features, ctx.star, tmpdir_path + "/rule", horizon=5,
+                       family_to_category=ctx.family_to_category)
+    assert rf.count() == series * 5
