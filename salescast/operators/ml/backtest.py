@@ -84,20 +84,31 @@ def ets_level(df: DataFrame, keys: Sequence[str], alpha: float = 0.3, y: str = "
     return s.select(*keys, F.round(lvl, 6).alias(out))
 
 
-def search(train: DataFrame, test: DataFrame, candidates: dict, label: str = "sales") -> DataFrame:
+def search(train: DataFrame, test: DataFrame, candidates: dict, label: str = "sales",
+           parallelism: int = 1) -> DataFrame:
     """ML16: fit each candidate config on ``train``, score ``test``, rank.
 
-    The loop runs over configurations on the driver; every fit and every
-    metric is a distributed job.  Returns the leaderboard (one row per
-    candidate) with the fit time."""
+    Candidates are fitted from up to ``parallelism`` driver threads at once
+    (each fit is a distributed job; concurrent jobs share the cluster, like
+    MLlib's tuning ``parallelism``); every metric is a distributed
+    aggregation.  Returns the leaderboard (one row per candidate) with the
+    fit time."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from salescast.functions import calendar as cal
     from salescast.operators.ml import train as tr
-    out = None
-    for name, cfg in candidates.items():
+
+    def one(item):
+        name, cfg = item
         model, secs = tr.fit(train, cfg, label)
         scored = tr.predict(model, test).select(F.col(label).alias("actual"),
                                                 cal.post_process("prediction").alias("predicted"))
-        m = evaluate.metrics(scored).select(F.lit(name).alias("model"), "*",
-                                            F.lit(round(secs, 3)).alias("training_time"))
-        out = m if out is None else out.unionByName(m)
+        return evaluate.metrics(scored).select(F.lit(name).alias("model"), "*",
+                                               F.lit(round(secs, 3)).alias("training_time"))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, candidates.items()))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return evaluate.leaderboard(out)

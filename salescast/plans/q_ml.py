@@ -313,7 +313,7 @@ def ml16_model_search(ctx):
     train, test, _ = _prepared(ctx)
     cands = {"GBT-a": SMALL["GBT"], "GBT-b": dict(SMALL["GBT"], maxDepth=4, minInstancesPerNode=20),
              "ElasticNet": SMALL["ElasticNet"], "DecisionTree": SMALL["DecisionTree"]}
-    return bt.search(train, test, cands)
+    return bt.search(train, test, cands, parallelism=2)
 
 
 @query("fc3_model_forecast")
