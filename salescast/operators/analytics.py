@@ -23,17 +23,23 @@ def _d(c: Column) -> Column:
 
 # AG1 -------------------------------------------------------------------------
 def kpis(star) -> DataFrame:
-    """Historical revenue / units and forecast revenue / units / margin."""
+    """Historical revenue / units and forecast revenue / units / margin.
+
+    Both facts are projected onto one set of columns and aggregated together:
+    one scan of each fact, one aggregation, no join or subquery."""
     fc = star.fact_forecasts
-    out = star.fact_sales.agg(_d(F.sum("revenue")).alias("total_revenue"),
-                              F.sum("sales").alias("total_units"))
+    none_d, none_m = F.lit(None).cast("double"), F.lit(None).cast("decimal(18,4)")
+    parts = star.fact_sales.select(F.col("revenue").alias("r"), F.col("sales").alias("u"),
+                                   none_m.alias("fr"), none_d.alias("fu"), none_m.alias("fm"))
     if fc is not None:
-        # one scalar subquery (a struct) for the three forecast totals
-        t = fc.agg(F.struct(F.sum("predicted_revenue").alias("r"), F.sum("predicted_sales").alias("u"),
-                            F.sum("predicted_margin").alias("m"))).scalar()
-        out = out.select("*", _d(t["r"]).alias("forecast_revenue"), t["u"].alias("forecast_units"),
-                         _d(t["m"]).alias("forecast_margin"))
-    return out
+        parts = parts.unionByName(fc.select(none_m.alias("r"), none_d.alias("u"),
+                                            F.col("predicted_revenue").alias("fr"),
+                                            F.col("predicted_sales").alias("fu"),
+                                            F.col("predicted_margin").alias("fm")))
+    out = parts.agg(_d(F.sum("r")).alias("total_revenue"), F.sum("u").alias("total_units"),
+                    _d(F.sum("fr")).alias("forecast_revenue"), F.sum("fu").alias("forecast_units"),
+                    _d(F.sum("fm")).alias("forecast_margin"))
+    return out if fc is not None else out.select("total_revenue", "total_units")
 
 
 def kpi_text(star) -> DataFrame:
