@@ -49,9 +49,27 @@ def estimator(kind: str, label: str = "sales", **params):
 
 def fit(train: DataFrame, config: dict, label: str = "sales",
         cols=fixed.FEATURE_COLS) -> tuple[PipelineModel, float]:
-    """Fit assembler + regressor; returns the model and the fit seconds."""
+    """Fit assembler + regressor; returns the model and the fit seconds.
+
+    Extra config keys:
+      ``validation_days``  boosted trees only: rows in the last N days of the
+                           training window form the early-stopping validation
+                           set (``validationIndicatorCol``), so the holdout is
+                           never used for stopping;
+      ``sample_fraction``  fit on a seeded row sample (``sample_seed``, 42).
+    """
+    from pyspark.sql import functions as F
     params = dict(config)
     kind = params.pop("kind")
+    val_days = params.pop("validation_days", None)
+    frac = params.pop("sample_fraction", None)
+    seed = params.pop("sample_seed", 42)
+    if frac is not None and frac < 1.0:
+        train = train.sample(fraction=frac, seed=seed)
+    if val_days and kind == "gbt":
+        cut = F.date_sub(train.agg(F.max("date")).scalar(), val_days)
+        train = train.withColumn("is_validation", F.col("date") > cut)
+        params.setdefault("validationIndicatorCol", "is_validation")
     pipe = Pipeline(stages=[assembler(cols), estimator(kind, label, **params)])
     t0 = time.time()
     model = pipe.fit(train)

@@ -121,3 +121,16 @@ def test_mllib_fit_and_score(spark):
     assert pred < 1e-6 and secs >= 0
     imp = tr.importance(spark, model, ["a", "b"]).collect()
     assert abs(sum(r.importance for r in imp) - 1.0) < 1e-9 and imp[0].feature == "a"
+
+
+def test_gbt_early_stopping_and_seeded_sample(spark):
+    from salescast.operators.ml import train as tr
+    rows = [(day(i), float(i % 7), float(i % 3), float(2 * (i % 7) + (i % 3))) for i in range(400)]
+    df = spark.createDataFrame(rows, "date date, a double, b double, sales double")
+    model, _ = tr.fit(df, dict(kind="gbt", maxIter=50, maxDepth=3, validation_days=30, validationTol=0.01),
+                      cols=["a", "b"])
+    assert model.stages[-1].getNumTrees <= 50
+    m1, _ = tr.fit(df, dict(kind="dt", maxDepth=3, sample_fraction=0.5), cols=["a", "b"])
+    m2, _ = tr.fit(df, dict(kind="dt", maxDepth=3, sample_fraction=0.5), cols=["a", "b"])
+    body = lambda m: m.stages[-1].toDebugString.split("\n", 1)[1]   # drop the uid header
+    assert body(m1) == body(m2)   # seeded: same sample, same tree
