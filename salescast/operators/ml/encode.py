@@ -11,16 +11,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescast.functions import fixed
 
 
 def label_codes(df: DataFrame, col: str) -> DataFrame:
-    """(value, code) for one column; code = rank in sorted distinct values - 1."""
-    vals = df.select(F.col(col).cast("string").alias("value")).distinct()
-    return vals.withColumn("code", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
+    """(value, code) for one column; code = rank in sorted distinct values - 1
+    (distributed dense numbering, ``operators.keys``)."""
+    from salescast.operators.keys import dense_keys
+    return dense_keys(df, col, "code", start=0, as_string=True).withColumnRenamed(col, "value")
 
 
 def fit_encoders(df: DataFrame, cols: Sequence[str] = fixed.CATEGORICAL_COLS) -> dict[str, DataFrame]:

@@ -10,11 +10,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, fields, replace as dc_replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescast.functions import calendar as cal
-from salescast.functions import fixed
 from salescast.operators import clean, joins, timeseries as ts
 
 SERIES_KEYS = ["store_nbr", "family"]
@@ -130,15 +129,12 @@ def build_dim_store(df: DataFrame, state_to_region: Mapping | None = None) -> Da
 
 # SB5 -------------------------------------------------------------------------
 def build_dim_product(df: DataFrame, family_to_category: Mapping | None = None) -> DataFrame:
-    """SB5: ``product_key`` = 1-based position of the family in sorted order.
-
-    The window runs over the distinct family list (a product catalogue, not
-    fact rows)."""
-    fams = df.select("family").distinct()
-    w = Window.orderBy("family")
-    return (fams.withColumn("product_key", F.row_number().over(w).cast("int"))
-                .withColumn("category", clean.category_col("family", family_to_category))
-                .select("product_key", "family", "category"))
+    """SB5: ``product_key`` = 1-based position of the family in sorted order
+    (distributed dense numbering, ``operators.keys``)."""
+    from salescast.operators.keys import dense_keys
+    return (dense_keys(df, "family", "product_key", start=1)
+            .withColumn("category", clean.category_col("family", family_to_category))
+            .select("product_key", "family", "category"))
 
 
 # SB6 -------------------------------------------------------------------------

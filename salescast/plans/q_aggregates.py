@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salescast.functions import calendar as cal
 from salescast.operators import analytics as an
 from salescast.operators import forecast as fc
 from salescast.operators import joins, measures as me

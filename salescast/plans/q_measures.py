@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from salescast.functions import fixed
 from salescast.operators import analytics as an
-from salescast.operators import joins, measures as me, security as sec
+from salescast.operators import measures as me, security as sec
 from salescast.operators import star as starmod
 from salescast.plans.catalog import query
 from salescast.plans.oracle_base import date_key_sql

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salescast.functions import calendar as cal
-from salescast.functions import fixed
 from salescast.operators import forecast as fc
 from salescast.operators.ml import backtest as bt
 from salescast.operators.ml import encode, evaluate as ev, split, train as tr
