@@ -105,10 +105,15 @@ FACT_FORECASTS_ORDER = ["date", "date_key", "store_key", "product_key", "predict
 def fact_forecasts(preds: DataFrame, dim_product: DataFrame,
                    family_to_category: Mapping | None = None,
                    prices: Mapping | None = None, rates: Mapping | None = None,
-                   sales_col: str = "predicted_sales") -> DataFrame:
+                   sales_col: str = "predicted_sales", unknown_product_key: int | None = None) -> DataFrame:
     """FC6: forecast fact — keys, predicted units, revenue and margin rounded
-    half-even to cents (margin from the rounded revenue), horizon bucket."""
+    half-even to cents (margin from the rounded revenue), horizon bucket.
+
+    A family missing from ``dim_product`` keeps a NULL key, or gets
+    ``unknown_product_key`` when given (JN11's default-to-key-1 variant)."""
     df = preds.join(dim_product.select("family", "product_key"), "family", "left")
+    if unknown_product_key is not None:
+        df = df.withColumn("product_key", F.coalesce(F.col("product_key"), F.lit(unknown_product_key)))
     cat = clean.category_col("family", family_to_category)
     revenue = F.bround(F.col(sales_col).cast("decimal(18,4)") * clean.price_col(cat, prices), 2)
     df = df.withColumn("predicted_revenue", revenue.cast("decimal(18,4)"))

@@ -166,11 +166,16 @@ def mape_bi(star, by: Sequence[str] = ()) -> DataFrame:
 
 
 # ME8 / ME9 -------------------------------------------------------------------
-def pct_of_total(star, by: Sequence[str], measure: str = "revenue") -> DataFrame:
-    """Share of the grand total (the total ignores every filter on the fact)."""
+def pct_of_total(star, by: Sequence[str], measure: str = "revenue", where: Mapping | None = None,
+                 respect_filters: bool = False) -> DataFrame:
+    """Share of the grand total.  The groups are evaluated in the filter
+    context ``where``; the denominator ignores every filter (``ALL`` on the
+    fact also clears filters arriving from dimensions, Q13) unless
+    ``respect_filters=True``."""
     fact, col = FACT_COLS[measure]
-    per = with_dims(star, fact, by).groupBy(*by).agg(F.sum(col).alias("__v"))
-    grand = star.tables()[fact].agg(F.sum(col)).scalar()
+    ctx = joins.apply_context(star, where) if where else star
+    per = with_dims(ctx, fact, by).groupBy(*by).agg(F.sum(col).alias("__v"))
+    grand = (ctx if respect_filters else star).tables()[fact].agg(F.sum(col)).scalar()
     return per.select(*by, F.col("__v").cast("double").alias(measure),
                       F.round(F.try_divide(F.col("__v"), grand).cast("double"), 6).alias("pct_of_total"))
 

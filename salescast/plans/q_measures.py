@@ -147,6 +147,15 @@ def me8_pct_of_total_by_category(ctx):
     return me.pct_of_total(ctx.star, ["category"])
 
 
+@query("me8_pct_of_total_coastal_slicer", """
+SELECT category, CAST(SUM(revenue) AS DOUBLE) AS revenue,
+       round(CAST(SUM(revenue) / (SELECT SUM(revenue) FROM fact_sales) AS DOUBLE), 6) AS pct_of_total
+FROM sales_star WHERE region = 'Coastal' GROUP BY category""")
+def me8_pct_of_total_coastal_slicer(ctx):
+    """ME8 under a region slicer: the denominator ignores the slicer (Q13)."""
+    return me.pct_of_total(ctx.star, ["category"], where={"dim_store": F.col("region") == "Coastal"})
+
+
 @query("me9_pct_of_category_by_family", """
 SELECT category, family, CAST(v AS DOUBLE) AS revenue,
        round(CAST(v / SUM(v) OVER (PARTITION BY category) AS DOUBLE), 6) AS pct_of_category

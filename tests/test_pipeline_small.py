@@ -201,3 +201,16 @@ def test_selected_metric_table_matches_single(star):
         single = {r.category: r.selected_metric for r in me.selected_metric(star, sel, ["category"]).collect()}
         for cat, v in single.items():
             assert abs(t[(sel or "(none)", cat)] - float(v)) < 1e-9
+
+
+def test_pct_of_total_filters_and_unknown_key(spark, star, feats):
+    where = {"dim_store": F.col("region") == "Coastal"}
+    ignore = me.pct_of_total(star, ["family"], where=where).collect()
+    keep = me.pct_of_total(star, ["family"], where=where, respect_filters=True).collect()
+    assert sum(r.pct_of_total for r in ignore) < 0.999
+    assert abs(sum(r.pct_of_total for r in keep) - 1.0) < 1e-5
+    preds = spark.createDataFrame([(day(30), 1, "NEW FAMILY", 3.0)],
+                                  "date date, store_nbr int, family string, predicted_sales double")
+    assert fc.fact_forecasts(preds, star.dim_product).first().product_key is None
+    r = fc.fact_forecasts(preds, star.dim_product, unknown_product_key=1).first()
+    assert r.product_key == 1 and float(r.predicted_revenue) == 15.0   # "Other" price 5.00
