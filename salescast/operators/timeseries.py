@@ -29,6 +29,15 @@ def lag_rows(df: DataFrame, col: str, n: int, keys: Sequence[str], order: str =
     return df.withColumn(out or f"{col}_lag{n}", F.lag(col, n).over(_w(keys, order)))
 
 
+def lag_days(df: DataFrame, col: str, n: int, keys: Sequence[str], date_col: str = "date",
+             out: str | None = None) -> DataFrame:
+    """WN1, day mode: the value ``n`` calendar days earlier in the same series
+    (NULL when that day has no row) — an equi-join on (keys, date - n), so a
+    long series is never gathered into one window partition."""
+    prev = df.select(*keys, F.date_add(F.col(date_col), n).alias(date_col), F.col(col).alias(out or f"{col}_lag{n}d"))
+    return df.join(prev, [*keys, date_col], "left")
+
+
 def ffill_col(col: str, keys: Sequence[str] | None, order: str = "date") -> Column:
     """Last non-NULL value at or before the row (running frame, O(n))."""
     return F.last(col, ignorenulls=True).over(_w(keys, F.col(order).asc()).rowsBetween(U_PREC, 0))

@@ -20,6 +20,17 @@ def wn1_oil_lag7_rows(ctx):
     return ts.lag_rows(f, "oil_price", 7, ["store_nbr", "family"], out="oil_price_lag7")
 
 
+@query("wn1_oil_lag7_days", """
+SELECT f.date, f.store_nbr, f.family, f.oil_price, p.oil_price AS oil_price_lag7d
+FROM features f LEFT JOIN features p ON p.store_nbr = f.store_nbr AND p.family = f.family
+AND p.date = f.date - 7""")
+def wn1_oil_lag7_days(ctx):
+    """WN1 in day mode (Q1 option): the value 7 calendar days earlier."""
+    f = ctx.features.select("date", "store_nbr", "family", "oil_price")
+    return ts.lag_days(f, "oil_price", 7, ["store_nbr", "family"], out="oil_price_lag7d").select(
+        "date", "store_nbr", "family", "oil_price", "oil_price_lag7d")
+
+
 @query("wn2_bfill_lag7", f"""
 SELECT date, store_nbr, family, oil_price_lag7,
        CAST(LAG(oil_price, 7) OVER (PARTITION BY store_nbr, family ORDER BY date) IS NULL AS INTEGER) AS was_leading
