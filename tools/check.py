@@ -32,15 +32,18 @@ SPARK_TO_DUCK = {
 }
 
 
+STRICT = "--strict" in sys.argv
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return float(v) if STRICT else round(float(v), 6)
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     return v
@@ -51,9 +54,17 @@ def key(row):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    pats = sys.argv[2:]
-    spark = get_session("local[8]")
+    args = [a for a in sys.argv[1:] if a not in ("--plain", "--strict")]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    pats = args[1:]
+    if "--plain" in sys.argv:
+        # a vanilla session, as an outside caller would create it
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", "America/Los_Angeles").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]")
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
