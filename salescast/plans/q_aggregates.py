@@ -253,7 +253,12 @@ def std_forecast_dates_not_in_calendar(ctx):
     return joins.orphan_keys(s.fact_forecasts, s.dim_date, "date_key")
 
 
-@query("sc12_kpi_text")
+@query("sc12_kpi_text", """
+SELECT '$' || format('{:,.2f}', CAST(SUM(revenue) AS DOUBLE) / 1e9) || 'B' AS historical_revenue,
+       format('{:,.1f}', SUM(sales) / 1e6) || 'M' AS units_sold,
+       '$' || format('{:,.0f}', (SELECT CAST(SUM(predicted_revenue) AS DOUBLE) FROM fact_forecasts) / 1e6) || 'M'
+         AS forecast_revenue
+FROM fact_sales""")
 def sc12_kpi_text(ctx):
-    """SC12: KPI display text (rows-only: number formatting differs by engine)."""
+    """SC12: KPI display text ($B, M units, $M)."""
     return an.kpi_text(ctx.forecast_star)

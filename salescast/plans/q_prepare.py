@@ -150,7 +150,7 @@ def io5_sample(ctx):
     """IO5: deterministic sample of n rows (top-n by a hash of the keys).
 
     No oracle: the SQL engine hashes differently, so only rows are checked."""
-    return io.sample_n(ctx.features.select("date", "store_nbr", "family", "sales"), 100, 42,
+    return io.sample_n(ctx.features.select("date", "store_nbr", "family", "sales"), 10000, 42,
                        ["date", "store_nbr", "family"])
 
 
