@@ -151,12 +151,18 @@ def top_share(df: DataFrame, key: str, col: str, n: int) -> DataFrame:
 
 
 # AG20 / AG22 / AG23 ----------------------------------------------------------
-def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _quantile(x, p: float, exact: bool, accuracy: int):
+    return F.percentile(x, p) if exact else F.percentile_approx(x, p, accuracy).cast("double")
+
+
+def describe(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (linear interpolation), max per column,
     all columns in one aggregation pass, one output row per column.
 
     Exact quantiles keep a value -> count map per column, so memory follows the
-    number of distinct values, not rows.
+    number of distinct values, not rows; for high-cardinality columns at scale
+    pass ``exact=False`` (a mergeable quantile sketch, relative rank error
+    1 / ``accuracy``).
     """
     stats = []
     for c in cols:
@@ -165,9 +171,9 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.lit(c).alias("column"), F.count(x).alias("count"),
             F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("std"),
             F.min(x).alias("min"),
-            F.round(F.percentile(x, 0.25), 6).alias("p25"),
-            F.round(F.percentile(x, 0.5), 6).alias("p50"),
-            F.round(F.percentile(x, 0.75), 6).alias("p75"),
+            F.round(_quantile(x, 0.25, exact, accuracy), 6).alias("p25"),
+            F.round(_quantile(x, 0.5, exact, accuracy), 6).alias("p50"),
+            F.round(_quantile(x, 0.75, exact, accuracy), 6).alias("p75"),
             F.max(x).alias("max")).alias(f"__s{len(stats)}"))
     row = df.agg(*stats)
     return row.select(F.inline(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])))
@@ -177,8 +183,9 @@ def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[e for c in cols for e in (F.min(c).alias("min_" + c), F.max(c).alias("max_" + c))])
 
 
-def prediction_summary(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.round(F.avg(col), 6).alias("mean"), F.median(col).alias("median"),
+def prediction_summary(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+    med = F.median(col) if exact else F.percentile_approx(col, 0.5, accuracy).cast("double")
+    return df.agg(F.round(F.avg(col), 6).alias("mean"), med.alias("median"),
                   F.min(col).alias("min"), F.max(col).alias("max"))
 
 

@@ -214,3 +214,12 @@ def test_pct_of_total_filters_and_unknown_key(spark, star, feats):
     assert fc.fact_forecasts(preds, star.dim_product).first().product_key is None
     r = fc.fact_forecasts(preds, star.dim_product, unknown_product_key=1).first()
     assert r.product_key == 1 and float(r.predicted_revenue) == 15.0   # "Other" price 5.00
+
+
+def test_describe_exact_and_sketch(feats):
+    ex = {r.column: r for r in an.describe(feats, ["sales", "transactions"]).collect()}
+    ap = {r.column: r for r in an.describe(feats, ["sales", "transactions"], exact=False).collect()}
+    import numpy as np
+    sales = np.array([r.sales for r in feats.select("sales").collect()])
+    assert abs(ex["sales"].p50 - float(np.percentile(sales, 50))) < 1e-9
+    assert ap["sales"]["count"] == ex["sales"]["count"] and ap["sales"].p50 in set(sales.tolist())
