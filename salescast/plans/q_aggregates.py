@@ -262,3 +262,12 @@ FROM fact_sales""")
 def sc12_kpi_text(ctx):
     """SC12: KPI display text ($B, M units, $M)."""
     return an.kpi_text(ctx.forecast_star)
+
+
+@query("sl7_forecast_preview_30day", """
+SELECT * FROM fact_forecasts WHERE forecast_horizon = '30-Day'
+ORDER BY date_key, store_key, product_key LIMIT 1000""")
+def sl7_forecast_preview_30day(ctx):
+    """SL7 on the forecast tab: horizon filter, first 1000 rows in key order."""
+    f = fc.filter_forecasts(ctx.forecast_star, "30-Day", "All")
+    return an.preview(f, ["date_key", "store_key", "product_key"], 1000)
