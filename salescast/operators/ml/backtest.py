@@ -112,3 +112,42 @@ def search(train: DataFrame, test: DataFrame, candidates: dict, label: str = "sa
     for p in parts[1:]:
         out = out.unionByName(p)
     return evaluate.leaderboard(out)
+
+
+def cv_search(df: DataFrame, candidates: dict, prepare, folds: int = 3, horizon: int = 90,
+              label: str = "sales", parallelism: int = 1) -> DataFrame:
+    """ML15 + ML16: every candidate is fitted on each fold's training window
+    and scored on its test window (rolling origin); models are ranked by the
+    mean NRMSE over folds.  ``prepare(train_df, test_df) -> (train, test)``
+    turns raw feature rows into model input (e.g. encoders fitted on the
+    fold's training side).  Fits run from up to ``parallelism`` driver
+    threads; each is a distributed job."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from salescast.functions import calendar as cal
+    from salescast.operators.ml import train as tr
+
+    tagged = rolling_origin(df, folds, horizon)
+    jobs = [(name, cfg, k) for name, cfg in candidates.items() for k in range(1, folds + 1)]
+
+    def one(job):
+        name, cfg, k = job
+        fold = tagged.where(F.col("fold") == k)
+        tr_df, te_df = prepare(fold.where(F.col("role") == "train").drop("fold", "role"),
+                               fold.where(F.col("role") == "test").drop("fold", "role"))
+        model, secs = tr.fit(tr_df, cfg, label)
+        scored = tr.predict(model, te_df).select(F.col(label).alias("actual"),
+                                                 cal.post_process("prediction").alias("predicted"))
+        return evaluate.metrics(scored).select(F.lit(name).alias("model"), F.lit(k).alias("fold"), "*",
+                                               F.lit(round(secs, 3)).alias("training_time"))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, jobs))
+    per_fold = parts[0]
+    for p in parts[1:]:
+        per_fold = per_fold.unionByName(p)
+    summary = per_fold.groupBy("model").agg(
+        F.round(F.avg("normalized_rmse"), 6).alias("normalized_rmse"), F.round(F.avg("rmse"), 6).alias("rmse"),
+        F.round(F.avg("mae"), 6).alias("mae"), F.round(F.avg("r2"), 6).alias("r2"),
+        F.count(F.lit(1)).alias("folds"), F.round(F.sum("training_time"), 3).alias("training_time"))
+    return evaluate.leaderboard(summary)

@@ -354,3 +354,14 @@ def st1_stream_scoring(ctx):
                       f"{run}/scored", f"{run}/checkpoint", available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{run}/scored")
+
+
+@query("ml16_rolling_origin_search")
+def ml16_rolling_origin_search(ctx):
+    """ML15 + ML16: candidates scored over 3 rolling-origin folds (horizon
+    90), ranked by mean NRMSE — the cloud model search re-aimed as Spark jobs."""
+    def prep(train_raw, test_raw):
+        enc = encode.fit_encoders(train_raw)
+        return encode.prepare(train_raw, enc), encode.prepare(test_raw, enc)
+    cands = {"DecisionTree": SMALL["DecisionTree"], "ElasticNet": dict(SMALL["ElasticNet"], maxIter=30)}
+    return bt.cv_search(ctx.features, cands, prep, folds=3, horizon=90, parallelism=3)
