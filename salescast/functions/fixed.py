@@ -42,21 +42,21 @@ DEFAULT_CATEGORY = "Other"
 
 # --- fixed values: average unit price per category (currency, 2 dp) ---------
 AVG_PRICES = {
-    "Grocery": "2.50", "Fresh": "3.75", "Frozen": "4.50",
-    "Bakery": "2.00", "Household": "5.00", "Personal Care": "6.00",
-    "Apparel": "15.00", "Seasonal": "4.00", "Electronics": "25.00",
-    "Beverages": "3.50", "Other": "5.00",
+    "Grocery": 2.50, "Fresh": 3.75, "Frozen": 4.50,
+    "Bakery": 2.00, "Household": 5.00, "Personal Care": 6.00,
+    "Apparel": 15.00, "Seasonal": 4.00, "Electronics": 25.00,
+    "Beverages": 3.50, "Other": 5.00,
 }
-DEFAULT_PRICE = "5.00"
+DEFAULT_PRICE = 5.00
 
 # --- fixed values: margin rate per category ---------------------------------
 MARGIN_RATES = {
-    "Grocery": "0.22", "Fresh": "0.35", "Frozen": "0.28",
-    "Bakery": "0.45", "Household": "0.30", "Personal Care": "0.40",
-    "Apparel": "0.50", "Seasonal": "0.35", "Electronics": "0.15",
-    "Beverages": "0.32", "Other": "0.25",
+    "Grocery": 0.22, "Fresh": 0.35, "Frozen": 0.28,
+    "Bakery": 0.45, "Household": 0.30, "Personal Care": 0.40,
+    "Apparel": 0.50, "Seasonal": 0.35, "Electronics": 0.15,
+    "Beverages": 0.32, "Other": 0.25,
 }
-DEFAULT_MARGIN_RATE = "0.25"
+DEFAULT_MARGIN_RATE = 0.25
 
 # --- fixed values: rule-based demo forecast base level per family -----------
 DEMO_FAMILY_BASE = {
