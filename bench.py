@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from salescast.session import checkpoint_dir, get_session  # noqa: E402
+from salescast.session import checkpoint_dir, get_session, input_bytes, sizing  # noqa: E402
 from salescast.plans import catalog  # noqa: E402
 from salescast.plans.context import Context  # noqa: E402
 from salescast.sources import io  # noqa: E402
@@ -31,9 +31,9 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    size = input_bytes([os.path.join(sf_dir, f) for f in os.listdir(sf_dir)])
     spark = get_session(f"local[{cpus}]", "salescast-bench",
-                        {"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
-                         "spark.driver.memory": "16g"})
+                        {**sizing(size, int(cpus)), "spark.driver.memory": "16g"})
     scratch = tempfile.mkdtemp(prefix="salescast-bench-")
     checkpoint_dir(spark, os.path.join(scratch, "checkpoints"))
     qs = catalog.queries()

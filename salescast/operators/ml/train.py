@@ -29,7 +29,7 @@ CONFIGS = {
     "GBT-2": dict(kind="gbt", maxIter=500, stepSize=0.05, maxDepth=8, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", minInstancesPerNode=20),
     "RandomForest": dict(kind="rf", numTrees=200, maxDepth=15, minInstancesPerNode=20, seed=42),
-    "ElasticNet": dict(kind="lr", regParam=1.0, elasticNetParam=0.5, maxIter=1000),
+    "ElasticNet": dict(kind="lr", regParam=1.0, elasticNetParam=0.5, maxIter=1000, tol=1e-4),
     "DecisionTree": dict(kind="dt", maxDepth=10, minInstancesPerNode=20),
 }
 

@@ -257,7 +257,7 @@ SMALL = {
     "GBT": dict(kind="gbt", maxIter=20, stepSize=0.1, maxDepth=6, subsamplingRate=0.8,
                 featureSubsetStrategy="0.8", minInstancesPerNode=50),
     "RandomForest": dict(kind="rf", numTrees=20, maxDepth=10, minInstancesPerNode=20, seed=42),
-    "ElasticNet": dict(kind="lr", regParam=1.0, elasticNetParam=0.5, maxIter=100),
+    "ElasticNet": dict(kind="lr", regParam=1.0, elasticNetParam=0.5, maxIter=100, tol=1e-4),
     "DecisionTree": dict(kind="dt", maxDepth=8, minInstancesPerNode=20),
 }
 

@@ -29,6 +29,32 @@ DEFAULT_CONF = {
 }
 
 
+def sizing(input_bytes: int, total_cores: int, target_bytes: int = 256 * 1024 * 1024,
+           max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for a job reading ``input_bytes`` on ``total_cores``.
+
+    The initial shuffle partition count aims at ``target_bytes`` of input per
+    partition (at least two waves of tasks, at most ``max_partitions``); AQE
+    then coalesces small partitions to the advisory size and splits skewed
+    ones, so the count is an upper bound rather than a guess that must fit.
+    """
+    n = max(2 * total_cores, min(max_partitions, -(-input_bytes // target_bytes)))
+    return {"spark.sql.shuffle.partitions": str(n),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n)}
+
+
+def input_bytes(paths) -> int:
+    import os
+    total = 0
+    for p in paths:
+        if os.path.isdir(p):
+            for root, _, files in os.walk(p):
+                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+        elif os.path.exists(p):
+            total += os.path.getsize(p)
+    return total
+
+
 def get_session(master: str | None = None, app: str = "salescast",
                 conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

@@ -30,3 +30,10 @@ def test_aggregations_are_partial_before_shuffle(spark):
 def test_session_defaults_enable_skew_handling(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_shuffle_sizing_bounds():
+    from salescast.session import sizing
+    assert sizing(20_000_000, 8)["spark.sql.shuffle.partitions"] == "16"          # small: 2 waves
+    assert sizing(10 * 2**30, 8)["spark.sql.shuffle.partitions"] == "40"          # 10 GiB / 256 MiB
+    assert sizing(100 * 10**12, 8000)["spark.sql.shuffle.partitions"] == "200000"  # capped; AQE coalesces
