@@ -114,6 +114,13 @@ def apply_context(star, dim_filters: Mapping[str, object]):
         fdim = out[dim_name].where(pred)
         out[dim_name] = fdim
         for fact_name in ("fact_sales", "fact_forecasts"):
-            if out.get(fact_name) is not None:
-                out[fact_name] = filter_by_dim(out[fact_name], fdim, keys[dim_name])
+            fact = out.get(fact_name)
+            if fact is None:
+                continue
+            if dim_name == "dim_date" and "year" in fact.columns:
+                # facts stored partitioned by year: a semi join on the
+                # partition column lets dynamic partition pruning skip whole
+                # year directories before the exact date_key semi join
+                fact = filter_by_dim(fact, fdim.select("year").distinct(), "year")
+            out[fact_name] = filter_by_dim(fact, fdim, keys[dim_name])
     return star.replace(**out)

@@ -38,9 +38,7 @@ def load_star(spark: SparkSession, path: str) -> starmod.Star:
             df = spark.read.parquet(f"{root}/{name}")
         except Exception:  # fact_forecasts is optional
             df = None
-        if df is not None and name.startswith("fact_") and "year" in df.columns:
-            df = df.drop("year")
-        t[name] = df
+        t[name] = df   # facts keep their ``year`` partition column (pruning)
     return starmod.Star(**t)
 
 

@@ -83,7 +83,7 @@ def test_prepare_plan_writes_and_reloads_star(spark, tmpdir_path):
     ctx = Context(spark, SF_SMALL)
     star = prepare(spark, ctx.raw.as_dict(), tmpdir_path, ctx.family_to_category, ctx.state_to_region)
     assert star.fact_sales.count() == ctx.star.fact_sales.count()
-    assert sorted(star.fact_sales.columns) == sorted(ctx.star.fact_sales.columns)
+    assert sorted(star.fact_sales.columns) == sorted(ctx.star.fact_sales.columns + ["year"])
     assert star.fact_forecasts is None
     a = star.fact_sales.agg(F.sum("revenue")).first()[0]
     b = ctx.star.fact_sales.agg(F.sum("revenue")).first()[0]
@@ -134,3 +134,20 @@ def test_train_and_forecast_plan(spark, tmpdir_path):
     rf = rule_forecast(spark, ctx.features, ctx.star, tmpdir_path + "/rule", horizon=5,
                        family_to_category=ctx.family_to_category)
     assert rf.count() == series * 5
+
+
+def test_year_filter_prunes_partitions_of_stored_facts(spark, tmpdir_path):
+    from salescast.operators import joins, measures as me
+    from salescast.plans.prepare import prepare
+    ctx = Context(spark, SF_SMALL)
+    stored = prepare(spark, ctx.raw.as_dict(), tmpdir_path, ctx.family_to_category, ctx.state_to_region)
+    where = {"dim_date": F.col("year") == 1998}
+    s = joins.apply_context(stored, where)
+    import re
+    plan = s.fact_sales._jdf.queryExecution().executedPlan().toString()
+    # year partitions are pruned: statically (constraint inferred through the
+    # semi join) or dynamically (a pruning subquery)
+    assert re.search(r"PartitionFilters: \[[^\]]*year", plan) or "dynamicpruning" in plan.lower()
+    a = me.total(stored, "revenue", ["category"], where=where).orderBy("category").collect()
+    b = me.total(ctx.star, "revenue", ["category"], where=where).orderBy("category").collect()
+    assert a == b
