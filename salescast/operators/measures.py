@@ -225,9 +225,16 @@ def metric_selector(spark) -> DataFrame:
 def forecast_variance(star, by: Sequence[str]) -> DataFrame:
     """(F − A) / A at the shared grain; both facts aggregated first, then a
     full outer join on ``by`` (BLANK forecast counts as 0)."""
-    a = with_dims(star, "fact_sales", by).groupBy(*by).agg(F.sum("revenue").alias("a"))
-    f = with_dims(star, "fact_forecasts", by).groupBy(*by).agg(F.sum("predicted_revenue").alias("f"))
-    j = a.join(f, list(by), "full")
+    if by:
+        a = with_dims(star, "fact_sales", by).groupBy(*by).agg(F.sum("revenue").alias("a"))
+        f = with_dims(star, "fact_forecasts", by).groupBy(*by).agg(F.sum("predicted_revenue").alias("f"))
+        j = a.join(f, list(by), "full")
+    else:
+        # grand totals: both facts in one pass, no key-less join
+        none = F.lit(None).cast("decimal(18,4)")
+        both = (star.fact_sales.select(F.col("revenue").alias("a"), none.alias("f"))
+                .unionByName(star.fact_forecasts.select(none.alias("a"), F.col("predicted_revenue").alias("f"))))
+        j = both.agg(F.sum("a").alias("a"), F.sum("f").alias("f"))
     var = F.try_divide(F.coalesce(F.col("f"), F.lit(0)) - F.col("a"), F.col("a"))
     return j.select(*by, F.col("a").cast("double").alias("actual_revenue"),
                     F.col("f").cast("double").alias("forecast_revenue"),

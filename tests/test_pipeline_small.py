@@ -223,3 +223,13 @@ def test_describe_exact_and_sketch(feats):
     sales = np.array([r.sales for r in feats.select("sales").collect()])
     assert abs(ex["sales"].p50 - float(np.percentile(sales, 50))) < 1e-9
     assert ap["sales"]["count"] == ex["sales"]["count"] and ap["sales"].p50 in set(sales.tolist())
+
+
+def test_forecast_variance_grand_total_without_keyless_join(star):
+    v = me.forecast_variance(star, [])
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    r = v.first()
+    k = an.kpis(star).first()
+    assert r.actual_revenue == k.total_revenue and r.forecast_revenue == k.forecast_revenue
+    assert abs(r.variance - round((k.forecast_revenue - k.total_revenue) / k.total_revenue, 6)) < 1e-9
