@@ -151,3 +151,25 @@ def test_year_filter_prunes_partitions_of_stored_facts(spark, tmpdir_path):
     a = me.total(stored, "revenue", ["category"], where=where).orderBy("category").collect()
     b = me.total(ctx.star, "revenue", ["category"], where=where).orderBy("category").collect()
     assert a == b
+
+
+def test_raw_csv_files_to_star_end_to_end(spark, tmpdir_path):
+    """E1: five raw CSV files -> typed reads -> features -> star on storage."""
+    from salescast.plans.prepare import prepare
+    ctx = Context(spark, SF_SMALL)
+    raw = ctx.raw.as_dict()
+    d = os.path.join(tmpdir_path, "raw")
+    io.write_csv(raw["train"].select(F.monotonically_increasing_id().alias("id"), "date", "store_nbr", "family",
+                                     "sales", "onpromotion").coalesce(1), f"{d}/train.csv")
+    io.write_csv(raw["stores"].coalesce(1), f"{d}/stores.csv")
+    io.write_csv(raw["oil"].coalesce(1), f"{d}/oil.csv")
+    io.write_csv(raw["holidays"].select("date", F.lit("Holiday").alias("type"), F.lit("National").alias("locale"),
+                                        F.lit("Ecuador").alias("locale_name"), F.lit("event").alias("description"),
+                                        "transferred").coalesce(1), f"{d}/holidays_events.csv")
+    io.write_csv(raw["transactions"].coalesce(1), f"{d}/transactions.csv")
+    loaded = io.load_raw_csv(spark, d)
+    star = prepare(spark, loaded, os.path.join(tmpdir_path, "out"), ctx.family_to_category, ctx.state_to_region)
+    got = star.fact_sales.agg(F.sum("revenue"), F.sum("margin"), F.count(F.lit(1))).first()
+    want = ctx.star.fact_sales.agg(F.sum("revenue"), F.sum("margin"), F.count(F.lit(1))).first()
+    assert tuple(got) == tuple(want)
+    assert star.dim_date.count() == ctx.star.dim_date.count()
