@@ -32,9 +32,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     size = input_bytes([os.path.join(sf_dir, f) for f in os.listdir(sf_dir)])
-    spark = get_session(f"local[{cpus}]", "salescast-bench",
-                        {**sizing(size, int(cpus)), "spark.driver.memory": "16g"})
     scratch = tempfile.mkdtemp(prefix="salescast-bench-")
+    events = os.path.join(scratch, "events")
+    os.makedirs(events)
+    spark = get_session(f"local[{cpus}]", "salescast-bench",
+                        {**sizing(size, int(cpus)), "spark.driver.memory": "16g",
+                         "spark.eventLog.enabled": "true", "spark.eventLog.dir": events})
     checkpoint_dir(spark, os.path.join(scratch, "checkpoints"))
     qs = catalog.queries()
     times: dict[str, float] = {}
@@ -54,6 +57,8 @@ def main() -> None:
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
+    # stage timings: python tools/stage_report.py <events dir>
+    print(f"event log: {events}", file=sys.stderr)
 
 
 if __name__ == "__main__":
