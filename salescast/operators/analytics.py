@@ -102,7 +102,8 @@ def avg_transactions(df: DataFrame) -> DataFrame:
 def avg_daily(fact: DataFrame, col: str, key: str = "date_key") -> DataFrame:
     """Average of the daily sums (two-level aggregation)."""
     daily = fact.groupBy(key).agg(F.sum(col).alias("__d"))
-    return daily.agg(F.round(_d(F.avg("__d")), 6).alias("avg_daily_" + col))
+    # exact total of the daily sums, then one IEEE division by the day count
+    return daily.agg(F.round(_d(F.sum("__d")) / F.count(F.lit(1)), 6).alias("avg_daily_" + col))
 
 
 # AG14 / AG15 / AG16 ----------------------------------------------------------

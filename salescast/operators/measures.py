@@ -112,7 +112,10 @@ def yoy(star, grain: str = "month", by: Sequence[str] = (), measure: str = "reve
     else:
         rows = spine
     out = rows.join(cur, keys, "left").join(prev, keys, "left")
-    growth = F.try_divide(F.coalesce(F.col("cur"), F.lit(0)) - F.col("prev"), F.col("prev"))
+    # exact (decimal) difference, then one IEEE division: no intermediate
+    # decimal rounding before the final round to 6 places
+    growth = F.try_divide((F.coalesce(F.col("cur"), F.lit(0)) - F.col("prev")).cast("double"),
+                          F.col("prev").cast("double"))
     money = col in ("revenue", "margin", "predicted_revenue", "predicted_margin")
     conv = (lambda c: c.cast("double")) if money else (lambda c: c)
     return out.select(*keys, conv(F.col("cur")).alias("current"), conv(F.col("prev")).alias("prior_year"),
@@ -177,7 +180,8 @@ def pct_of_total(star, by: Sequence[str], measure: str = "revenue", where: Mappi
     per = with_dims(ctx, fact, by).groupBy(*by).agg(F.sum(col).alias("__v"))
     grand = (ctx if respect_filters else star).tables()[fact].agg(F.sum(col)).scalar()
     return per.select(*by, F.col("__v").cast("double").alias(measure),
-                      F.round(F.try_divide(F.col("__v"), grand).cast("double"), 6).alias("pct_of_total"))
+                      F.round(F.try_divide(F.col("__v").cast("double"), grand.cast("double")), 6)
+                      .alias("pct_of_total"))
 
 
 def pct_of_category(star, by: Sequence[str] = ("family",), measure: str = "revenue") -> DataFrame:
@@ -188,7 +192,7 @@ def pct_of_category(star, by: Sequence[str] = ("family",), measure: str = "reven
     others = [k for k in keys if DIM_OF.get(k) != "dim_product"]
     w = Window.partitionBy("category", *others)
     return per.select(*keys, F.col("__v").cast("double").alias(measure),
-                      F.round(F.try_divide(F.col("__v"), F.sum("__v").over(w)).cast("double"), 6)
+                      F.round(F.try_divide(F.col("__v").cast("double"), F.sum("__v").over(w).cast("double")), 6)
                       .alias("pct_of_category"))
 
 
@@ -235,7 +239,7 @@ def forecast_variance(star, by: Sequence[str]) -> DataFrame:
         both = (star.fact_sales.select(F.col("revenue").alias("a"), none.alias("f"))
                 .unionByName(star.fact_forecasts.select(none.alias("a"), F.col("predicted_revenue").alias("f"))))
         j = both.agg(F.sum("a").alias("a"), F.sum("f").alias("f"))
-    var = F.try_divide(F.coalesce(F.col("f"), F.lit(0)) - F.col("a"), F.col("a"))
+    var = F.try_divide((F.coalesce(F.col("f"), F.lit(0)) - F.col("a")).cast("double"), F.col("a").cast("double"))
     return j.select(*by, F.col("a").cast("double").alias("actual_revenue"),
                     F.col("f").cast("double").alias("forecast_revenue"),
                     F.round(var.cast("double"), 6).alias("variance"))

@@ -99,7 +99,7 @@ def ag10_avg_transactions(ctx):
 
 
 @query("ag13_avg_daily_forecast", """
-SELECT round(CAST(AVG(d) AS DOUBLE), 6) AS avg_daily_predicted_revenue
+SELECT round(CAST(SUM(d) AS DOUBLE) / COUNT(*), 6) AS avg_daily_predicted_revenue
 FROM (SELECT date_key, SUM(predicted_revenue) AS d FROM fact_forecasts GROUP BY date_key)""")
 def ag13_avg_daily_forecast(ctx):
     return an.avg_daily(ctx.forecast_star.fact_forecasts, "predicted_revenue")

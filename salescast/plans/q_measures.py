@@ -38,7 +38,7 @@ WITH cur AS (SELECT d_year AS year, d_month AS month, SUM(revenue) AS cur FROM s
 prev AS (SELECT year + 1 AS year, month, cur AS prev FROM cur),
 spine AS (SELECT DISTINCT year, month FROM dim_date)
 SELECT s.year, s.month, CAST(cur AS DOUBLE) AS current, CAST(prev AS DOUBLE) AS prior_year,
-       round(CAST((COALESCE(cur, 0) - prev) / NULLIF(prev, 0) AS DOUBLE), 6) AS yoy_growth
+       round(CAST(COALESCE(cur, 0) - prev AS DOUBLE) / NULLIF(CAST(prev AS DOUBLE), 0), 6) AS yoy_growth
 FROM spine s LEFT JOIN cur c ON s.year = c.year AND s.month = c.month
 LEFT JOIN prev p ON s.year = p.year AND s.month = p.month"""
 
@@ -54,7 +54,7 @@ WITH cur AS (SELECT d_year AS year, category, SUM(revenue) AS cur FROM sales_sta
 prev AS (SELECT year + 1 AS year, category, cur AS prev FROM cur),
 rows AS (SELECT year, category FROM cur UNION SELECT year, category FROM prev)
 SELECT r.year, r.category, CAST(cur AS DOUBLE) AS current, CAST(prev AS DOUBLE) AS prior_year,
-       round(CAST((COALESCE(cur, 0) - prev) / NULLIF(prev, 0) AS DOUBLE), 6) AS yoy_growth
+       round(CAST(COALESCE(cur, 0) - prev AS DOUBLE) / NULLIF(CAST(prev AS DOUBLE), 0), 6) AS yoy_growth
 FROM rows r LEFT JOIN cur c ON r.year = c.year AND r.category = c.category
 LEFT JOIN prev p ON r.year = p.year AND r.category = p.category
 WHERE r.year IN (SELECT year FROM dim_date)""")
@@ -67,7 +67,7 @@ WITH cur AS (SELECT date, SUM(revenue) AS cur FROM fact_sales GROUP BY date),
 prev AS (SELECT d.date, c.cur AS prev FROM dim_date d
          JOIN cur c ON c.date = CAST(d.date - INTERVAL 12 MONTH AS DATE))
 SELECT d.date, CAST(cur AS DOUBLE) AS current, CAST(prev AS DOUBLE) AS prior_year,
-       round(CAST((COALESCE(cur, 0) - prev) / NULLIF(prev, 0) AS DOUBLE), 6) AS yoy_growth
+       round(CAST(COALESCE(cur, 0) - prev AS DOUBLE) / NULLIF(CAST(prev AS DOUBLE), 0), 6) AS yoy_growth
 FROM dim_date d LEFT JOIN cur c ON d.date = c.date LEFT JOIN prev p ON d.date = p.date""")
 def me4_yoy_date(ctx):
     """ME4 at day grain: 29 Feb and 28 Feb of a leap year both compare with
@@ -140,7 +140,7 @@ def me7_mape_no_overlap(ctx):
 
 @query("me8_pct_of_total_by_category", """
 SELECT category, CAST(SUM(revenue) AS DOUBLE) AS revenue,
-       round(CAST(SUM(revenue) / (SELECT SUM(revenue) FROM fact_sales) AS DOUBLE), 6) AS pct_of_total
+       round(CAST(SUM(revenue) AS DOUBLE) / (SELECT CAST(SUM(revenue) AS DOUBLE) FROM fact_sales), 6) AS pct_of_total
 FROM sales_star GROUP BY category""")
 def me8_pct_of_total_by_category(ctx):
     """ME8 / WN12."""
@@ -149,7 +149,7 @@ def me8_pct_of_total_by_category(ctx):
 
 @query("me8_pct_of_total_coastal_slicer", """
 SELECT category, CAST(SUM(revenue) AS DOUBLE) AS revenue,
-       round(CAST(SUM(revenue) / (SELECT SUM(revenue) FROM fact_sales) AS DOUBLE), 6) AS pct_of_total
+       round(CAST(SUM(revenue) AS DOUBLE) / (SELECT CAST(SUM(revenue) AS DOUBLE) FROM fact_sales), 6) AS pct_of_total
 FROM sales_star WHERE region = 'Coastal' GROUP BY category""")
 def me8_pct_of_total_coastal_slicer(ctx):
     """ME8 under a region slicer: the denominator ignores the slicer (Q13)."""
@@ -158,7 +158,7 @@ def me8_pct_of_total_coastal_slicer(ctx):
 
 @query("me9_pct_of_category_by_family", """
 SELECT category, family, CAST(v AS DOUBLE) AS revenue,
-       round(CAST(v / SUM(v) OVER (PARTITION BY category) AS DOUBLE), 6) AS pct_of_category
+       round(CAST(v AS DOUBLE) / CAST(SUM(v) OVER (PARTITION BY category) AS DOUBLE), 6) AS pct_of_category
 FROM (SELECT category, family, SUM(revenue) AS v FROM sales_star GROUP BY category, family)""")
 def me9_pct_of_category_by_family(ctx):
     """ME9 / WN13."""
@@ -191,7 +191,7 @@ def me13_forecast_units_by_category(ctx):
 @query("me14_forecast_variance_by_category", """
 SELECT COALESCE(a.category, f.category) AS category, CAST(a.a AS DOUBLE) AS actual_revenue,
        CAST(f.f AS DOUBLE) AS forecast_revenue,
-       round(CAST((COALESCE(f.f, 0) - a.a) / NULLIF(a.a, 0) AS DOUBLE), 6) AS variance
+       round(CAST(COALESCE(f.f, 0) - a.a AS DOUBLE) / NULLIF(CAST(a.a AS DOUBLE), 0), 6) AS variance
 FROM (SELECT category, SUM(revenue) AS a FROM sales_star GROUP BY category) a
 FULL JOIN (SELECT category, SUM(predicted_revenue) AS f FROM fc_star GROUP BY category) f
 ON a.category = f.category""")
