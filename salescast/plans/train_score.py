@@ -69,3 +69,51 @@ def rule_forecast(spark: SparkSession, features: DataFrame, star, out_dir: str,
     root = out_dir.rstrip("/")
     fc.export_forecasts(ff, f"{root}/forecasts")
     return spark.read.parquet(f"{root}/forecasts/fact_forecasts.parquet")
+
+
+def score_with_model(spark: SparkSession, features: DataFrame, star, model_dir: str, out_dir: str,
+                     horizon: int = fixed.FORECAST_HORIZON_DAYS, family_to_category=None) -> DataFrame:
+    """Score the next ``horizon`` days with a saved model (encoders refitted
+    on the feature table, the same codes the training side produced)."""
+    model = io.load_model(model_dir)
+    train_raw, _ = split.time_split(features)
+    enc = encode.fit_encoders(train_raw)
+    frame = fc.scoring_frame(star, features, horizon, transactions="profile")
+    prepared = encode.prepare(frame.withColumn("__family", F.col("family")), enc)
+    scored = fc.score(model, prepared).drop("family").withColumnRenamed("__family", "family")
+    ff = fc.fact_forecasts(scored, star.dim_product, family_to_category)
+    root = out_dir.rstrip("/")
+    fc.export_forecasts(ff, f"{root}/forecasts")
+    return spark.read.parquet(f"{root}/forecasts/fact_forecasts.parquet")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m salescast.plans.train_score {train,score} PROCESSED_DIR OUT_DIR
+    [--horizon N] [--demo] [--model PATH]`` over the output of ``plans.prepare``."""
+    import argparse
+
+    from salescast.plans.prepare import load_star
+    from salescast.session import get_session
+
+    ap = argparse.ArgumentParser(prog="salescast.plans.train_score")
+    ap.add_argument("command", choices=["train", "score"])
+    ap.add_argument("processed_dir")
+    ap.add_argument("out_dir")
+    ap.add_argument("--horizon", type=int, default=fixed.FORECAST_HORIZON_DAYS)
+    ap.add_argument("--demo", action="store_true", help="rule-based forecast instead of a model")
+    ap.add_argument("--model", help="saved model folder for `score`")
+    args = ap.parse_args(argv)
+
+    spark = get_session()
+    features = spark.read.parquet(f"{args.processed_dir.rstrip('/')}/features")
+    star = load_star(spark, f"{args.processed_dir.rstrip('/')}/star")
+    if args.command == "train":
+        train_and_forecast(spark, features, star, args.out_dir, horizon=args.horizon)
+    elif args.demo or not args.model:
+        rule_forecast(spark, features, star, args.out_dir, horizon=args.horizon)
+    else:
+        score_with_model(spark, features, star, args.model, args.out_dir, horizon=args.horizon)
+
+
+if __name__ == "__main__":
+    main()

@@ -173,3 +173,22 @@ def test_raw_csv_files_to_star_end_to_end(spark, tmpdir_path):
     want = ctx.star.fact_sales.agg(F.sum("revenue"), F.sum("margin"), F.count(F.lit(1))).first()
     assert tuple(got) == tuple(want)
     assert star.dim_date.count() == ctx.star.dim_date.count()
+
+
+def test_command_line_prepare_train_score(spark, tmpdir_path):
+    from salescast.plans import train_score
+    from salescast.plans.prepare import prepare
+    ctx = Context(spark, SF_SMALL)
+    processed = os.path.join(tmpdir_path, "processed")
+    prepare(spark, ctx.raw.as_dict(), processed, ctx.family_to_category, ctx.state_to_region)
+    train_score.main(["score", processed, os.path.join(tmpdir_path, "demo"), "--demo", "--horizon", "3"])
+    demo = spark.read.parquet(os.path.join(tmpdir_path, "demo", "forecasts", "fact_forecasts.parquet"))
+    assert demo.count() == ctx.features.select("store_nbr", "family").distinct().count() * 3
+    feats = spark.read.parquet(os.path.join(processed, "features"))
+    from salescast.plans.prepare import load_star
+    star = load_star(spark, os.path.join(processed, "star"))
+    out = train_score.train_and_forecast(spark, feats, star, os.path.join(tmpdir_path, "trained"),
+                                         {"DT": dict(kind="dt", maxDepth=3)}, horizon=3)
+    scored = train_score.score_with_model(spark, feats, star, os.path.join(tmpdir_path, "trained", "models", "DT"),
+                                          os.path.join(tmpdir_path, "scored"), horizon=3)
+    assert scored.count() == out["fact_forecasts"].count()
