@@ -44,7 +44,7 @@ class Context:
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Context":
         """One context per (session, data set); rebuilt when files change."""
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir, _fingerprint(sf_dir))
+        key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, _fingerprint(sf_dir))
         ctx = _SHARED.get(key)
         if ctx is None:
             ctx = _SHARED[key] = cls(spark, sf_dir)

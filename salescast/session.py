@@ -67,7 +67,9 @@ def get_session(master: str | None = None, app: str = "salescast",
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
@@ -90,8 +92,17 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark, None if _configured(spark) else _local_fallback())
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def _configured(spark: SparkSession) -> bool:
-    return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    sc = _context(spark)
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or (sc is not None and sc.getCheckpointDir()))
 
 
 def _local_fallback() -> str:
@@ -107,17 +118,22 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     shared file system path).  Only when it is unset — tests and local runs —
     ``fallback`` is installed as the checkpoint directory.
     """
+    sc = _context(spark)
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
-    existing = spark.sparkContext.getCheckpointDir()
+    existing = sc.getCheckpointDir() if sc is not None else None
     if existing:
         return existing
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback given")
     os.makedirs(fallback, exist_ok=True)
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
+    try:
+        spark.conf.set("spark.checkpoint.dir", fallback)
+    except Exception:  # static conf on some deployments
+        pass
+    if sc is not None:
+        sc.setCheckpointDir(fallback)
     return fallback
