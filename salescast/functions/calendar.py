@@ -162,7 +162,9 @@ def yoy_colour(growth) -> Column:
             .otherwise(F.lit(fixed.YOY_GREY)))
 
 
-def mape_status(mape, blank_as_zero: bool = True) -> Column:
+def mape_status(mape, blank_as_zero: bool = False) -> Column:
+    """MAPE band; a NULL MAPE gives NULL unless ``blank_as_zero`` (the BI
+    tool compares BLANK as 0, so NULL then reads "Excellent")."""
     m = _c(mape)
     if blank_as_zero:
         m = F.coalesce(m, F.lit(0.0))

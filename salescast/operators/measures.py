@@ -250,7 +250,7 @@ def yoy_colour(yoy_df: DataFrame) -> DataFrame:
     return yoy_df.withColumn("yoy_colour", cal.yoy_colour("yoy_growth"))
 
 
-def mape_status(mape_df: DataFrame, blank_as_zero: bool = True) -> DataFrame:
+def mape_status(mape_df: DataFrame, blank_as_zero: bool = False) -> DataFrame:
     return mape_df.withColumn("mape_status", cal.mape_status("mape", blank_as_zero))
 
 

@@ -219,7 +219,7 @@ FROM (SELECT p.category, round(SUM(CASE WHEN abs(sales) = 0 THEN NULL ELSE abs(s
        / COUNT(*) * 100, 6) AS mape, COUNT(*) AS matched_rows
       FROM bt_match m LEFT JOIN dim_product p ON m.product_key = p.product_key GROUP BY p.category)""", ctes=BT_STAR)
 def me17_mape_status(ctx):
-    return me.mape_status(me.mape_bi(ctx.backtest_star, ["category"]))
+    return me.mape_status(me.mape_bi(ctx.backtest_star, ["category"]), blank_as_zero=True)
 
 
 @query("me18_revenue_per_transaction", """

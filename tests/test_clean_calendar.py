@@ -90,8 +90,8 @@ def test_safe_divide_and_status(spark):
     got = [r.x for r in df.select(cal.safe_divide("a", "b").alias("x")).collect()]
     assert got == [None, None, 1.5]
     m = spark.createDataFrame([(None,), (5.0,), (15.0,), (25.0,), (35.0,)], "mape double")
-    s1 = [r.s for r in m.select(cal.mape_status("mape").alias("s")).collect()]
-    s2 = [r.s for r in m.select(cal.mape_status("mape", blank_as_zero=False).alias("s")).collect()]
+    s1 = [r.s for r in m.select(cal.mape_status("mape", blank_as_zero=True).alias("s")).collect()]
+    s2 = [r.s for r in m.select(cal.mape_status("mape").alias("s")).collect()]
     assert s1 == ["Excellent", "Excellent", "Good", "Acceptable", "Needs Improvement"]
     assert s2[0] is None and s2[1:] == s1[1:]
     g = spark.createDataFrame([(0.06,), (-0.06,), (0.0,), (None,)], "g double")
