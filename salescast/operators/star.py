@@ -49,18 +49,22 @@ def clean_oil(oil: DataFrame, extra_dates: DataFrame | None = None) -> DataFrame
     return ts.fill_series(daily, "dcoilwtico", None, "date").withColumnRenamed("dcoilwtico", "oil_price")
 
 
-def load_raw(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def load_raw(raw: Mapping[str, DataFrame], holiday_filter=None) -> dict[str, DataFrame]:
     """SB1: clean the five raw tables.
 
     train: negative sales clipped to 0 (NULL kept); oil: daily, filled;
-    holidays: one 0/1 flag per date; stores / transactions unchanged.
+    holidays: one 0/1 flag per date — every non-transferred event counts,
+    whatever its locale or type (Q4), unless ``holiday_filter`` (a Column
+    predicate over the raw events, e.g. national events only) narrows them;
+    stores / transactions unchanged.
     """
     train = clean.clip_lower(raw["train"], "sales", 0.0)
+    hol = raw["holidays"] if holiday_filter is None else raw["holidays"].where(holiday_filter)
     return {
         "train": train,
         "stores": raw["stores"],
         "oil": clean_oil(raw["oil"], train.select("date")),
-        "holidays": clean.holiday_flags(raw["holidays"]),
+        "holidays": clean.holiday_flags(hol),
         "transactions": raw["transactions"],
     }
 

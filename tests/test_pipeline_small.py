@@ -233,3 +233,12 @@ def test_forecast_variance_grand_total_without_keyless_join(star):
     k = an.kpis(star).first()
     assert r.actual_revenue == k.total_revenue and r.forecast_revenue == k.forecast_revenue
     assert abs(r.variance - round((k.forecast_revenue - k.total_revenue) / k.total_revenue, 6)) < 1e-9
+
+
+def test_holiday_filter_option(spark, raw):
+    from salescast.operators import star as sm
+    events = raw["holidays"].withColumn("locale", F.when(F.col("date") == day(3), "Local").otherwise("National"))
+    r = dict(raw, holidays=events)
+    all_flags = {x.date: x.is_holiday for x in sm.load_raw(r)["holidays"].collect()}
+    national = {x.date: x.is_holiday for x in sm.load_raw(r, F.col("locale") == "National")["holidays"].collect()}
+    assert all_flags[day(3)] == 1 and day(3) not in national
