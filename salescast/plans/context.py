@@ -108,3 +108,12 @@ class Context:
         preds = fc.demo_forecast(feats.where(F.col("date") > cutoff), noise=0.0)
         ff = fc.fact_forecasts(preds, self.star.dim_product, self.family_to_category)
         return self.star.replace(fact_forecasts=materialize(ff, self.spark, "fact_forecasts"))
+
+    @cached_property
+    def model_frames(self):
+        """(train, test, encoders) for the models: time split at max(date) − 90
+        days, label codes fitted on the training side, features prepared."""
+        from salescast.operators.ml import encode, split
+        train_raw, test_raw = split.time_split(self.features)
+        enc = encode.fit_encoders(train_raw)
+        return encode.prepare(train_raw, enc), encode.prepare(test_raw, enc), enc

@@ -263,10 +263,7 @@ SMALL = {
 
 
 def _prepared(ctx):
-    feats = ctx.features
-    train, test = split.time_split(feats)
-    enc = encode.fit_encoders(train)
-    return encode.prepare(train, enc), encode.prepare(test, enc), enc
+    return ctx.model_frames
 
 
 def _holdout_metrics(ctx, name):
