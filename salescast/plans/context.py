@@ -80,10 +80,10 @@ class Context:
 
     @cached_property
     def star(self) -> starmod.Star:
-        """Dimensions are materialized and broadcast behind a row-count check;
-        the fact is materialized once."""
+        """Dimensions (small, derived from the written feature table) are
+        cached and broadcast behind a row-count check; the fact is written once."""
         s = starmod.build_star(self.features, self.family_to_category, self.state_to_region)
-        dims = {n: joins.broadcast_if_small(materialize(getattr(s, n), self.spark, n))
+        dims = {n: joins.broadcast_if_small(getattr(s, n).cache())
                 for n in ("dim_date", "dim_store", "dim_product")}
         fact = starmod.build_fact_sales(self.features, dims["dim_product"], self.family_to_category)
         return s.replace(fact_sales=materialize(fact, self.spark, "fact_sales"), **dims)
