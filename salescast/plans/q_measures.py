@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from salescast.functions import calendar as cal
 from salescast.functions import fixed
 from salescast.operators import analytics as an
 from salescast.operators import measures as me, security as sec
@@ -222,6 +223,24 @@ def me17_mape_status(ctx):
     return me.mape_status(me.mape_bi(ctx.backtest_star, ["category"]), blank_as_zero=True)
 
 
+@query("me17_mape_status_blank", """
+SELECT mape, matched_rows,
+       CASE WHEN mape IS NULL THEN NULL WHEN mape <= 10 THEN 'Excellent' WHEN mape <= 20 THEN 'Good'
+            WHEN mape <= 30 THEN 'Acceptable' ELSE 'Needs Improvement' END AS mape_status,
+       CASE WHEN COALESCE(mape, 0) <= 10 THEN 'Excellent' WHEN COALESCE(mape, 0) <= 20 THEN 'Good'
+            WHEN COALESCE(mape, 0) <= 30 THEN 'Acceptable' ELSE 'Needs Improvement' END AS mape_status_bi
+FROM (SELECT round(SUM(abs(f.sales - b.predicted_sales) / NULLIF(abs(f.sales), 0)) / NULLIF(COUNT(*), 0) * 100, 6)
+             AS mape, COUNT(*) AS matched_rows
+      FROM fact_sales f JOIN fact_forecasts b ON f.date_key = b.date_key AND f.store_key = b.store_key
+      AND f.product_key = b.product_key)""")
+def me17_mape_status_blank(ctx):
+    """ME17 with a BLANK MAPE (forecasts after the actuals): NULL status by
+    default, "Excellent" under the BI rule that BLANK compares as 0."""
+    m = me.mape_bi(ctx.forecast_star)
+    return m.select("mape", "matched_rows", cal.mape_status("mape").alias("mape_status"),
+                    cal.mape_status("mape", blank_as_zero=True).alias("mape_status_bi"))
+
+
 @query("me18_revenue_per_transaction", """
 SELECT region, round(CAST(SUM(revenue) AS DOUBLE) / NULLIF(SUM(transactions), 0), 6) AS revenue_per_transaction
 FROM sales_star GROUP BY region""")
