@@ -14,7 +14,9 @@ from tests.conftest import SF_SMALL
 SAMPLE = ["ag4_revenue_by_category_year", "sb2_features", "sb3_dim_date", "sb6_fact_sales",
           "fc6_fact_forecasts", "me4_yoy_month", "me5_revenue_ytd", "me7_mape_by_category",
           "me14_forecast_variance_by_category", "rl3_user_revenue", "wn15_target_rolling",
-          "ml9_baseline_leaderboard", "ml15_backtest_naive", "ag20_describe", "fc7_weekly_rollup"]
+          "ml9_baseline_leaderboard", "ml15_backtest_naive", "ag20_describe", "fc7_weekly_rollup",
+          "me8_pct_of_total_coastal_slicer", "me17_mape_status_blank", "wn1_oil_lag7_days", "sc12_kpi_text",
+          "me4_yoy_date", "ag1_kpis"]
 
 
 def _norm(v):
