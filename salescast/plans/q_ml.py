@@ -362,3 +362,14 @@ def ml16_rolling_origin_search(ctx):
         return encode.prepare(train_raw, enc), encode.prepare(test_raw, enc)
     cands = {"DecisionTree": SMALL["DecisionTree"], "ElasticNet": dict(SMALL["ElasticNet"], maxIter=30)}
     return bt.cv_search(ctx.features, cands, prep, folds=3, horizon=90, parallelism=3)
+
+
+@query("ml14_model_accuracy_by_grain")
+def ml14_model_accuracy_by_grain(ctx):
+    """ML14 for a fitted model: holdout accuracy of daily and weekly totals
+    (the grain of the published daily / weekly MAPE and R²)."""
+    train, test, _ = _prepared(ctx)
+    model, _ = tr.fit(train, SMALL["GBT"])
+    scored = tr.predict(model, test).select("date", F.col("sales").alias("actual"),
+                                            cal.post_process("prediction").alias("predicted"))
+    return ev.metrics_by_grain(scored, "daily").unionByName(ev.metrics_by_grain(scored, "weekly"))

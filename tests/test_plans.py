@@ -8,7 +8,8 @@ from tests.conftest import SF_SMALL
 # model fits execute while the plan is built; their plans are checked elsewhere
 SKIP = {"ml4_gbt_holdout", "ml6_random_forest_holdout", "ml7_elastic_net_holdout",
         "ml7b_decision_tree_holdout", "ml11_feature_importance", "ml16_model_search",
-        "fc3_model_forecast", "st1_stream_scoring", "ml16_rolling_origin_search"}
+        "fc3_model_forecast", "st1_stream_scoring", "ml16_rolling_origin_search",
+        "ml14_model_accuracy_by_grain"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"]
 
