@@ -44,3 +44,38 @@ SELECT doc_id, size, source_size, target,
        CAST(greatest(0, least(size, floor(target) - lead)) + greatest(0, least(size, floor(target) - lead - source_size)) AS BIGINT) AS taken
 FROM p
 """
+
+RULES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, 'und') AS stratum, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), {SPACED}) AS w FROM documents),
+k3 AS (SELECT r, k, w[k] AS a, w[k + 1] AS b, w[k + 2] AS c FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS k FROM d)),
+twice AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM k3) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([k, k + 1, k + 2]) AS p FROM twice) GROUP BY r),
+lines AS (SELECT r, count(*) AS n, count(DISTINCT line) AS kinds FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, {SPACED}) GROUP BY r),
+s AS (SELECT d.r, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+             CAST(length(t) - length(translate(t, {UPPER}, '')) AS BIGINT) AS n_upper,
+             CAST(coalesce(lines.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(lines.n - lines.kinds, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN rep ON d.r = rep.r LEFT JOIN lines ON d.r = lines.r),
+v AS (SELECT r, stratum, doc_id, unnest(['symbol_ratio', 'dup_line_ratio', 'repeat_ratio', 'upper_ratio']) AS rule,
+             unnest([coalesce(n_symbols / nullif(word_chars, 0)::DOUBLE, 0), coalesce(n_dup_lines / nullif(n_lines, 0)::DOUBLE, 0),
+                     coalesce(n_repeat_words / nullif(n_words, 0)::DOUBLE, 0), coalesce(n_upper / nullif(word_chars, 0)::DOUBLE, 0)]) AS x FROM s),
+cut(rule, cutoff) AS (VALUES @CUTOFFS),
+clean AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
+cell AS (SELECT stratum, rule, cutoff, count(*) AS n, CAST(sum(CASE WHEN x > cutoff THEN 1 ELSE 0 END) AS BIGINT) AS k
+         FROM v JOIN cut USING (rule) WHERE doc_id IN (SELECT doc_id FROM clean) GROUP BY ALL),
+term AS (SELECT stratum, rule, cutoff, n, k, lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.0125) + (n - i) * ln(1 - 0.0125) AS l
+         FROM (SELECT *, unnest(range(0, k + 1)) AS i FROM cell WHERE k < n * 0.0125)),
+bound AS (SELECT stratum, rule, cutoff, max(l) + ln(sum(exp(l - top))) AS p
+          FROM (SELECT *, max(l) OVER (PARTITION BY stratum, rule, cutoff) AS top FROM term) GROUP BY ALL),
+lim AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM bound WHERE p <= ln(0.05 / (SELECT count(*) FROM cell)) GROUP BY ALL),
+bad AS (SELECT DISTINCT r FROM v JOIN lim USING (stratum, rule) WHERE x > lim.cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
+       NOT failed AND r NOT IN (SELECT r FROM bad) AS kept
+FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FROM s)
+""".replace("@CUTOFFS", ", ".join(f"('{r}', {c}::DOUBLE)" for r, cs in {
+    "symbol_ratio": (0.5, 0.3, 0.2, 0.1, 0.05), "dup_line_ratio": (0.7, 0.5, 0.4, 0.3, 0.2),
+    "repeat_ratio": (0.45, 0.4, 0.35, 0.3, 0.25), "upper_ratio": (0.7, 0.5, 0.4, 0.3, 0.2)}.items() for c in cs))

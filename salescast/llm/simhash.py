@@ -18,7 +18,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,11 +140,21 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     return fp.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, clusters: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """One document of each group: the one with the smallest id, and of rows
-    that repeat that id one (the largest text).  Rows whose component has no
-    id at all are kept."""
-    gone = clusters.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+def keep_one(docs: DataFrame, clusters: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group: the one with the smallest id; of rows that
+    repeat that id, the one with the longest, then the first text.  Rows
+    without an id are kept, unless their group has a row with one."""
+    gone = clusters.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     left = docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
-    return left
-
+    nameless = clusters.where("doc_id is null and component_id is not null").select("fingerprint").distinct()
+    key, rank = tx.fresh("_key", docs.columns), tx.fresh("_rank", docs.columns)
+    left = left.withColumn(key, F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id())))
+    order = Window.partitionBy(key).orderBy(F.desc_nulls_last(F.length(text)), F.col(text).asc_nulls_last())
+    left = left.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(key, rank)
+    if nameless.isEmpty():
+        return left
+    found, name = fingerprints(left, text)
+    hexed = F.lpad(F.lower(F.hex(F.col(name)["fp"])), 16, "0")
+    dropped = nameless.select(F.col("fingerprint").alias("_fp"), F.lit(True).alias("_has"))
+    joined = found.join(dropped, hexed == F.col("_fp"), "left").where(F.col(doc_id).isNotNull() | F.col("_has").isNull())
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
