@@ -29,7 +29,7 @@ from salescast.session import materialize
 
 UNKNOWN = "und"
 TABLE_BITS = 18
-SAMPLE, ROUNDS, RATE, DECAY = 120, 40, 0.15, 1e-4
+SAMPLE, ROUNDS, RATE, DECAY = 60, 24, 0.2, 1e-4
 #: Longest word (bytes), most words and least share of a language of the lexicon.
 LEXICON_BYTES, LEXICON_WORDS, LEXICON_SHARE = 6, 20_000, 0.6
 TASK_WORDS = 400_000
