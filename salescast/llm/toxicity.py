@@ -42,6 +42,8 @@ PATTERNS = [*combinations(range(1, 5), 2), *combinations(range(1, 6), 3), (1, 2,
 TABLE_BITS = 20
 #: Landmarks of toxic units, of frequent clean ones, and of clean ones that scored highest.
 LANDMARKS = (160, 48, 160)
+#: Most labels that a fit uses (a sample by a hash of the id beyond that), which bounds their broadcast.
+LABELLED = 1_000_000
 #: Units of either class that the machine is fitted on, the most frequent ones.
 FIT_POSITIVE, FIT_NEGATIVE = 600, 8_000
 #: Suspected units, and toxic documents (the first by a hash of the text) in which they are told apart.
@@ -206,7 +208,7 @@ def units_of(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], list[str]
     and again the unit that is in most documents without one so far.  (The
     other words of a toxic document that was copied often explain none.)"""
     schema = T.StructType([T.StructField("unit", T.StringType()), T.StructField("clean", T.LongType()), T.StructField("toxic", T.LongType())])
-    rows = docs.join(labelled, "doc_id").select("text", "toxic")
+    rows = docs.join(F.broadcast(labelled), "doc_id").select("text", "toxic")
     counts = materialize(rows.mapInArrow(_counted, schema).groupBy("unit").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")),
                          name="toxic-units")
     by = labelled.groupBy("toxic").agg(F.count("*").alias("n")).toArrow().to_pydict()
@@ -289,10 +291,10 @@ def train(positive: list[str], negative: list[str], frequent: int | None = None)
     def kernel(i):
         mine = slice(bounds[i], bounds[i + 1])
         dense = np.bincount(code[mine], value[mine], minlength=1 << TABLE_BITS)
-        return np.bincount(row, value * dense[code], minlength=len(units)), dense
+        return np.bincount(row, value * dense[code], minlength=len(units))
 
     # landmarks: of each group in turn, the unit that those so far describe least
-    chosen, columns, denses = [], [], []
+    chosen, columns = [], []
     cuts = [0, len(positive), len(positive) + (len(negative) if frequent is None else frequent), len(units)]
     for group, most in zip((np.arange(a, z) for a, z in zip(cuts, cuts[1:])), LANDMARKS):
         nearest = np.zeros(len(group))
@@ -300,8 +302,8 @@ def train(positive: list[str], negative: list[str], frequent: int | None = None)
             i = int(group[int(np.argmin(nearest))]) if chosen else int(group[0])
             if i in chosen:
                 break
-            k, dense = kernel(i)
-            chosen.append(i), columns.append(k), denses.append(dense)
+            k = kernel(i)
+            chosen.append(i), columns.append(k)
             nearest = np.maximum(nearest, k[group])
     k_nm = np.stack(columns, axis=1)
     k_mm = k_nm[chosen]
@@ -322,8 +324,10 @@ def train(positive: list[str], negative: list[str], frequent: int | None = None)
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
-    alpha = root @ w[:-1]
-    weights = sum(a * d for a, d in zip(alpha, denses))
+    weights = empty
+    for i, a in zip(chosen, root @ w[:-1]):
+        mine = slice(bounds[i], bounds[i + 1])
+        np.add.at(weights, code[mine], a * value[mine])
     return Machine(weights, float(w[-1]))
 
 
@@ -385,7 +389,11 @@ def learnable(labels: DataFrame, train: Column) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str = "text") -> Machine:
     """The machine, not calibrated yet."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    positive, negative, usual = units_of(slim, learnable(labels, train_on))
+    labelled = learnable(labels, train_on)
+    n = labelled.count()
+    if n > LABELLED:
+        labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * LABELLED / n))
+    positive, negative, usual = units_of(slim, labelled)
     machine, frequent = train(positive, negative), len(negative)
     for _ in range(ROUNDS if positive else 0):
         found, name = decisions(usual, machine, "unit")
