@@ -257,12 +257,14 @@ def test_pst_distributions_sum_to_one_and_longest_suffix_wins(spark):
         assert set((tree.states[k] & np.uint64(256 ** (k - 1) - 1)).tolist()) <= set(tree.states[k - 1].tolist())
 
 
-def test_pst_beats_unigrams_on_held_out_text_and_likes_its_language(spark):
-    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    extra = spark.createDataFrame([(10**9 + 8, "zq xj qqz vwx kkj zzx")], "doc_id long, text string")
-    got = pst.score(d.select("doc_id", "text").union(extra), tx.crc_fold(F.col("doc_id"), 7) != 2).toPandas()
-    held = got[got.held_out]
-    assert held.score.sum() > held.base_score.sum()
+def test_pst_prefers_held_out_text_to_the_same_words_reversed(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    held = tx.crc_fold(F.col("doc_id"), 7) == 2
+    turned = d.where(held).select((F.col("doc_id") + 10**6).alias("doc_id"), F.reverse("text").alias("text"))
+    got = {r.doc_id: r.score for r in pst.score(d.unionByName(turned), (F.col("doc_id") < 10**6) & ~held).collect()}
+    pairs = [(got[i - 10**6], s) for i, s in got.items() if i >= 10**6]
+    assert len(pairs) > 20 and sum(a > b for a, b in pairs) > 0.9 * len(pairs)
+    extra = spark.createDataFrame([(1, "zq xj")], "doc_id long, text string")
     assert pst.score(d.limit(0), F.lit(True)).count() == 0
     assert pst.score(extra, F.lit(False)).first().train_tokens == 0
 
