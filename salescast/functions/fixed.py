@@ -75,7 +75,7 @@ DEMO_NOISE_SD = 0.15
 
 # --- fixed values: scoring-frame assumptions --------------------------------
 DEFAULT_TRANSACTIONS = 2000
-DEFAULT_OIL_PRICE = 55.0
+UNKNOWN_PRODUCT_KEY = 1
 FORECAST_HORIZON_DAYS = 90
 HOLDOUT_DAYS = 90
 

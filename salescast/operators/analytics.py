@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast.functions import calendar as cal
 from salescast.operators import joins
+from salescast.session import materialize
 
 
 def _d(c: Column) -> Column:
@@ -152,18 +153,36 @@ def top_share(df: DataFrame, key: str, col: str, n: int) -> DataFrame:
 
 
 # AG20 / AG22 / AG23 ----------------------------------------------------------
-def _quantile(x, p: float, exact: bool, accuracy: int):
-    return F.percentile(x, p) if exact else F.percentile_approx(x, p, accuracy).cast("double")
+def exact_quantiles(df: DataFrame, cols: Sequence[str], ps: Sequence[float]) -> DataFrame:
+    """(column, q): for each column the quantiles ``ps``, linearly interpolated.
+
+    Distinct values are counted, ordered over range partitions and numbered
+    from the partitions' totals, so no task holds more than one range of
+    values; the two neighbours of each quantile are then picked by rank."""
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])))
+    counts = long.where("v is not null").groupBy("column", "v").agg(F.count("*").alias("n"))
+    ranged = materialize(counts.repartitionByRange("column", "v").withColumn("__pid", F.spark_partition_id()), name="quantiles")
+    parts = ranged.groupBy("column", "__pid").agg(F.sum("n").alias("m"))
+    w = Window.partitionBy("column")
+    parts = parts.select("column", "__pid", F.sum("m").over(w).alias("total"),
+                         (F.sum("m").over(w.orderBy("__pid")) - F.col("m")).alias("lead"))
+    inside = Window.partitionBy("column", "__pid").orderBy("v")
+    placed = (ranged.withColumn("upto", F.sum("n").over(inside)).join(parts, ["column", "__pid"])
+              .select("column", "v", "total", (F.col("lead") + F.col("upto") - F.col("n")).alias("start"), (F.col("lead") + F.col("upto")).alias("end")))
+    at = [F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("total") - 1)).alias("h")) for i, p in enumerate(ps)]
+    near = F.filter(F.array(*at), lambda t: ((F.floor(t["h"]) >= F.col("start")) & (F.floor(t["h"]) < F.col("end")))
+                    | ((F.ceil(t["h"]) >= F.col("start")) & (F.ceil(t["h"]) < F.col("end"))))
+    picked = placed.select("column", "v", F.explode(near).alias("t")).groupBy("column", "t.i").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.max(F.col("t.h") - F.floor("t.h")).alias("f"))
+    q = F.transform(F.array_sort(F.collect_list(F.struct("i", (F.col("lo") * (1 - F.col("f")) + F.col("hi") * F.col("f")).alias("q")))), lambda s: s["q"])
+    return picked.groupBy("column").agg(q.alias("q"))
 
 
 def describe(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (linear interpolation), max per column,
-    all columns in one aggregation pass, one output row per column.
-
-    Exact quantiles keep a value -> count map per column, so memory follows the
-    number of distinct values, not rows; for high-cardinality columns at scale
-    pass ``exact=False`` (a mergeable quantile sketch, relative rank error
-    1 / ``accuracy``).
+    one output row per column.  Exact quantiles are picked by rank from
+    range-partitioned value counts; ``exact=False`` takes a mergeable sketch
+    (relative rank error 1 / ``accuracy``) in the one aggregation pass.
     """
     stats = []
     for c in cols:
@@ -172,12 +191,16 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: i
             F.lit(c).alias("column"), F.count(x).alias("count"),
             F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("std"),
             F.min(x).alias("min"),
-            F.round(_quantile(x, 0.25, exact, accuracy), 6).alias("p25"),
-            F.round(_quantile(x, 0.5, exact, accuracy), 6).alias("p50"),
-            F.round(_quantile(x, 0.75, exact, accuracy), 6).alias("p75"),
+            *[(F.lit(None).cast("double") if exact else F.percentile_approx(x, p, accuracy).cast("double")).alias(f"p{p * 100:.0f}")
+              for p in (0.25, 0.5, 0.75)],
             F.max(x).alias("max")).alias(f"__s{len(stats)}"))
     row = df.agg(*stats)
-    return row.select(F.inline(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])))
+    out = row.select(F.inline(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])))
+    if exact:
+        q = exact_quantiles(df, cols, (0.25, 0.5, 0.75)).withColumnRenamed("column", "__column")
+        out = out.join(q, F.col("column") == F.col("__column"), "left").select(
+            *[F.round(F.get("q", F.lit(["p25", "p50", "p75"].index(c))), 6).alias(c) if c in ("p25", "p50", "p75") else c for c in out.columns])
+    return out
 
 
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -185,8 +208,9 @@ def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def prediction_summary(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    med = F.median(col) if exact else F.percentile_approx(col, 0.5, accuracy).cast("double")
-    return df.agg(F.round(F.avg(col), 6).alias("mean"), med.alias("median"),
+    med = (exact_quantiles(df, [col], (0.5,)).select(F.get("q", F.lit(0))).scalar() if exact
+           else F.percentile_approx(col, 0.5, accuracy).cast("double"))
+    return df.agg(F.round(F.avg(col), 6).alias("mean"), F.max(med).alias("median") if exact else med.alias("median"),
                   F.min(col).alias("min"), F.max(col).alias("max"))
 
 

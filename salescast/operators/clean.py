@@ -93,10 +93,11 @@ def margin_rate_col(category="category", rates: Mapping | None = None) -> Column
 
 def add_revenue_margin(df: DataFrame, units: str = "sales", category: str = "category",
                        prices: Mapping | None = None, rates: Mapping | None = None) -> DataFrame:
-    """PR6: revenue = units × unit price; margin = revenue × rate (decimal(18,4))."""
-    revenue = (F.col(units).cast("decimal(18,4)") * price_col(category, prices)).cast("decimal(18,4)")
+    """PR6: revenue = units × unit price; margin = revenue × rate.  Neither is
+    rounded: units of up to six places give eight and ten."""
+    revenue = (F.col(units).cast("decimal(22,6)") * price_col(category, prices)).cast("decimal(29,8)")
     return (df.withColumn("revenue", revenue)
-              .withColumn("margin", (F.col("revenue") * margin_rate_col(category, rates)).cast("decimal(18,4)")))
+              .withColumn("margin", (F.col("revenue") * margin_rate_col(category, rates)).cast("decimal(36,10)")))
 
 
 def post_process(df: DataFrame, col: str = "prediction", out: str | None = None) -> DataFrame:

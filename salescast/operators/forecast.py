@@ -72,8 +72,8 @@ def demo_forecast(frame: DataFrame, noise: float = fixed.DEMO_NOISE_SD, seed: in
         × (1 + 0.15·sin(2π(month − 3)/12)) × (0.8 + 0.4·(store mod 10)/10)
         × N(1, noise), clipped at 0 and rounded half to even.
 
-    ``noise=0`` gives the exact, reproducible forecast; with noise the normal
-    draws come from Spark's seeded ``randn`` (numpy's stream is not reproduced).
+    The normal draws come from an MD5 of (seed, date, store, family), so they
+    are the same whatever the partitioning; ``noise=0`` draws nothing.
     """
     base = clean.lookup("family", family_base or fixed.DEMO_FAMILY_BASE, fixed.DEMO_DEFAULT_BASE, "double")
     dow = F.when(F.col("is_weekend") == 1, F.lit(fixed.DEMO_WEEKEND_EFFECT)).otherwise(F.lit(1.0))
@@ -82,10 +82,20 @@ def demo_forecast(frame: DataFrame, noise: float = fixed.DEMO_NOISE_SD, seed: in
     store_effect = F.lit(0.8) + F.lit(0.4) * (F.col("store_nbr") % 10) / 10
     pred = base * dow * month_effect * store_effect
     if noise > 0:
-        pred = pred * (F.lit(1.0) + F.lit(noise) * F.randn(seed))
+        pred = pred * (F.lit(1.0) + F.lit(noise) * _normal(seed))
     return frame.withColumn(out, cal.post_process(pred))
 
 
+def _normal(seed: int) -> "F.Column":
+    """A standard normal draw for each (date, store, family): Box-Muller over
+    two uniform draws of 48 hash bits."""
+    def uniform(tag):
+        h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(tag), F.col("date").cast("string"),
+                              F.col("store_nbr").cast("string"), "family"))
+        return (F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(1 << 48))
+    return F.sqrt(-2 * F.log(uniform("u"))) * F.cos(2 * F.lit(math.pi) * uniform("v"))
+
+
 def score(model, frame: DataFrame, features_col: str = "features", out: str = "predicted_sales",
           on_error: str = "null") -> DataFrame:
     """FC3 / FC4: apply a fitted ``PipelineModel`` (Spark partitions replace

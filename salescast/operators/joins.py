@@ -15,21 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-DIM_BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a measured size check.
-
-    Counts at most ``max_rows + 1`` rows (cheap on a materialized dimension);
-    at or under the bound the frame is hinted for broadcast, above it the
-    frame is returned unhinted and Spark plans a shuffle join (with AQE skew
-    handling).  Used for materialized dimensions, whose plans carry no size
-    statistics, so the fact side is never shuffled for a small dimension.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def join_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """JN1: store attributes, left join on ``store_nbr``."""

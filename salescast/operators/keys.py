@@ -26,8 +26,9 @@ def dense_keys(df: DataFrame, col: str, out: str, start: int = 1, partitions: in
     spark = df.sparkSession
     value = F.col(col).cast("string") if as_string else F.col(col)
     vals = df.select(value.alias(col)).distinct()
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = vals.repartitionByRange(n, col).withColumn("__pid", F.spark_partition_id())
+    # without a count, AQE coalesces small ranges (neighbours, so order holds)
+    ranged = vals.repartitionByRange(partitions, col) if partitions else vals.repartitionByRange(col)
+    ranged = ranged.withColumn("__pid", F.spark_partition_id())
     ranged = materialize(ranged, spark, "keys")
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

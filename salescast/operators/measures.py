@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from salescast.functions import calendar as cal
 from salescast.functions import fixed
 from salescast.operators import joins
+from salescast.session import materialize
 
 DIM_OF = {
     "category": "dim_product", "family": "dim_product",
@@ -89,7 +90,8 @@ def yoy(star, grain: str = "month", by: Sequence[str] = (), measure: str = "reve
     fact, col = FACT_COLS[measure]
     periods = {"year": ["year"], "month": ["year", "month"], "date": ["date"]}[grain]
     df = with_dims(star, fact, [*periods, *by] if grain != "date" else ["date", *by])
-    cur = df.groupBy(*periods, *by).agg(F.sum(col).alias("cur"))
+    # written once: current and prior values are both read from it
+    cur = materialize(df.groupBy(*periods, *by).agg(F.sum(col).alias("cur")), name="yoy")
     prev_keys = {"year": [(F.col("year") + 1).alias("year")],
                  "month": [(F.col("year") + 1).alias("year"), F.col("month")],
                  "date": None}[grain]
@@ -151,7 +153,10 @@ def match_forecasts(star) -> DataFrame:
     aggregated to the key first."""
     k = ["date_key", "store_key", "product_key"]
     fc = star.fact_forecasts.groupBy(*k).agg(F.sum("predicted_sales").alias("predicted"))
-    return star.fact_sales.select(*k, "sales").join(fc, k, "inner")
+    # only days that have forecasts are read from the actuals
+    days = star.fact_forecasts.agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi"))
+    actual = star.fact_sales.where(F.col("date_key").between(days.select("lo").scalar(), days.select("hi").scalar()))
+    return actual.select(*k, "sales").join(fc, k, "inner")
 
 
 def mape_bi(star, by: Sequence[str] = ()) -> DataFrame:
@@ -178,7 +183,8 @@ def pct_of_total(star, by: Sequence[str], measure: str = "revenue", where: Mappi
     fact, col = FACT_COLS[measure]
     ctx = joins.apply_context(star, where) if where else star
     per = with_dims(ctx, fact, by).groupBy(*by).agg(F.sum(col).alias("__v"))
-    grand = (ctx if respect_filters else star).tables()[fact].agg(F.sum(col)).scalar()
+    same = not where or respect_filters  # then the groups add up to the total
+    grand = (per.agg(F.sum("__v")) if same else star.tables()[fact].agg(F.sum(col))).scalar()
     return per.select(*by, F.col("__v").cast("double").alias(measure),
                       F.round(F.try_divide(F.col("__v").cast("double"), grand.cast("double")), 6)
                       .alias("pct_of_total"))

@@ -35,6 +35,13 @@ def rolling_origin(df: DataFrame, folds: int = 3, horizon: int = 90) -> DataFram
     return test.unionByName(train).drop("__test", "__train")
 
 
+def fold_frames(df: DataFrame, fold: int, folds: int = 3, horizon: int = 90) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of one fold, by predicates on the date alone."""
+    mx = df.agg(F.max("date")).scalar()
+    origin, end = F.date_sub(mx, horizon * (folds - fold + 1)), F.date_sub(mx, horizon * (folds - fold))
+    return df.where(F.col("date") <= origin), df.where((F.col("date") > origin) & (F.col("date") <= end))
+
+
 def fold_summary(df: DataFrame, folds: int = 3, horizon: int = 90) -> DataFrame:
     """Per fold and role: rows and date range; the origin is the last train date."""
     t = rolling_origin(df, folds, horizon)
@@ -47,27 +54,27 @@ def seasonal_naive(history: DataFrame, target: DataFrame, keys: Sequence[str], p
     """ML7d: each target date takes the value of the latest date with the same
     phase at or before ``origin`` (a Column / scalar; default: the day before
     the first target date): ``source = date - period * ceil((date - origin) / period)``.
-    An equi-join on (keys, source date)."""
+    An equi-join on (keys, source date), of the last ``period`` days up to the
+    origin: no source date lies before them."""
     if origin is None:
         origin = F.date_sub(target.agg(F.min("date")).scalar(), 1)
     steps = F.ceil(F.datediff(F.col("date"), origin) / period).cast("int")
     tgt = target.withColumn("__src", F.date_sub(F.col("date"), steps * period))
-    hist = history.select(*keys, F.col("date").alias("__src"), F.col(y).alias(out))
+    recent = history.where((F.col("date") > F.date_sub(origin, period)) & (F.col("date") <= origin))
+    hist = recent.select(*keys, F.col("date").alias("__src"), F.col(y).alias(out))
     return tgt.join(hist, [*keys, "__src"], "left").drop("__src")
 
 
 def backtest_naive(df: DataFrame, keys: Sequence[str], folds: int = 3, horizon: int = 90,
                    period: int = 7, y: str = "sales") -> DataFrame:
     """Seasonal-naive rolling-origin backtest: metrics per fold (SQL-exact)."""
-    t = rolling_origin(df.select(*keys, "date", y), folds, horizon)
-    train = t.where(F.col("role") == "train")
-    test = t.where(F.col("role") == "test")
-    origin = train.groupBy("fold").agg(F.max("date").alias("__origin"))
-    test = test.join(origin, "fold")
-    steps = F.ceil(F.datediff(F.col("date"), F.col("__origin")) / period).cast("int")
-    test = test.withColumn("__src", F.date_sub(F.col("date"), steps * period))
-    hist = train.select("fold", *keys, F.col("date").alias("__src"), F.col(y).alias("predicted"))
-    scored = test.join(hist, ["fold", *keys, "__src"], "left").withColumnRenamed(y, "actual")
+    parts = None
+    for k in range(1, folds + 1):
+        train, test = fold_frames(df.select(*keys, "date", y), k, folds, horizon)
+        origin = train.agg(F.max("date")).scalar()
+        one = seasonal_naive(train, test, keys, period, origin, y).withColumn("fold", F.lit(k))
+        parts = one if parts is None else parts.unionByName(one)
+    scored = parts.withColumnRenamed(y, "actual")
     return evaluate.metrics(scored, "actual", "predicted", ["fold"])
 
 
@@ -95,14 +102,12 @@ def search(train: DataFrame, test: DataFrame, candidates: dict, label: str = "sa
     fit time."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from salescast.functions import calendar as cal
     from salescast.operators.ml import train as tr
 
     def one(item):
         name, cfg = item
         model, secs = tr.fit(train, cfg, label)
-        scored = tr.predict(model, test).select(F.col(label).alias("actual"),
-                                                cal.post_process("prediction").alias("predicted"))
+        scored = tr.evaluated(model, test, label)
         return evaluate.metrics(scored).select(F.lit(name).alias("model"), "*",
                                                F.lit(round(secs, 3)).alias("training_time"))
 
@@ -124,20 +129,16 @@ def cv_search(df: DataFrame, candidates: dict, prepare, folds: int = 3, horizon:
     threads; each is a distributed job."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from salescast.functions import calendar as cal
     from salescast.operators.ml import train as tr
 
-    tagged = rolling_origin(df, folds, horizon)
-    jobs = [(name, cfg, k) for name, cfg in candidates.items() for k in range(1, folds + 1)]
+    frames = {k: prepare(*fold_frames(df, k, folds, horizon)) for k in range(1, folds + 1)}
+    jobs = [(name, cfg, k) for name, cfg in candidates.items() for k in frames]
 
     def one(job):
         name, cfg, k = job
-        fold = tagged.where(F.col("fold") == k)
-        tr_df, te_df = prepare(fold.where(F.col("role") == "train").drop("fold", "role"),
-                               fold.where(F.col("role") == "test").drop("fold", "role"))
+        tr_df, te_df = frames[k]
         model, secs = tr.fit(tr_df, cfg, label)
-        scored = tr.predict(model, te_df).select(F.col(label).alias("actual"),
-                                                 cal.post_process("prediction").alias("predicted"))
+        scored = tr.evaluated(model, te_df, label)
         return evaluate.metrics(scored).select(F.lit(name).alias("model"), F.lit(k).alias("fold"), "*",
                                                F.lit(round(secs, 3)).alias("training_time"))
 

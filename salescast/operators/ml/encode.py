@@ -28,6 +28,16 @@ def fit_encoders(df: DataFrame, cols: Sequence[str] = fixed.CATEGORICAL_COLS) ->
     return {c: label_codes(df, c) for c in cols}
 
 
+def save(encoders: dict[str, DataFrame], path: str) -> None:
+    """One code table per column, beside the model that was fitted with them."""
+    for c, codes in encoders.items():
+        codes.write.mode("overwrite").parquet(f"{path}/{c}")
+
+
+def load(spark, path: str, cols: Sequence[str] = fixed.CATEGORICAL_COLS) -> dict[str, DataFrame]:
+    return {c: spark.read.parquet(f"{path}/{c}") for c in cols}
+
+
 def encode(df: DataFrame, encoders: dict[str, DataFrame]) -> DataFrame:
     """Replace each categorical column by its code (unseen -> 0)."""
     out = df

@@ -5,8 +5,10 @@ iterations, step 0.05, depth 8, row and column subsampling 0.8, min 50 rows
 per node), a second boosted configuration (500 iterations, depth 8, min 20),
 a random forest (200 trees, depth 15, min 20 rows per leaf, seed 42), an
 elastic net (alpha 1.0, l1 ratio 0.5, 1000 iterations, no standardisation)
-and a decision tree.  Leaf-wise GPU boosters are not available; MLlib's
-level-wise trees stand in.  Callers may pass smaller iteration counts.
+and a decision tree.  Boosting stops early on the last 90 days of the training
+window.  Leaf-wise GPU boosters are not available; MLlib's level-wise trees
+stand in, and its stopping rule (a relative gain below ``validationTol``) for a
+count of rounds without gain.
 """
 
 from __future__ import annotations
@@ -17,31 +19,39 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from salescast.functions import fixed
 from salescast.operators.ml.encode import assembler
 
-MAX_BINS = 64  # more than the 33 product families
-
 CONFIGS = {
     "GBT": dict(kind="gbt", maxIter=1000, stepSize=0.05, maxDepth=8, subsamplingRate=0.8,
-                featureSubsetStrategy="0.8", minInstancesPerNode=50),
+                featureSubsetStrategy="0.8", minInstancesPerNode=50, validation_days=90, validationTol=1e-3),
     "GBT-2": dict(kind="gbt", maxIter=500, stepSize=0.05, maxDepth=8, subsamplingRate=0.8,
-                  featureSubsetStrategy="0.8", minInstancesPerNode=20),
-    "RandomForest": dict(kind="rf", numTrees=200, maxDepth=15, minInstancesPerNode=20, seed=42),
+                  featureSubsetStrategy="0.8", minInstancesPerNode=20, validation_days=90, validationTol=1e-3),
+    "RandomForest": dict(kind="rf", numTrees=200, maxDepth=15, minInstancesPerNode=20, seed=42,
+                         featureSubsetStrategy="all"),
     "ElasticNet": dict(kind="lr", regParam=1.0, elasticNetParam=0.5, maxIter=1000, tol=1e-4),
     "DecisionTree": dict(kind="dt", maxDepth=10, minInstancesPerNode=20),
 }
 
 
-def estimator(kind: str, label: str = "sales", **params):
+def bins(train: DataFrame, cols=fixed.CATEGORICAL_COLS) -> int:
+    """Split points for every code of the widest categorical column."""
+    have = [F.max(c) for c in cols if c in train.columns]
+    if not have:
+        return 64
+    return max(64, int(train.agg(F.array_max(F.array(*have)).alias("n")).first()["n"] or 0) + 2)
+
+
+def estimator(kind: str, label: str = "sales", max_bins: int = 64, **params):
     common = dict(featuresCol="features", labelCol=label, predictionCol="prediction")
     if kind == "gbt":
-        return GBTRegressor(maxBins=MAX_BINS, seed=params.pop("seed", 42), **common, **params)
+        return GBTRegressor(maxBins=max_bins, seed=params.pop("seed", 42), **common, **params)
     if kind == "rf":
-        return RandomForestRegressor(maxBins=MAX_BINS, **common, **params)
+        return RandomForestRegressor(maxBins=max_bins, **common, **params)
     if kind == "dt":
-        return DecisionTreeRegressor(maxBins=MAX_BINS, seed=params.pop("seed", 42), **common, **params)
+        return DecisionTreeRegressor(maxBins=max_bins, seed=params.pop("seed", 42), **common, **params)
     if kind == "lr":
         return LinearRegression(standardization=False, **common, **params)
     raise ValueError(kind)
@@ -55,21 +65,19 @@ def fit(train: DataFrame, config: dict, label: str = "sales",
       ``validation_days``  boosted trees only: rows in the last N days of the
                            training window form the early-stopping validation
                            set (``validationIndicatorCol``), so the holdout is
-                           never used for stopping;
-      ``sample_fraction``  fit on a seeded row sample (``sample_seed``, 42).
+                           never used for stopping.
     """
-    from pyspark.sql import functions as F
     params = dict(config)
     kind = params.pop("kind")
     val_days = params.pop("validation_days", None)
-    frac = params.pop("sample_fraction", None)
-    seed = params.pop("sample_seed", 42)
-    if frac is not None and frac < 1.0:
-        train = train.sample(fraction=frac, seed=seed)
     if val_days and kind == "gbt":
         cut = F.date_sub(train.agg(F.max("date")).scalar(), val_days)
         train = train.withColumn("is_validation", F.col("date") > cut)
         params.setdefault("validationIndicatorCol", "is_validation")
+    if kind != "lr":
+        params["max_bins"] = bins(train)
+    if kind in ("gbt", "rf"):
+        params = {"cacheNodeIds": True, "checkpointInterval": 20, "maxMemoryInMB": 512, **params}
     pipe = Pipeline(stages=[assembler(cols), estimator(kind, label, **params)])
     t0 = time.time()
     model = pipe.fit(train)
@@ -80,6 +88,12 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features")
 
 
+def evaluated(model: PipelineModel, df: DataFrame, label: str = "sales", keep=()) -> DataFrame:
+    """(actual, predicted) rows for metrics: predictions are clipped at 0 and
+    not rounded (only published forecasts are)."""
+    return predict(model, df).select(*keep, F.col(label).alias("actual"), F.greatest("prediction", F.lit(0.0)).alias("predicted"))
+
+
 def importance(spark, model: PipelineModel, cols=fixed.FEATURE_COLS) -> DataFrame:
     """ML11: tree feature importances normalised to sum 1, largest first.
 
@@ -89,5 +103,4 @@ def importance(spark, model: PipelineModel, cols=fixed.FEATURE_COLS) -> DataFram
     imp = last.featureImportances.toArray() if hasattr(last, "featureImportances") else [abs(x) for x in last.coefficients]
     total = float(sum(imp)) or 1.0
     rows = [(c, float(v) / total) for c, v in zip(cols, imp)]
-    from pyspark.sql import functions as F
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")

@@ -51,6 +51,25 @@ def secure_for(star, user: str, grants: DataFrame, roles: DataFrame):
     return star.replace(**out)
 
 
+def user_totals(star, users: DataFrame, grants: DataFrame, roles: DataFrame) -> DataFrame:
+    """RL3 for all of ``users`` (user) in one plan: each fact is reduced to
+    its stores once and then joined to the (user, store) pairs that the users'
+    roles allow.  (user, revenue, forecast_revenue, stores)."""
+    mine = grants.distinct().join(roles, "role").select("user", "region").distinct()
+    stores = star.dim_store.select("store_key", "region")
+    allowed = mine.where("region is not null").join(stores, "region").select("user", "store_key")
+    # an unrestricted role allows the stores of every region
+    regions = stores.agg(F.collect_set("region")).scalar()
+    every = mine.where("region is null").select("user", F.explode(regions).alias("region")).join(stores, "region").select("user", "store_key")
+    allowed = allowed.unionByName(every).distinct()
+    a = star.fact_sales.groupBy("store_key").agg(F.sum("revenue").alias("revenue"))
+    f = star.fact_forecasts.groupBy("store_key").agg(F.sum("predicted_revenue").alias("forecast_revenue"))
+    seen = (allowed.join(a, "store_key", "left").join(f, "store_key", "left").groupBy("user")
+            .agg(F.sum("revenue").cast("double").alias("revenue"), F.sum("forecast_revenue").cast("double").alias("forecast_revenue"),
+                 F.count("*").alias("stores")))
+    return users.join(seen, "user", "left").select("user", "revenue", "forecast_revenue", F.coalesce("stores", F.lit(0)).alias("stores"))
+
+
 def role_kpis(star, roles: Mapping[str, str | None] | None = None) -> DataFrame:
     """RL1 for every regional role in one pass per fact: both facts are
     aggregated by the region of their store, then each role takes its

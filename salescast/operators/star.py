@@ -149,7 +149,7 @@ FACT_SALES_ORDER = ["date", "sales", "onpromotion", "oil_price", "is_holiday", "
 def build_fact_sales(df: DataFrame, dim_product: DataFrame,
                      family_to_category: Mapping | None = None,
                      prices: Mapping | None = None, rates: Mapping | None = None) -> DataFrame:
-    """SB6: keys, money columns (decimal(18,4)), helper columns dropped."""
+    """SB6: keys, money columns (exact decimals), helper columns dropped."""
     fact = (df.select("date", "store_nbr", "family", "sales", "onpromotion", "oil_price",
                       "is_holiday", "transactions")
               .withColumn("date_key", cal.date_key("date"))

@@ -39,7 +39,7 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
 
 def load_all() -> None:
     from salescast.plans import (q_prepare, q_joins, q_aggregates, q_windows,  # noqa: F401
-                                 q_measures, q_forecast, q_ml)
+                                 q_measures, q_forecast, q_ml, q_io)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

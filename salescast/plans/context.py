@@ -10,41 +10,46 @@ once per session and data set instead of once per branch.
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.functions import fixed
-from salescast.operators import joins, star as starmod
+from salescast.operators import star as starmod
 from salescast.session import materialize
 from salescast.sources import testviews
 
 _SHARED: dict[tuple, "Context"] = {}
 
 
-def _fingerprint(sf_dir: str) -> tuple:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, time and length of every file of the tables, as the tables' own
+    file system lists them; nothing is shared where that cannot be asked."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # a Spark Connect session has no JVM handle
+        return (object(),)
     out = []
     for t in testviews.TABLES:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        try:
-            st = os.stat(p)
-            out.append((t, st.st_mtime_ns, st.st_size))
-        except OSError:
-            out.append((t, None, None))
-    return tuple(out)
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getModificationTime(), f.getLen()))
+    return tuple(sorted(out))
 
 
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._models: dict = {}
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Context":
         """One context per (session, data set); rebuilt when files change."""
-        key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, _fingerprint(sf_dir))
+        key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, _fingerprint(spark, sf_dir))
         ctx = _SHARED.get(key)
         if ctx is None:
             ctx = _SHARED[key] = cls(spark, sf_dir)
@@ -80,11 +85,10 @@ class Context:
 
     @cached_property
     def star(self) -> starmod.Star:
-        """Dimensions (small, derived from the written feature table) are
-        cached and broadcast behind a row-count check; the fact is written once."""
+        """Dimensions (derived from the written feature table) and the fact are
+        written once, so that joins are planned from their files' sizes."""
         s = starmod.build_star(self.features, self.family_to_category, self.state_to_region)
-        dims = {n: joins.broadcast_if_small(getattr(s, n).cache())
-                for n in ("dim_date", "dim_store", "dim_product")}
+        dims = {n: materialize(getattr(s, n), self.spark, n) for n in ("dim_date", "dim_store", "dim_product")}
         fact = starmod.build_fact_sales(self.features, dims["dim_product"], self.family_to_category)
         return s.replace(fact_sales=materialize(fact, self.spark, "fact_sales"), **dims)
 
@@ -116,4 +120,13 @@ class Context:
         from salescast.operators.ml import encode, split
         train_raw, test_raw = split.time_split(self.features)
         enc = encode.fit_encoders(train_raw)
-        return encode.prepare(train_raw, enc), encode.prepare(test_raw, enc), enc
+        return (materialize(encode.prepare(train_raw, enc), self.spark, "train"),
+                materialize(encode.prepare(test_raw, enc), self.spark, "test"), enc)
+
+    def fitted(self, name: str):
+        """(model, seconds) of a configuration, fitted once a context on the
+        written training frame."""
+        from salescast.operators.ml import train
+        if name not in self._models:
+            self._models[name] = train.fit(self.model_frames[0], train.CONFIGS[name])
+        return self._models[name]

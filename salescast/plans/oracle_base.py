@@ -52,15 +52,19 @@ def calendar_sql(d: str) -> str:
       CAST(day({d}) <= 5 AS INTEGER) AS is_month_start"""
 
 
+def raw_forecast_sql() -> str:
+    """The rule forecast before noise, clipping and rounding."""
+    return f"""COALESCE({case_map('family', fixed.DEMO_FAMILY_BASE, fixed.DEMO_DEFAULT_BASE, 'DOUBLE')}, 50.0)
+           * (CASE WHEN is_weekend = 1 THEN CAST(1.15 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END)
+           * (CAST(1.0 AS DOUBLE) + CAST(0.15 AS DOUBLE) * sin(CAST({2 * 3.141592653589793!r} AS DOUBLE) * (month - 3) / 12))
+           * (CAST(0.8 AS DOUBLE) + CAST(0.4 AS DOUBLE) * (store_nbr % 10) / 10)"""
+
+
 def forecast_chain(frame: str, p: str) -> str:
     """Rule forecast (noise 0) and forecast fact over a frame CTE."""
     ff = "fact_forecasts" if p == "fc" else "bt_forecasts"
     return f"""{p}_pred AS (
-  SELECT *, round_even(greatest(
-           COALESCE({case_map('family', fixed.DEMO_FAMILY_BASE, fixed.DEMO_DEFAULT_BASE, 'DOUBLE')}, 50.0)
-           * (CASE WHEN is_weekend = 1 THEN CAST(1.15 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END)
-           * (CAST(1.0 AS DOUBLE) + CAST(0.15 AS DOUBLE) * sin(CAST({2 * 3.141592653589793!r} AS DOUBLE) * (month - 3) / 12))
-           * (CAST(0.8 AS DOUBLE) + CAST(0.4 AS DOUBLE) * (store_nbr % 10) / 10), CAST(0.0 AS DOUBLE)), 0) AS predicted_sales,
+  SELECT *, round_even(greatest({raw_forecast_sql()}, CAST(0.0 AS DOUBLE)), 0) AS predicted_sales,
          {category_sql('family')} AS category
   FROM {frame}),
 {p}1 AS (
@@ -166,12 +170,12 @@ dim_product AS (
 fs0 AS (
   SELECT f.date, f.sales, f.onpromotion, f.oil_price, f.is_holiday, f.transactions,
          {date_key_sql('f.date')} AS date_key, f.store_nbr AS store_key, p.product_key,
-         CAST(CAST(f.sales AS DECIMAL(18,4)) * {price_sql(category_sql('f.family'))} AS DECIMAL(18,4)) AS revenue,
+         CAST(CAST(f.sales AS DECIMAL(22,6)) * {price_sql(category_sql('f.family'))} AS DECIMAL(29,8)) AS revenue,
          {category_sql('f.family')} AS category
   FROM features f LEFT JOIN dim_product p ON f.family = p.family),
 fact_sales AS (
   SELECT date, sales, onpromotion, oil_price, is_holiday, transactions, date_key, store_key,
-         product_key, revenue, CAST(revenue * {rate_sql('category')} AS DECIMAL(18,4)) AS margin
+         product_key, revenue, CAST(revenue * {rate_sql('category')} AS DECIMAL(36,10)) AS margin
   FROM fs0),
 sales_star AS (
   SELECT f.*, p.family, p.category, s.city, s.state, s.store_type, s.region, s.cluster,

@@ -26,8 +26,8 @@ SELECT date_key, CAST(SUM(revenue) AS DOUBLE) AS revenue,
        CAST(strptime(CAST(date_key AS VARCHAR), '%Y%m%d') AS DATE) AS date
 FROM fact_sales GROUP BY date_key""")
 def ag2_daily_revenue(ctx):
-    f = ctx.star.fact_sales.withColumn("revenue", F.col("revenue").cast("double"))
-    return an.daily_totals(f.select("date_key", "revenue"), "revenue")
+    d = an.daily_totals(ctx.star.fact_sales.select("date_key", "revenue"), "revenue")
+    return d.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 @query("ag3_daily_forecast", """

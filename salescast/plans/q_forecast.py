@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from salescast.operators import analytics as an
 from salescast.operators import forecast as fc
 from salescast.plans.catalog import query
+from salescast.plans.oracle_base import raw_forecast_sql
 
 LAST_OIL = "(SELECT arg_max(oil_price, date) FROM features)"
 FRAME_COLS = """date, store_nbr, family, onpromotion, city, state, type, cluster, oil_price, is_holiday,
@@ -43,9 +44,18 @@ def fc5_rule_forecast(ctx):
     return f.select("date", "store_nbr", "family", "predicted_sales")
 
 
-@query("fc5_rule_forecast_noisy")
+def uniform_sql(tag):
+    """The oracle's uniform draw: 48 bits of an MD5 of seed, tag and keys."""
+    h = f"md5(concat_ws('|', '42', '{tag}', CAST(date AS VARCHAR), CAST(store_nbr AS VARCHAR), family))"
+    return f"((CAST('0x' || substr({h}, 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656::DOUBLE)"
+
+
+@query("fc5_rule_forecast_noisy", f"""
+SELECT date, store_nbr, family, round_even(greatest(raw * (1.0::DOUBLE + 0.15::DOUBLE * sqrt(-2 * ln({uniform_sql('u')}))
+       * cos(2 * pi() * {uniform_sql('v')})), 0), 0) AS predicted_sales
+FROM (SELECT date, store_nbr, family, {raw_forecast_sql()} AS raw FROM fc_frame)""")
 def fc5_rule_forecast_noisy(ctx):
-    """FC5 with N(1, 0.15) noise from a seeded generator (rows-only check)."""
+    """FC5 with N(1, 0.15) noise drawn from a hash of seed, date, store and family."""
     f = fc.demo_forecast(fc.scoring_frame(ctx.star, ctx.features), noise=0.15, seed=42)
     return f.select("date", "store_nbr", "family", "predicted_sales")
 
@@ -104,12 +114,11 @@ def fc8_explorer_by_category(ctx):
 
 @query("ag12_weekly_actual_revenue", """
 WITH wk AS (SELECT CAST(date_trunc('week', date) AS DATE) + 6 AS date, SUM(revenue) AS r, SUM(sales) AS s
-            FROM fact_sales WHERE date >= DATE '2000-01-01' GROUP BY 1),
+            FROM fact_sales GROUP BY 1),
 spine AS (SELECT CAST(UNNEST(generate_series(CAST(MIN(date) AS TIMESTAMP), CAST(MAX(date) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS date FROM wk)
 SELECT s.date, CAST(COALESCE(r, 0) AS DOUBLE) AS revenue, COALESCE(w.s, 0) AS sales
 FROM spine s LEFT JOIN wk w ON s.date = w.date""")
 def ag12_weekly_actual_revenue(ctx):
-    """AG12 on actuals since 2000: weekly sums, empty weeks as 0."""
-    f = ctx.star.fact_sales.where(F.col("date") >= F.lit("2000-01-01").cast("date"))
-    w = fc.weekly_rollup(f, ("revenue", "sales"))
+    """AG12 on actuals: weekly sums, empty weeks as 0."""
+    w = fc.weekly_rollup(ctx.star.fact_sales, ("revenue", "sales"))
     return w.select("date", F.col("revenue").cast("double"), "sales")

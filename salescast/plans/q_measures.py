@@ -321,15 +321,8 @@ def rl3_user_revenue(ctx):
     spark = ctx.spark
     grants = spark.createDataFrame(GRANTS, "user string, role string")
     roles = sec.roles_frame(spark)
-    out = None
-    for u in USERS:
-        s = sec.secure_for(ctx.forecast_star, u, grants, roles)
-        part = s.fact_sales.agg(F.sum("revenue").cast("double").alias("revenue")).select(
-            F.lit(u).alias("user"), "revenue",
-            s.fact_forecasts.agg(F.sum("predicted_revenue")).scalar().cast("double").alias("forecast_revenue"),
-            s.dim_store.agg(F.count(F.lit(1))).scalar().alias("stores"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    users = spark.createDataFrame([(u,) for u in USERS], "user string")
+    return sec.user_totals(ctx.forecast_star, users, grants, roles)
 
 
 @query("rl4_stores_by_region", "SELECT region, COUNT(*) AS stores FROM dim_store GROUP BY region")

@@ -2,21 +2,20 @@
 
 SQL-expressible operators (encoding, split, metrics, leaderboard of
 statistical baselines, folds, naive, ETS, histogram) have oracles; MLlib
-model fits are checked by rows only.  Registered model queries use small
-iteration counts so the check stays quick; ``ml.train.CONFIGS`` holds the
-full configurations.
+model fits are checked by rows only.  They run the configurations of
+``ml.train.CONFIGS``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salescast.functions import calendar as cal
-from salescast.operators import forecast as fc
+from salescast.operators import clean, forecast as fc
 from salescast.operators.ml import backtest as bt
 from salescast.operators.ml import encode, evaluate as ev, split, train as tr
 from salescast.plans.catalog import query
 from salescast.plans.oracle_base import category_sql
+from salescast.session import materialize
 
 KEYS = ["store_nbr", "family"]
 
@@ -29,14 +28,10 @@ bt_rows AS (
 
 
 def _bt_rows(ctx):
-    s = ctx.backtest_star
-    f = ctx.features.select("date", "store_nbr", "family", F.col("sales").alias("actual"))
     cut = split.cutoff(ctx.features)
     preds = fc.demo_forecast(ctx.features.where(F.col("date") > cut), noise=0.0)
-    j = f.join(preds.select("date", "store_nbr", "family", F.col("predicted_sales").alias("predicted")),
-               ["date", "store_nbr", "family"])
-    from salescast.operators import clean
-    return j.withColumn("category", clean.category_col("family", ctx.family_to_category)), s
+    return preds.select("date", "store_nbr", "family", F.col("sales").alias("actual"), F.col("predicted_sales").alias("predicted"),
+                        clean.category_col("family", ctx.family_to_category).alias("category"))
 
 
 def _metric_sql(y="actual", p="predicted"):
@@ -91,7 +86,7 @@ def ml3_time_split(ctx):
 @query("ml8_holdout_metrics", f"SELECT {_metric_sql()} FROM bt_rows", ctes=BT_ROWS)
 def ml8_holdout_metrics(ctx):
     """ML8: RMSE, MAE, R², NRMSE, MAPE (actual > 0), WAPE, n on the holdout."""
-    rows, _ = _bt_rows(ctx)
+    rows = _bt_rows(ctx)
     return ev.metrics(rows)
 
 
@@ -124,7 +119,7 @@ def _baseline_metrics(ctx):
     naive = bt.seasonal_naive(hist, test, KEYS, 7, origin=cut)
     lvl = bt.ets_level(hist, KEYS, 0.3)
     ets = test.join(lvl, KEYS, "left").withColumnRenamed("level", "predicted")
-    rule, _ = _bt_rows(ctx)
+    rule = _bt_rows(ctx)
     parts = [("SeasonalNaive7", naive), ("ExpSmoothing", ets), ("RuleForecast", rule)]
     out = None
     for name, df in parts:
@@ -175,7 +170,7 @@ def ml7d_seasonal_naive(ctx):
 SELECT round(AVG(actual - predicted), 6) AS mean_residual, round(stddev_samp(actual - predicted), 6) AS std_residual
 FROM bt_rows""", ctes=BT_ROWS)
 def ml12_residual_summary(ctx):
-    rows, _ = _bt_rows(ctx)
+    rows = _bt_rows(ctx)
     return ev.residual_summary(rows)
 
 
@@ -189,7 +184,7 @@ SELECT s.bin, round(lo + (s.bin - 1) * ((hi - lo) / 30), 6) AS lower, round(lo +
 FROM s LEFT JOIN c ON s.bin = c.bin, b""", ctes=BT_ROWS)
 def ml13_residual_histogram(ctx):
     """ML13: 30 equal-width residual bins, empty bins kept."""
-    rows, _ = _bt_rows(ctx)
+    rows = _bt_rows(ctx)
     return ev.histogram(ev.residuals(rows), "residual", 30)
 
 
@@ -200,13 +195,13 @@ SELECT 'weekly', {_metric_sql()} FROM (SELECT CAST(date_trunc('week', date) AS D
        SUM(predicted) AS predicted FROM bt_rows GROUP BY 1)""", ctes=BT_ROWS)
 def ml14_accuracy_by_grain(ctx):
     """ML14: holdout accuracy of daily and weekly totals."""
-    rows, _ = _bt_rows(ctx)
+    rows = _bt_rows(ctx)
     return ev.metrics_by_grain(rows, "daily").unionByName(ev.metrics_by_grain(rows, "weekly"))
 
 
 @query("ml14_accuracy_by_category", f"SELECT category, {_metric_sql()} FROM bt_rows GROUP BY category", ctes=BT_ROWS)
 def ml14_accuracy_by_category(ctx):
-    rows, _ = _bt_rows(ctx)
+    rows = _bt_rows(ctx)
     return ev.metrics_by_grain(rows, "category")
 
 
@@ -247,31 +242,21 @@ SELECT COUNT(*) FILTER (WHERE abs(residual) > 2 * sd) AS deviations, COUNT(*) AS
 FROM r JOIN s USING (store_nbr, family)""", ctes=BT_ROWS)
 def ml17_deviation_flags(ctx):
     """ML17: residuals beyond 2 per-series standard deviations."""
-    rows, _ = _bt_rows(ctx)
+    rows = _bt_rows(ctx)
     flagged = ev.deviation_flags(rows, KEYS, 2.0)
     return flagged.agg(F.count_if(F.col("is_deviation")).alias("deviations"), F.count(F.lit(1)).alias("rows"))
 
 
 # --- MLlib models (rows-only) ---------------------------------------------------
-SMALL = {
-    "GBT": dict(kind="gbt", maxIter=20, stepSize=0.1, maxDepth=6, subsamplingRate=0.8,
-                featureSubsetStrategy="0.8", minInstancesPerNode=50),
-    "RandomForest": dict(kind="rf", numTrees=20, maxDepth=10, minInstancesPerNode=20, seed=42),
-    "ElasticNet": dict(kind="lr", regParam=1.0, elasticNetParam=0.5, maxIter=100, tol=1e-4),
-    "DecisionTree": dict(kind="dt", maxDepth=8, minInstancesPerNode=20),
-}
-
 
 def _prepared(ctx):
     return ctx.model_frames
 
 
 def _holdout_metrics(ctx, name):
-    train, test, _ = _prepared(ctx)
-    model, secs = tr.fit(train, SMALL[name])
-    scored = tr.predict(model, test).select(F.col("sales").alias("actual"),
-                                            cal.post_process("prediction").alias("predicted"))
-    return ev.metrics(scored).select(F.lit(name).alias("model"), "*", F.lit(round(secs, 3)).alias("training_time"))
+    _, test, _ = _prepared(ctx)
+    model, secs = ctx.fitted(name)
+    return ev.metrics(tr.evaluated(model, test)).select(F.lit(name).alias("model"), "*", F.lit(round(secs, 3)).alias("training_time"))
 
 
 @query("ml4_gbt_holdout")
@@ -280,6 +265,12 @@ def ml4_gbt_holdout(ctx):
     return _holdout_metrics(ctx, "GBT")
 
 
+@query("ml5_second_booster_holdout")
+def ml5_second_booster_holdout(ctx):
+    """ML5: the second boosted configuration, holdout metrics."""
+    return _holdout_metrics(ctx, "GBT-2")
+
+
 @query("ml6_random_forest_holdout")
 def ml6_random_forest_holdout(ctx):
     return _holdout_metrics(ctx, "RandomForest")
@@ -298,26 +289,26 @@ def ml7b_decision_tree_holdout(ctx):
 @query("ml11_feature_importance")
 def ml11_feature_importance(ctx):
     """ML11: normalised importances of a fitted forest (20 rows)."""
-    train, _, _ = _prepared(ctx)
-    model, _ = tr.fit(train, SMALL["RandomForest"])
+    model, _ = ctx.fitted("RandomForest")
     return tr.importance(ctx.spark, model)
 
 
 @query("ml16_model_search")
 def ml16_model_search(ctx):
-    """ML16 / ML5 / ML9: candidate search on the holdout, ranked by NRMSE."""
-    train, test, _ = _prepared(ctx)
-    cands = {"GBT-a": SMALL["GBT"], "GBT-b": dict(SMALL["GBT"], maxDepth=4, minInstancesPerNode=20),
-             "ElasticNet": SMALL["ElasticNet"], "DecisionTree": SMALL["DecisionTree"]}
-    return bt.search(train, test, cands, parallelism=2)
+    """ML16 / ML9: all configurations on the holdout, ranked by NRMSE."""
+    out = None
+    for name in tr.CONFIGS:
+        m = _holdout_metrics(ctx, name)
+        out = m if out is None else out.unionByName(m)
+    return ev.leaderboard(out)
 
 
 @query("fc3_model_forecast")
 def fc3_model_forecast(ctx):
     """FC3 + FC4 + FC6: score the next 90 days with a fitted model (unseen
     categories -> 0, NaN -> NULL), clip, round, build the forecast fact."""
-    train, _, enc = _prepared(ctx)
-    model, _ = tr.fit(train, SMALL["DecisionTree"])
+    _, _, enc = _prepared(ctx)
+    model, _ = ctx.fitted("DecisionTree")
     frame = fc.scoring_frame(ctx.star, ctx.features, transactions="profile")
     scored = fc.score(model, encode.prepare(frame.withColumnRenamed("family", "__family")
                                             .withColumn("family", F.col("__family")), enc))
@@ -342,8 +333,8 @@ def st1_stream_scoring(ctx):
     from salescast.session import shared_folder
     from salescast.streaming import scoring
     spark = ctx.spark
-    train, _, enc = _prepared(ctx)
-    model, _ = tr.fit(train, SMALL["DecisionTree"])
+    _, _, enc = _prepared(ctx)
+    model, _ = ctx.fitted("DecisionTree")
     run = f"{shared_folder(spark).rstrip('/')}/salescast-stream/{uuid.uuid4().hex}"
     frame = fc.scoring_frame(ctx.star, ctx.features, transactions="profile")
     frame.select(*[f.name for f in scoring.REQUEST_SCHEMA.fields]).write.parquet(f"{run}/requests")
@@ -359,8 +350,8 @@ def ml16_rolling_origin_search(ctx):
     90), ranked by mean NRMSE — the cloud model search re-aimed as Spark jobs."""
     def prep(train_raw, test_raw):
         enc = encode.fit_encoders(train_raw)
-        return encode.prepare(train_raw, enc), encode.prepare(test_raw, enc)
-    cands = {"DecisionTree": SMALL["DecisionTree"], "ElasticNet": dict(SMALL["ElasticNet"], maxIter=30)}
+        return tuple(materialize(encode.prepare(x, enc), ctx.spark, "fold") for x in (train_raw, test_raw))
+    cands = {k: tr.CONFIGS[k] for k in ("DecisionTree", "ElasticNet")}
     return bt.cv_search(ctx.features, cands, prep, folds=3, horizon=90, parallelism=3)
 
 
@@ -368,8 +359,7 @@ def ml16_rolling_origin_search(ctx):
 def ml14_model_accuracy_by_grain(ctx):
     """ML14 for a fitted model: holdout accuracy of daily and weekly totals
     (the grain of the published daily / weekly MAPE and R²)."""
-    train, test, _ = _prepared(ctx)
-    model, _ = tr.fit(train, SMALL["GBT"])
-    scored = tr.predict(model, test).select("date", F.col("sales").alias("actual"),
-                                            cal.post_process("prediction").alias("predicted"))
+    _, test, _ = _prepared(ctx)
+    model, _ = ctx.fitted("GBT")
+    scored = tr.evaluated(model, test, keep=["date"])
     return ev.metrics_by_grain(scored, "daily").unionByName(ev.metrics_by_grain(scored, "weekly"))

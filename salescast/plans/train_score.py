@@ -20,10 +20,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.functions import calendar as cal
 from salescast.functions import fixed
 from salescast.operators import forecast as fc
 from salescast.operators.ml import encode, evaluate as ev, split, train as tr
+from salescast.session import materialize
 from salescast.sources import io
 
 
@@ -34,27 +34,27 @@ def train_and_forecast(spark: SparkSession, features: DataFrame, star, out_dir:
     candidates = candidates or {k: v for k, v in tr.CONFIGS.items()}
     train_raw, test_raw = split.time_split(features)
     enc = encode.fit_encoders(train_raw)
-    train, test = encode.prepare(train_raw, enc), encode.prepare(test_raw, enc)
+    train, test = (materialize(encode.prepare(x, enc), spark, "model-frame") for x in (train_raw, test_raw))
 
-    models, rows = {}, None
+    rows = []
     for name, cfg in candidates.items():
         model, secs = tr.fit(train, cfg)
-        models[name] = model
-        scored = tr.predict(model, test).select(F.col("sales").alias("actual"),
-                                                cal.post_process("prediction").alias("predicted"))
-        m = ev.metrics(scored).select(F.lit(name).alias("model"), "*", F.lit(round(secs, 3)).alias("training_time"))
-        rows = m if rows is None else rows.unionByName(m)
-    lb = ev.leaderboard(rows).orderBy("rank")
-    lb = lb.coalesce(1).cache()   # one row per candidate
+        m = ev.metrics(tr.evaluated(model, test)).select(F.lit(name).alias("model"), "*", F.lit(round(secs, 3)).alias("training_time"))
+        rows.append(m.first())  # one row per candidate
+        io.save_model(model, f"{root}/candidates/{name}")
+        schema = m.schema
+    lb = ev.leaderboard(spark.createDataFrame(rows, schema)).orderBy("rank").coalesce(1).cache()
     io.write_csv(lb.drop("is_best"), f"{root}/leaderboard")
     n_rows = features.agg(F.count(F.lit(1))).scalar()
     io.write_results(io.results_frame(lb, device, n_rows), f"{root}/training_results")
     best = lb.where(F.col("rank") == 1).select("model").first()["model"]
-    io.save_model(models[best], f"{root}/models/{best}")
+    model = io.load_model(f"{root}/candidates/{best}")
+    io.save_model(model, f"{root}/models/{best}")
+    encode.save(enc, f"{root}/models/{best}-encoders")
 
     frame = fc.scoring_frame(star, features, horizon, transactions="profile")
     prepared = encode.prepare(frame.withColumn("__family", F.col("family")), enc)
-    scored = fc.score(models[best], prepared).drop("family").withColumnRenamed("__family", "family")
+    scored = fc.score(model, prepared).drop("family").withColumnRenamed("__family", "family")
     ff = fc.fact_forecasts(scored, star.dim_product, family_to_category)
     fc.export_forecasts(ff, f"{root}/forecasts")
     return {"best_model": best, "leaderboard": lb, "fact_forecasts": spark.read.parquet(
@@ -73,11 +73,10 @@ def rule_forecast(spark: SparkSession, features: DataFrame, star, out_dir: str,
 
 def score_with_model(spark: SparkSession, features: DataFrame, star, model_dir: str, out_dir: str,
                      horizon: int = fixed.FORECAST_HORIZON_DAYS, family_to_category=None) -> DataFrame:
-    """Score the next ``horizon`` days with a saved model (encoders refitted
-    on the feature table, the same codes the training side produced)."""
+    """Score the next ``horizon`` days with a saved model and the code tables
+    that were saved with it, whatever has been added to the features since."""
     model = io.load_model(model_dir)
-    train_raw, _ = split.time_split(features)
-    enc = encode.fit_encoders(train_raw)
+    enc = encode.load(spark, f"{model_dir.rstrip('/')}-encoders")
     frame = fc.scoring_frame(star, features, horizon, transactions="profile")
     prepared = encode.prepare(frame.withColumn("__family", F.col("family")), enc)
     scored = fc.score(model, prepared).drop("family").withColumnRenamed("__family", "family")
@@ -93,7 +92,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
 
     from salescast.plans.prepare import load_star
-    from salescast.session import get_session
+    from salescast.session import get_session, size_shuffles
 
     ap = argparse.ArgumentParser(prog="salescast.plans.train_score")
     ap.add_argument("command", choices=["train", "score"])
@@ -105,6 +104,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = get_session()
+    size_shuffles(spark, [args.processed_dir])
     features = spark.read.parquet(f"{args.processed_dir.rstrip('/')}/features")
     star = load_star(spark, f"{args.processed_dir.rstrip('/')}/star")
     if args.command == "train":

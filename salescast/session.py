@@ -10,11 +10,12 @@ SQL oracle.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
-# Settings every session of this engine wants.  Shuffle partitions are sized
-# for the local machine; on a cluster pass the cluster's value via ``conf``.
+# Runtime settings every session of this engine wants.  They are applied only
+# where the session was submitted without a value of its own.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,23 +23,19 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
 
-def sizing(input_bytes: int, total_cores: int, target_bytes: int = 256 * 1024 * 1024,
-           max_partitions: int = 200_000) -> dict[str, str]:
+def sizing(input_bytes: int, total_cores: int, target_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle sizing for a job reading ``input_bytes`` on ``total_cores``.
 
     The initial shuffle partition count aims at ``target_bytes`` of input per
-    partition (at least two waves of tasks, at most ``max_partitions``); AQE
-    then coalesces small partitions to the advisory size and splits skewed
+    partition (at least two waves of tasks); AQE then coalesces small partitions to the advisory size and splits skewed
     ones, so the count is an upper bound rather than a guess that must fit.
     """
-    n = max(2 * total_cores, min(max_partitions, -(-input_bytes // target_bytes)))
+    n = max(2 * total_cores, -(-input_bytes // target_bytes))
     return {"spark.sql.shuffle.partitions": str(n),
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n)}
 
@@ -57,22 +54,41 @@ def input_bytes(paths) -> int:
 
 def get_session(master: str | None = None, app: str = "salescast",
                 conf: dict | None = None) -> SparkSession:
+    """A session with ``conf`` and, where neither ``conf`` nor the submission
+    set them, the engine's defaults.  Without ``master`` nothing about the
+    cluster, its memory or its partitions is touched."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
-    settings.setdefault("spark.sql.shuffle.partitions", "8")
-    settings.setdefault("spark.driver.memory", "8g")
-    settings.update(conf or {})
-    for k, v in settings.items():
+        if master.startswith("local"):
+            builder = (builder.config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+                       .config("spark.ui.showConsoleProgress", "false"))
+    for k, v in (conf or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     sc = _context(spark)
     if sc is not None:
         sc.setLogLevel("ERROR")
+        for k, v in DEFAULT_CONF.items():
+            if k not in (conf or {}) and not sc.getConf().contains(k):
+                spark.conf.set(k, v)
     return spark
 
 
+def size_shuffles(spark: SparkSession, paths) -> None:
+    """Sets the number of shuffle partitions from the bytes under ``paths``,
+    unless the session was submitted with one."""
+    sc = _context(spark)
+    if sc is None or sc.getConf().contains("spark.sql.shuffle.partitions"):
+        return
+    total = 0
+    for p in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    for k, v in sizing(total, sc.defaultParallelism).items():
+        spark.conf.set(k, v)
+
+
 def materialize(df, spark: SparkSession | None = None, name: str = "table"):
     """Cut lineage of an intermediate that several plans reuse by writing it
     as a Parquet table under the shared checkpoint folder and reading it back
@@ -89,7 +105,7 @@ def materialize(df, spark: SparkSession | None = None, name: str = "table"):
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a local one is installed only when
     none is configured (tests, local runs)."""
-    return checkpoint_dir(spark, None if _configured(spark) else _local_fallback())
+    return checkpoint_dir(spark, None if _configured(spark) else _local_fallback(spark))
 
 
 def _context(spark: SparkSession):
@@ -105,9 +121,13 @@ def _configured(spark: SparkSession) -> bool:
     return bool(spark.conf.get("spark.checkpoint.dir", None) or (sc is not None and sc.getCheckpointDir()))
 
 
-def _local_fallback() -> str:
-    """Only for local runs and tests, where no shared folder is configured."""
+def _local_fallback(spark: SparkSession) -> str:
+    """Only for local runs and tests, where no shared folder is configured; on
+    a cluster, executors would write to disks of their own."""
     import tempfile
+    sc = _context(spark)
+    if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="salescast-checkpoints-")
 
 

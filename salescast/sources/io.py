@@ -86,17 +86,36 @@ def write_star(star, path: str, features: DataFrame | None = None) -> None:
             continue
         if name.startswith("fact_"):
             df = df.withColumn("year", F.year("date"))
-            write_parquet(df.repartition("year", "date_key"), f"{root}/{name}", ["year"])
+            write_parquet(by_year(df, "date_key"), f"{root}/{name}", ["year"])
         else:
             write_parquet(df, f"{root}/{name}")
     if features is not None:
-        write_parquet(features, f"{root}/features", ["year"])
+        write_parquet(by_year(features, "date"), f"{root}/features", ["year"])
+
+
+def write_star_csv(star, path: str, features: DataFrame | None = None) -> None:
+    """IO4, CSV form: one folder per table, and the flat training table."""
+    root = path.rstrip("/")
+    for name, df in {**star.tables(), "features": features}.items():
+        if df is not None:
+            write_csv(df, f"{root}/{name}.csv")
+
+
+def by_year(df: DataFrame, order: str) -> DataFrame:
+    """Rows brought together by year in partitions of about the advisory size
+    (a year that is larger is split over several), sorted by ``order``."""
+    return df.hint("rebalance", "year").sortWithinPartitions("year", order)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def sample_n(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame:
-    """IO5: ``min(n, rows)`` rows chosen by a seeded hash of the keys — a
+    """IO5: ``min(n, rows)`` rows chosen by an MD5 of the seed and the keys — a
     deterministic top-n (TakeOrderedAndProject keeps n rows per task)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), *keys).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)
 
 
 RESULTS_SCHEMA = T.StructType([

@@ -26,6 +26,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescast.session import materialize
+
 # Categories in the order of the price table; the test view assigns brands to
 # them by rule, leaving the last two brands unmapped (they fall to "Other").
 CATEGORIES = ["Grocery", "Fresh", "Frozen", "Bakery", "Household", "Personal Care",
@@ -84,9 +86,9 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(supplier, li.l_suppkey == supplier.s_suppkey))
 
 
-def raw_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_train(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("family"))
-    lines = _order_lines(spark, sf_dir)
+    lines = _order_lines(spark, sf_dir) if lines is None else lines
     lines = lines.join(part, lines.l_partkey == part.p_partkey)
     return (lines.groupBy("date", "store_nbr", "family")
                  .agg(F.sum("l_quantity").alias("sales"),
@@ -122,13 +124,14 @@ def raw_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("o_orderpriority") == "5-LOW").alias("transferred")))
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _order_lines(spark, sf_dir)
+def raw_transactions(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = _order_lines(spark, sf_dir) if lines is None else lines
     return (lines.groupBy("date", "store_nbr")
                  .agg(F.countDistinct("o_orderkey").cast("int").alias("transactions")))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(train=raw_train(spark, sf_dir), stores=raw_stores(spark, sf_dir),
+    lines = materialize(_order_lines(spark, sf_dir).drop("l_suppkey", "s_suppkey"), spark, "order-lines")
+    return RawTables(train=raw_train(spark, sf_dir, lines), stores=raw_stores(spark, sf_dir),
                      oil=raw_oil(spark, sf_dir), holidays=raw_holidays(spark, sf_dir),
-                     transactions=raw_transactions(spark, sf_dir))
+                     transactions=raw_transactions(spark, sf_dir, lines))

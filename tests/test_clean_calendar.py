@@ -120,3 +120,10 @@ def test_money_text(spark):
     df = spark.createDataFrame([(1234567890.0,)], "x double")
     r = df.select(cal.money_text("x", "B", 2).alias("t"), cal.percent_text(F.lit(0.2635)).alias("p")).first()
     assert r.t == "$1.23B" and r.p == "26.35%"
+
+
+def test_revenue_and_margin_are_not_rounded(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(0.123456, "Grocery")], "sales double, category string")
+    r = clean.add_revenue_margin(df, prices={"Grocery": 3.37}, rates={"Grocery": 0.19}).first()
+    assert r.revenue == Decimal("0.123456") * Decimal("3.37") and r.margin == r.revenue * Decimal("0.19")

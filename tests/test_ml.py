@@ -117,20 +117,44 @@ def test_mllib_fit_and_score(spark):
     rows = [(float(i % 7), float(i % 3), float(2 * (i % 7) + (i % 3))) for i in range(300)]
     df = spark.createDataFrame(rows, "a double, b double, sales double")
     model, secs = tr.fit(df, dict(kind="dt", maxDepth=6), cols=["a", "b"])
+    assert tr.CONFIGS["RandomForest"]["featureSubsetStrategy"] == "all"
     pred = tr.predict(model, df).agg(F.max(F.abs(F.col("prediction") - F.col("sales")))).first()[0]
     assert pred < 1e-6 and secs >= 0
     imp = tr.importance(spark, model, ["a", "b"]).collect()
     assert abs(sum(r.importance for r in imp) - 1.0) < 1e-9 and imp[0].feature == "a"
 
 
-def test_gbt_early_stopping_and_seeded_sample(spark):
+def test_gbt_early_stopping_and_bins_from_the_codes(spark):
     from salescast.operators.ml import train as tr
     rows = [(day(i), float(i % 7), float(i % 3), float(2 * (i % 7) + (i % 3))) for i in range(400)]
     df = spark.createDataFrame(rows, "date date, a double, b double, sales double")
     model, _ = tr.fit(df, dict(kind="gbt", maxIter=50, maxDepth=3, validation_days=30, validationTol=0.01),
                       cols=["a", "b"])
     assert model.stages[-1].getNumTrees <= 50
-    m1, _ = tr.fit(df, dict(kind="dt", maxDepth=3, sample_fraction=0.5), cols=["a", "b"])
-    m2, _ = tr.fit(df, dict(kind="dt", maxDepth=3, sample_fraction=0.5), cols=["a", "b"])
-    body = lambda m: m.stages[-1].toDebugString.split("\n", 1)[1]   # drop the uid header
-    assert body(m1) == body(m2)   # seeded: same sample, same tree
+    codes = spark.createDataFrame([(float(i), 0.0) for i in range(200)], "city double, family double")
+    assert tr.bins(codes, ["city", "family"]) == 201 and tr.bins(codes.limit(3), ["city", "family"]) == 64
+
+
+def test_metrics_use_clipped_unrounded_predictions(spark):
+    from salescast.operators.ml import train as tr
+    df = spark.createDataFrame([(float(i % 2), float(i % 2) * 0.25 - 0.1) for i in range(40)], "a double, sales double")
+    model, _ = tr.fit(df, dict(kind="dt", maxDepth=2), cols=["a"])
+    got = {round(r.predicted, 6) for r in tr.evaluated(model, df).collect()}
+    assert got == {0.0, 0.15}
+
+
+def test_fold_frames_equal_the_tagged_rows(spark):
+    df = spark.createDataFrame([(day(i),) for i in range(300)], "date date")
+    tagged = bt.rolling_origin(df, 3, 90)
+    for k in (1, 2, 3):
+        for role, got in zip(("train", "test"), bt.fold_frames(df, k, 3, 90)):
+            want = tagged.where((F.col("fold") == k) & (F.col("role") == role)).select("date")
+            assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_saved_encoders_keep_their_codes(spark, tmpdir_path):
+    train = spark.createDataFrame([("Quito",), ("Loja",)], "city string")
+    encode.save({"city": encode.label_codes(train, "city")}, tmpdir_path)
+    kept = encode.load(spark, tmpdir_path, ["city"])
+    more = spark.createDataFrame([("Ambato",), ("Loja",), ("Quito",)], "city string")  # a new first city
+    assert [r.city for r in encode.encode(more, kept).orderBy("city").collect()] == [0, 0, 1]
