@@ -58,7 +58,7 @@ HITS = 5
 TASK_UNITS = 400_000
 
 #: Byte -> 6-bit symbol: letters, digits, and the bytes beyond ASCII by rule; 0 is the mark.
-SYMBOL = np.zeros(256, np.int64)
+SYMBOL = np.zeros(256, np.uint32)
 SYMBOL[97:123] = np.arange(1, 27)
 SYMBOL[48:58] = np.arange(27, 37)
 SYMBOL[128:] = 37 + np.arange(128) % 27
@@ -114,21 +114,22 @@ class Units:
 
 
 def occurrences(symbol: np.ndarray, unit: np.ndarray):
-    """(positions, feature numbers, weight) of each pattern, within units."""
-    n = len(symbol)
-    for p in PATTERNS:
+    """For each pattern: the feature number at each position, whether the
+    pattern stays within a unit there, and its weight."""
+    n, within = len(symbol), {}
+    for k, p in enumerate(PATTERNS):
         reach = p[-1]
         if n <= reach:
             continue
-        here = np.flatnonzero(unit[:-reach] == unit[reach:])
-        code = symbol[here]
+        if reach not in within:
+            within[reach] = unit[:-reach] == unit[reach:]
+        code = symbol[:n - reach] + np.uint32(len(p) << 6)  # patterns of as many bytes share features
         for off in p:
-            code = (code << 6) | symbol[here + off]
-        if len(p) == 2:
-            code = (code * 4 + 1) & ((1 << TABLE_BITS) - 1)
-        else:
-            code = ((code % 0x7FFFFFFF * 0x9E3779B1 + 0x7F4A7C15) >> 7) & ((1 << TABLE_BITS) - 1)
-        yield here, code, DECAY ** (reach + 1)
+            code = code * np.uint32(0x01000193)
+            code += symbol[off: n - reach + off]
+        code *= np.uint32(0x9E3779B1)
+        code >>= np.uint32(32 - TABLE_BITS)
+        yield code, within[reach], DECAY ** (reach + 1)
 
 
 def norms(most: int) -> np.ndarray:
@@ -143,11 +144,10 @@ def norms(most: int) -> np.ndarray:
 def score_units(u: Units, weights: np.ndarray, bias: float) -> np.ndarray:
     """Decision of the machine for each unit."""
     symbol, unit, length = marked(u)
-    total = np.zeros(len(length))
-    for here, code, weight in occurrences(symbol, unit):
-        got = weights[code]
-        use = np.flatnonzero(got)
-        total += weight * np.bincount(unit[here[use]], got[use], minlength=len(length))
+    total, used = np.zeros(len(length)), weights != 0
+    for code, within, weight in occurrences(symbol, unit):
+        at = np.flatnonzero(used[code] & within)
+        total += weight * np.bincount(unit[at], weights[code[at]], minlength=len(length))
     return total / norms(int(length.max()) if len(length) else 0)[length] + bias
 
 
@@ -155,9 +155,9 @@ def marked(u) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all units with their marks, the unit of each, and lengths."""
     length = u.end - u.start
     full = length + 2
-    symbol = np.zeros(int(full.sum()), np.int64)
+    symbol = np.zeros(int(full.sum()), np.uint32)
     symbol[_spread(np.cumsum(full) - full + 1, length)] = SYMBOL[u.bytes[_spread(u.start, length)]]
-    return symbol, np.repeat(np.arange(len(length)), full), full
+    return symbol, np.repeat(np.arange(len(length), dtype=np.int32), full), full
 
 
 def _spread(start, length):
@@ -282,7 +282,7 @@ def train(positive: list[str], negative: list[str], frequent: int | None = None)
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     symbol, unit, length = marked(_Column(units))
     scale = norms(int(length.max()))[length]
-    found = [(unit[here], code, np.full(len(here), w)) for here, code, w in occurrences(symbol, unit)]
+    found = [(unit[:len(code)][within], code[within], np.full(int(within.sum()), w)) for code, within, w in occurrences(symbol, unit)]
     row, code, value = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(row, kind="stable")
     row, code, value = row[order], code[order], value[order] / scale[row[order]]

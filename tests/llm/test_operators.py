@@ -416,25 +416,25 @@ def test_cutoffs_are_certified_by_stratum(spark):
 
 def brute_kernel(s, t):
     def feats(x):
-        sym, out = [int(toxicity.SYMBOL[b]) for b in x], collections.Counter()
+        sym, out = [0, *(int(toxicity.SYMBOL[b]) for b in x), 0], collections.Counter()
         for p in toxicity.PATTERNS:
             for i in range(len(sym) - p[-1]):
                 out[(sym[i], *(sym[i + o] for o in p))] += toxicity.DECAY ** (p[-1] + 1)
         return out
     a, b = feats(s), feats(t)
-    g = toxicity.norms(max(len(s), len(t), 1))
-    return sum(v * b[k] for k, v in a.items()) / (g[len(s)] * g[len(t)])
+    g = toxicity.norms(max(len(s), len(t)) + 2)
+    return sum(v * b[k] for k, v in a.items()) / (g[len(s) + 2] * g[len(t) + 2])
 
 
 def test_kernel_equals_brute_force():
     units = [b"idiot", b"idxiot", b"moron", b"scum", "é1été".encode(), b"abcabcab", b"ab"]
-    col = toxicity._Column(units)
-    unit = np.repeat(np.arange(len(units)), col.end - col.start)
+    symbol, unit, length = toxicity.marked(toxicity._Column(units))
     dense = np.zeros((len(units), 1 << toxicity.TABLE_BITS))
-    for here, code, w in toxicity.occurrences(toxicity.SYMBOL[col.bytes], unit):
-        np.add.at(dense, (unit[here], code), w)
+    for code, within, w in toxicity.occurrences(symbol, unit):
+        at = np.flatnonzero(within)
+        np.add.at(dense, (unit[at], code[at]), w)
     g = toxicity.norms(20)
-    got = dense @ dense.T / np.outer(g[[len(u) for u in units]], g[[len(u) for u in units]])
+    got = dense @ dense.T / np.outer(g[length], g[length])
     want = np.array([[brute_kernel(s, t) for t in units] for s in units])
     assert np.allclose(got, want, atol=1e-9)
     assert got[0, 1] > 0.3 > got[0, 2]
