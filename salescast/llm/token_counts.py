@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescast.llm import text as tx
+from salescast.session import materialize
 
 CACHE = T.StructType([T.StructField("tokenizer", T.StringType()), T.StructField("digest", T.StringType()),
                       T.StructField("n_tokens", T.LongType())])
@@ -79,10 +80,13 @@ def count(docs: DataFrame, cache: str, tokenizer: str, doc_id: str = "doc_id", t
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), F.sha2(body.cast("binary"), 256).alias("digest"))
     known = read_cache(spark, cache).where(F.col("tokenizer") == own).select("digest")
-    misses = keyed.select("digest", "text").join(known, "digest", "left_anti").dropDuplicates(["digest"])
+    # copies are dropped within each task before the shuffle, and then among tasks
+    misses = keyed.select("digest", "text").dropDuplicates(["digest"]).join(known, "digest", "left_anti")
     counted = misses.mapInArrow(lambda b: _count(b, tokenizer), T.StructType(CACHE.fields[1:]))
     counted.select(F.lit(own).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
-    # two writers may have added the same text; both counted the same
+    # two writers may have added the same text; both counted the same.  Written, so that
+    # the join below has no aggregate in its stages and Spark can split a hot digest
     found = read_cache(spark, cache).where(F.col("tokenizer") == own).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    found = materialize(found, spark, "token-counts")
     sized = keyed.select("doc_id", "digest", F.octet_length("text").cast("bigint").alias("n_bytes"))
     return sized.join(found, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
