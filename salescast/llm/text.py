@@ -1,7 +1,7 @@
 """Shared text helpers: word splitting, columnar byte scans, row annotation.
 
 Everything that runs inside a task works on Arrow batches cut into pieces of a
-few megabytes of text (a longer single text is a piece of its own), so memory
+couple of megabytes of text (a longer single text is a piece of its own), so memory
 follows the longest text and never the number of rows.
 """
 
@@ -26,7 +26,7 @@ LOWER[65:91] += 32
 IS_PLAIN = np.zeros(256, dtype=bool)
 IS_PLAIN[48:58] = IS_PLAIN[97:123] = IS_PLAIN[128:] = True
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def lower_ascii(text: Column) -> Column:
