@@ -2,21 +2,21 @@
 
 A text is the UTF-8 bytes of its lower-cased words, each followed by a space,
 and one end symbol.  The tree's nodes are contexts of up to ``depth`` symbols.
-A context is retained if its share of all training symbols is at least
-``p_min`` and its next-symbol distribution diverges from that of its longest
+A context is retained if it has at least ``least`` training occurrences, a
+fixed number, and its next-symbol distribution diverges from that of its longest
 proper suffix, by a likelihood-ratio test and by at least ``divergence`` nats;
 suffixes of retained contexts are retained too.  Distributions are smoothed
 towards the suffix's (Witten-Bell), and a symbol is scored in the longest
 retained suffix of what precedes it.
 
-All counts are over all training texts.  ``p_min`` bounds what is broadcast: at
-most depth / p_min contexts; symbols of a context are stored from a share of
-``stored`` on (rarer ones are reached through the suffix), so at most 1 / stored
-a length: under 500 MB with the defaults, a few MB on real text.  The bounds
-are shares of the corpus, so the tree's size does not follow the corpus.  Word counts, whose number has no
-bound, are joined: words with at least ``frequent`` of all tokens (at most
-1 / frequent of them) are looked up in a broadcast, which also takes the
-hottest keys out of the join, and the rest go through a shuffle by word.
+All counts are over all training texts, and the tree grows with them: it is a
+written table, never held by one process.  A table of each distinct (context,
+symbol) of all texts, scored or learned from, gets its probability by one join a
+context length.  Those with at least ``hot`` of all symbols (at most 1 / hot of
+them), like words with at least ``frequent`` of all tokens, are looked up in a
+broadcast, which takes the hottest keys out of the join; the rest go through
+a shuffle by word or (context, symbol).  The two shares choose the path only:
+results don't depend on them.
 """
 
 from __future__ import annotations
@@ -34,12 +34,15 @@ from salescast.llm import text as tx
 from salescast.session import materialize
 
 DEPTH = 5
-P_MIN, STORED, DIVERGENCE = 1e-6, 1.5e-7, 0.002
-FREQUENT = 1e-6
+LEAST, DIVERGENCE = 2, 0.002
+FREQUENT, HOT = 1e-6, 2e-7
+#: Join key of rows that are not of a (context, symbol).
+NO_GRAM = -1
 END, GAP = b"\n", b" "
 #: Words and n-grams that a task gathers before it emits them.
 TASK_WORDS, TASK_GRAMS = 400_000, 3_000_000
 MEMO_BITS = 21
+NO_KEYS, NO_SUMS = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
 
 
 def symbols(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -62,7 +65,8 @@ def symbols(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, lis
 
 
 def _gather(batches, depth):
-    """Counts of words and of (context, symbol), gathered within the task."""
+    """Training counts of words, and of each (context, symbol) its training
+    count and its count in all texts, gathered within the task."""
     counts, keys, sums = Counter(), [], []
 
     def rows(words, grams, n):
@@ -70,25 +74,31 @@ def _gather(batches, depth):
         return pa.RecordBatch.from_arrays([
             pa.array([w.decode("utf-8", "replace") for w in words] + [None] * len(grams), pa.string()),
             pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(grams.astype(np.int64))]),
-            pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.array(n, pa.int64())])], names=["word", "gram", "n"])
+            pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.array(n[:, 0])]),
+            pa.concat_arrays([pa.array([0] * k, pa.int64()), pa.array(n[:, 1])])], names=["word", "gram", "n", "m"])
 
     def folded():
-        key, n = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(sums or [np.zeros(0, np.int64)])
+        key, n = np.concatenate([NO_KEYS, *keys]), np.concatenate([NO_SUMS, *sums])
         order = np.argsort(key, kind="stable")
         key, n = key[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        return key[first], np.add.reduceat(n, first) if len(key) else n
+        return key[first], np.add.reduceat(n, first, axis=0) if len(key) else n
 
     for batch in batches:
         for piece in tx.pieces(batch, "text"):
             texts = [(t or "").encode() for t in piece.column(0).to_pylist()]
-            grams, _, split = symbols(texts, depth)
-            for ws in split:
-                counts.update(ws)
-            counts[END] += len(texts)
-            key, n = np.unique(grams, return_counts=True)
+            held = np.array(piece.column(1).to_pylist(), bool)
+            grams, lengths, split = symbols(texts, depth)
+            for ws, skip in zip(split, held):
+                if not skip:
+                    counts.update(ws)
+                    counts[END] += 1
+            key, m = np.unique(grams, return_counts=True)
+            n = m.copy()
+            key_held, n_held = np.unique(grams[np.repeat(held, lengths)], return_counts=True)
+            n[np.searchsorted(key, key_held)] -= n_held
             keys.append(key)
-            sums.append(n)
+            sums.append(np.stack([n, m], axis=1))
             if sum(map(len, keys)) > TASK_GRAMS:
                 key, n = folded()
                 keys, sums = [key], [n]
@@ -96,15 +106,16 @@ def _gather(batches, depth):
                     yield rows({}, key, n)
                     keys, sums = [], []
             if len(counts) > TASK_WORDS:
-                yield rows(counts, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                yield rows(counts, NO_KEYS, NO_SUMS)
                 counts = Counter()
     yield rows(counts, *folded())
 
 
 @dataclass
 class Tree:
-    """Per context length: sorted (context, symbol) keys with log10
-    probabilities, and sorted contexts with the log10 weight of the suffix."""
+    """The tree in memory, for small inputs and as the reference of
+    ``probabilities``.  Per context length: sorted (context, symbol) keys with
+    log10 probabilities, and sorted contexts with the log10 weight of the suffix."""
     depth: int
     keys: list
     logp: list
@@ -136,34 +147,59 @@ def _find(keys, wanted):
     return at, keys[at] == wanted
 
 
-def retained(grams: DataFrame, depth: int, p_min: float, divergence: float, stored: float = STORED) -> DataFrame:
-    """(k, ctx, sym, n, tot) of the retained contexts of each length k."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(2.0, p_min * total)
-    levels = None
-    for k in range(depth + 1):
-        ctx = F.shiftright("gram", 8).bitwiseAND(F.lit(256**k - 1))
-        one = grams.groupBy(ctx.alias("ctx"), F.col("gram").bitwiseAND(F.lit(255)).alias("sym")).agg(F.sum("n").alias("n"))
-        big = one.groupBy("ctx").agg(F.sum("n").alias("tot"), F.count("*").alias("kinds"))
-        big = big.where(F.col("tot") >= least) if k else big
-        one = one.join(big, "ctx").select(F.lit(k).alias("k"), "ctx", "sym", "n", "tot", "kinds")
-        levels = one if levels is None else levels.unionByName(one)
-    levels = materialize(levels, name="pst-levels")
-    mask = F.element_at(F.array(*[F.lit(256**max(0, k - 1) - 1) for k in range(depth + 1)]), F.col("k") + 1)
-    suffix = levels.select((F.col("k") + 1).alias("k"), F.col("ctx").alias("up"), "sym", F.col("n").alias("un"),
-                           F.col("tot").alias("utot"), F.col("kinds").alias("ukinds"))
+def counted(grams: DataFrame, depth: int) -> DataFrame:
+    """(k, ctx, sym, n, tot, kinds, up, un, utot, ukinds) of each (context,
+    symbol) of length k, ``grams`` holding each of full length once, and of its
+    suffix.  Symbols with n = 0 are of texts that are not learned from."""
+    levels = []
+    for k in range(depth, -1, -1):
+        grams = grams.groupBy(F.col("gram").bitwiseAND(F.lit(256**(k + 1) - 1)).alias("gram")).agg(F.sum("n").alias("n"))
+        grams = materialize(grams, name=f"pst-grams-{k}")
+        one = grams.select(F.shiftright("gram", 8).alias("ctx"), F.col("gram").bitwiseAND(F.lit(255)).alias("sym"), "n")
+        sums = one.groupBy("ctx").agg(F.sum("n").alias("tot"), F.count_if(F.col("n") > 0).alias("kinds"))
+        levels.insert(0, one.join(sums, "ctx").select(F.lit(k).alias("k"), "ctx", "sym", "n", "tot", "kinds"))
+    out = levels[0].select("*", F.lit(None).cast("long").alias("up"), *[F.lit(None).cast("long").alias(c) for c in ("un", "utot", "ukinds")])
+    for k in range(1, depth + 1):
+        suffix = levels[k - 1].select(F.col("ctx").alias("up"), "sym", F.col("n").alias("un"), F.col("tot").alias("utot"), F.col("kinds").alias("ukinds"))
+        up = F.col("ctx").bitwiseAND(F.lit(256**(k - 1) - 1))
+        out = out.unionByName(levels[k].withColumn("up", up).join(suffix, ["up", "sym"]))
+    return out
+
+
+def kept_contexts(levels: DataFrame, depth: int, least: float, divergence: float) -> DataFrame:
+    """(k, ctx) of the retained contexts, each suffix of one included."""
     gain = F.sum(F.col("n") * F.log((F.col("n") / F.col("tot")) / (F.col("un") / F.col("utot"))))
-    tested = (levels.withColumn("up", F.col("ctx").bitwiseAND(mask)).join(suffix, ["k", "up", "sym"])
-              .groupBy("k", "ctx").agg(gain.alias("gain"), F.max("tot").alias("tot"), F.greatest(F.max("ukinds") - 1, F.lit(1)).alias("df")))
+    tested = (levels.where((F.col("k") > 0) & (F.col("n") > 0) & (F.col("tot") >= least)).groupBy("k", "ctx")
+              .agg(gain.alias("gain"), F.max("tot").alias("tot"), F.greatest(F.max("ukinds") - 1, F.lit(1)).alias("df")))
     own = tested.where((2 * F.col("gain") > F.col("df") + 3 * F.sqrt(2 * F.col("df"))) & (F.col("gain") >= divergence * F.col("tot")))
     suffixes = F.array(*[F.struct(F.lit(j).alias("k"), F.col("ctx").bitwiseAND(F.lit(256**j - 1)).alias("ctx")) for j in range(depth + 1)])
-    kept = own.select(F.explode(F.slice(suffixes, F.lit(1), F.col("k") + 1)).alias("s")).select("s.*").distinct()
-    model = levels.join(kept, ["k", "ctx"], "left_semi").unionByName(levels.where("k = 0")).distinct()
-    return model.where((F.col("k") == 0) | (F.col("n") >= max(1.0, stored * total)))
+    return own.select(F.explode(F.slice(suffixes, F.lit(1), F.col("k") + 1)).alias("s")).select("s.*").distinct()
+
+
+def retained(grams: DataFrame, depth: int, least: float = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
+    """(k, ctx, sym, n, tot, kinds) of the retained contexts of each length k."""
+    levels = materialize(counted(grams, depth), name="pst-levels")
+    kept = kept_contexts(levels, depth, least, divergence)
+    learned = levels.where("n > 0").select("k", "ctx", "sym", "n", "tot", "kinds")
+    return learned.where("k > 0").join(kept, ["k", "ctx"], "left_semi").unionByName(learned.where("k = 0"))
+
+
+def probabilities(grams: DataFrame, depth: int, least: float = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
+    """(gram, logp): log10 probability of the symbol of each row of ``grams``
+    (gram, n) in the longest retained suffix of its context."""
+    levels = materialize(counted(grams, depth), name="pst-levels")
+    kept = materialize(kept_contexts(levels, depth, least, divergence).withColumn("known", F.lit(True)), name="pst-kept")
+    p = levels.where("k = 0").select(F.col("ctx").alias("up"), "sym", ((F.col("n") + 1) / (F.col("tot") + 256)).alias("p"))
+    for k in range(1, depth + 1):
+        known = kept.where(F.col("k") == k).select("ctx", "known")
+        smoothed = F.when(F.col("known"), (F.col("n") + F.col("kinds") * F.col("p")) / (F.col("tot") + F.col("kinds"))).otherwise(F.col("p"))
+        p = (levels.where(F.col("k") == k).select("ctx", "sym", "n", "tot", "kinds", "up").join(known, "ctx", "left").join(p, ["up", "sym"])
+             .select(F.col("ctx").alias("up"), "sym", smoothed.alias("p")))
+    return p.select(F.shiftleft("up", 8).bitwiseOR(F.col("sym")).alias("gram"), F.log10("p").alias("logp"))
 
 
 def grow(rows: pa.Table, depth: int) -> Tree:
-    """The smoothed tree of retained contexts (bounded by p_min)."""
+    """The smoothed tree of retained contexts, in memory."""
     col = {c: rows.column(c).to_numpy() for c in ("k", "ctx", "sym", "n", "tot", "kinds")}
     tree = Tree(depth, [], [], [], [])
     probs = []
@@ -196,7 +232,7 @@ def grow(rows: pa.Table, depth: int) -> Tree:
 
 
 def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH,
-          p_min: float = P_MIN, divergence: float = DIVERGENCE, stored: float = STORED, frequent: float = FREQUENT) -> DataFrame:
+          least: float = LEAST, divergence: float = DIVERGENCE, frequent: float = FREQUENT, hot: float = HOT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for each row; rows where ``train`` is true are learned from.
 
@@ -206,58 +242,67 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     symbols are equally likely.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"), (~F.coalesce(train, F.lit(True))).alias("held_out"))
-    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
-    gathered = (base.where(~F.col("held_out")).select("text").mapInArrow(lambda b: _gather(b, depth), schema)
-                .groupBy("word", "gram").agg(F.sum("n").alias("n")))
+    base = docs.select(F.col(text).alias("text"), (~F.coalesce(train, F.lit(True))).alias("held_out"), F.col(doc_id).alias("doc_id"))
+    schema = tx.struct_type(word=T.StringType(), gram=T.LongType(), n=T.LongType(), m=T.LongType())
+    gathered = (base.select("text", "held_out").mapInArrow(lambda b: _gather(b, depth), schema)
+                .groupBy("word", "gram").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
     gathered = materialize(gathered, name="pst-counts")
     counts = gathered.where("word is not null").select("word", F.col("n").alias("c"))
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, n_kinds = sums["n"] or 0, sums["v"]
-    tree = grow(retained(gathered.where("word is null").select("gram", "n"), depth, p_min, divergence, stored).toArrow(), depth)
-    hot = counts.where(F.col("c") >= frequent * n_all).toArrow()
-    hot = dict(zip((w.encode() for w in hot.column("word").to_pylist()), hot.column("c").to_pylist()))
-    model = spark.sparkContext.broadcast((tree, hot, hot.get(END, 0)))
+    grams = gathered.where("word is null").select("gram", "n", "m")
+    n_symbols = grams.agg(F.sum("m")).first()[0] or 0
+    scored = materialize(probabilities(grams.select("gram", "n"), depth, least, divergence)
+                         .join(grams.select("gram", (F.col("m") >= hot * n_symbols).alias("hot")), "gram"), name="pst-scored")
+    known = scored.where("hot").select("gram", "logp").toArrow()
+    keys, logp = known.column("gram").to_numpy().astype(np.uint64), known.column("logp").to_numpy()
+    order = np.argsort(keys)
+    words = counts.where(F.col("c") >= frequent * n_all).toArrow()
+    words = dict(zip((w.encode() for w in words.column("word").to_pylist()), words.column("c").to_pylist()))
+    model = spark.sparkContext.broadcast((depth, keys[order], logp[order], words))
     emitted = (base.withColumn("row", F.monotonically_increasing_id())
-               .mapInArrow(lambda b: _emit(b, model.value), T.StructType([
-                   T.StructField("row", T.LongType()), T.StructField("word", T.StringType()), T.StructField("tf", T.LongType()),
-                   T.StructField("doc", T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()),
-                                                      T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
-                                                      T.StructField("base", T.DoubleType()), T.StructField("score", T.DoubleType())]))])))
-    rare = counts.where(F.col("c") < frequent * n_all)
+               .mapInArrow(lambda b: _emit(b, model.value), tx.struct_type(
+                   row=T.LongType(), word=T.StringType(), gram=T.LongType(), tf=T.LongType(), doc_id=docs.schema[doc_id].dataType,
+                   held_out=T.BooleanType(), n_tokens=T.LongType(), n_known=T.LongType(), base=T.DoubleType(), score=T.DoubleType())))
+    rare = (counts.where(F.col("c") < frequent * n_all).select("word", F.lit(NO_GRAM).cast("long").alias("gram"), "c", F.lit(None).cast("double").alias("logp"))
+            .unionByName(scored.where("not hot").select(F.lit("").alias("word"), "gram", F.lit(None).cast("long").alias("c"), "logp")))
     c = F.coalesce("c", F.lit(0))
-    parts = emitted.join(rare, "word", "left").select(
-        "row", "doc", F.coalesce("doc.n_known", F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"),
-        F.coalesce("doc.base", F.col("tf") * F.log10(c + 1.0)).alias("base"))
-    done = parts.groupBy("row").agg(F.max("doc").alias("doc"), F.sum("known").alias("n_known"), F.sum("base").alias("base"))
+    parts = emitted.join(rare, ["word", "gram"], "left").select(
+        "row", "doc_id", "held_out", "n_tokens", F.coalesce("n_known", F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"),
+        F.coalesce("base", F.col("tf") * F.log10(c + 1.0)).alias("base"), F.coalesce("score", F.col("tf") * F.col("logp"), F.lit(0.0)).alias("score"))
+    done = parts.groupBy("row").agg(*[F.max(x).alias(x) for x in ("doc_id", "held_out", "n_tokens")],
+                                    F.sum("known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
     scale = float(np.log10(n_all + n_kinds + 1)) if n_all else 0.0
-    return done.select("doc.doc_id", "doc.held_out", "doc.n_tokens", "n_known", F.lit(n_all).cast("bigint").alias("train_tokens"),
-                       (F.col("base") - F.col("doc.n_tokens") * scale).alias("base_score"), F.col("doc.score").alias("score"))
+    return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("bigint").alias("train_tokens"),
+                       (F.col("base") - F.col("n_tokens") * scale).alias("base_score"), "score")
 
 
 def _emit(batches, model):
-    """A row for each document, with what its frequent words sum to, and one
-    for each of its other words.  A document's row has a word of its own, with
-    a space in it, so that no join key is shared by the documents."""
-    tree, hot, _ = model
-    logs = {w: float(np.log10(n + 1.0)) for w, n in hot.items()}
+    """A row for each document, with what its frequent words and symbols sum to,
+    and one for each of its other words and (context, symbol) pairs.  A
+    document's row has a word of its own, with a space in it, so that no join
+    key is shared by the documents."""
+    depth, keys, known_logp, words = model
+    logs = {w: float(np.log10(n + 1.0)) for w, n in words.items()}
     memo_key, memo_value = np.full(1 << MEMO_BITS, 2**64 - 1, np.uint64), np.zeros(1 << MEMO_BITS)
+    names = ["row", "word", "gram", "tf", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
     for batch in batches:
         for piece in tx.pieces(batch, "text"):
             texts = [(t or "").encode() for t in piece.column(0).to_pylist()]
-            grams, lengths, split = symbols(texts, tree.depth)
+            grams, lengths, split = symbols(texts, depth)
             with np.errstate(over="ignore"):
                 slot = ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
             miss = memo_key[slot] != grams
+            logp = memo_value[slot]
             if miss.any():
                 new = np.unique(grams[miss])
-                value = tree.score(new)
-                logp = memo_value[slot]
+                at, found = _find(keys, new)
+                value = np.full(len(new), np.nan)
+                value[found] = known_logp[at[found]]
                 logp[miss] = value[np.searchsorted(new, grams[miss])]
                 memo_key[slot[miss]], memo_value[slot[miss]] = grams[miss], logp[miss]
-            else:
-                logp = memo_value[slot]
-            scores = np.add.reduceat(logp, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+            tail = np.isnan(logp)
+            scores = np.add.reduceat(np.where(tail, 0.0, logp), np.concatenate([[0], np.cumsum(lengths)[:-1]]))
             ids = piece.column(3).to_pylist()
             known, based, tail_row, tail_word, tail_n = [], [], [], [], []
             for row, ws in zip(ids, split):
@@ -271,12 +316,20 @@ def _emit(batches, model):
                     else:
                         seen, total = seen + n, total + n * got
                 known.append(seen), based.append(total)
-            doc = pa.StructArray.from_arrays(
-                [piece.column(1), piece.column(2), pa.array([len(ws) + 1 for ws in split], pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(based, pa.float64()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
-            names = ["row", "word", "tf", "doc"]
-            yield pa.RecordBatch.from_arrays([piece.column(3), pa.array([f" {r}" for r in ids], pa.string()), pa.array([0] * len(ids), pa.int64()), doc], names=names)
+
+            def rows(row, word, gram, n, doc=None):
+                doc = doc or [pa.nulls(len(row), k) for k in (piece.column(2).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(word, pa.string()), pa.array(gram, pa.int64()),
+                                                   pa.array(n, pa.int64()), *doc], names=names)
+
+            yield rows(ids, [f" {r}" for r in ids], [NO_GRAM] * len(ids), [0] * len(ids), [
+                piece.column(2), piece.column(1), pa.array([len(ws) + 1 for ws in split], pa.int64()), pa.array(known, pa.int64()),
+                pa.array(based, pa.float64()), pa.array(scores, pa.float64())])
             if tail_row:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tail_row, pa.int64()), pa.array([w.decode("utf-8", "replace") for w in tail_word], pa.string()),
-                     pa.array(tail_n, pa.int64()), pa.nulls(len(tail_row), doc.type)], names=names)
+                yield rows(tail_row, [w.decode("utf-8", "replace") for w in tail_word], [NO_GRAM] * len(tail_row), tail_n)
+            if tail.any():
+                of, gram = np.repeat(np.array(ids, np.int64), lengths)[tail], grams[tail].astype(np.int64)
+                order = np.lexsort((gram, of))
+                of, gram = of[order], gram[order]
+                first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (gram[1:] != gram[:-1])]))
+                yield rows(of[first], [""] * len(first), gram[first], np.diff(np.append(first, len(of))))

@@ -269,6 +269,34 @@ def test_pst_prefers_held_out_text_to_the_same_words_reversed(spark):
     assert pst.score(extra, F.lit(False)).first().train_tokens == 0
 
 
+def test_pst_keeps_a_rare_context_whatever_the_size_of_the_corpus(spark):
+    """A context with 40 occurrences diverges as much in 10^9 symbols as alone."""
+    def gram(t):
+        return int.from_bytes(t, "big")
+    rows = [(gram(b"xxx" + bytes([s])), 10**7) for s in range(97, 123)]
+    rows += [(gram(b"aqz" + b"b"), 40), (gram(b"aqz" + b"c"), 0)]
+    for n_extra in (0, 10**9):
+        table = spark.createDataFrame(rows + [(gram(b"yyyy"), n_extra)], "gram long, n long")
+        kept = {(r.k, r.ctx) for r in pst.retained(table, 3).collect()}
+        assert {(1, gram(b"z"))} <= kept
+        tree = pst.grow(pst.retained(table, 3).toArrow(), 3)
+        got = {r.gram: r.logp for r in pst.probabilities(table, 3).collect()}
+        assert got[gram(b"aqzb")] > -0.1
+        assert [got[g] for g in sorted(got)] == pytest.approx(tree.score(np.array(sorted(got), np.uint64)).tolist(), rel=1e-5)
+
+
+@pytest.mark.parametrize("hot", [2.0, 1e-4, 0.0])
+def test_pst_scores_equal_the_tree_in_memory_on_each_path(spark, docs, hot):
+    train = tx.crc_fold(F.col("doc_id"), 7) != 2
+    texts = [(str(r.doc_id), (r.text or "").encode(), r.t) for r in docs.select("doc_id", "text", F.coalesce(train, F.lit(True)).alias("t")).collect()]
+    key, n = np.unique(pst.symbols([t for _, t, own in texts if own], pst.DEPTH)[0], return_counts=True)
+    table = spark.createDataFrame([(int(k), int(x)) for k, x in zip(key, n)], "gram long, n long")
+    tree = pst.grow(pst.retained(table, pst.DEPTH).toArrow(), pst.DEPTH)
+    want = sorted((d, round(float(tree.score(pst.symbols([t], pst.DEPTH)[0]).sum()), 2)) for d, t, _ in texts)
+    got = sorted((str(r.doc_id), round(r.score, 2)) for r in pst.score(docs, train, hot=hot).collect())
+    assert [d for d, _ in got] == [d for d, _ in want] and [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-4, abs=0.02)
+
+
 # ---- licences
 
 def test_base_phrases_equal_brute_force(spark):
