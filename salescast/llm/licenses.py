@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -31,18 +32,39 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: Label and marked-up wording of the templates: fixed values (public licence
-#: texts and the usual notices).
+def _body(label: str) -> str:
+    """The marked-up body of a long licence, a file of this package."""
+    return resources.files(__package__).joinpath("templates", f"{label}.txt").read_text()
+
+
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form
+        must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or
+        other materials provided with the distribution."""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY <<var;name=holder;words=1-20>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+        BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+        SHALL <<var;name=holder;words=1-20>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+        DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+        NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+#: Label and marked-up wording of the templates: fixed values.  Labels that end
+#: in ``-notice`` are lines that name a licence; the others hold the whole
+#: mandatory wording of one.
 TEMPLATES = {
-    "apache-2.0": """<<beginOptional>>Copyright <<var;name=copyright;words=0-20>><<endOptional>> Licensed under the Apache License, Version 2.0
+    "apache-2.0": _body("apache-2.0"),
+    "apache-2.0-notice": """<<beginOptional>>Copyright <<var;name=copyright;words=0-20>><<endOptional>> Licensed under the Apache License, Version 2.0
         <<beginOptional>>(the "License"); you may not use this file except in compliance with the License.
         You may obtain a copy of the License at <<var;name=url;words=1-8>>
         Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
         "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
         language governing permissions and limitations under the License.<<endOptional>>""",
-    "gpl-2.0": """<<var;name=what;words=1-4>> licensed under the <<beginOptional>>terms of the<<endOptional>> GNU General Public License
+    "gpl-2.0": _body("gpl-2.0"),
+    "gpl-2.0-notice": """<<var;name=what;words=1-4>> licensed under the <<beginOptional>>terms of the<<endOptional>> GNU General Public License
         <<beginOptional>>(GPL)<<endOptional>> version 2 <<beginOptional>>only<<endOptional>>""",
-    "gpl-3.0": """<<var;name=what;words=1-4>> licensed under the <<beginOptional>>terms of the<<endOptional>> GNU General Public License
+    "gpl-3.0": _body("gpl-3.0"),
+    "gpl-3.0-notice": """<<var;name=what;words=1-4>> licensed under the <<beginOptional>>terms of the<<endOptional>> GNU General Public License
         <<beginOptional>>(GPL)<<endOptional>> version 3 <<beginOptional>>or any later version<<endOptional>>""",
     "gpl-notice": """<<var;name=program;words=1-6>> is free software <<beginOptional>>you can<<endOptional>> redistribute it and/or modify it
         under the terms of the GNU General Public License as published by the Free Software Foundation""",
@@ -52,29 +74,33 @@ TEMPLATES = {
         copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
         The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be
         included in all copies or substantial portions of the Software.
-        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED""",
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+        OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;name=holder;words=1-20>> BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR
+        IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "mit-notice": "<<var;name=verb;words=1-1>> under the <<beginOptional>>terms of the<<endOptional>> MIT License",
     "isc": """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee
-        is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
-    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above copyright
-        notice, this list of conditions and the following disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form
-        must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or
-        other materials provided with the distribution.""",
-    "bsd-3-clause": """Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
-        disclaimer in the documentation and/or other materials provided with the distribution. <<beginOptional>>3.<<endOptional>>
-        Neither the name of <<var;name=holder;words=1-20>> may be used to endorse or promote products derived from this software
-        without specific prior written permission.""",
-    "cc-by-4.0": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY 4.0",
-    "cc-by-sa-4.0": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY-SA 4.0",
-    "cc-by-nc-4.0": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY-NC 4.0",
-    "cc-by-nd-4.0": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY-ND 4.0",
+        is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<var;name=holder;words=1-20>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;name=holder;words=1-20>> BE LIABLE FOR
+        ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+        WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd-2-clause": f"{_BSD} {_BSD_DISCLAIMER}",
+    "bsd-3-clause": f"""{_BSD} <<beginOptional>>3.<<endOptional>> Neither the name of <<var;name=holder;words=1-30>> may be used to endorse or
+        promote products derived from this software without specific prior written permission. {_BSD_DISCLAIMER}""",
+    "cc-by-4.0-notice": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY 4.0",
+    "cc-by-sa-4.0-notice": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY-SA 4.0",
+    "cc-by-nc-4.0-notice": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY-NC 4.0",
+    "cc-by-nd-4.0-notice": "Licensed under <<beginOptional>>a Creative Commons<<endOptional>> CC BY-ND 4.0",
 }
+NOTICE = "-notice"
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 MARK = re.compile(r"<<(.*?)>>")
-#: Score of a document with a base phrase but without an accepted template.
-BASE_SCORE = 0.5
+#: Scores of a document without an accepted licence text: with an accepted
+#: notice, and with a base phrase only.
+NOTICE_SCORE, BASE_SCORE = 0.75, 0.5
 
 
 def word_list(text: str) -> list[str]:
@@ -230,8 +256,9 @@ def find(docs: DataFrame, text: str = "text", phrases: dict[str, str] | None = N
          templates: dict[str, str] | None = None) -> tuple[DataFrame, str]:
     """``docs`` with a struct column: n_words; the base places (number, least
     and largest first word, labels); all labels; the accepted templates' word
-    spans; and a score, which is 1 if a template is accepted, BASE_SCORE if
-    there is only a base place, and 0 otherwise.
+    spans; and a score, which is 1 if a licence's whole wording is accepted,
+    NOTICE_SCORE if only a notice is, BASE_SCORE if there is only a base place,
+    and 0 otherwise.
 
     A null or empty text has no words and no places.  Repeated rows are scanned
     one by one; columns pass through whatever their names; nothing is shuffled.
@@ -252,7 +279,7 @@ def find(docs: DataFrame, text: str = "text", phrases: dict[str, str] | None = N
                 own = sorted({label for label, _ in base})
                 every = sorted({*own, *(label for label, _, _ in spans)})
                 rows.append((len(base), int(min(starts)) if base else None, int(max(starts)) if base else None, own, every,
-                             1.0 if spans else BASE_SCORE if base else 0.0, [dict(zip(SPAN, s)) for s in sorted(spans, key=lambda s: s[1:])]))
+                             1.0 if any(not label.endswith(NOTICE) for label, _, _ in spans) else NOTICE_SCORE if spans else BASE_SCORE if base else 0.0, [dict(zip(SPAN, s)) for s in sorted(spans, key=lambda s: s[1:])]))
             cols = list(zip(*rows)) or [()] * 7
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64(),
                      pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))]

@@ -340,6 +340,56 @@ def test_full_licence_texts_and_their_changes(spark):
     assert got[3].labels == "bsd-2-clause,bsd-3-clause"
 
 
+MIT = """Copyright (c) 2019 Ada Example
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to
+the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD3 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.  IN NO EVENT SHALL THE REGENTS OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def test_licences_need_their_whole_mandatory_wording(spark):
+    bsd2 = BSD3[:BSD3.index("3. Neither")] + BSD3[BSD3.index("THIS SOFTWARE"):]
+    cut = lambda t: t[:t.index("IN NO EVENT")]
+    rows = [MIT, MIT.replace("TORT OR OTHERWISE", "TORT"), cut(MIT), BSD3, cut(BSD3), BSD3.replace("EVEN IF ADVISED", "IF ADVISED"), bsd2, cut(bsd2),
+            "Licensed under the Apache License, Version 2.0", "released under the MIT license"]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.digest(*licenses.find(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))).collect()}
+    assert got[0] == ("mit", 1.0) and got[1] == got[2] == got[4] == got[5] == got[7] == ("", 0.0)
+    assert got[3] == ("bsd-3-clause", 1.0) and got[6] == ("bsd-2-clause", 1.0)
+    assert got[8] == ("apache,apache-2.0-notice", licenses.NOTICE_SCORE) and got[9] == ("mit,mit-notice", licenses.NOTICE_SCORE)
+
+
+@pytest.mark.parametrize("label", ["apache-2.0", "gpl-2.0", "gpl-3.0"])
+def test_long_licences_need_their_last_paragraph(label):
+    scanner = licenses.Scanner({}, licenses.TEMPLATES)
+    body = licenses.MARK.sub(lambda m: "someone" if m[1].startswith("var") else " ", licenses.TEMPLATES[label]).lower()
+    of = lambda t: {x for x, _, _ in scanner.scan(t.encode())[1]}
+    assert label in of("before " + body + " after")
+    words = body.split()
+    assert len(words) > 1000 and label not in of(" ".join(words[:-40])) and label not in of(" ".join([*words[:-40], "changed", *words[-39:]]))
+
+
 # ---- quality
 
 def test_features_of_edge_texts():
