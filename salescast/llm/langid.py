@@ -2,12 +2,14 @@
 
 Each line of a text is a chain of words.  A word's features are its affixes (of
 one to three bytes), its byte n-grams (two and three), the language that the
-lexicon of short words has it under, and a bias; transitions between the
+lexicon has it under, and a bias; transitions between the
 languages of neighbouring words are learned.  Forward-backward gives each word's
 posterior over the languages, so the words of code-switched text are labelled
 one by one; a document's language has the largest sum of posteriors.
 
-The lexicon's counts are over all learnable documents.  The field's weights are
+The lexicon's counts are over all words of all learnable documents; it holds
+up to ``LEXICON_WORDS`` of each language, those with the largest share of the
+language's own words, so no language takes the place of another.  The field's weights are
 fitted on a bounded sample of them, ``SAMPLE`` documents a language (the first
 by a hash of the id); half of the sample's lines are joined in pairs, so that
 switches between languages are seen.
@@ -30,8 +32,8 @@ from salescast.session import materialize
 UNKNOWN = "und"
 TABLE_BITS = 18
 SAMPLE, ROUNDS, RATE, DECAY = 60, 24, 0.2, 1e-4
-#: Longest word (bytes), most words and least share of a language of the lexicon.
-LEXICON_BYTES, LEXICON_WORDS, LEXICON_SHARE = 6, 20_000, 0.6
+#: Most words of each language in the lexicon, and least share of a word's uses that are its language's.
+LEXICON_WORDS, LEXICON_SHARE = 20_000, 0.6
 TASK_WORDS = 400_000
 
 
@@ -180,44 +182,52 @@ def train(texts: list[str], labels: list[int], languages: list[str], lexicon=Non
     return field
 
 
-def _short_words(batches):
-    """Counts of short words by language, gathered within a task."""
-    seen: dict[str, Counter] = {}
+def _counted(batches):
+    """Counts of the words' hashes by language, gathered within a task."""
+    seen: dict[str, list] = {}
+
+    def folded(parts):
+        word, at = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        return word, np.bincount(at, np.concatenate([n for _, n in parts]), len(word)).astype(np.int64)
 
     def rows():
-        flat = [(w.decode("utf-8", "replace"), lang, n) for lang, c in seen.items() for w, n in c.items()]
-        cols = list(zip(*flat)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()))], names=["word", "lang", "n"])
+        for lang, parts in seen.items():
+            word, n = folded(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array([lang] * len(word), pa.string()), pa.array(n)], names=["word", "lang", "n"])
+
+    def held():
+        return sum(len(h) for parts in seen.values() for h, _ in parts)
 
     for batch in batches:
         for piece in tx.pieces(batch, "text"):
             w = tx.Words(piece.column(0))
-            raw, short = w.bytes.tobytes(), (w.end - w.start) <= LEXICON_BYTES
-            for d, lang in enumerate(piece.column(1).to_pylist()):
-                a, z = w.first[d], w.first[d + 1]
-                pick = np.flatnonzero(short[a:z]) + a
-                seen.setdefault(lang, Counter()).update([raw[i:j] for i, j in zip(w.start[pick].tolist(), w.end[pick].tolist())])
-            if sum(map(len, seen.values())) > TASK_WORDS:
-                yield rows()
-                seen = {}
-    yield rows()
+            h, langs = w.hashes(), np.array(piece.column(1).to_pylist(), dtype=object)
+            for lang in set(langs):
+                seen.setdefault(lang, []).append(np.unique(h[(langs == lang)[w.doc()]], return_counts=True))
+            if held() > 2 * TASK_WORDS:
+                seen = {lang: [folded(parts)] for lang, parts in seen.items()}
+                if held() > TASK_WORDS:
+                    yield from rows()
+                    seen = {}
+    yield from rows()
 
 
 def lexicon_of(learn: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and languages of the most frequent short words that one language
-    holds most uses of (each language's counts taken as shares of its words)."""
-    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("n", T.LongType())])
-    counts = materialize(learn.select("text", "lang").mapInArrow(_short_words, schema).groupBy("word", "lang").agg(F.sum("n").alias("n")), name="lang-words")
+    """Hashes and languages of each language's most frequent words among those
+    that one language holds most uses of (each language's counts taken as
+    shares of its words)."""
+    schema = T.StructType([T.StructField("word", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("n", T.LongType())])
+    counts = materialize(learn.select("text", "lang").mapInArrow(_counted, schema).groupBy("word", "lang").agg(F.sum("n").alias("n")), name="lang-words")
     total = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     share = F.element_at(F.create_map(*[F.lit(x) for l in languages for x in (l, 1.0 / max(1, total.get(l, 0)))]), F.col("lang")) * F.col("n")
     best = (counts.withColumn("share", share).groupBy("word")
             .agg(F.max(F.struct("share", "lang")).alias("top"), F.sum("share").alias("all"), F.sum("n").alias("n"))
-            .where((F.col("top.share") >= LEXICON_SHARE * F.col("all")) & (F.col("n") > 2))
-            .orderBy(F.desc("n"), "word").limit(LEXICON_WORDS).select("word", "top.lang").collect())
-    if not best:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = tx.Words(pa.array([r.word for r in best], pa.large_string())).hashes()
-    mean = np.array([languages.index(r.lang) for r in best], np.int64)
+            .where((F.col("top.share") >= LEXICON_SHARE * F.col("all")) & (F.col("n") > 2)).select("word", "top.share", "top.lang"))
+    best = materialize(best, name="lang-lexicon")
+    top = [best.where(F.col("lang") == l).orderBy(F.desc("share"), "word").limit(LEXICON_WORDS).select("word").toArrow().column("word").to_numpy()
+           for l in languages]
+    h = np.concatenate(top).astype(np.int64).view(np.uint64)
+    mean = np.repeat(np.arange(len(languages)), [len(x) for x in top])
     order = np.argsort(h)
     return h[order], mean[order]
 

@@ -569,6 +569,18 @@ def test_languages_of_edge_and_mixed_texts(spark):
     assert {r[0] for r in none.select(F.col(name)["lang"]).distinct().collect()} == {"und"}
 
 
+def test_lexicon_has_long_words_and_those_of_small_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LEXICON_WORDS", 5)
+    few = {"de": ["geschwindigkeit", "zwar"], "ru": ["здравствуйте", "хорошо"]}
+    rows = [("en", " ".join(f"word{i}" for i in range(30)))] * 500 + [(l, " ".join([*ws, "shared"])) for l, ws in few.items() for _ in range(3)]
+    found, meaning = langid.lexicon_of(spark.createDataFrame(rows, "lang string, text string"), ["de", "en", "ru"])
+    of = dict(zip(found.tolist(), meaning.tolist()))
+    import pyarrow as pa
+    code = lambda w: int(tx.Words(pa.array([w], pa.large_string())).hashes()[0])
+    assert {w: of.get(code(w)) for ws in few.values() for w in ws} == {"geschwindigkeit": 0, "zwar": 0, "здравствуйте": 2, "хорошо": 2}
+    assert sorted(meaning.tolist()) == [0, 0, 1, 1, 1, 1, 1, 2, 2] and code("shared") not in of
+
+
 # ---- whole queries on the small tables
 
 def test_classifiers_on_held_out_rows(spark):
