@@ -85,6 +85,52 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     empty table gives empty frames.  The order within a source follows a hash
     of the id, so reruns agree.
     """
+    placed, passes = _placed(docs, doc_id, source, text, share, epochs, weights, slopes, keep)
+    report = placed.select("doc_id", "size", "source_size", "target", sum((t for _, t in passes[1:]), passes[0][1]).alias("taken"))
+    mixed = _dealt(placed, passes)
+    if keep:
+        names = {f: tx.fresh(f, docs.columns) for f in ("epoch", "taken", "position")}
+        out = mixed.select("row.*", *[F.col("o")[f].alias(c) for f, c in names.items()])
+        out = out.orderBy(names["position"], f"`{doc_id}`", names["epoch"])
+    else:
+        out = mixed.select("doc_id", "source", "size", "o.epoch", "o.taken", "o.position").orderBy("position", "doc_id", "epoch")
+    return out, report
+
+
+def deal(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", share: float = SHARE,
+         epochs: float = EPOCHS, weights=WEIGHTS, slopes=SLOPES) -> tuple[DataFrame, DataFrame]:
+    """The occurrences as a table written in the order of their positions, and
+    a report of every document that is summed up from that table.
+
+    The first frame has the columns of ``mix`` and ``row``, a number of the
+    document's row; the second has row, doc_id, size, source_size, target,
+    taken, occurrences, first_position and last_position (null if nothing of
+    the document is taken) for every row of ``docs``.
+    """
+    placed, passes = _placed(docs, doc_id, source, text, share, epochs, weights, slopes)
+    placed = materialize(placed.withColumn("row", F.monotonically_increasing_id()), name="mix-placed")
+    out = (_dealt(placed, passes).select("row", "doc_id", "source", "size", "o.epoch", "o.taken", "o.position")
+           .orderBy("position", "doc_id", "epoch"))
+    out = materialize(out, name="mix-occurrences")
+    sums = out.groupBy("row").agg(F.sum("taken").alias("taken"), F.count("*").alias("occurrences"),
+                                  F.min("position").alias("first_position"), F.max("position").alias("last_position"))
+    report = sums.join(placed.select("row", "doc_id", "size", "source_size", "target"), "row", "right").select(
+        "row", "doc_id", "size", "source_size", "target", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("taken", "occurrences")],
+        "first_position", "last_position")
+    return out, report
+
+
+def _dealt(placed: DataFrame, passes) -> DataFrame:
+    """A row with a struct ``o`` for each pass that takes words of a row."""
+    each = F.array(*[F.struct(F.lit(k + 1).alias("epoch"), t.alias("taken"),
+                              position(s.cast("double"), F.col("target"), F.col("slope")).alias("position"))
+                     for k, (s, t) in enumerate(passes)])
+    return placed.withColumn("o", F.explode(F.filter(each, lambda o: o["taken"] > 0)))
+
+
+def _placed(docs, doc_id, source, text, share, epochs, weights, slopes, keep=False):
+    """Each row of ``docs`` with its offset in the words of its source, and for
+    each pass the columns of its start and of the words taken."""
     size = F.size(tx.words(F.col(text))).cast("bigint")
     key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), key.alias("h"),
@@ -106,18 +152,5 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     inside = F.sum("size").over(Window.partitionBy("source", "slot").orderBy("h", "doc_id", "size")
                                 .rowsBetween(Window.unboundedPreceding, -1))
     placed = placed.withColumn("offset", F.col("lead") + F.coalesce(inside, F.lit(0)))
-    passes = int(-(-epochs // 1))
-    starts = [F.col("offset") + k * F.col("source_size") for k in range(passes)]
-    taken = [F.greatest(F.lit(0), F.least(F.col("size"), F.floor(F.col("target")) - s)).cast("bigint") for s in starts]
-    report = placed.select("doc_id", "size", "source_size", "target", sum(taken[1:], taken[0]).alias("taken"))
-    each = F.array(*[F.struct(F.lit(k + 1).alias("epoch"), t.alias("taken"),
-                              position(s.cast("double"), F.col("target"), F.col("slope")).alias("position"))
-                     for k, (s, t) in enumerate(zip(starts, taken))])
-    mixed = placed.withColumn("o", F.explode(F.filter(each, lambda o: o["taken"] > 0)))
-    if keep:
-        names = {f: tx.fresh(f, docs.columns) for f in ("epoch", "taken", "position")}
-        out = mixed.select("row.*", *[F.col("o")[f].alias(c) for f, c in names.items()])
-        out = out.orderBy(names["position"], f"`{doc_id}`", names["epoch"])
-    else:
-        out = mixed.select("doc_id", "source", "size", "o.epoch", "o.taken", "o.position").orderBy("position", "doc_id", "epoch")
-    return out, report
+    starts = [F.col("offset") + k * F.col("source_size") for k in range(int(-(-epochs // 1)))]
+    return placed, [(s, F.greatest(F.lit(0), F.least(F.col("size"), F.floor(F.col("target")) - s)).cast("bigint")) for s in starts]

@@ -228,6 +228,37 @@ def test_mix_positions_follow_the_schedule(spark):
     assert mixing.mix(kept.select("doc_id", "source", "text").limit(0))[1].count() == 0
 
 
+def test_deal_sums_up_the_written_occurrences(spark, docs, monkeypatch):
+    out, report = mixing.deal(docs)
+    by = collections.defaultdict(list)
+    seen = out.collect()
+    for r in seen:
+        by[r.row].append(r)
+    assert [r.position for r in seen] == sorted(r.position for r in seen)
+    rows = report.collect()
+    assert len({r.row for r in rows}) == len(rows) == docs.count() and any(not r.taken for r in rows) and any(r.occurrences == 2 for r in rows)
+    for r in rows:
+        own = by[r.row]
+        assert (r.taken, r.occurrences) == (sum(o.taken for o in own), len(own)) and sorted(o.epoch for o in own) == list(range(1, len(own) + 1))
+        places = [o.position for o in own]
+        assert (r.first_position, r.last_position) == (min(places, default=None), max(places, default=None))
+    want = sorted((str(r[0]), r[1], r[2], r[4]) for r in brute_mix([(r.doc_id, r.source, r.text) for r in docs.collect()]))
+    assert sorted((str(r.doc_id), r.size, r.source_size, r.taken) for r in rows) == want
+
+
+def test_op4_runs_the_deal(spark, monkeypatch):
+    from salescast.llm import queries
+    written, real = {}, mixing.materialize
+
+    def spy(df, *args, **kw):
+        written[kw["name"]] = df.columns
+        return real(df, *args, **kw)
+    monkeypatch.setattr(mixing, "materialize", spy)
+    got = queries.op4_mixing(spark, "/root/testdata/sf0.001")
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert {"epoch", "taken", "position"} < set(written["mix-occurrences"])
+
+
 # ---- scoring
 
 def test_pst_base_counts_and_probabilities(spark, docs):
