@@ -79,3 +79,42 @@ FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FR
 """.replace("@CUTOFFS", ", ".join(f"('{r}', {c}::DOUBLE)" for r, cs in {
     "symbol_ratio": (0.5, 0.3, 0.2, 0.1, 0.05), "dup_line_ratio": (0.7, 0.5, 0.4, 0.3, 0.2),
     "repeat_ratio": (0.45, 0.4, 0.35, 0.3, 0.25), "upper_ratio": (0.7, 0.5, 0.4, 0.3, 0.2)}.items() for c in cs))
+
+NEAR_VECTORS = """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ok AS (SELECT r, vec_id, label, v, sqrt(list_inner_product(v, v)) AS l FROM e
+       WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND list_inner_product(v, v) > 0),
+pairs AS (SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+          WHERE list_inner_product(a.v, b.v) / (a.l * b.l) >= 0.98),
+reach AS (SELECT r AS a, r AS b FROM e UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a),
+least AS (SELECT reach.a AS r, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY reach.a),
+n AS (SELECT a AS r, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e JOIN least USING (r) LEFT JOIN n USING (r)
+"""
+
+#: A word without its k-th letter stands for all words that differ there, so
+#: joins on it find words one edit apart.  CRC-32 is folded over the bytes.
+SPELLING = f"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT))) AS crc),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), {UPPER}, {LOWER}), '[a-zÀ-ÿ]+')) AS w
+         FROM documents),
+r AS (SELECT id, w, count(*) AS n FROM runs WHERE length(w) >= 5 GROUP BY ALL),
+h AS (SELECT w, n, xor(list_reduce(flatten(list_transform(string_split(id || ':' || w, ''), lambda c:
+            CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 | (unicode(c) >> 6), 128 | (unicode(c) & 63)] END)),
+            lambda c, b: xor(c >> 8, crc[CAST(xor(c, b) & 255 AS INTEGER) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h FROM r, t),
+x AS (SELECT CASE WHEN h % 97 = 0 THEN left(w, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM x WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+d AS (SELECT word, n, length(word) AS s, k, left(word, k - 1) || substr(word, k + 1) AS rest
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM v)),
+near AS (SELECT a.word, b.word AS near, b.n FROM d a JOIN d b ON a.s = b.s AND a.k = b.k AND a.rest = b.rest WHERE a.word <> b.word
+         UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.rest = v.word
+         UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.rest = v.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form,
+             CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, n_near, form, form_n, root FROM f JOIN (SELECT chain.word, root FROM chain JOIN f ON f.word = root WHERE f.form IS NULL) USING (word)
+"""

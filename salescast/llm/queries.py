@@ -7,9 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from public_tokenizers import path as tokenizer_path
-
-from salescast.llm import (decontaminate, langid, licenses, mixing, oracle, pst, quality, rules, simhash, token_counts, toxicity)
+from salescast.llm import (decontaminate, langid, licenses, mixing, oracle, pst, quality, rules, simhash, spelling, tiles,
+                           token_counts, toxicity, whitening)
 from salescast.llm import text as tx
 from salescast.session import shared_folder
 
@@ -57,6 +56,7 @@ def op6_quality(spark, sf_dir):
 
 def op7_token_counts(spark, sf_dir):
     """Token counts of every document, through a cache of this run's own."""
+    from public_tokenizers import path as tokenizer_path
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cache = f"{shared_folder(spark).rstrip('/')}/token-cache-{uuid.uuid4().hex}"
     return token_counts.count(docs, cache, tokenizer_path("byte_bpe_50k.json"))
@@ -80,11 +80,28 @@ def op10_language(spark, sf_dir):
     return found.select("doc_id", held_out(3, 1), F.col(name)["lang"].alias("lang_pred"), F.col(name)["score"].alias("score"))
 
 
+def op11_vector_dedup(spark, sf_dir):
+    """Links and component of every vector among those of its label."""
+    return tiles.near(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op12_whitening(spark, sf_dir):
+    """Leading whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_spelling(spark, sf_dir):
+    """Spelling variants among the words of all documents."""
+    return spelling.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def held_out(folds: int, remainder: int):
     """Rows whose labels are not learned from; a null id has no labels."""
     return F.coalesce(tx.crc_fold(F.col("doc_id"), folds) == remainder, F.lit(False)).alias("held_out")
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_pst_score, op3_simhash, op4_mixing, op5_licenses, op6_quality,
-                                   op7_token_counts, op8_quality_rules, op9_toxicity, op10_language)}
-ORACLE = {"op1_decontaminate": oracle.DECONTAMINATE, "op4_mixing": oracle.MIX, "op8_quality_rules": oracle.RULES}
+                                   op7_token_counts, op8_quality_rules, op9_toxicity, op10_language,
+                                   op11_vector_dedup, op12_whitening, op13_spelling)}
+ORACLE = {"op1_decontaminate": oracle.DECONTAMINATE, "op4_mixing": oracle.MIX, "op8_quality_rules": oracle.RULES,
+          "op11_vector_dedup": oracle.NEAR_VECTORS, "op13_spelling": oracle.SPELLING}
