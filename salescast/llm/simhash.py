@@ -18,7 +18,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,6 +117,20 @@ def stars(fps: DataFrame, radius: int) -> DataFrame:
     return edges.where((F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= radius) & (F.col("src") != F.col("dst")))
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int, n_pivots: int, most: int,
+             also=()) -> tuple[DataFrame, DataFrame]:
+    """Written tables: (doc_id, fp) and the columns ``also`` of each row, and
+    (fp, least, root), the component of each distinct fingerprint."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *also)
+    fp, name = fingerprints(rows, "text", shingle)
+    fp = materialize(fp.select("doc_id", F.col(name)["fp"].alias("fp"), *rows.columns[2:]), name="simhash-fp")
+    distinct = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    edges = links(distinct.select("fp"), radius, n_pivots, most)
+    label = components(edges)  # fp -> smallest fp of the component, where linked
+    owner = distinct.join(label, distinct["fp"] == label["node"], "left")
+    return fp, materialize(owner.select(distinct["fp"], "least", F.coalesce("root", distinct["fp"]).alias("root")), name="simhash-owner")
+
+
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
             radius: int = RADIUS, n_pivots: int = PIVOTS, most: int = PAIRED) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of ``docs``.
@@ -128,33 +142,33 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     returned as often as they come.  Copies share one fingerprint, which is
     looked up once.
     """
-    fp, name = fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle)
-    fp = materialize(fp.select("doc_id", F.col(name)["fp"].alias("fp")), name="simhash-fp")
-    distinct = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    edges = links(distinct.select("fp"), radius, n_pivots, most)
-    label = components(edges)  # fp -> smallest fp of the component, where linked
-    owner = materialize(distinct.join(label, distinct["fp"] == label["node"], "left")
-                        .select(distinct["fp"], "least", F.coalesce("root", distinct["fp"]).alias("root")), name="simhash-owner")
+    fp, owner = _grouped(docs, doc_id, text, shingle, radius, n_pivots, most)
     smallest = owner.groupBy("root").agg(F.min("least").alias("component_id"))
     of = owner.join(smallest, "root").select("fp", "component_id")
     return fp.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, clusters: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the one with the smallest id; of rows that
-    repeat that id, the one with the longest, then the first text.  Rows
-    without an id are kept, unless their group has a row with one."""
-    gone = clusters.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
-    nameless = clusters.where("doc_id is null and component_id is not null").select("fingerprint").distinct()
-    key, rank = tx.fresh("_key", docs.columns), tx.fresh("_rank", docs.columns)
-    left = left.withColumn(key, F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id())))
-    order = Window.partitionBy(key).orderBy(F.desc_nulls_last(F.length(text)), F.col(text).asc_nulls_last())
-    left = left.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(key, rank)
-    if nameless.isEmpty():
-        return left
-    found, name = fingerprints(left, text)
-    hexed = F.lpad(F.lower(F.hex(F.col(name)["fp"])), 16, "0")
-    dropped = nameless.select(F.col("fingerprint").alias("_fp"), F.lit(True).alias("_has"))
-    joined = found.join(dropped, hexed == F.col("_fp"), "left").where(F.col(doc_id).isNotNull() | F.col("_has").isNull())
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+             radius: int = RADIUS, n_pivots: int = PIVOTS, most: int = PAIRED) -> DataFrame:
+    """One row of each component of near-duplicates, whatever ids its rows have:
+    the one with the smallest id (null last), then the longest text, then the
+    smallest digest of it.  Of rows alike in id and text any one stays; null
+    reads as empty.  Rows that share an id and not a component are each kept.
+    """
+    taken = docs.columns
+    digest, key, body = tx.fresh("_digest", taken), tx.fresh("_id", taken), F.coalesce(F.col(text), F.lit(""))
+    also = [F.sha2(body.cast("binary"), 256).alias("_digest"), F.length(body).alias("_size")]
+    fp, owner = _grouped(docs, doc_id, text, shingle, radius, n_pivots, most, also)
+    each = fp.groupBy("fp", "doc_id", "_digest").agg(F.count("*").alias("rows"), F.max("_size").alias("size"))
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), (-F.col("size")).alias("c"), F.col("_digest").alias("d"), "rows")
+    best = each.join(owner.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("m"))
+    best = materialize(best.select(F.col("m.b").alias(key), F.col("m.d").alias(digest), F.col("m.rows").alias("_rows")), name="simhash-best")
+    marked = docs.withColumn(digest, F.sha2(body.cast("binary"), 256))
+
+    def of(chosen):
+        chosen = chosen.drop("_rows").alias("r")
+        same = F.col(f"l.`{doc_id}`").eqNullSafe(F.col(f"r.`{key}`")) & (F.col(f"l.`{digest}`") == F.col(f"r.`{digest}`"))
+        return marked.alias("l").join(chosen, same, "left_semi")
+
+    repeated = of(best.where("_rows > 1")).dropDuplicates([doc_id, digest])
+    return of(best.where("_rows = 1")).unionByName(repeated).select(*[F.col(f"`{c}`") for c in taken])

@@ -161,14 +161,44 @@ def test_pivot_table_never_discards_a_link(spark):
     assert all(max(abs(a - b) for a, b in zip(t[x], t[y])) <= 2 for x, y in pairs)
 
 
+def brute_keep_one(rows):
+    """(id, text) rows kept: one a component, as ``keep_one`` says."""
+    bits = [int(brute_simhash([(0, t)])[0][1], 16) for _, t in rows]
+    left, out = set(range(len(rows))), []
+    while left:
+        todo = [left.pop()]
+        group = list(todo)
+        while todo:
+            x = todo.pop()
+            near = [y for y in left if (bits[x] ^ bits[y]).bit_count() <= 2]
+            left.difference_update(near)
+            todo += near
+            group += near
+        best = min(group, key=lambda y: (rows[y][0] is None, rows[y][0] or 0, -len(rows[y][1] or ""),
+                                         hashlib.sha256((rows[y][1] or "").encode()).hexdigest()))
+        out.append((rows[best][0], rows[best][1] or ""))
+    return sorted(out, key=str)
+
+
 def test_keep_one(spark, docs):
-    kept = simhash.keep_one(docs, simhash.cluster(docs))
-    by = collections.defaultdict(list)
-    for d, _, c in brute_simhash([(r.doc_id, r.text) for r in docs.collect()]):
-        by[c].append(d)
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(c for c in by if c is not None)
+    kept = simhash.keep_one(docs)
+    assert sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str) == brute_keep_one([(r.doc_id, r.text) for r in docs.collect()])
     assert kept.columns == docs.columns
-    assert simhash.keep_one(docs.limit(0), simhash.cluster(docs.limit(0))).count() == 0
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_keep_one_of_each_component_where_ids_repeat(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(400)]
+    text = " ".join(rng.choice(words, 300))
+    others = [" ".join(rng.choice(words, 40)) for _ in range(4)]
+    rows = [(1, others[0]), (1, text), (2, text), (0, text), (0, others[1]), (1, others[0]), (None, others[2]), (None, others[2]),
+            (None, text), (None, others[3]), (5, None), (5, ""), (4, " "), (None, None)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _digest string").repartition(3)
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str)
+    assert got == brute_keep_one(rows) and (1, others[0]) in got and (0, text) in got and len(got) == 6
 
 
 def test_components_chain_and_empty(spark):
@@ -473,6 +503,31 @@ def test_token_counts_equal_the_library_and_reuse_the_cache(spark, docs, tmpdir_
     assert spark.read.parquet(cache).count() == n + 2
 
 
+def test_piecewise_counts_equal_whole_texts():
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        rules_ = json.load(f)
+    assert token_counts.separable(rules_)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"pre_tokenizer": rules_["pre_tokenizer"] | {"add_prefix_space": True}},
+                   {"added_tokens": [rules_["added_tokens"][0] | {"lstrip": True}]}, {"added_tokens": [rules_["added_tokens"][0] | {"content": "a b"}]}):
+        assert not token_counts.separable(rules_ | change)
+    lib, rng = Tokenizer.from_file(path), np.random.default_rng(6)
+    whole = lambda ts: [len(x) for x in lib.encode_batch_fast(ts, add_special_tokens=False)]
+    parts = [" ", " ", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u2003", "\u200b", "\u180e", "a", "é", "日", "1", "'s", "'", "#", "word",
+             "<|endoftext|>", "<|endo", "\u0301", "x" * 70]
+    texts = ["".join(rng.choice(parts, int(k))) for k in rng.integers(0, 15, 20_000)] + ["", " ", "a" * 100_000, "ab " * 100_000, " \n" * 5000]
+    count = token_counts.Pieces(whole)
+    assert [n for k in range(0, len(texts), 999) for n in count(texts[k: k + 999])] == whole(texts)
+    assert all(len(p) <= count.LONGEST for p in count.known)
+    count.KNOWN, count.known = 50, {}  # the memo is full again and again
+    assert [n for k in range(0, 2000, 20) for n in count(texts[k: k + 20])] == whole(texts[:2000])
+
+
 # ---- rules
 
 def brute_rules(t):
