@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from salescast.operators import clean, forecast as fc
 from salescast.operators.ml import backtest as bt
-from salescast.operators.ml import encode, evaluate as ev, split, train as tr
+from salescast.operators.ml import encode, evaluate as ev, split, train as tr, trees as tt
 from salescast.plans.catalog import query
 from salescast.plans.oracle_base import category_sql
 from salescast.session import materialize
@@ -253,27 +253,52 @@ def _prepared(ctx):
     return ctx.model_frames
 
 
-def _holdout_metrics(ctx, name):
+def _holdout_metrics(ctx, name, trees=False):
     _, test, _ = _prepared(ctx)
     model, secs = ctx.fitted(name)
-    return ev.metrics(tr.evaluated(model, test)).select(F.lit(name).alias("model"), "*", F.lit(round(secs, 3)).alias("training_time"))
+    found = ev.metrics(tr.evaluated(model, test)).select(F.lit(name).alias("model"), "*", F.lit(round(secs, 3)).alias("training_time"))
+    if trees and isinstance(model, tt.Ensemble):
+        found = found.withColumns({"rounds": F.lit(model.rounds), "best_round": F.lit(model.best_round), "trees": F.lit(len(model.tables)),
+                                   "most_leaves": F.lit(max(model.leaves, default=0))})
+    return found
+
+
+def _curve(ctx, name):
+    """Validation error after each round, round 0 being the constant model."""
+    model, _ = ctx.fitted(name)
+    rows = [(name, k, float(e), k == model.best_round) for k, e in enumerate(model.curve)]
+    return ctx.spark.createDataFrame(rows, "model string, round int, validation_rmse double, is_best boolean")
 
 
 @query("ml4_gbt_holdout")
 def ml4_gbt_holdout(ctx):
-    """ML2 + ML4 + ML8: boosted trees on the 20 features, holdout metrics."""
-    return _holdout_metrics(ctx, "GBT")
+    """ML2 + ML4 + ML8: boosted trees on the 20 features, holdout metrics,
+    rounds taken and kept, and leaves of the largest tree."""
+    return _holdout_metrics(ctx, "GBT", trees=True)
+
+
+@query("ml4_validation_curve")
+def ml4_validation_curve(ctx):
+    """ML4: the curve that the early stopping went by."""
+    return _curve(ctx, "GBT")
 
 
 @query("ml5_second_booster_holdout")
 def ml5_second_booster_holdout(ctx):
     """ML5: the second boosted configuration, holdout metrics."""
-    return _holdout_metrics(ctx, "GBT-2")
+    return _holdout_metrics(ctx, "GBT-2", trees=True)
+
+
+@query("ml5_validation_curve")
+def ml5_validation_curve(ctx):
+    """ML5: the curve that the early stopping went by."""
+    return _curve(ctx, "GBT-2")
 
 
 @query("ml6_random_forest_holdout")
 def ml6_random_forest_holdout(ctx):
-    return _holdout_metrics(ctx, "RandomForest")
+    """ML6: 200 bootstrap trees of depth 15, grown in groups."""
+    return _holdout_metrics(ctx, "RandomForest", trees=True)
 
 
 @query("ml7_elastic_net_holdout")

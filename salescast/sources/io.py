@@ -158,12 +158,27 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_model(model, path: str) -> None:
-    """IO8: MLlib persistence (works on any Hadoop-compatible path)."""
-    model.write().overwrite().save(path)
+    """IO8: persistence of MLlib pipelines and of tree ensembles (on any
+    Hadoop-compatible path)."""
+    from pyspark.sql import SparkSession
+
+    from salescast.operators.ml.trees import Ensemble
+    if isinstance(model, Ensemble):
+        model.save(SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
 def load_model(path: str):
+    """The model saved at ``path``, of the kind that was saved."""
     from pyspark.ml import PipelineModel
+    from pyspark.sql import SparkSession
+
+    from salescast.operators.ml.trees import Ensemble
+    spark = SparkSession.active()
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/ensemble")
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return Ensemble.load(spark, path)
     return PipelineModel.load(path)
 
 

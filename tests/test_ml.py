@@ -117,7 +117,7 @@ def test_mllib_fit_and_score(spark):
     rows = [(float(i % 7), float(i % 3), float(2 * (i % 7) + (i % 3))) for i in range(300)]
     df = spark.createDataFrame(rows, "a double, b double, sales double")
     model, secs = tr.fit(df, dict(kind="dt", maxDepth=6), cols=["a", "b"])
-    assert tr.CONFIGS["RandomForest"]["featureSubsetStrategy"] == "all"
+    assert tr.CONFIGS["RandomForest"]["columns"] == 1.0
     pred = tr.predict(model, df).agg(F.max(F.abs(F.col("prediction") - F.col("sales")))).first()[0]
     assert pred < 1e-6 and secs >= 0
     imp = tr.importance(spark, model, ["a", "b"]).collect()
