@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast.operators.ml import evaluate
@@ -79,16 +79,32 @@ def backtest_naive(df: DataFrame, keys: Sequence[str], folds: int = 3, horizon:
 
 
 def ets_level(df: DataFrame, keys: Sequence[str], alpha: float = 0.3, y: str = "sales",
-              out: str = "level") -> DataFrame:
+              out: str = "level", block_days: int = 64) -> DataFrame:
     """ML7c: simple exponential smoothing per series; the final level is the
-    flat forecast.  Each series is one group of at most one value per day
-    (calendar-bounded), folded in date order with ``aggregate``."""
+    flat forecast.
+
+    Smoothing a run of values is linear in the level before it: a run is the
+    state (n, s), its length and sum of alpha * beta^(n - i) * y_i, and the level
+    after it is beta^n * level + s.  Two runs in a row merge to (n + m, beta^m *
+    s + t).  Each block of days of a series becomes such a state by an aggregate
+    over rows numbered inside the block, and a series' states are merged by a sum
+    over its blocks, each weighted by beta to the values behind it; no list of a
+    series is held, and windows see one block, or one row a block.  Values of one
+    day in a series are taken in ascending order, NULLs are no values; the first
+    value is the first level."""
     beta = 1.0 - alpha
-    s = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("date", F.col(y).alias("y")))).alias("__s"))
-    ys = F.transform("__s", lambda r: r["y"])
-    lvl = F.aggregate(F.slice(ys, 2, 1 << 30), ys[0],
-                      lambda acc, x: F.lit(alpha) * x + F.lit(beta) * acc)
-    return s.select(*keys, F.round(lvl, 6).alias(out))
+    key, keys = [F.col(k) for k in keys], list(keys)
+    rows = df.where(F.col(y).isNotNull()).select(*key, F.floor(F.unix_date("date") / block_days).alias("__b"), "date", F.col(y).cast("double").alias("__y"))
+    inside = Window.partitionBy(*keys, "__b")
+    ranked = rows.select(*keys, "__b", "__y", F.row_number().over(inside.orderBy("date", "__y")).alias("__i"), F.count("*").over(inside).alias("__n"))
+    power = F.pow(F.lit(beta), F.col("__n") - F.col("__i"))
+    state = ranked.groupBy(*keys, "__b").agg(F.max("__n").alias("__n"), F.sum(alpha * power * F.col("__y")).alias("__s"),
+                                             F.max(F.when(F.col("__i") == 1, F.col("__y"))).alias("__first"))
+    after = Window.partitionBy(*keys).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = state.withColumn("__after", F.coalesce(F.sum("__n").over(after), F.lit(0)))
+    # the first value is the level before itself: beta^(all values) more of it
+    level = F.sum(F.pow(F.lit(beta), F.col("__after")) * F.col("__s")) + F.pow(F.lit(beta), F.sum("__n")) * F.min_by("__first", "__b")
+    return placed.groupBy(*keys).agg(F.round(level, 6).alias(out))
 
 
 def search(train: DataFrame, test: DataFrame, candidates: dict, label: str = "sales",
@@ -119,6 +135,111 @@ def search(train: DataFrame, test: DataFrame, candidates: dict, label: str = "sa
     return evaluate.leaderboard(out)
 
 
+#: Paired units and standard errors of the race's test: with 8 units, three
+#: standard errors are a one-sided Student test at 1 % (t(7) = 2.998).
+UNITS, ERRORS = 8, 3.0
+#: (fold, share of the rounds or trees) of the race, one after the other.
+RUNGS = ((1, 0.05), (1, 1.0), (2, 1.0), (3, 1.0))
+
+
+def scaled(config: dict, share: float) -> dict:
+    """A configuration with a share of its rounds, trees or iterations."""
+    return {k: max(10, round(v * share)) if k in ("rounds", "trees", "maxIter") else v for k, v in config.items()}
+
+
+def weekly_errors(scored: DataFrame) -> DataFrame:
+    """Sums by week of (date, actual, predicted) rows, from which all metrics follow."""
+    from salescast.functions import calendar as cal
+    y, e = F.col("actual"), F.col("actual") - F.col("predicted")
+    return (scored.dropna(subset=["actual", "predicted"]).groupBy(cal.week_ending("date").alias("week"))
+            .agg(F.count("*").alias("n"), F.sum(e * e).alias("sse"), F.sum(F.abs(e)).alias("sae"), F.sum(y).alias("sy"),
+                 F.sum(y * y).alias("syy"), F.min(y).alias("lo"), F.max(y).alias("hi")))
+
+
+def paired(fits: DataFrame) -> DataFrame:
+    """Each model against the leader, over the weeks that both were scored on at
+    the same budget: (model, leader, units, mean_diff, se_diff, worse).
+
+    The leader has the least mean squared error over all of these; ``worse`` says
+    that a model's weekly error is above the leader's by more than ``ERRORS``
+    standard errors of the paired differences, over at least ``UNITS`` weeks."""
+    last = fits.where(F.col("rung") == fits.agg(F.max("rung")).scalar()).select("model").distinct()
+    full = fits.join(last, "model", "left_semi").withColumn("mse", F.col("sse") / F.col("n"))
+    total = full.groupBy("model").agg((F.sum("sse") / F.sum("n")).alias("mse"))
+    leader = total.agg(F.min(F.struct("mse", "model")).alias("m")).select("m.model")
+    first = full.join(leader, "model", "left_semi").select("fold", "budget", "week", F.col("model").alias("leader"), F.col("mse").alias("best"))
+    pairs = full.join(first, ["fold", "budget", "week"]).withColumn("d", F.col("mse") - F.col("best"))
+    out = pairs.groupBy("model", "leader").agg(F.count("*").alias("units"), F.avg("d").alias("mean_diff"),
+                                               (F.stddev_samp("d") / F.sqrt(F.count("*"))).alias("se_diff"))
+    worse = (F.col("units") >= UNITS) & (F.col("mean_diff") > ERRORS * F.col("se_diff")) & (F.col("model") != F.col("leader"))
+    return out.withColumn("worse", F.coalesce(worse, F.lit(False)))
+
+
+def race(df: DataFrame, candidates: dict, prepare, folder: str, rungs=RUNGS, folds: int = 3, horizon: int = 90,
+         label: str = "sales", parallelism: int = 1) -> DataFrame:
+    """ML16 as a race: all candidates start; after each rung (a fold at a share of
+    the budget) those that the paired test of ``paired`` finds worse than the
+    leader are dropped and fitted no more.
+
+    Every fit's weekly errors are written to a table of its own below ``folder``;
+    a search that is started again reads those that are complete and makes only
+    the others, with the same outcome.  Returns one row for each fit made: (model,
+    fold, budget, rung, metrics, seconds, dropped_at, rank): dropped_at is the
+    rung whose test dropped the model, and rank orders by rungs survived, then by
+    the mean NRMSE over full-budget folds (what there is, for models dropped
+    before).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from salescast.operators.ml import train as tr
+    from salescast.sources.io import exists
+
+    spark, root = df.sparkSession, folder.rstrip("/")
+    frames, alive, dropped = {}, list(candidates), {}
+
+    def frame(k):
+        if k not in frames:
+            frames[k] = prepare(*fold_frames(df, k, folds, horizon))
+        return frames[k]
+
+    def one(job):
+        name, k, share, rung = job
+        path = f"{root}/rung={rung}/model={name}"
+        if not exists(spark, f"{path}/_SUCCESS"):
+            train_df, test_df = frame(k)
+            config = scaled(candidates[name], share)
+            if config["kind"] == "boost":  # a larger budget goes on from the smaller one's blocks
+                config["folder"] = f"{root}/runs/fold={k}/{name}"
+            model, secs = tr.fit(train_df, config, label)
+            found = weekly_errors(tr.evaluated(model, test_df, label, keep=["date"]))
+            found.withColumns({"fold": F.lit(k), "budget": F.lit(float(share)), "seconds": F.lit(round(secs, 3))}).write.mode("overwrite").parquet(path)
+        return path
+
+    fits = None
+    for rung, (k, share) in enumerate(rungs):
+        if any(not exists(spark, f"{root}/rung={rung}/model={n}/_SUCCESS") for n in alive):
+            frame(k)  # before the threads, so that it is made once
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(one, [(n, k, share, rung) for n in alive]))
+        fits = spark.read.option("basePath", root).parquet(*[f"{root}/rung={r}" for r in range(rung + 1)])
+        for r in paired(fits).where("worse").collect():  # one row a candidate
+            dropped[r["model"]] = rung
+            alive.remove(r["model"])
+    spread = F.sum("syy") - F.sum("sy") * F.sum("sy") / F.sum("n")
+    rmse, width = F.sqrt(F.sum("sse") / F.sum("n")), F.max("hi") - F.min("lo")
+    rows = fits.groupBy("model", "fold", "budget", "rung").agg(
+        F.round(rmse, 6).alias("rmse"), F.round(F.sum("sae") / F.sum("n"), 6).alias("mae"),
+        F.round(1 - F.try_divide(F.sum("sse"), spread), 6).alias("r2"),
+        F.round(F.try_divide(rmse, F.when(width > 0, width)), 6).alias("normalized_rmse"),
+        F.sum("n").alias("n"), F.max("seconds").alias("seconds"))
+    out = spark.createDataFrame([(n, dropped.get(n)) for n in candidates], "model string, dropped_at int")
+    mean = rows.groupBy("model").agg(F.avg(F.when(F.col("budget") == 1.0, F.col("normalized_rmse"))).alias("full"),
+                                     F.avg("normalized_rmse").alias("any"))
+    order = out.join(mean, "model").select("model", "dropped_at", F.row_number().over(Window.orderBy(
+        F.coalesce("dropped_at", F.lit(len(rungs))).desc(), F.coalesce("full", "any").asc_nulls_last(), "model")).alias("rank"))
+    return rows.join(order, "model").select("model", "fold", "budget", "rung", "rmse", "mae", "r2", "normalized_rmse", "n", "seconds", "dropped_at", "rank")
+
+
 def cv_search(df: DataFrame, candidates: dict, prepare, folds: int = 3, horizon: int = 90,
               label: str = "sales", parallelism: int = 1) -> DataFrame:
     """ML15 + ML16: every candidate is fitted on each fold's training window

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescast.session import shared_folder
+from salescast.sources.io import exists
 
 #: Rows of a block; bounds of the rows of a node that one task grows alone.
 BLOCK, SMALL, LARGE = 8192, 1 << 17, 1 << 20
@@ -374,15 +375,10 @@ def _spread(packed: DataFrame, rows: int) -> tuple[DataFrame, int]:
     return packed.repartition(parts, "block").persist(), small
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def _prepared(train: DataFrame, cols, label: str, bins: int, folder: str, validation) -> tuple[DataFrame, list[np.ndarray], int]:
     """The packed table of a run and its bin edges; read where a run left them."""
     spark = train.sparkSession
-    if not _exists(spark, f"{folder}/rows/_SUCCESS"):
+    if not exists(spark, f"{folder}/rows/_SUCCESS"):
         cuts = edges(train, cols, bins)
         pack(train, cols, label, cuts, validation).write.mode("overwrite").parquet(f"{folder}/rows")
         spark.createDataFrame([(json.dumps([c.tolist() for c in cuts]),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/edges")
@@ -440,7 +436,7 @@ def boost(train: DataFrame, cols, label: str, p: Params, rounds: int, patience:
     packed, cuts, n = _prepared(train, cols, label, bins, folder, validation)
     width, bins = len(cols), 1 + max([len(c) for c in cuts], default=0)
     base, trees, curve, at = None, [], [], 0
-    while _exists(spark, f"{folder}/block-{at + kept}/done/_SUCCESS"):
+    while exists(spark, f"{folder}/block-{at + kept}/done/_SUCCESS"):
         at += kept
     if at:
         state = json.loads(spark.read.text(f"{folder}/block-{at}/done").first()[0])
@@ -545,7 +541,7 @@ def forest(train: DataFrame, cols, label: str, p: Params, trees: int, bins: int
     def grow(first: int) -> None:
         numbers = list(range(first, min(first + group, trees)))
         path = f"{folder}/groups-{group}/group-{first}"
-        if _exists(spark, f"{path}/_SUCCESS"):
+        if exists(spark, f"{path}/_SUCCESS"):
             return
         grower = Grower(rows, p, width, bins, small)
         nodes, partial, ends, _ = grower.top(numbers, n)

@@ -132,12 +132,14 @@ def build_dim_store(df: DataFrame, state_to_region: Mapping | None = None) -> Da
 
 
 # SB5 -------------------------------------------------------------------------
-def build_dim_product(df: DataFrame, family_to_category: Mapping | None = None) -> DataFrame:
+def build_dim_product(df: DataFrame, family_to_category: Mapping | None = None, registry=None) -> DataFrame:
     """SB5: ``product_key`` = 1-based position of the family in sorted order
-    (distributed dense numbering, ``operators.keys``)."""
+    (distributed dense numbering, ``operators.keys``).  With a ``KeyRegistry``
+    families keep the keys they have, and new ones get the next."""
     from salescast.operators.keys import dense_keys
-    return (dense_keys(df, "family", "product_key", start=1)
-            .withColumn("category", clean.category_col("family", family_to_category))
+    keyed = (registry.refresh(df, "family").select(F.col("value").alias("family"), F.col("key").alias("product_key"))
+             if registry else dense_keys(df, "family", "product_key", start=1))
+    return (keyed.withColumn("category", clean.category_col("family", family_to_category))
             .select("product_key", "family", "category"))
 
 

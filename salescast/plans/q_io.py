@@ -15,6 +15,7 @@ from salescast.plans.catalog import query
 from salescast.plans.prepare import load_star
 from salescast.session import shared_folder
 from salescast.sources import io
+from salescast.sources.versioned import YearTable
 
 
 def _folder(ctx) -> str:
@@ -137,3 +138,18 @@ def jn11_default_to_key_1(ctx):
     dim = ctx.star.dim_product.where("product_key <> 2")
     ff = fc.fact_forecasts(preds, dim, ctx.family_to_category, unknown_product_key=fixed.UNKNOWN_PRODUCT_KEY)
     return ff.groupBy("product_key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("io4_refreshed_star", """
+SELECT CAST(year(date) AS INTEGER) AS year, COUNT(*) AS rows, MAX(date) AS last_date, round(SUM(sales), 2) AS sales
+FROM features GROUP BY 1""")
+def io4_refreshed_star(ctx):
+    """IO4: the table loaded without its last day and with wrong values for the
+    day before, then refreshed with both days; only their year is rewritten."""
+    rows = ctx.features.select("date", "store_nbr", "family", "sales")
+    last = rows.agg(F.max("date")).scalar()
+    table = YearTable(ctx.spark, _folder(ctx))
+    wrong = F.when(F.col("date") == F.date_sub(last, 1), F.lit(-1.0)).otherwise(F.col("sales"))
+    table.load(rows.where(F.col("date") < last).withColumn("sales", wrong))
+    table.load(rows.where(F.col("date") >= F.date_sub(last, 1)))
+    return table.read().groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.max("date").alias("last_date"), F.round(F.sum("sales"), 2).alias("sales"))

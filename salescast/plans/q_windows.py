@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from salescast.operators import timeseries as ts
+from salescast.operators import keys, timeseries as ts
 from salescast.plans.catalog import query
+from salescast.session import shared_folder
 
 FF = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
@@ -77,7 +80,54 @@ FROM features GROUP BY family""")
 def wn7_rank_families(ctx):
     """WN7: rank by score with a total tie-break."""
     per = ctx.features.groupBy("family").agg(F.sum("sales").alias("sales"))
-    return ts.row_rank(per, [F.desc("sales"), F.col("family")])
+    return ts.row_rank(per, [("sales", False), "family"]).withColumn("rank", F.col("rank").cast("int"))
+
+
+@query("wn7_rank_with_ties", """
+SELECT date, store_nbr, family, sales, rank() OVER (ORDER BY sales DESC) AS rank, dense_rank() OVER (ORDER BY sales DESC) AS dense_rank
+FROM features""")
+def wn7_rank_with_ties(ctx):
+    """WN7: rank and dense rank of all rows by one measure, over range partitions."""
+    rows = ctx.features.select("date", "store_nbr", "family", "sales")
+    return keys.global_rank(rows, [("sales", False)], rank="rank", dense_rank="dense_rank")
+
+
+ORDERS_SQL = """(SELECT o_orderkey, o_orderdate, CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS cents FROM orders)"""
+
+
+def _orders(ctx):
+    cents = F.when(F.col("o_orderpriority") == "1-URGENT", F.round(F.col("o_totalprice") * 100).cast("long"))
+    return ctx.table("orders").select("o_orderkey", "o_orderdate", cents.alias("cents"))
+
+
+@query("wn3_fill_long_series", f"""
+SELECT o_orderkey, o_orderdate, coalesce(last_value(cents IGNORE NULLS) OVER (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING),
+       first_value(cents IGNORE NULLS) OVER (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS cents FROM {ORDERS_SQL}""")
+def wn3_fill_long_series(ctx):
+    """WN3: one series of all orders, filled over range partitions."""
+    return ts.fill_series(_orders(ctx), "cents", None, ["o_orderdate", "o_orderkey"])
+
+
+@query("wn6_rolling30_long_series", f"""
+SELECT o_orderkey, CASE WHEN COUNT(*) OVER w >= 30 THEN round(AVG(cents) OVER w, 6) END AS cents_ma30
+FROM (SELECT o_orderkey, o_orderdate, coalesce(cents, 0) AS cents FROM {ORDERS_SQL})
+WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")
+def wn6_rolling30_long_series(ctx):
+    """WN6: 30-row mean along one series of all orders, in blocks."""
+    rows = _orders(ctx).fillna(0, ["cents"])
+    out = ts.rolling_mean(rows, "cents", 30, None, ["o_orderdate", "o_orderkey"], block=4096)
+    return out.select("o_orderkey", F.round("cents_ma30", 6).alias("cents_ma30"))
+
+
+@query("wn8_key_registry", """
+SELECT family, CAST(ROW_NUMBER() OVER (ORDER BY late, family) AS INTEGER) AS product_key
+FROM (SELECT family, NOT bool_or(store_nbr < 5) AS late FROM features GROUP BY family)""")
+def wn8_key_registry(ctx):
+    """WN8 / SB5: keys of the families of some stores, then of all of them; the
+    second refresh moves no key."""
+    registry = keys.KeyRegistry(ctx.spark, f"{shared_folder(ctx.spark).rstrip('/')}/salescast-keys/{uuid.uuid4().hex}")
+    registry.refresh(ctx.features.where("store_nbr < 5"), "family")
+    return registry.refresh(ctx.features, "family").select(F.col("value").alias("family"), F.col("key").alias("product_key"))
 
 
 @query("wn14_target_lags", """
