@@ -399,3 +399,31 @@ def ml14_model_accuracy_by_grain(ctx):
     model, _ = ctx.fitted("GBT")
     scored = tr.evaluated(model, test, keep=["date"])
     return ev.metrics_by_grain(scored, "daily").unionByName(ev.metrics_by_grain(scored, "weekly"))
+
+
+@query("st1_request_stream", """
+SELECT 'scored' AS sink, '' AS reason, COUNT(*) AS requests FROM fc_frame WHERE day(date) NOT IN (13, 20)
+UNION ALL SELECT 'dead', 'no family', COUNT(*) FROM fc_frame WHERE day(date) = 13
+UNION ALL SELECT 'dead', 'not JSON', COUNT(*) FROM fc_frame WHERE day(date) = 20""")
+def st1_request_stream(ctx):
+    """ST1: requests as JSON lines, those of the first of a month sent twice, of
+    the 13th without a family and of the 20th cut short; answers and dead letters
+    by reason."""
+    import uuid
+    from salescast.session import shared_folder
+    from salescast.streaming import scoring
+    spark = ctx.spark
+    _, _, enc = _prepared(ctx)
+    run = f"{shared_folder(spark).rstrip('/')}/salescast-requests/{uuid.uuid4().hex}"
+    frame = fc.scoring_frame(ctx.star, ctx.features, transactions="profile").select(*[f.name for f in scoring.REQUEST_SCHEMA.fields])
+    day, name = F.dayofmonth("date"), F.concat_ws("/", "date", "store_nbr", "family")
+    sent = frame.withColumn("request_id", name).withColumn("family", F.when(day != 13, F.col("family")))
+    line = F.to_json(F.struct("request_id", *frame.columns))
+    cut = F.when(day == 20, F.expr("substring(l, 1, length(l) - 1)")).otherwise(F.col("l"))
+    lines = sent.withColumn("l", line).select(cut.alias("value"), day.alias("day"))
+    lines.select("value").unionByName(lines.where("day = 1").select("value")).write.text(f"{run}/requests")
+    scoring.serve(spark, f"{run}/requests", f"{run}/scored", f"{run}/dead", f"{run}/checkpoint", ctx.fitted("DecisionTree")[0], enc,
+                  available_now=True).awaitTermination()
+    scored = spark.read.parquet(f"{run}/scored").select(F.lit("scored").alias("sink"), F.lit("").alias("reason"))
+    dead = spark.read.parquet(f"{run}/dead").select(F.lit("dead").alias("sink"), "reason")
+    return scored.unionByName(dead).groupBy("sink", "reason").agg(F.count(F.lit(1)).alias("requests"))

@@ -10,7 +10,8 @@ from tests.conftest import SF_SMALL
 SKIP = {"ml4_gbt_holdout", "ml6_random_forest_holdout", "ml7_elastic_net_holdout",
         "ml7b_decision_tree_holdout", "ml5_second_booster_holdout", "ml11_feature_importance", "ml16_model_search",
         "fc3_model_forecast", "st1_stream_scoring", "ml16_rolling_origin_search",
-        "ml14_model_accuracy_by_grain", "io8_saved_model_scores"}
+        "ml14_model_accuracy_by_grain", "io8_saved_model_scores", "ml4_validation_curve", "ml5_validation_curve",
+        "st1_request_stream"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"]
 
