@@ -78,15 +78,30 @@ def ratios() -> dict[str, Column]:
             "repeat_ratio": share("n_repeat_words", "n_words"), "upper_ratio": share("n_upper", "word_chars")}
 
 
+def log_factorial(x: Column) -> Column:
+    """ln x! of whole numbers: Stirling's series at x + 9, where its next term is
+    below 1e-11, less the logs of the eight factors above x."""
+    z = x.cast("double") + F.lit(9.0)
+    series = (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * F.pow(z, 3)) + 1 / (1260 * F.pow(z, 5)) - 1 / (1680 * F.pow(z, 7))
+    above = F.lit(0.0)
+    for i in range(1, 9):
+        above = above + F.log(x.cast("double") + i)
+    return series - above
+
+
 def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    """ln P(Bin(n, p) <= k), exact, for k below n * p (else 0, its bound):
-    the log of the k-th term, and the sum of all terms relative to it."""
-    upto = F.when(k > 0, F.sequence(F.lit(1).cast("bigint"), k)).otherwise(F.array().cast("array<bigint>"))
-    choose = F.aggregate(upto, F.lit(0.0), lambda a, i: a + F.log((n - i + 1) / i))
-    down = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
-    fall = lambda a, i: a["term"] * i / (n - i + 1) * ((1 - p) / p)
-    tail = F.aggregate(F.reverse(upto), down, lambda a, i: F.struct(fall(a, i).alias("term"), (a["sum"] + fall(a, i)).alias("sum")),
-                       lambda a: F.log(a["sum"]))
+    """ln P(Bin(n, p) <= k) for k below n * p (else 0, its bound): the log of the
+    k-th term, and the sum of the terms below relative to it.
+
+    Going down from k, the m-th term is below exp(-m^2 / 2np) of the first, so the
+    terms beyond 9 * sqrt(np) + 60 add nothing to a double: the array of steps
+    grows with the root of n, and nothing is left out that could be seen."""
+    steps = F.least(k, F.ceil(9 * F.sqrt(n * p)) + 60)
+    down = F.when(steps > 0, F.sequence(F.lit(0).cast("bigint"), steps - 1)).otherwise(F.array().cast("array<bigint>"))
+    choose = log_factorial(n) - log_factorial(k) - log_factorial(n - k)
+    fall = lambda a, j: a["term"] * (k - j) / (n - k + j + 1) * ((1 - p) / p)
+    tail = F.aggregate(down, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
+                       lambda a, j: F.struct(fall(a, j).alias("term"), (a["sum"] + fall(a, j)).alias("sum")), lambda a: F.log(a["sum"]))
     return F.when(k < n * p, choose + k * math.log(p) + (n - k) * math.log1p(-p) + tail).otherwise(0.0)
 
 

@@ -240,11 +240,12 @@ def explaining(toxic: DataFrame, suspects: list[str]) -> list[str]:
                 u = Units(piece.column(0))
                 texts, bounds = u.text(), np.searchsorted(u.doc, np.arange(piece.num_rows + 1))
                 found = [sorted({number[w] for w in texts[a:z] if w in number}) for a, z in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["found"])
+                yield pa.RecordBatch.from_arrays([piece.column(1), pa.array(found, pa.list_(pa.int32()))], names=["h", "found"])
 
-    chosen = toxic.orderBy(F.xxhash64("text"), "text").limit(COVERED)
-    lists = chosen.mapInArrow(run, T.StructType([T.StructField("found", T.ArrayType(T.IntegerType()))])).where("size(found) > 0")
-    docs = lists.toArrow().column("found").to_pylist()
+    # texts become lists of suspects where they are read; only lists are sorted and limited
+    kind = T.StructType([T.StructField("h", T.LongType()), T.StructField("found", T.ArrayType(T.IntegerType()))])
+    lists = toxic.select("text", F.xxhash64("text").alias("h")).mapInArrow(run, kind).where("size(found) > 0")
+    docs = lists.orderBy("h", "found").limit(COVERED).toArrow().column("found").to_pylist()
     left, of = Counter(i for d in docs for i in d), {}
     for k, d in enumerate(docs):
         for i in d:

@@ -561,6 +561,16 @@ def test_binomial_bound_is_exact(spark):
             assert r.l == 0.0
 
 
+def test_binomial_bound_of_a_billion(spark):
+    k, p = 10**9, 0.0125
+    n = int(k / p * 1.00001)
+    got = spark.range(1).select(rules.log_binomial_cdf(F.lit(k).cast("long"), F.lit(n).cast("long"), p)).first()[0]
+    i = np.arange(k, k - 2_000_000, -1, dtype=np.float64)
+    tail = np.log1p(np.exp(np.cumsum(np.log(i / (n - i + 1) * (1 - p) / p))).sum())
+    top = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    assert got == pytest.approx(top + tail, abs=1e-3)  # lgamma itself is near 2e11 here
+
+
 def test_cutoffs_are_certified_by_stratum(spark):
     clean = "word " * 60
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)), "en") for i in range(2000)]
