@@ -24,7 +24,7 @@ HEADLINE = [
     "me4_yoy_month", "me5_revenue_ytd", "me7_mape_by_category", "me9_pct_of_category_by_family",
     "me14_forecast_variance_by_category", "rl1_role_kpis", "fc6_fact_forecasts", "fc7_weekly_rollup",
     "wn15_target_rolling", "ml9_baseline_leaderboard", "ml15_backtest_naive", "ml4_gbt_holdout",
-    "ml6_random_forest_holdout", "ml7_elastic_net_holdout",
+    "ml5_second_booster_holdout", "ml6_random_forest_holdout", "ml7_elastic_net_holdout",
 ]
 
 

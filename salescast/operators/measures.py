@@ -266,15 +266,12 @@ def revenue_per_transaction(star, by: Sequence[str] = (), dedup: bool = False) -
     every product row of a (date, store); ``dedup=True`` counts each
     (date, store) once."""
     df = with_dims(star, "fact_sales", by)
-    rev = df.groupBy(*by).agg(F.sum("revenue").alias("r"))
-    if dedup:
-        tx = (df.groupBy("date_key", "store_key", *by).agg(F.max("transactions").alias("t"))
-                .groupBy(*by).agg(F.sum("t").alias("t")))
-    else:
-        tx = df.groupBy(*by).agg(F.sum("transactions").alias("t"))
-    j = rev.join(tx, list(by)) if by else rev.select("r", tx.agg(F.first("t")).scalar().alias("t"))
-    return j.select(*by, F.round(F.try_divide(F.col("r").cast("double"), F.col("t")), 6)
-                    .alias("revenue_per_transaction"))
+    r, t = F.sum("revenue").alias("r"), F.sum("transactions").alias("t")
+    if dedup:  # one row a (date, store) first, in the same pass
+        df = df.groupBy("date_key", "store_key", *by).agg(r, F.max("transactions").alias("transactions"))
+        r = F.sum("r").alias("r")
+    return df.groupBy(*by).agg(r, t).select(*by, F.round(F.try_divide(F.col("r").cast("double"), F.col("t")), 6)
+                                            .alias("revenue_per_transaction"))
 
 
 # ME19 ------------------------------------------------------------------------

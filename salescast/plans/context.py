@@ -40,6 +40,14 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(sorted(out))
 
 
+def _stopped(spark: SparkSession) -> bool:
+    """Whether a classic session's context has ended."""
+    try:
+        return spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped()
+    except Exception:  # a Spark Connect session has no context here
+        return False
+
+
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -52,6 +60,8 @@ class Context:
         key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, _fingerprint(spark, sf_dir))
         ctx = _SHARED.get(key)
         if ctx is None:
+            for old in [k for k, c in _SHARED.items() if _stopped(c.spark)]:
+                del _SHARED[old]
             ctx = _SHARED[key] = cls(spark, sf_dir)
         return ctx
 

@@ -158,3 +158,44 @@ def test_saved_encoders_keep_their_codes(spark, tmpdir_path):
     kept = encode.load(spark, tmpdir_path, ["city"])
     more = spark.createDataFrame([("Ambato",), ("Loja",), ("Quito",)], "city string")  # a new first city
     assert [r.city for r in encode.encode(more, kept).orderBy("city").collect()] == [0, 0, 1]
+
+
+def test_elastic_net_against_coordinate_descent(spark):
+    from salescast.operators.ml import train as tr
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((400, 3)) * [1.0, 2.0, 0.5]
+    y = 4 + 3 * x[:, 0] - 0.2 * x[:, 1] + rng.standard_normal(400)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, sales double")
+    model, _ = tr.fit(df, dict(kind="lr", regParam=0.4, elasticNetParam=0.5, maxIter=1000, tol=1e-10), cols=["a", "b", "c"])
+    # 1/(2n) |y - Xw|^2 + r (l |w|_1 + (1 - l)/2 |w|^2) on the scaled label that MLlib fits, without standardising the features
+    sd = y.std(ddof=1)
+    xc, yc, w, r, l1 = x - x.mean(axis=0), (y - y.mean()) / sd, np.zeros(3), 0.4 / sd, 0.5
+    for _ in range(500):
+        for k in range(3):
+            rest = xc[:, k] @ (yc - xc @ w + xc[:, k] * w[k]) / len(y)
+            w[k] = np.sign(rest) * max(abs(rest) - r * l1, 0) / (xc[:, k] @ xc[:, k] / len(y) + r * (1 - l1))
+    assert np.allclose(model.stages[-1].coefficients.toArray(), w * sd, atol=1e-3)
+    assert abs(model.stages[-1].intercept - (y.mean() - x.mean(axis=0) @ (w * sd))) < 2e-3
+
+
+def test_decision_tree_against_an_exhaustive_search(spark):
+    from salescast.operators.ml import train as tr
+    from tests.test_trees import exhaustive
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 9, (500, 3)).astype(float)
+    y = x[:, 0] * 2 + (x[:, 1] > 4) * x[:, 2] + rng.standard_normal(500) / 10
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, sales double")
+    model, _ = tr.fit(df, dict(kind="dt", maxDepth=4, minInstancesPerNode=10), cols=["a", "b", "c"])
+    got = np.array([r.prediction for r in model.transform(df).select("a", "b", "c", "sales", "prediction").collect()])
+    assert np.allclose(got, exhaustive(x, y, 4, 10), atol=1e-9)
+
+
+def test_forecast_of_an_ensemble_follows_its_trees(spark):
+    from salescast.operators import forecast as fc
+    from salescast.operators.ml import trees
+    df = spark.createDataFrame([(1.0, 5.0, 3.4), (2.0, 6.0, 8.6), (3.0, 7.0, -2.0)], "a double, b double, sales double")
+    tables = [(np.array([0, -1, -1], np.int16), np.array([0, 0, 0], np.uint8), np.array([1, -1, -1], np.int32), np.array([0.0, 3.4, 8.0])),
+              (np.array([1, -1, -1], np.int16), np.array([1, 0, 0], np.uint8), np.array([1, -1, -1], np.int32), np.array([0.0, 0.1, -20.0]))]
+    model = trees.Ensemble("boost", ["a", "b"], [np.array([1.0, 2.0]), np.array([5.0, 6.0])], tables, 1.0, 2, 2, [], 0.0, np.zeros(2))
+    got = [r.predicted_sales for r in fc.score(model, df).orderBy("a").collect()]
+    assert got == [4.0, 9.0, 0.0]  # 1 + 3.4 + 0.1 -> 4 (half to even), 1 + 8 + 0.1 -> 9, 1 + 8 - 20 clipped
