@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,12 +37,9 @@ from salescast.session import materialize
 DEPTH = 5
 LEAST, DIVERGENCE = 2, 0.002
 FREQUENT, HOT = 1e-6, 2e-7
-#: Join key of rows that are not of a (context, symbol).
-NO_GRAM = -1
 END, GAP = b"\n", b" "
 #: Words and n-grams that a task gathers before it emits them.
 TASK_WORDS, TASK_GRAMS = 400_000, 3_000_000
-MEMO_BITS = 21
 NO_KEYS, NO_SUMS = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
 
 
@@ -64,6 +62,13 @@ def symbols(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, lis
     return grams[own], lengths, split
 
 
+def coded(split: list[list[bytes]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of all lists, and for each word of each list its place
+    among them and the number of its list."""
+    words = pa.array([w for ws in split for w in ws], pa.large_binary()).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), np.repeat(np.arange(len(split)), [len(ws) for ws in split])
+
+
 def _gather(batches, depth):
     """Training counts of words, and of each (context, symbol) its training
     count and its count in all texts, gathered within the task."""
@@ -147,6 +152,50 @@ def _find(keys, wanted):
     return at, keys[at] == wanted
 
 
+class Table:
+    """Look-up of the values of distinct keys, all at once: keys in the order of
+    a hash, whose leading bits name a short run of them."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = np.uint64(64 - max(10, int(4 * len(keys)).bit_length()))
+        slot = self._slot(keys)
+        order = np.argsort(slot, kind="stable")
+        # one more row ends the last run
+        self.keys, self.values = np.append(keys[order], keys[:1]), np.append(values[order], np.nan)
+        self.first = np.searchsorted(slot[order], np.arange((1 << 64 - int(self.shift)) + 1)).astype(np.int32)
+
+    def _slot(self, keys):
+        with np.errstate(over="ignore"):
+            return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def look_up(self, wanted: np.ndarray) -> np.ndarray:
+        """The value of each wanted key; nan for one that is not held."""
+        out = np.full(len(wanted), np.nan)
+        slot = self._slot(wanted)
+        at, stop = self.first[slot], self.first[slot + 1]
+        todo = np.flatnonzero(at < stop)
+        at, stop, wanted = at[todo], stop[todo], wanted[todo]
+        while len(todo):
+            same = self.keys[at] == wanted
+            out[todo[same]] = self.values[at[same]]
+            at = at + 1
+            more = np.flatnonzero(~same & (at < stop))
+            todo, at, stop, wanted = todo[more], at[more], stop[more], wanted[more]
+        return out
+
+
+def pair_counts(of: np.ndarray, grams: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of a row number and a (context, symbol), and how often each is there."""
+    bits = 8 * (depth + 1)
+    if int(of.max()) >> (64 - bits) == 0:  # both fit one integer
+        pair, n = np.unique((of.astype(np.uint64) << np.uint64(bits)) | grams, return_counts=True)
+        return (pair >> np.uint64(bits)).astype(np.int64), pair & np.uint64(2**bits - 1), n
+    order = np.lexsort((grams, of))
+    of, grams = of[order], grams[order]
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (grams[1:] != grams[:-1])]))
+    return of[first], grams[first], np.diff(np.append(first, len(of)))
+
+
 def counted(grams: DataFrame, depth: int) -> DataFrame:
     """(k, ctx, sym, n, tot, kinds, up, un, utot, ukinds) of each (context,
     symbol) of length k, ``grams`` holding each of full length once, and of its
@@ -264,10 +313,12 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
                .mapInArrow(lambda b: _emit(b, model.value), tx.struct_type(
                    row=T.LongType(), word=T.StringType(), gram=T.LongType(), tf=T.LongType(), doc_id=docs.schema[doc_id].dataType,
                    held_out=T.BooleanType(), n_tokens=T.LongType(), n_known=T.LongType(), base=T.DoubleType(), score=T.DoubleType())))
-    rare = (counts.where(F.col("c") < frequent * n_all).select("word", F.lit(NO_GRAM).cast("long").alias("gram"), "c", F.lit(None).cast("double").alias("logp"))
-            .unionByName(scored.where("not hot").select(F.lit("").alias("word"), "gram", F.lit(None).cast("long").alias("c"), "logp")))
+    rare = (counts.where(F.col("c") < frequent * n_all).select(_key(F.col("word"), F.lit(None)).alias("key"), F.col("word").alias("known_word"), "c", F.lit(None).cast("double").alias("logp"))
+            .unionByName(scored.where("not hot").select(F.col("gram").alias("key"), F.lit(None).cast("string").alias("known_word"), F.lit(None).cast("long").alias("c"), "logp")))
     c = F.coalesce("c", F.lit(0))
-    parts = emitted.join(rare, ["word", "gram"], "left").select(
+    emitted = emitted.withColumn("key", _key(F.col("word"), F.col("gram"))).drop("gram")
+    same = (emitted["key"] == rare["key"]) & F.coalesce(emitted["word"] == rare["known_word"], F.lit(True))
+    parts = emitted.join(rare, same, "left").select(
         "row", "doc_id", "held_out", "n_tokens", F.coalesce("n_known", F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"),
         F.coalesce("base", F.col("tf") * F.log10(c + 1.0)).alias("base"), F.coalesce("score", F.col("tf") * F.col("logp"), F.lit(0.0)).alias("score"))
     done = parts.groupBy("row").agg(*[F.max(x).alias(x) for x in ("doc_id", "held_out", "n_tokens")],
@@ -277,59 +328,48 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
                        (F.col("base") - F.col("n_tokens") * scale).alias("base_score"), "score")
 
 
+def _key(word: Column, gram: Column) -> Column:
+    """One integer to join on: the (context, symbol), which is not negative, or
+    a negative hash of the word; equal words are checked beside it."""
+    return F.coalesce(gram, F.xxhash64(word).bitwiseOR(F.lit(-2**63)))
+
+
 def _emit(batches, model):
     """A row for each document, with what its frequent words and symbols sum to,
     and one for each of its other words and (context, symbol) pairs.  A
     document's row has a word of its own, with a space in it, so that no join
     key is shared by the documents."""
     depth, keys, known_logp, words = model
-    logs = {w: float(np.log10(n + 1.0)) for w, n in words.items()}
-    memo_key, memo_value = np.full(1 << MEMO_BITS, 2**64 - 1, np.uint64), np.zeros(1 << MEMO_BITS)
+    frequent_words = pa.array(words.keys(), pa.large_binary())
+    logs = np.append(np.log10(np.array([*words.values()], float) + 1), np.nan)
+    table = Table(keys, known_logp)
     names = ["row", "word", "gram", "tf", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
     for batch in batches:
         for piece in tx.pieces(batch, "text"):
             texts = [(t or "").encode() for t in piece.column(0).to_pylist()]
             grams, lengths, split = symbols(texts, depth)
-            with np.errstate(over="ignore"):
-                slot = ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-            miss = memo_key[slot] != grams
-            logp = memo_value[slot]
-            if miss.any():
-                new = np.unique(grams[miss])
-                at, found = _find(keys, new)
-                value = np.full(len(new), np.nan)
-                value[found] = known_logp[at[found]]
-                logp[miss] = value[np.searchsorted(new, grams[miss])]
-                memo_key[slot[miss]], memo_value[slot[miss]] = grams[miss], logp[miss]
+            logp = table.look_up(grams)
             tail = np.isnan(logp)
             scores = np.add.reduceat(np.where(tail, 0.0, logp), np.concatenate([[0], np.cumsum(lengths)[:-1]]))
-            ids = piece.column(3).to_pylist()
-            known, based, tail_row, tail_word, tail_n = [], [], [], [], []
-            for row, ws in zip(ids, split):
-                seen, total = (1, logs[END]) if END in logs else (0, 0.0)
-                if END not in logs:
-                    tail_row.append(row), tail_word.append(END), tail_n.append(1)
-                for w, n in Counter(ws).items():
-                    got = logs.get(w)
-                    if got is None:
-                        tail_row.append(row), tail_word.append(w), tail_n.append(n)
-                    else:
-                        seen, total = seen + n, total + n * got
-                known.append(seen), based.append(total)
+            ids = piece.column(3).to_numpy()
+            distinct, word, of = coded([[*ws, END] for ws in split])
+            value = logs[pc.fill_null(pc.index_in(distinct, value_set=frequent_words), len(logs) - 1).to_numpy()][word]
+            frequent = ~np.isnan(value)
+            known = np.bincount(of[frequent], minlength=len(ids))
+            based = np.bincount(of[frequent], value[frequent], minlength=len(ids))
+            pair, tail_n = np.unique(of[~frequent] * np.int64(len(distinct)) + word[~frequent], return_counts=True)
+            tail_row, tail_word = ids[pair // max(1, len(distinct))], distinct.take(pa.array(pair % max(1, len(distinct))))
 
             def rows(row, word, gram, n, doc=None):
                 doc = doc or [pa.nulls(len(row), k) for k in (piece.column(2).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(word, pa.string()), pa.array(gram, pa.int64()),
-                                                   pa.array(n, pa.int64()), *doc], names=names)
+                return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), word, gram, pa.array(n, pa.int64()), *doc], names=names)
 
-            yield rows(ids, [f" {r}" for r in ids], [NO_GRAM] * len(ids), [0] * len(ids), [
+            none = lambda n: pa.nulls(n, pa.int64())
+            yield rows(ids, pa.array([f" {r}" for r in ids.tolist()], pa.string()), none(len(ids)), np.zeros(len(ids), np.int64), [
                 piece.column(2), piece.column(1), pa.array([len(ws) + 1 for ws in split], pa.int64()), pa.array(known, pa.int64()),
                 pa.array(based, pa.float64()), pa.array(scores, pa.float64())])
-            if tail_row:
-                yield rows(tail_row, [w.decode("utf-8", "replace") for w in tail_word], [NO_GRAM] * len(tail_row), tail_n)
+            if len(pair):
+                yield rows(tail_row, tail_word.cast(pa.large_string()).cast(pa.string()), none(len(pair)), tail_n)
             if tail.any():
-                of, gram = np.repeat(np.array(ids, np.int64), lengths)[tail], grams[tail].astype(np.int64)
-                order = np.lexsort((gram, of))
-                of, gram = of[order], gram[order]
-                first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (gram[1:] != gram[:-1])]))
-                yield rows(of[first], [""] * len(first), gram[first], np.diff(np.append(first, len(of))))
+                at, gram, n = pair_counts(np.repeat(np.arange(len(ids)), lengths)[tail], grams[tail], depth)
+                yield rows(ids[at], pa.nulls(len(at), pa.string()), pa.array(gram.astype(np.int64)), n)
