@@ -1,8 +1,9 @@
 """Benchmark decontamination: a broadcast hash set of normalised n-grams of the
 benchmark, scanned over whole documents; hits are verified word by word.
 
-The benchmark is held in blocks of at most ``block_windows`` distinct windows
-(a bound on what one broadcast holds).  A benchmark within the bound is one
+The benchmark is held in blocks of about ``block_windows`` distinct (window,
+item) pairs, dealt by hash (a bound on what one broadcast holds, also where
+many items share a window).  A benchmark within the bound is one
 block and one scan without a shuffle; a larger one takes one scan per block,
 and the scans' spans of a document are merged by document.
 """
@@ -18,10 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescast.llm import text as tx
+from salescast.session import materialize
 
 #: Words in a window; shorter items (but not empty ones) are one window.
 WINDOW = 10
-#: Most distinct windows in one broadcast block (about 100 bytes each).
+#: Distinct (window, item) pairs in one broadcast block (about 100 bytes each).
 BLOCK_WINDOWS = 1 << 18
 FILTER_BITS = 22
 
@@ -112,9 +114,9 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     """
     spark = docs.sparkSession
     sized = windows(benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")), n=n)
-    blocks = max(1, -(-sized.select("window").distinct().count() // block_windows))
-    # a block's windows, with all their items, stay together
-    sized = sized.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
+    blocks = max(1, -(-sized.count() // block_windows))
+    # a window whose items lie in several blocks is found by each of their scans
+    sized = sized.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(blocks)))
     results = []
     for k in range(blocks):
         held = spark.sparkContext.broadcast(
@@ -150,10 +152,10 @@ def characters(seen: tx.Words, d: int, a: int, z: int) -> tuple[int, int]:
 
 
 def _many_blocks(docs, text, makes):
-    """One scan per block; a document's spans are merged by its row number,
-    which a parquet scan gives again whenever a task is run anew."""
+    """One scan per block; a document's spans are merged by its row number.
+    The numbered rows are written, since each scan must find the same numbers."""
     row = tx.fresh("_row", docs.columns)
-    keyed = docs.withColumn(row, F.monotonically_increasing_id())
+    keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), name="leak-rows")
     parts = None
     for make in makes:
         found, name = tx.annotate(keyed.select(row, text), text, KIND, make)
