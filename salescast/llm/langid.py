@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ from salescast.session import materialize
 UNKNOWN = "und"
 TABLE_BITS = 18
 SAMPLE, ROUNDS, RATE, DECAY = 60, 24, 0.2, 1e-4
+#: Characters of a text that is sampled only where its language has too few shorter ones.
+LONG_TEXT = 200_000
 #: Most words of each language in the lexicon, and least share of a word's uses that are its language's.
 LEXICON_WORDS, LEXICON_SHARE = 20_000, 0.6
 TASK_WORDS = 400_000
@@ -224,10 +226,10 @@ def lexicon_of(learn: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.n
             .agg(F.max(F.struct("share", "lang")).alias("top"), F.sum("share").alias("all"), F.sum("n").alias("n"))
             .where((F.col("top.share") >= LEXICON_SHARE * F.col("all")) & (F.col("n") > 2)).select("word", "top.share", "top.lang"))
     best = materialize(best, name="lang-lexicon")
-    top = [best.where(F.col("lang") == l).orderBy(F.desc("share"), "word").limit(LEXICON_WORDS).select("word").toArrow().column("word").to_numpy()
-           for l in languages]
-    h = np.concatenate(top).astype(np.int64).view(np.uint64)
-    mean = np.repeat(np.arange(len(languages)), [len(x) for x in top])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "word"))
+    top = best.withColumn("place", place).where(F.col("place") <= LEXICON_WORDS).select("word", "lang").toArrow().to_pydict()
+    number = {l: i for i, l in enumerate(languages)}
+    h, mean = np.array(top["word"], np.int64).view(np.uint64), np.array([number[l] for l in top["lang"]], np.int64)
     order = np.argsort(h)
     return h[order], mean[order]
 
@@ -238,13 +240,13 @@ def fit(docs: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str = "
     languages = sorted(r.lang for r in learn.select("lang").distinct().collect())
     if not languages:
         return Field([], np.zeros((1 << TABLE_BITS, 0)), np.zeros((0, 0)), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    rank = F.md5(F.col("doc_id").cast("string").cast("binary"))
-    slim = learn.select("doc_id", "lang").distinct().withColumn("h", rank)
-    ids = None
-    for l in languages:
-        one = slim.where(F.col("lang") == l).orderBy("h", "doc_id").limit(sample).select("doc_id", "lang")
-        ids = one if ids is None else ids.unionByName(one)
-    rows = learn.join(ids, ["doc_id", "lang"], "left_semi").select("text", "lang").toArrow().to_pydict()
+    # a text of an id is sampled once, and a long one only where a language has too few others
+    keys = ["doc_id", "lang", "digest"]
+    learn = learn.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("long", F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id", "digest"))
+    ids = (learn.where("doc_id is not null").select(*keys, (F.length("text") > LONG_TEXT).alias("long")).distinct()
+           .withColumn("place", place).where(F.col("place") <= sample).select(*keys))
+    rows = learn.join(ids, keys, "left_semi").dropDuplicates(keys).select("text", "lang").toArrow().to_pydict()
     order = sorted(range(len(rows["text"])), key=lambda i: (rows["text"][i], rows["lang"][i]))
     lexicon, meaning = lexicon_of(learn, languages)
     return train([rows["text"][i] for i in order], [languages.index(rows["lang"][i]) for i in order], languages, lexicon, meaning)
@@ -299,6 +301,7 @@ def label(docs: DataFrame, field: Field, text: str = "text") -> tuple[DataFrame,
 
 def identify(docs: DataFrame, train_on: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[DataFrame, str]:
     """Learns from the rows where ``train_on`` holds (a null text, language or
-    condition is not learned from; repeated rows count as often as they come)
+    condition is not learned from; repeated rows count as often as they come in
+    the lexicon, and once in the sample that weights are fitted on)
     and labels all rows."""
     return label(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), fit(docs, train_on, doc_id, text, lang))

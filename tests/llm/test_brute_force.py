@@ -1,6 +1,7 @@
 """Fitted models against plain versions that share no code with them."""
 
 import collections
+import itertools
 import math
 import zlib
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salescast.llm import pst
+from salescast.llm import decontaminate, langid, pst, quality
 from salescast.llm import text as tx
 from tests.llm.test_operators import SPACED, docs, low  # noqa: F401
 
@@ -93,3 +94,104 @@ def test_table_and_pair_counts_equal_dictionaries():
         got = pst.pair_counts(of, grams, 5)
         want = collections.Counter(zip(of.tolist(), grams.tolist()))
         assert list(zip(*(x.tolist() for x in got))) == sorted((*pair, n) for pair, n in want.items())
+
+
+# ---- language
+
+def test_posteriors_and_expected_transitions_are_the_gradient_of_the_likelihood():
+    rng = np.random.default_rng(8)
+    scores, move, first = rng.normal(size=(7, 3)), rng.normal(size=(3, 3)), np.array([0, 3, 4])
+
+    def log_all(scores, move):
+        """Log of the sum over all label sequences, chain by chain."""
+        out = 0.0
+        for a, z in ((0, 3), (3, 4), (4, 7)):
+            paths = itertools.product(range(3), repeat=z - a)
+            out += np.logaddexp.reduce([sum(scores[a + i, y] for i, y in enumerate(p)) + sum(move[x, y] for x, y in zip(p, p[1:])) for p in paths])
+        return out
+
+    def slope(of, x):
+        out = np.zeros_like(x)
+        for i in np.ndindex(*x.shape):
+            d = np.zeros_like(x)
+            d[i] = 1e-5
+            out[i] = (of(x + d) - of(x - d)) / 2e-5
+        return out
+
+    post, expected = langid.forward_backward(scores, move, first, pairs=True)
+    assert np.allclose(post, slope(lambda s: log_all(s, move), scores), atol=1e-7)
+    assert np.allclose(expected, slope(lambda m: log_all(scores, m), move), atol=1e-7)
+
+
+def test_language_sample_is_bounded_by_rows(spark, monkeypatch):
+    """An id shared by many rows, repeated rows and long texts don't swell the sample."""
+    rows = [(7, f"hot words {i}", "en") for i in range(300)] + [(8, "twice", "en")] * 40 + [(9, "lang " * 80, "en"), (10, None, "en"), (None, "no id", "en")]
+    rows += [(20, "nur lang " * 80, "de"), (21, "kurz", "de")] + [(100 + i, f"w{i}", f"l{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    monkeypatch.setattr(langid, "LONG_TEXT", 100)
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda texts, labels, languages, *_: seen.update(rows=list(zip(texts, [languages[y] for y in labels]))))
+    langid.fit(docs, F.lit(True), sample=6)
+    by = collections.defaultdict(list)
+    for t, l in seen["rows"]:
+        by[l].append(t)
+    assert len(by) == 202 and len(by["en"]) == 6 and not any(t.startswith("lang") for t in by["en"])
+    assert sorted(by["de"], key=len) == ["kurz", "nur lang " * 80]
+    langid.fit(docs, F.lit(True), sample=1000)
+    assert sum(l == "en" for _, l in seen["rows"]) == 300 + 1 + 1
+
+
+# ---- quality
+
+def plain_risk(w, x, positive, prior):
+    z = x @ w
+    plus, minus_p, minus_u = (np.logaddexp(0, -z[positive]).mean(), np.logaddexp(0, z[positive]).mean(), np.logaddexp(0, z).mean())
+    return prior * plus + max(0.0, minus_u - prior * minus_p) + quality.RIDGE / 2 * w @ w, minus_u - prior * minus_p
+
+
+@pytest.mark.parametrize("prior,clipped", [(0.3, False), (0.97, True)])
+def test_risk_is_minimised_on_both_branches(spark, prior, clipped):
+    rng = np.random.default_rng(4)
+    n = 400
+    good = rng.random(n) < 0.4
+    x = np.stack([np.ones(n), rng.normal(size=n) + 1.5 * good, rng.normal(size=n)], axis=1)
+    positive = good & (rng.random(n) < 0.5)
+    rows = spark.createDataFrame([(v.tolist(), bool(p)) for v, p in zip(x, positive)], "x array<double>, positive boolean").repartition(3)
+    w = quality.newton(rows, np.zeros(3), np.ones(3), float(positive.sum()), float(n), prior)
+    risk, rest = plain_risk(w, x, positive, prior)
+    assert (rest <= 1e-6) == clipped
+    around = [plain_risk(w + d, x, positive, prior)[0] for d in rng.normal(scale=0.05, size=(200, 3))]
+    assert risk <= plain_risk(np.zeros(3), x, positive, prior)[0]
+    if not clipped:
+        assert risk <= min(around) + 1e-4
+
+
+def test_class_prior_equals_a_plain_scan(spark):
+    rng = np.random.default_rng(9)
+    score, positive = rng.random(500), rng.random(500) < 0.2
+    score[positive] = np.sqrt(score[positive])
+    n_pos, n_un = int(positive.sum()), 500
+    rows = spark.createDataFrame([(float(s), bool(p)) for s, p in zip(score, positive)], "s double, positive boolean")
+    slack = sum(math.sqrt(math.log(40) / (2 * k)) for k in (n_pos, n_un))
+    found = []
+    for cut in np.arange(quality.BINS) / quality.BINS:
+        u, p = (score >= cut).mean(), (score[positive] >= cut).mean()
+        if p:
+            found.append(((u + 1.01 * slack) / p, -cut, u / p))
+    assert quality.class_prior(rows, F.col("s"), n_pos, n_un) == pytest.approx(min(found)[2])
+
+
+# ---- decontamination
+
+def test_a_window_of_all_items_is_dealt_over_blocks(spark):
+    shared = " ".join(f"s{i}" for i in range(10))
+    items = [(i, f"{shared} tail{i}") for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {shared} b"), (2, f"{shared} tail3"), (3, "a b"), (4, None)], "doc_id long, text string").repartition(2, "text")
+    want = sorted(map(tuple, decontaminate.digest(*decontaminate.find(docs, bench)).collect()))
+    held, real = [], decontaminate.Block.__init__
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(decontaminate.Block, "__init__", lambda self, rows: held.append(len(rows)) or real(self, rows))
+        got = sorted(map(tuple, decontaminate.digest(*decontaminate.find(docs, bench, block_windows=10)).collect()))
+    assert got == want and [r[3] for r in want] == [40, 40, 0, 0] and [r[2] for r in want] == [10, 11, 0, 0]
+    assert sum(held) == 80 and max(held) < 30
