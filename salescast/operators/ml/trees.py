@@ -2,8 +2,16 @@
 leaf budget, and forests in restartable groups.
 
 Rows are binned once and packed into blocks (a binary matrix of bins, targets and
-current predictions for some thousand rows), written to the shared folder and
-cached.  Growing works level by level:
+current predictions for some thousand rows) and written to the shared folder.
+
+Boosting grows one tree after the other, so what counts is the time of a pass.
+Blocks are dealt evenly to as many partitions as there are cores and cached with
+their predictions; a pass sums each partition's rows into (node, feature, bin)
+histograms for all open nodes of a level, and the driver adds these up, finds the
+splits and sends them with the next pass.  No row is shuffled after the deal, and
+what is sent follows from the configuration, not from the rows.
+
+A forest's trees don't wait for each other, and are grown in groups, level by level:
 
 * while a node has more rows than one task should hold, each task sums its rows
   into (node, feature, bin) histograms, which are added up per node, and the best
@@ -29,6 +37,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +49,12 @@ from salescast.sources.io import exists
 BLOCK, SMALL, LARGE = 8192, 1 << 17, 1 << 20
 #: Bytes of the histograms that a task holds for the trees of a group.
 GROUP_BYTES = 64 << 20
-#: Rounds between two written states of a boosting run.
-KEPT = 10
+#: Rounds between two written states of a boosting run, and between two
+#: checkpoints of its rows.
+KEPT, CUT = 10, 20
+#: Rows of a partition of boosting, nodes of a pass, bytes of histograms that
+#: the driver adds up itself.
+PART, PASS, DRIVER_BYTES = 1 << 19, 512, 64 << 20
 
 
 @dataclass(frozen=True)
@@ -410,14 +423,118 @@ class Patience:
         return int(np.argmin(self.curve)) if self.curve else 0
 
 
-def _advanced(rows: DataFrame, tables: list[tuple], width: int) -> DataFrame:
-    """Packed rows with more trees in their predictions."""
-    def run(batches):
-        for batch in batches:
-            f = [f + _scores(tables, x) for _, x, _, f, _ in _blocks(batch, width)]
-            columns = [pa.array([a.tobytes() for a in f], pa.binary()) if c == "f" else batch.column(c) for c in PACKED.fieldNames()]
-            yield pa.RecordBatch.from_arrays(columns, names=PACKED.fieldNames())
-    return rows.mapInArrow(run, PACKED)
+def _held(packed: DataFrame, width: int, n: int):
+    """An RDD of one element a partition: its rows' bins by column, targets,
+    predictions, validation flags, and (number, rows) of its blocks."""
+    cores = packed.sparkSession.sparkContext.defaultParallelism
+    sizes = sorted(((r["n"], r["block"]) for r in packed.select("n", "block").collect()), reverse=True)  # one a block
+    parts = max(1, min(len(sizes), max(cores, n // PART)))
+    free, place = [(0, k) for k in range(parts)], {}
+    for rows, block in sizes:
+        load, k = heapq.heappop(free)
+        place[block] = k
+        heapq.heappush(free, (load + rows, k))
+
+    def load(items):
+        rows = sorted((r for _, r in items), key=lambda r: r["block"])
+        if rows:
+            joined = lambda c, kind: np.frombuffer(b"".join(bytes(r[c]) for r in rows), kind)
+            x = np.ascontiguousarray(joined("x", np.uint8).reshape(-1, width).T)
+            yield x, joined("y", np.float64), joined("f", np.float64), joined("v", np.uint8).astype(bool), [(r["block"], r["n"]) for r in rows]
+
+    return packed.rdd.map(lambda r: (place[r["block"]], r)).partitionBy(parts, lambda k: k).mapPartitions(load)
+
+
+def _nodes(tree: Tree, x: np.ndarray) -> np.ndarray:
+    """The node that each row is in; ``x`` is by column."""
+    n, flat, feature = x.shape[1], x.ravel(), tree.feature.astype(np.int64)
+    node, at, inner = np.ones(n, np.int64), np.arange(n), tree.feature >= 0
+    while (go := inner.take(node)).any():
+        onward = 2 * node + (flat.take(np.maximum(feature.take(node), 0) * n + at) > tree.cut.take(node))
+        node = np.where(go, onward, node)
+    return node
+
+
+def _moved(rows, trees: list[Tree], step: float, base: float | None = None):
+    """Rows with more trees, or the constant they start from, in their predictions."""
+    def run(parts):
+        for x, y, f, v, blocks in parts:
+            f = f if base is None else np.full(len(y), base)
+            for t in trees:
+                f = f + (t.value * step).take(_nodes(t, x))
+            yield x, y, f, v, blocks
+    return rows.mapPartitions(run)
+
+
+def _passed(rows, p: Params, number: int, tree: Tree, open_: np.ndarray, cols: np.ndarray, sizes: list[int]):
+    """(histograms of the open nodes, validation rows and their squared error):
+    one after the other for each column, (weights, targets) by node and bin."""
+    def run(parts):
+        for x, y, f, v, blocks in parts:
+            r = y - f
+            held, loss = float(v.sum()), float((r[v] ** 2).sum())
+            w = np.concatenate([weights(p, number, b, k) for b, k in blocks])
+            w[v] = 0
+            slot = np.full(len(tree.feature), -1, np.int64)
+            slot[open_] = np.arange(len(open_))
+            mine = slot.take(_nodes(tree, x))
+            a = np.flatnonzero((mine >= 0) & (w > 0))
+            mine, w, out = mine[a], w[a], []
+            wr = w * r[a]
+            for c in cols:
+                key, most = mine * sizes[c] + x[c].take(a), len(open_) * sizes[c]
+                out += [np.bincount(key, w, most), np.bincount(key, wr, most)]
+            yield np.concatenate([[held, loss], *out])
+
+    sums, size = rows.mapPartitions(run), 8 * len(open_) * 2 * sum(sizes[c] for c in cols)
+    if rows.getNumPartitions() * size > DRIVER_BYTES:
+        flat = sums.treeReduce(np.add)
+    else:
+        flat = sum(sums.collect())
+    h, at = np.zeros((2, len(open_), len(cols), max(sizes))), 2
+    for k, c in enumerate(cols):
+        more = 2 * len(open_) * sizes[c]
+        h[:, :, k, :sizes[c]] = flat[at:at + more].reshape(2, len(open_), sizes[c])
+        at += more
+    return h, (flat[0], flat[1])
+
+
+def _wanted(nodes: dict[int, tuple], level: list[int], p: Params) -> list[int]:
+    """The nodes of a level whose children may be needed: ``budgeted`` splits in
+    order of the least gain on a node's path, so a node behind ``max_leaves - 1``
+    others there is never split."""
+    split = [k for k in level if nodes[k][0] >= 0]
+    if p.max_leaves is None:
+        return split
+    least = {}
+    for k in sorted(k for k, v in nodes.items() if v[0] >= 0):
+        least[k] = min(nodes[k][2], least.get(k // 2, np.inf))
+    ahead = sorted(least.values(), reverse=True)[:max(0, p.max_leaves - 1)]
+    return [k for k in split if len(ahead) < p.max_leaves - 1 or least[k] >= ahead[-1]] if ahead else []
+
+
+def _grown(rows, p: Params, number: int, sizes: list[int]) -> tuple[dict[int, tuple], tuple[float, float]]:
+    """All nodes of one tree that may be needed, and the validation rows' number
+    and squared error."""
+    cols = columns_of(p, number, len(sizes))
+    nodes, tree, open_, loss = {}, Tree.empty(0), [1], None
+    while open_:
+        for lo in range(0, len(open_), PASS):
+            some = np.array(open_[lo:lo + PASS])
+            h, loss = _passed(rows, p, number, tree, some, cols, sizes)
+            feature, cut, gain, n, total, below = best_splits(h, cols, p)
+            for s, k in enumerate(some.tolist()):
+                f = int(feature[s]) if k.bit_length() <= p.depth else -1
+                nodes[k] = (f, int(cut[s]), float(gain[s]), float(n[s]), float(total[s]), float(below[s]))
+                if f >= 0:  # what the children are if they are not split
+                    left = float(h[1, s, np.searchsorted(cols, f), :cut[s] + 1].sum())
+                    rest = (n[s] - below[s], total[s] - left)
+                    nodes[2 * k], nodes[2 * k + 1] = ((-1, 0, 0.0, float(a), float(b), 0.0) for a, b in ((below[s], left), rest))
+        grown = _wanted(nodes, open_, p)
+        for k in grown:
+            tree.split(k, nodes[k][0], nodes[k][1])
+        open_ = [c for k in grown for c in (2 * k, 2 * k + 1) if c.bit_length() <= p.depth and nodes[c][3] >= 2 * p.min_rows]
+    return nodes, loss
 
 
 def boost(train: DataFrame, cols, label: str, p: Params, rounds: int, patience: int | None = None, validation=None, bins: int = 64,
@@ -426,60 +543,55 @@ def boost(train: DataFrame, cols, label: str, p: Params, rounds: int, patience:
 
     The constant model (the mean of the training rows) is round 0; after each
     round the error over the ``validation`` rows is known and the run stops after
-    ``patience`` rounds without a better one.  Every ``kept`` rounds the rows'
-    predictions, the trees and the curve are written below ``folder``; a run that
-    finds them there goes on from the last complete block, with the same result.
+    ``patience`` rounds without a better one.  Every ``kept`` rounds the trees
+    and the curve are written below ``folder``; a run that finds them there scores
+    its rows by them and goes on from the last complete block, with the same result.
     ``on_block`` is called with the number of rounds after each of these.
     """
     spark, began = train.sparkSession, time.time()
     folder = (folder or run_folder(spark, "boost")).rstrip("/")
     packed, cuts, n = _prepared(train, cols, label, bins, folder, validation)
-    width, bins = len(cols), 1 + max([len(c) for c in cuts], default=0)
+    width = len(cols)
+    sizes = [1 + len(c) for c in cuts]
     base, trees, curve, at = None, [], [], 0
     while exists(spark, f"{folder}/block-{at + kept}/done/_SUCCESS"):
         at += kept
-    if at:
         state = json.loads(spark.read.text(f"{folder}/block-{at}/done").first()[0])
-        base, curve, trees = state["base"], state["curve"], [_tree(t, p.depth) for t in state["trees"]]
-        packed = spark.read.schema(PACKED).parquet(f"{folder}/block-{at}/rows")
-    else:
-        def means(batches):
-            s = np.zeros(2)
-            for batch in batches:
-                for _, _, y, _, v in _blocks(batch, width):
-                    s += [y[~v].sum(), (~v).sum()]
-            yield pa.RecordBatch.from_arrays([pa.array([s[0]]), pa.array([s[1]])], names=["s", "n"])
-        total = packed.mapInArrow(means, "s double, n double").agg(F.sum("s"), F.sum("n")).first()
-        base = total[0] / total[1] if total[1] else 0.0
-        const = Tree.empty(0)
-        const.value[1] = base
-        packed = _advanced(packed, [_compact(const, 1.0)], width)
-    rows, small = _spread(packed, n)
-    stop, ended, written = Patience(patience or rounds + 1), False, at
+        base, curve = state["base"], state["curve"]
+        trees += [_tree(t, p.depth) for t in state["trees"]]
+    held = _held(packed, width, n)
+    if base is None:
+        sums = held.map(lambda q: np.array([q[1][~q[3]].sum(), (~q[3]).sum()])).fold(np.zeros(2), np.add)
+        base = float(sums[0] / sums[1]) if sums[1] else 0.0
+    rows = _moved(held, trees, p.step, base).persist(StorageLevel.MEMORY_AND_DISK)
+    stop, ended, last = Patience(patience or rounds + 1), False, None
     stop.curve = curve
     while len(trees) < rounds and n:
         number = len(trees) + 1
-        nodes, (n_valid, loss) = Grower(rows, p, width, bins, small, trees[written:]).whole(number, n)
+        nodes, (n_valid, loss) = _grown(rows, p, number, sizes)
+        if last is not None:  # its rows were made into this round's by the first pass
+            last.unpersist()
         # the pass for a round measures the rounds before it
         if len(stop.curve) < number and n_valid:
             ended = stop.add(float(np.sqrt(loss / n_valid)))
             if ended:
                 break
         trees.append(budgeted(nodes, p))
+        last, rows = rows, _moved(rows, trees[-1:], p.step).persist(StorageLevel.MEMORY_AND_DISK)
+        if number % CUT == 0:  # a lost executor's rows are not made from the first round on
+            rows.checkpoint()
         if number % kept == 0 and number < rounds:
-            path = f"{folder}/block-{number}"
-            _advanced(rows, [_compact(t, p.step) for t in trees[written:]], width).write.mode("overwrite").parquet(f"{path}/rows")
-            state = {"base": base, "curve": stop.curve, "trees": [_listed(t) for t in trees]}
-            spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/done")
-            rows.unpersist()
-            rows, written = _spread(spark.read.schema(PACKED).parquet(f"{path}/rows"), n)[0], number
+            state = {"base": base, "curve": stop.curve, "trees": [_listed(t) for t in trees[-kept:]]}
+            spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/block-{number}/done")
             if on_block:
                 on_block(number)
     if not ended and n and len(stop.curve) == len(trees):  # the last round's error
-        last = [r for r in Grower(rows, p, width, bins, small, trees[written:])._sums({}, {}).collect() if r["tree"] < 0]
-        if last and last[0]["n"]:
-            stop.add(float(np.sqrt(last[0]["total"] / last[0]["n"])))
-    rows.unpersist()
+        _, (n_valid, loss) = _passed(rows, p, 0, Tree.empty(0), np.zeros(0, np.int64), columns_of(p, 0, width), sizes)
+        if n_valid:
+            stop.add(float(np.sqrt(loss / n_valid)))
+    for held in (rows, last):
+        if held is not None:
+            held.unpersist()
     best = stop.best if stop.curve else len(trees)
     tables = [_compact(t, p.step) for t in trees[:best]]
     return Ensemble("boost", list(cols), cuts, tables, base, rounds=len(trees), best_round=best, curve=list(stop.curve),

@@ -140,3 +140,12 @@ class Context:
         if name not in self._models:
             self._models[name] = train.fit(self.model_frames[0], train.CONFIGS[name])
         return self._models[name]
+
+    def fit_all(self, names) -> None:
+        """Fits what is not fitted yet, all at once: the rounds of a boosting run
+        wait for each other and leave cores free."""
+        from concurrent.futures import ThreadPoolExecutor
+        self.model_frames  # before the threads, so that they are made once
+        missing = [n for n in names if n not in self._models]
+        with ThreadPoolExecutor(max_workers=max(1, len(missing))) as pool:
+            list(pool.map(self.fitted, missing))

@@ -137,3 +137,57 @@ def test_ensembles_of_nothing_constants_and_missing_values(spark):
     for make in (lambda d: trees.boost(d, COLS, "sales", p, 3), lambda d: trees.forest(d, COLS, "sales", p, 3)):
         assert predictions(make(empty), one).tolist() == [0.0] * 31
         assert np.allclose(predictions(make(one), one), 4.0)
+
+
+def test_a_round_takes_one_job_a_level_and_shuffles_no_row(spark, rows, monkeypatch):
+    monkeypatch.setattr(trees, "BLOCK", 100)
+    monkeypatch.setattr(trees, "SMALL", 50)
+    monkeypatch.setattr(trees, "LARGE", 50)
+    p, passed = trees.Params(depth=4, min_rows=5, step=0.5, rows=0.8), []
+    real = trees._passed
+    monkeypatch.setattr(trees, "_passed", lambda *a: passed.append(a[0].getNumPartitions()) or real(*a))
+    sc = spark.sparkContext
+    sc.setJobGroup("rounds", "boosting")
+    model = trees.boost(rows, COLS, "sales", p, 6, validation=F.col("held"), kept=100)
+    few = len(sc.statusTracker().getJobIdsForGroup("rounds"))
+    sc.setJobGroup("more", "boosting")
+    longer = trees.boost(rows, COLS, "sales", p, 16, validation=F.col("held"), kept=100)
+    more = len(sc.statusTracker().getJobIdsForGroup("more"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert more - few <= 10 * p.depth and set(passed) == {sc.defaultParallelism}
+    assert longer.curve[:7] == pytest.approx(model.curve, rel=1e-12)
+
+
+def test_nodes_left_out_by_the_leaf_budget_are_never_split(rows, monkeypatch):
+    grow = lambda most: trees.boost(rows, COLS, "sales", trees.Params(depth=6, min_rows=10, max_leaves=most), 3)
+    pruned = {most: predictions(grow(most), rows) for most in (2, 9, 20, 64)}
+    monkeypatch.setattr(trees, "_wanted", lambda nodes, level, p: [k for k in level if nodes[k][0] >= 0])
+    for most, found in pruned.items():
+        assert np.array_equal(found, predictions(grow(most), rows))
+
+
+def test_histograms_added_up_by_tasks_and_in_parts_give_the_same_model(rows, monkeypatch):
+    monkeypatch.setattr(trees, "BLOCK", 100)
+    grow = lambda: predictions(trees.boost(rows, COLS, "sales", trees.Params(depth=5, min_rows=5, step=0.5), 3), rows)
+    plain = grow()
+    monkeypatch.setattr(trees, "DRIVER_BYTES", 0)
+    monkeypatch.setattr(trees, "PASS", 3)
+    assert np.allclose(plain, grow(), atol=1e-9)
+
+
+def test_models_are_fitted_side_by_side_and_once(monkeypatch):
+    import threading
+
+    from salescast.plans.context import Context
+    ctx, fits, meet = Context(None, ""), [], threading.Barrier(3, timeout=30)
+    ctx.__dict__["model_frames"] = (None, None, None)
+
+    def fit(frame, config):
+        meet.wait()  # passes only when three are at it
+        fits.append(config["kind"])
+        return config["kind"], 0.0
+
+    monkeypatch.setattr(tr, "fit", fit)
+    ctx.fit_all(["GBT", "ElasticNet", "RandomForest"])
+    ctx.fit_all(["GBT", "ElasticNet", "RandomForest"])
+    assert sorted(fits) == ["boost", "forest", "lr"] and ctx.fitted("GBT")[0] == "boost"
