@@ -29,6 +29,7 @@ trees of a forest are written by the tasks that grew them.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import time
@@ -423,6 +424,19 @@ class Patience:
         return int(np.argmin(self.curve)) if self.curve else 0
 
 
+_settled = False
+
+
+def _settle() -> None:
+    """Once a Python worker: takes what it has loaded out of the garbage collection
+    that Spark makes after each task, which took longer than a pass itself."""
+    global _settled
+    if not _settled:
+        gc.collect()
+        gc.freeze()
+        _settled = True
+
+
 def _held(packed: DataFrame, width: int, n: int):
     """An RDD of one element a partition: its rows' bins by column, targets,
     predictions, validation flags, and (number, rows) of its blocks."""
@@ -446,18 +460,21 @@ def _held(packed: DataFrame, width: int, n: int):
 
 
 def _nodes(tree: Tree, x: np.ndarray) -> np.ndarray:
-    """The node that each row is in; ``x`` is by column."""
-    n, flat, feature = x.shape[1], x.ravel(), tree.feature.astype(np.int64)
-    node, at, inner = np.ones(n, np.int64), np.arange(n), tree.feature >= 0
-    while (go := inner.take(node)).any():
-        onward = 2 * node + (flat.take(np.maximum(feature.take(node), 0) * n + at) > tree.cut.take(node))
-        node = np.where(go, onward, node)
+    """The node that each row is in; ``x`` is by column.  A leaf leads to itself:
+    its cut is above all bins."""
+    n, flat, inner = x.shape[1], x.ravel(), tree.feature >= 0
+    first = np.where(inner, tree.feature.astype(np.int64) * n, 0)
+    to, cut = np.where(inner, 2, 1) * np.arange(len(inner)), np.where(inner, tree.cut, 255).astype(np.uint8)
+    node, at = np.ones(n, np.int64), np.arange(n)
+    for _ in range(int(np.flatnonzero(inner).max(initial=0)).bit_length()):
+        node = to.take(node) + (flat.take(first.take(node) + at) > cut.take(node))
     return node
 
 
 def _moved(rows, trees: list[Tree], step: float, base: float | None = None):
     """Rows with more trees, or the constant they start from, in their predictions."""
     def run(parts):
+        _settle()
         for x, y, f, v, blocks in parts:
             f = f if base is None else np.full(len(y), base)
             for t in trees:
@@ -470,6 +487,7 @@ def _passed(rows, p: Params, number: int, tree: Tree, open_: np.ndarray, cols: n
     """(histograms of the open nodes, validation rows and their squared error):
     one after the other for each column, (weights, targets) by node and bin."""
     def run(parts):
+        _settle()
         for x, y, f, v, blocks in parts:
             r = y - f
             held, loss = float(v.sum()), float((r[v] ** 2).sum())
@@ -481,9 +499,10 @@ def _passed(rows, p: Params, number: int, tree: Tree, open_: np.ndarray, cols: n
             a = np.flatnonzero((mine >= 0) & (w > 0))
             mine, w, out = mine[a], w[a], []
             wr = w * r[a]
+            times = w if p.bootstrap else None  # else each row is there once
             for c in cols:
                 key, most = mine * sizes[c] + x[c].take(a), len(open_) * sizes[c]
-                out += [np.bincount(key, w, most), np.bincount(key, wr, most)]
+                out += [np.bincount(key, times, most), np.bincount(key, wr, most)]
             yield np.concatenate([[held, loss], *out])
 
     sums, size = rows.mapPartitions(run), 8 * len(open_) * 2 * sum(sizes[c] for c in cols)

@@ -158,6 +158,25 @@ def test_a_round_takes_one_job_a_level_and_shuffles_no_row(spark, rows, monkeypa
     assert longer.curve[:7] == pytest.approx(model.curve, rel=1e-12)
 
 
+def test_workers_of_a_pass_leave_nothing_to_collect(spark, rows):
+    import gc
+    trees.boost(rows, COLS, "sales", trees.Params(depth=3, min_rows=5), 2)
+    sc = spark.sparkContext
+    frozen = sc.parallelize(range(4 * sc.defaultParallelism), sc.defaultParallelism).mapPartitions(lambda _: [gc.get_freeze_count()]).collect()
+    assert max(frozen) > 0
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4])
+def test_nodes_by_column_are_the_leaves(depth):
+    rng = np.random.default_rng(9)
+    x, tree = rng.integers(0, 256, (500, 6)).astype(np.uint8), trees.Tree.empty(0)
+    x[:3] = 255
+    for k in range(1, 1 << depth):
+        if k == 1 or (tree.feature[k // 2] >= 0 and k != 5):  # one branch ends early
+            tree.split(k, int(rng.integers(6)), int(rng.integers(40, 200)))
+    assert np.array_equal(trees._nodes(tree, np.ascontiguousarray(x.T)), tree.leaf(x))
+
+
 def test_nodes_left_out_by_the_leaf_budget_are_never_split(rows, monkeypatch):
     grow = lambda most: trees.boost(rows, COLS, "sales", trees.Params(depth=6, min_rows=10, max_leaves=most), 3)
     pruned = {most: predictions(grow(most), rows) for most in (2, 9, 20, 64)}
