@@ -74,12 +74,9 @@ class Context:
 
     @cached_property
     def cleaned(self) -> dict[str, DataFrame]:
-        """The derived ``train`` view (the big line-item join and aggregation)
-        is read twice — for the rows and for the date range of the oil
-        series — so it is materialized once first."""
-        raw = self.raw.as_dict()
-        raw["train"] = materialize(raw["train"], self.spark, "train")
-        return starmod.load_raw(raw)
+        """The derived ``train`` view is read twice — for the rows and for the
+        date range of the oil series — from the written cells (``raw``)."""
+        return starmod.load_raw(self.raw.as_dict())
 
     @cached_property
     def features(self) -> DataFrame:

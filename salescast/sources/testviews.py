@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salescast.session import materialize
@@ -74,25 +74,30 @@ class RawTables:
                 "holidays": self.holidays, "transactions": self.transactions}
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order date and store (supplier nation)."""
+def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each date, store, family and whether the part is ``known``:
+    units, promoted lines, and the orders counted there.  An order is counted once
+    a date and store, at its first family, so that a sum over the families is the
+    number of distinct orders; lines of one order are side by side after the join
+    with the orders, and no line needs to be written or shuffled again for it."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("family"), F.lit(True).alias("known"))
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("store_nbr"))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
-    orders = read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("date"))
-    supplier = read_table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.col("s_nationkey").alias("store_nbr"))
-    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(supplier, li.l_suppkey == supplier.s_suppkey))
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", (F.col("l_discount") >= PROMO_DISCOUNT).alias("promoted"))
+    lines = li.join(supplier, li.l_suppkey == supplier.s_suppkey).join(part, li.l_partkey == part.p_partkey, "left")
+    lines = (lines.select("l_orderkey", "l_quantity", "promoted", "store_nbr", "family", F.coalesce("known", F.lit(False)).alias("known"))
+                  .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
+    order = Window.partitionBy("o_orderkey", "date", "store_nbr").orderBy("known", "family")
+    return (lines.withColumn("first", F.row_number().over(order) == 1)
+                 .groupBy("date", "store_nbr", "family", "known")
+                 .agg(F.sum("l_quantity").alias("sales"), F.count_if("promoted").cast("int").alias("onpromotion"),
+                      F.count_if("first").alias("orders")))
 
 
-def raw_train(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    part = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("family"))
-    lines = _order_lines(spark, sf_dir) if lines is None else lines
-    lines = lines.join(part, lines.l_partkey == part.p_partkey)
-    return (lines.groupBy("date", "store_nbr", "family")
-                 .agg(F.sum("l_quantity").alias("sales"),
-                      F.count_if(F.col("l_discount") >= PROMO_DISCOUNT).cast("int").alias("onpromotion")))
+def raw_train(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+    cells = sales_cells(spark, sf_dir) if cells is None else cells
+    return cells.where("known").select("date", "store_nbr", "family", "sales", "onpromotion")
 
 
 def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,14 +129,13 @@ def raw_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("o_orderpriority") == "5-LOW").alias("transferred")))
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    lines = _order_lines(spark, sf_dir) if lines is None else lines
-    return (lines.groupBy("date", "store_nbr")
-                 .agg(F.countDistinct("o_orderkey").cast("int").alias("transactions")))
+def raw_transactions(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+    cells = sales_cells(spark, sf_dir) if cells is None else cells
+    return cells.groupBy("date", "store_nbr").agg(F.sum("orders").cast("int").alias("transactions"))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    lines = materialize(_order_lines(spark, sf_dir).drop("l_suppkey", "s_suppkey"), spark, "order-lines")
-    return RawTables(train=raw_train(spark, sf_dir, lines), stores=raw_stores(spark, sf_dir),
+    cells = materialize(sales_cells(spark, sf_dir), spark, "cells")
+    return RawTables(train=raw_train(spark, sf_dir, cells), stores=raw_stores(spark, sf_dir),
                      oil=raw_oil(spark, sf_dir), holidays=raw_holidays(spark, sf_dir),
-                     transactions=raw_transactions(spark, sf_dir, lines))
+                     transactions=raw_transactions(spark, sf_dir, cells))

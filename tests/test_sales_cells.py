@@ -1,0 +1,55 @@
+"""The raw sales and transactions against plain Python, on rows with gaps and repeats."""
+
+import datetime as dt
+
+import pytest
+
+from salescast.sources import testviews as tv
+
+
+def at(d):
+    return dt.datetime(2020, 1, d, 5)
+
+
+@pytest.fixture()
+def tables(spark, tmpdir_path):
+    orders = [(1, at(1)), (2, at(1)), (3, at(2)), (3, at(2)), (4, None), (None, at(1)), (5, at(1)), (5, at(2))]  # 3 is there twice, 5 on two days
+    supplier = [(1, 0), (2, 0), (3, 1), (4, None), (4, 1), (None, 2)]
+    part = [(1, "b"), (2, "a"), (3, None), (4, "a"), (4, "c"), (None, "z")]
+    lines = [(o, p, s, float(o or 0) + p_ / 4, d) for o in (1, 2, 3, 4, 5, 6, None) for p_, p in enumerate((1, 2, 3, 4, 9, None))
+             for s, d in ((1, 0.05), (2, None), (3, 0.04), (4, 0.1), (7, 0.1))]
+    lines += [(2, 1, 1, None, 0.07), (6, 1, 1, 1.0, 0.07)]
+    for name, rows, kind in (("orders", orders, "o_orderkey long, o_orderdate timestamp"), ("supplier", supplier, "s_suppkey long, s_nationkey int"),
+                             ("part", part, "p_partkey long, p_brand string"),
+                             ("lineitem", lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_discount double")):
+        spark.createDataFrame(rows, kind).write.parquet(f"{tmpdir_path}/{name}.parquet")
+    joined = [(d and d.date(), n, p, q, disc, o) for o, p, s, q, disc in lines for o_, d in orders if o == o_ and o is not None
+              for s_, n in supplier if s == s_ and s is not None]
+    return tmpdir_path, joined, part
+
+
+def test_cells_give_the_sales_and_the_distinct_orders(spark, tables):
+    folder, joined, part = tables
+    sales, promoted, orders = {}, {}, {}
+    for d, n, p, q, disc, o in joined:
+        orders.setdefault((d, n), set()).add(o)
+        for p_, brand in part:
+            if p == p_ and p is not None:
+                sales.setdefault((d, n, brand), []).append(q)
+                promoted[d, n, brand] = promoted.get((d, n, brand), 0) + (disc is not None and disc >= 0.05)
+    cells = tv.sales_cells(spark, folder)
+    train = {(r.date, r.store_nbr, r.family): (r.sales, r.onpromotion) for r in tv.raw_train(spark, folder, cells).collect()}
+    assert train == {k: (sum(q for q in v if q is not None), promoted[k]) for k, v in sales.items()}
+    found = tv.raw_transactions(spark, folder, cells)
+    assert {(r.date, r.store_nbr): r.transactions for r in found.collect()} == {k: len(v) for k, v in orders.items()}
+    assert dict(found.dtypes)["transactions"] == "int" and dict(tv.raw_train(spark, folder).dtypes)["onpromotion"] == "int"
+
+
+def test_order_lines_are_not_written(spark, tables, monkeypatch):
+    written = []
+    monkeypatch.setattr(tv, "materialize", lambda df, spark, name: written.append((name, df.count())) or df)
+    for other in ("raw_stores", "raw_oil", "raw_holidays"):  # they need more tables
+        monkeypatch.setattr(tv, other, lambda *a: None)
+    tv.raw_tables(spark, tables[0])
+    cells = {(d, n, p) for d, n, p, *_ in tables[1]}
+    assert [k for k, _ in written] == ["cells"] and written[0][1] <= 2 * len(cells) < len(tables[1])
