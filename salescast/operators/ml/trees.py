@@ -4,12 +4,14 @@ leaf budget, and forests in restartable groups.
 Rows are binned once and packed into blocks (a binary matrix of bins, targets and
 current predictions for some thousand rows) and written to the shared folder.
 
-Boosting grows one tree after the other, so what counts is the time of a pass.
+Boosting grows one tree after the other, so what counts is the number of its jobs.
 Blocks are dealt evenly to as many partitions as there are cores and cached with
 their predictions; a pass sums each partition's rows into (node, feature, bin)
 histograms for all open nodes of a level, and the driver adds these up, finds the
-splits and sends them with the next pass.  No row is shuffled after the deal, and
-what is sent follows from the configuration, not from the rows.
+splits and sends them with the next pass.  What is sent follows from the
+configuration, not from the rows.  Nodes that are small enough for a task leave the
+passes: one job deals their rows to tasks that grow all the rest of them.  A task
+adds up in the order of the partitions, like the driver, so the trees are the same.
 
 A forest's trees don't wait for each other, and are grown in groups, level by level:
 
@@ -56,6 +58,9 @@ KEPT, CUT = 10, 20
 #: Rows of a partition of boosting, nodes of a pass, bytes of histograms that
 #: the driver adds up itself.
 PART, PASS, DRIVER_BYTES = 1 << 19, 512, 64 << 20
+#: Rows of a boosted tree's node that one task grows alone, at least: growing so many
+#: takes about as long as starting a pass.
+ALONE = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -483,39 +488,140 @@ def _moved(rows, trees: list[Tree], step: float, base: float | None = None):
     return rows.mapPartitions(run)
 
 
+def _sample(p: Params, number: int, v: np.ndarray, blocks) -> np.ndarray:
+    """Times that each row of a partition is in a tree's sample."""
+    w = np.concatenate([weights(p, number, b, k) for b, k in blocks])
+    w[v] = 0
+    return w
+
+
+def _summed(mine: np.ndarray, slots: int, columns, wr: np.ndarray, w: np.ndarray | None, sizes: list[int]) -> list[np.ndarray]:
+    """One after the other for each column, (weights, weighted targets) by slot and
+    bin; rows without weights ``w`` are there once each."""
+    out = []
+    for x, size in zip(columns, sizes):
+        key = mine * size + x
+        out += [np.bincount(key, w, slots * size), np.bincount(key, wr, slots * size)]
+    return out
+
+
+def _opened_out(flat: np.ndarray, slots: int, sizes: list[int], bins: int) -> np.ndarray:
+    """[2, slots, columns, bins] from joined sums."""
+    h, at = np.zeros((2, slots, len(sizes), bins)), 0
+    for k, size in enumerate(sizes):
+        more = 2 * slots * size
+        h[:, :, k, :size] = flat[at:at + more].reshape(2, slots, size)
+        at += more
+    return h
+
+
 def _passed(rows, p: Params, number: int, tree: Tree, open_: np.ndarray, cols: np.ndarray, sizes: list[int]):
-    """(histograms of the open nodes, validation rows and their squared error):
-    one after the other for each column, (weights, targets) by node and bin."""
+    """(histograms of the open nodes, validation rows and their squared error)."""
+    own = [sizes[c] for c in cols]
+
     def run(parts):
         _settle()
         for x, y, f, v, blocks in parts:
             r = y - f
             held, loss = float(v.sum()), float((r[v] ** 2).sum())
-            w = np.concatenate([weights(p, number, b, k) for b, k in blocks])
-            w[v] = 0
+            w = _sample(p, number, v, blocks)
             slot = np.full(len(tree.feature), -1, np.int64)
             slot[open_] = np.arange(len(open_))
             mine = slot.take(_nodes(tree, x))
             a = np.flatnonzero((mine >= 0) & (w > 0))
-            mine, w, out = mine[a], w[a], []
-            wr = w * r[a]
-            times = w if p.bootstrap else None  # else each row is there once
-            for c in cols:
-                key, most = mine * sizes[c] + x[c].take(a), len(open_) * sizes[c]
-                out += [np.bincount(key, times, most), np.bincount(key, wr, most)]
-            yield np.concatenate([[held, loss], *out])
-
-    sums, size = rows.mapPartitions(run), 8 * len(open_) * 2 * sum(sizes[c] for c in cols)
+            mine, w = mine[a], w[a]
+            yield np.concatenate([[held, loss], *_summed(mine, len(open_), (x[c].take(a) for c in cols), w * r[a], w if p.bootstrap else None, own)])
+
+    sums, size = rows.mapPartitions(run), 8 * len(open_) * 2 * sum(own)
     if rows.getNumPartitions() * size > DRIVER_BYTES:
         flat = sums.treeReduce(np.add)
     else:
         flat = sum(sums.collect())
-    h, at = np.zeros((2, len(open_), len(cols), max(sizes))), 2
-    for k, c in enumerate(cols):
-        more = 2 * len(open_) * sizes[c]
-        h[:, :, k, :sizes[c]] = flat[at:at + more].reshape(2, len(open_), sizes[c])
-        at += more
-    return h, (flat[0], flat[1])
+    return _opened_out(flat[2:], len(open_), own, max(sizes)), (flat[0], flat[1])
+
+
+def _put(nodes: dict[int, tuple], some, h: np.ndarray, cols: np.ndarray, p: Params) -> None:
+    """Adds the nodes ``some`` of histograms ``h``, and what their children are if
+    they are not split."""
+    feature, cut, gain, n, total, below = best_splits(h, cols, p)
+    for s, k in enumerate(some):
+        f = int(feature[s]) if k.bit_length() <= p.depth else -1
+        nodes[k] = (f, int(cut[s]), float(gain[s]), float(n[s]), float(total[s]), float(below[s]))
+        if f >= 0:
+            left = float(h[1, s, np.searchsorted(cols, f), :cut[s] + 1].sum())
+            rest = (n[s] - below[s], total[s] - left)
+            nodes[2 * k], nodes[2 * k + 1] = ((-1, 0, 0.0, float(a), float(b), 0.0) for a, b in ((below[s], left), rest))
+
+
+def _split(tree: Tree, nodes: dict[int, tuple], level: list[int], p: Params) -> list[int]:
+    """Splits the wanted nodes of a level; returns the children to be looked at."""
+    grown = _wanted(nodes, level, p)
+    for k in grown:
+        tree.split(k, nodes[k][0], nodes[k][1])
+    return [c for k in grown for c in (2 * k, 2 * k + 1) if c.bit_length() <= p.depth and nodes[c][3] >= 2 * p.min_rows]
+
+
+def _finished(rows, p: Params, number: int, tree: Tree, nodes: dict[int, tuple], ends: list[int], cols: np.ndarray,
+              sizes: list[int]) -> dict[int, tuple]:
+    """The nodes of the subtrees of ``ends``, grown by tasks that are dealt their rows."""
+    own, bins = [sizes[c] for c in cols], max(sizes)
+    parts = min(len(ends), rows.getNumPartitions())
+    free, place = [(0.0, k) for k in range(parts)], {}
+    for k in sorted(ends, key=lambda k: (-nodes[k][3], k)):
+        load, at = heapq.heappop(free)
+        place[k] = at
+        heapq.heappush(free, (load + nodes[k][3], at))
+    top = {k: v for k, v in nodes.items() if k not in place}
+
+    def deal(index, parts_):
+        _settle()
+        for x, y, f, v, blocks in parts_:
+            w, node = _sample(p, number, v, blocks), _nodes(tree, x)
+            to = np.full(len(tree.feature), -1, np.int64)
+            to[list(place)] = list(place.values())
+            to = np.where(w > 0, to.take(node), -1)
+            for k in range(parts):
+                a = np.flatnonzero(to == k)
+                if len(a):
+                    yield k, (index, node[a].astype(np.int32), x[cols].take(a, axis=1), w[a] * (y - f)[a], w[a] if p.bootstrap else None)
+
+    def finish(items):
+        _settle()
+        chunks = sorted((c for _, c in items), key=lambda c: c[0])
+        here = np.unique(np.concatenate([c[1] for c in chunks])).tolist() if chunks else []
+        mine, open_, part = {**top, **{k: nodes[k] for k in here}}, here, Tree.empty(p.depth)
+        chunks = [c[1:] for c in chunks]
+        while open_:
+            for lo in range(0, len(open_), PASS):
+                some = open_[lo:lo + PASS]
+                slot = np.full(2 << p.depth, -1, np.int64)
+                slot[some] = np.arange(len(some))
+                h = 0
+                for node, x, wr, w in chunks:
+                    at = slot.take(node)
+                    if len(some) < len(open_):
+                        a = np.flatnonzero(at >= 0)
+                        at, x, wr, w = at[a], x.take(a, axis=1), wr[a], None if w is None else w[a]
+                    h = h + np.concatenate(_summed(at, len(some), x, wr, w, own))
+                _put(mine, some, _opened_out(h, len(some), own, bins), cols, p)
+            open_ = _split(part, mine, open_, p)
+            left = np.zeros(2 << p.depth, bool)
+            left[open_] = True
+            column, moved = np.searchsorted(cols, part.feature), []
+            for node, x, wr, w in chunks:
+                a = np.flatnonzero(part.feature.take(node) >= 0)
+                node = node.take(a)
+                node = 2 * node + (x[column.take(node), a] > part.cut.take(node))
+                go = np.flatnonzero(left.take(node))
+                a = a.take(go)
+                moved.append((node.take(go), x.take(a, axis=1), wr.take(a), None if w is None else w.take(a)))
+            chunks = moved
+        yield {k: v for k, v in mine.items() if k not in top}
+
+    dealt = rows.mapPartitionsWithIndex(deal).partitionBy(parts, lambda k: k).mapPartitions(finish)
+    out = {k: v for found in dealt.collect() for k, v in found.items()}
+    dealt._jrdd.rdd().cleanShuffleDependencies(False)  # else the rows of all rounds stay on the disks
+    return out
 
 
 def _wanted(nodes: dict[int, tuple], level: list[int], p: Params) -> list[int]:
@@ -532,27 +638,22 @@ def _wanted(nodes: dict[int, tuple], level: list[int], p: Params) -> list[int]:
     return [k for k in split if len(ahead) < p.max_leaves - 1 or least[k] >= ahead[-1]] if ahead else []
 
 
-def _grown(rows, p: Params, number: int, sizes: list[int]) -> tuple[dict[int, tuple], tuple[float, float]]:
+def _grown(rows, p: Params, number: int, sizes: list[int], alone: int = 0) -> tuple[dict[int, tuple], tuple[float, float]]:
     """All nodes of one tree that may be needed, and the validation rows' number
-    and squared error."""
+    and squared error.  Below the root, nodes of at most ``alone`` rows that three
+    or more passes would follow are grown by a task each."""
     cols = columns_of(p, number, len(sizes))
-    nodes, tree, open_, loss = {}, Tree.empty(0), [1], None
+    nodes, tree, open_, ends, loss = {}, Tree.empty(0), [1], [], None
     while open_:
         for lo in range(0, len(open_), PASS):
             some = np.array(open_[lo:lo + PASS])
             h, loss = _passed(rows, p, number, tree, some, cols, sizes)
-            feature, cut, gain, n, total, below = best_splits(h, cols, p)
-            for s, k in enumerate(some.tolist()):
-                f = int(feature[s]) if k.bit_length() <= p.depth else -1
-                nodes[k] = (f, int(cut[s]), float(gain[s]), float(n[s]), float(total[s]), float(below[s]))
-                if f >= 0:  # what the children are if they are not split
-                    left = float(h[1, s, np.searchsorted(cols, f), :cut[s] + 1].sum())
-                    rest = (n[s] - below[s], total[s] - left)
-                    nodes[2 * k], nodes[2 * k + 1] = ((-1, 0, 0.0, float(a), float(b), 0.0) for a, b in ((below[s], left), rest))
-        grown = _wanted(nodes, open_, p)
-        for k in grown:
-            tree.split(k, nodes[k][0], nodes[k][1])
-        open_ = [c for k in grown for c in (2 * k, 2 * k + 1) if c.bit_length() <= p.depth and nodes[c][3] >= 2 * p.min_rows]
+            _put(nodes, some.tolist(), h, cols, p)
+        below = _split(tree, nodes, open_, p)
+        open_ = [k for k in below if nodes[k][3] > alone or k.bit_length() + 2 > p.depth]
+        ends += sorted(set(below) - set(open_))
+    if ends:
+        nodes |= _finished(rows, p, number, tree, nodes, ends, cols, sizes)
     return nodes, loss
 
 
@@ -583,11 +684,12 @@ def boost(train: DataFrame, cols, label: str, p: Params, rounds: int, patience:
         sums = held.map(lambda q: np.array([q[1][~q[3]].sum(), (~q[3]).sum()])).fold(np.zeros(2), np.add)
         base = float(sums[0] / sums[1]) if sums[1] else 0.0
     rows = _moved(held, trees, p.step, base).persist(StorageLevel.MEMORY_AND_DISK)
+    alone = max(ALONE, n // held.getNumPartitions())
     stop, ended, last = Patience(patience or rounds + 1), False, None
     stop.curve = curve
     while len(trees) < rounds and n:
         number = len(trees) + 1
-        nodes, (n_valid, loss) = _grown(rows, p, number, sizes)
+        nodes, (n_valid, loss) = _grown(rows, p, number, sizes, alone)
         if last is not None:  # its rows were made into this round's by the first pass
             last.unpersist()
         # the pass for a round measures the rounds before it

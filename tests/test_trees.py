@@ -66,6 +66,30 @@ def test_leaf_budget_splits_the_largest_gains_first(rows):
     assert [k for k in range(16) if tree.feature[k] >= 0] == [1, 2, 4]
 
 
+def test_small_nodes_are_grown_without_a_pass_a_level_and_the_same_to_the_bit(rows, monkeypatch):
+    passes, passed = [], trees._passed
+
+    def counted(*args):
+        passes.append(args[2])
+        return passed(*args)
+
+    monkeypatch.setattr(trees, "_passed", counted)
+    monkeypatch.setattr(trees, "BLOCK", 100)
+    for p in (trees.Params(depth=6, min_rows=5, max_leaves=12, step=0.3, rows=0.8, columns=0.7, l1=0.1, l2=0.1),
+              trees.Params(depth=6, min_rows=5, step=0.3, bootstrap=True)):
+        passes.clear()
+        model = trees.boost(rows, COLS, "sales", p, 4, validation=F.col("held"))
+        assert [passes.count(k) for k in range(1, 5)] == [1] * 4  # a pass a round, for its root
+        for alone, pass_nodes in ((400, 512), (1, 512), (10_000, 3)):
+            monkeypatch.setattr(trees, "ALONE", alone)
+            monkeypatch.setattr(trees, "PASS", pass_nodes)
+            again = trees.boost(rows, COLS, "sales", p, 4, validation=F.col("held"))
+            assert again.curve == model.curve
+            assert all(np.array_equal(a, b) for t, u in zip(model.tables, again.tables) for a, b in zip(t, u))
+        monkeypatch.setattr(trees, "ALONE", 1 << 17)
+        monkeypatch.setattr(trees, "PASS", 512)
+
+
 def test_patience_outlives_a_pause_and_cuts_back():
     stop = trees.Patience(50)
     curve = [10 - 0.1 * k for k in range(30)] + [9.0] * 20 + [6.5 - 0.1 * k for k in range(10)] + [8.0] * 60
