@@ -60,7 +60,7 @@ KEPT, CUT = 10, 20
 PART, PASS, DRIVER_BYTES = 1 << 19, 512, 64 << 20
 #: Rows of a boosted tree's node that one task grows alone, at least: growing so many
 #: takes about as long as starting a pass.
-ALONE = 1 << 17
+ALONE = 1 << 18
 
 
 @dataclass(frozen=True)

@@ -80,14 +80,13 @@ def test_small_nodes_are_grown_without_a_pass_a_level_and_the_same_to_the_bit(ro
         passes.clear()
         model = trees.boost(rows, COLS, "sales", p, 4, validation=F.col("held"))
         assert [passes.count(k) for k in range(1, 5)] == [1] * 4  # a pass a round, for its root
-        for alone, pass_nodes in ((400, 512), (1, 512), (10_000, 3)):
-            monkeypatch.setattr(trees, "ALONE", alone)
-            monkeypatch.setattr(trees, "PASS", pass_nodes)
-            again = trees.boost(rows, COLS, "sales", p, 4, validation=F.col("held"))
+        for alone, most in ((400, 512), (1, 512), (10_000, 3)):
+            with monkeypatch.context() as other:
+                other.setattr(trees, "ALONE", alone)
+                other.setattr(trees, "PASS", most)
+                again = trees.boost(rows, COLS, "sales", p, 4, validation=F.col("held"))
             assert again.curve == model.curve
             assert all(np.array_equal(a, b) for t, u in zip(model.tables, again.tables) for a, b in zip(t, u))
-        monkeypatch.setattr(trees, "ALONE", 1 << 17)
-        monkeypatch.setattr(trees, "PASS", 512)
 
 
 def test_patience_outlives_a_pause_and_cuts_back():
