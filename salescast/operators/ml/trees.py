@@ -59,8 +59,10 @@ KEPT, CUT = 10, 20
 #: the driver adds up itself.
 PART, PASS, DRIVER_BYTES = 1 << 19, 512, 64 << 20
 #: Rows of a boosted tree's node that one task grows alone, at least: growing so many
-#: takes about as long as starting a pass.
-ALONE = 1 << 18
+#: takes about as long as starting a pass.  A node with more than the share ``MOST`` of
+#: its parent's rows tends to lose as few again, a pass each time: twice as many, but
+#: no more than ``PART``.
+ALONE, MOST = 1 << 18, 0.75
 
 
 @dataclass(frozen=True)
@@ -640,9 +642,10 @@ def _wanted(nodes: dict[int, tuple], level: list[int], p: Params) -> list[int]:
 
 def _grown(rows, p: Params, number: int, sizes: list[int], alone: int = 0) -> tuple[dict[int, tuple], tuple[float, float]]:
     """All nodes of one tree that may be needed, and the validation rows' number
-    and squared error.  Below the root, nodes of at most ``alone`` rows that three
-    or more passes would follow are grown by a task each."""
-    cols = columns_of(p, number, len(sizes))
+    and squared error.  Below the root, nodes of at most ``alone`` rows (twice that
+    where little was split off) that three or more passes would follow are grown by
+    a task each."""
+    cols, twice = columns_of(p, number, len(sizes)), max(alone, min(2 * alone, PART))
     nodes, tree, open_, ends, loss = {}, Tree.empty(0), [1], [], None
     while open_:
         for lo in range(0, len(open_), PASS):
@@ -650,7 +653,8 @@ def _grown(rows, p: Params, number: int, sizes: list[int], alone: int = 0) -> tu
             h, loss = _passed(rows, p, number, tree, some, cols, sizes)
             _put(nodes, some.tolist(), h, cols, p)
         below = _split(tree, nodes, open_, p)
-        open_ = [k for k in below if nodes[k][3] > alone or k.bit_length() + 2 > p.depth]
+        most = {k: twice if nodes[k][3] > MOST * nodes[k // 2][3] else alone for k in below}
+        open_ = [k for k in below if nodes[k][3] > most[k] or k.bit_length() + 2 > p.depth]
         ends += sorted(set(below) - set(open_))
     if ends:
         nodes |= _finished(rows, p, number, tree, nodes, ends, cols, sizes)

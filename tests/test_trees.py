@@ -89,6 +89,21 @@ def test_small_nodes_are_grown_without_a_pass_a_level_and_the_same_to_the_bit(ro
             assert all(np.array_equal(a, b) for t, u in zip(model.tables, again.tables) for a, b in zip(t, u))
 
 
+def test_nodes_that_lose_few_rows_a_split_leave_the_passes_early(spark, monkeypatch):
+    data = [(float(k + 1), float(3 ** k)) for k in range(7) for _ in range(20)] + [(0.0, 0.1 * (i % 3)) for i in range(1860)]
+    df, passes, passed = spark.createDataFrame(data, "a double, sales double").repartition(4).cache(), [], trees._passed
+    monkeypatch.setattr(trees, "_passed", lambda *a: passes.append(a[2]) or passed(*a))
+    found = []
+    for alone in (1200, 1):  # each split takes 20 of 2,000 rows off
+        with monkeypatch.context() as other:
+            other.setattr(trees, "ALONE", alone)
+            passes.clear()
+            model = trees.boost(df, ["a"], "sales", trees.Params(depth=6, min_rows=5, step=0.5), 3)
+        found.append(model.tables)
+        assert alone == 1 or [passes.count(k) for k in (1, 2, 3)] == [1, 1, 1]
+    assert all(np.array_equal(a, b) for t, u in zip(*found) for a, b in zip(t, u))
+
+
 def test_patience_outlives_a_pause_and_cuts_back():
     stop = trees.Patience(50)
     curve = [10 - 0.1 * k for k in range(30)] + [9.0] * 20 + [6.5 - 0.1 * k for k in range(10)] + [8.0] * 60
