@@ -9,6 +9,7 @@ at most ``folds`` times.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -181,6 +182,10 @@ def race(df: DataFrame, candidates: dict, prepare, folder: str, rungs=RUNGS, fol
     the budget) those that the paired test of ``paired`` finds worse than the
     leader are dropped and fitted no more.
 
+    After the first test, threads that a rung leaves free begin fits of later rungs,
+    the leader's first; these count only if their model gets there, and are given
+    up when it is dropped.
+
     Every fit's weekly errors are written to a table of its own below ``folder``;
     a search that is started again reads those that are complete and makes only
     the others, with the same outcome.  Returns one row for each fit made: (model,
@@ -189,42 +194,65 @@ def race(df: DataFrame, candidates: dict, prepare, folder: str, rungs=RUNGS, fol
     the mean NRMSE over full-budget folds (what there is, for models dropped
     before).
     """
-    from concurrent.futures import ThreadPoolExecutor
+    from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
     from salescast.operators.ml import train as tr
     from salescast.sources.io import exists
 
-    spark, root = df.sparkSession, folder.rstrip("/")
-    frames, alive, dropped = {}, list(candidates), {}
+    spark, root, threads = df.sparkSession, folder.rstrip("/"), max(1, parallelism)
+    alive, dropped, begun, ended = list(candidates), {}, {}, set()
+    shared = {k: tr.Shared() for k, _ in rungs}
 
     def frame(k):
-        if k not in frames:
-            frames[k] = prepare(*fold_frames(df, k, folds, horizon))
-        return frames[k]
+        return shared[k].get("frame", lambda: prepare(*fold_frames(df, k, folds, horizon)))
 
     def one(job):
         name, k, share, rung = job
         path = f"{root}/rung={rung}/model={name}"
         if not exists(spark, f"{path}/_SUCCESS"):
             train_df, test_df = frame(k)
-            config = scaled(candidates[name], share)
-            if config["kind"] == "boost":  # a larger budget goes on from the smaller one's blocks
-                config["folder"] = f"{root}/runs/fold={k}/{name}"
+            config = scaled(candidates[name], share) | {"shared": shared[k]}
+            if config["kind"] in ("boost", "forest"):  # a larger budget goes on from what the smaller one wrote
+                config |= {"folder": f"{root}/runs/fold={k}/{name}", "stop": lambda: name in ended}
             model, secs = tr.fit(train_df, config, label)
             found = weekly_errors(tr.evaluated(model, test_df, label, keep=["date"]))
             found.withColumns({"fold": F.lit(k), "budget": F.lit(float(share)), "seconds": F.lit(round(secs, 3))}).write.mode("overwrite").parquet(path)
         return path
 
-    fits = None
-    for rung, (k, share) in enumerate(rungs):
-        if any(not exists(spark, f"{root}/rung={rung}/model={n}/_SUCCESS") for n in alive):
-            frame(k)  # before the threads, so that it is made once
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(one, [(n, k, share, rung) for n in alive]))
-        fits = spark.read.option("basePath", root).parquet(*[f"{root}/rung={r}" for r in range(rung + 1)])
-        for r in paired(fits).where("worse").collect():  # one row a candidate
-            dropped[r["model"]] = rung
-            alive.remove(r["model"])
+    fits = made = None
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        def begin(rung, name):
+            if (rung, name) not in begun:
+                begun[rung, name] = pool.submit(one, (name, *rungs[rung], rung))
+
+        try:
+            for rung in range(len(rungs)):
+                for n in alive:
+                    begin(rung, n)
+                while waiting := [f for n in alive if not (f := begun[rung, n]).done()]:
+                    running = {j: f for j, f in begun.items() if not f.done()}
+                    for n, r in ((n, r) for n in alive for r in range(rung + 1, len(rungs)) if rung):
+                        # a fold's smaller budget comes before its larger one
+                        if len(running) < threads and (r, n) not in begun and all((rungs[r][0], n) != (rungs[j][0], m) for j, m in running):
+                            begin(r, n)
+                            running[r, n] = begun[r, n]
+                    wait(running.values(), return_when=FIRST_COMPLETED)
+                    for f in waiting:
+                        if f.done():
+                            f.result()
+                for n in alive:
+                    begun[rung, n].result()
+                got = (F.col("rung") == rung) & F.col("model").isin(alive)  # what was begun ahead of a drop is not read
+                made = got if made is None else made | got
+                fits = spark.read.option("basePath", root).parquet(*[f"{root}/rung={r}" for r in range(rung + 1)]).where(made)
+                tests = {r["model"]: r for r in paired(fits).collect()}  # one row a candidate
+                dropped |= {n: rung for n, r in tests.items() if r["worse"]}
+                ended |= set(dropped)
+                alive = sorted((n for n in alive if n not in dropped), key=lambda n: tests[n]["mean_diff"] if n in tests else math.inf)
+        finally:
+            ended |= set(candidates)  # nothing is left running
+            for f in begun.values():
+                f.cancel()
     spread = F.sum("syy") - F.sum("sy") * F.sum("sy") / F.sum("n")
     rmse, width = F.sqrt(F.sum("sse") / F.sum("n")), F.max("hi") - F.min("lo")
     rows = fits.groupBy("model", "fold", "budget", "rung").agg(

@@ -12,6 +12,7 @@ window and stops after 50 rounds without a better one.  Boosting and forests are
 
 from __future__ import annotations
 
+import threading
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -35,6 +36,19 @@ CONFIGS = {
 }
 
 
+class Shared:
+    """What several fits on one frame need, made by the first that asks for it."""
+
+    def __init__(self):
+        self.lock, self.made = threading.Lock(), {}
+
+    def get(self, name: str, make):
+        with self.lock:
+            if name not in self.made:
+                self.made[name] = make()
+            return self.made[name]
+
+
 def bins(train: DataFrame, cols=fixed.CATEGORICAL_COLS) -> int:
     """Split points for every code of the widest categorical column."""
     have = [F.max(c) for c in cols if c in train.columns]
@@ -67,24 +81,30 @@ def fit(train: DataFrame, config: dict, label: str = "sales",
                            learned from, so the holdout is never used for it.
       ``folder``           boost and forest: where the run writes its blocks or
                            groups, and goes on from what it finds there.
+      ``stop``             boost and forest: asked between rounds or groups
+                           whether to give up.
+      ``shared``           a ``Shared`` of fits on the same frame.
     """
     params = dict(config)
+    shared = params.pop("shared", None) or Shared()
+    most = lambda: shared.get("bins", lambda: bins(train))
     kind = params.pop("kind")
     if kind in ("boost", "forest"):
         t0 = time.time()
-        own = {k: params.pop(k) for k in ("rounds", "patience", "trees", "folder", "group") if k in params}
+        own = {k: params.pop(k) for k in ("rounds", "patience", "trees", "folder", "group", "stop") if k in params}
         days = params.pop("validation_days", None)
         if days:
             own["validation"] = F.col("date") > F.date_sub(train.agg(F.max("date")).scalar(), days)
-        make = trees.boost if kind == "boost" else trees.forest
-        return make(train, cols, label, trees.Params(**params), bins=min(255, bins(train)), **own), time.time() - t0
+        make, n = trees.boost if kind == "boost" else trees.forest, min(255, most())
+        made = lambda: shared.get("edges", lambda: trees.edges(train, cols, n))
+        return make(train, cols, label, trees.Params(**params), bins=n, made=made, **own), time.time() - t0
     val_days = params.pop("validation_days", None)
     if val_days and kind == "gbt":
         cut = F.date_sub(train.agg(F.max("date")).scalar(), val_days)
         train = train.withColumn("is_validation", F.col("date") > cut)
         params.setdefault("validationIndicatorCol", "is_validation")
     if kind != "lr":
-        params["max_bins"] = bins(train)
+        params["max_bins"] = most()
     if kind in ("gbt", "rf"):
         params = {"cacheNodeIds": True, "checkpointInterval": 20, "maxMemoryInMB": 512, **params}
     pipe = Pipeline(stages=[assembler(cols), estimator(kind, label, **params)])

@@ -49,15 +49,18 @@ from salescast.session import shared_folder
 from salescast.sources.io import exists
 
 #: Rows of a block; bounds of the rows of a node that one task grows alone.
-BLOCK, SMALL, LARGE = 8192, 1 << 17, 1 << 20
+BLOCK, SMALL, LARGE = 8192, 1 << 19, 1 << 20
 #: Bytes of the histograms that a task holds for the trees of a group.
 GROUP_BYTES = 64 << 20
-#: Rounds between two written states of a boosting run, and between two
-#: checkpoints of its rows.
-KEPT, CUT = 10, 20
+#: Rounds between two written states of a boosting run; trees that its passes add to
+#: the rows' predictions before the rows are written with them, as adding one takes
+#: less than writing; times rows are written between two checkpoints of them.
+KEPT, CARRIED, CUT = 10, 5, 4
 #: Rows of a partition of boosting, nodes of a pass, bytes of histograms that
 #: the driver adds up itself.
 PART, PASS, DRIVER_BYTES = 1 << 19, 512, 64 << 20
+#: Rows that a task sums up at once, if they are of more than one node.
+CACHED = 1 << 14
 #: Rows of a boosted tree's node that one task grows alone, at least: growing so many
 #: takes about as long as starting a pass.  A node with more than the share ``MOST`` of
 #: its parent's rows tends to lose as few again, a pass each time: twice as many, but
@@ -161,53 +164,122 @@ def columns_of(p: Params, tree: int, width: int) -> np.ndarray:
     return np.sort(np.random.default_rng([p.seed, tree]).permutation(width)[:most])
 
 
-def histograms(x: np.ndarray, r: np.ndarray, w: np.ndarray, slot: np.ndarray, slots: int, cols: np.ndarray, bins: int) -> np.ndarray:
-    """[2, slots, columns, bins]: weights and weighted targets of the rows."""
-    out = np.empty((2, slots, len(cols), bins))
-    wr, base = w * r, slot * bins
-    for k, c in enumerate(cols):
-        key = base + x[:, c]
-        out[0, :, k] = np.bincount(key, w, slots * bins).reshape(slots, bins)
-        out[1, :, k] = np.bincount(key, wr, slots * bins).reshape(slots, bins)
+def _summed(mine: np.ndarray, slots: int, columns, wr: np.ndarray, w: np.ndarray | None, sizes: list[int]) -> list[np.ndarray]:
+    """One after the other for each column, (weights, weighted targets) by slot and
+    bin; rows without weights ``w`` are there once each."""
+    out, base, key = [], {}, np.empty(len(mine), np.int64)
+    for x, size in zip(columns, sizes):
+        if size not in base:
+            base[size] = mine * size
+        np.add(base[size], x, out=key)
+        out += [np.bincount(key, w, slots * size), np.bincount(key, wr, slots * size)]
     return out
 
 
+def _opened_out(flat: np.ndarray, slots: int, sizes: list[int]) -> np.ndarray:
+    """[2, slots, bins of all columns, one column after the other] from joined sums."""
+    h, at, to = np.empty((2, slots, sum(sizes))), 0, 0
+    for size in sizes:
+        more = 2 * slots * size
+        h[:, :, to:to + size] = flat[at:at + more].reshape(2, slots, size)
+        at, to = at + more, to + size
+    return h
+
+
 def _score(total, n, p: Params):
-    return np.maximum(np.abs(total) - p.l1, 0) ** 2 / np.maximum(n + p.l2, 1e-300)
+    score, n = np.abs(total), n + p.l2
+    score -= p.l1
+    np.maximum(score, 0, out=score)
+    score *= score
+    score /= np.maximum(n, 1e-300, out=n)
+    return score
 
 
-def best_splits(h: np.ndarray, cols: np.ndarray, p: Params):
+def best_splits(h: np.ndarray, cols: np.ndarray, sizes: list[int], p: Params):
     """(feature, bin, gain, n, total, n up to the cut) of each slot; feature -1
     where no split gains and leaves enough rows on both sides.  Of equal gains
     the first feature and the lowest bin win."""
-    left = np.cumsum(h, axis=3)
-    whole = left[:, :, :1, -1:]
-    right = left[:, :, :, -1:] - left
-    gain = _score(left[1], left[0], p) + _score(right[1], right[0], p) - _score(whole[1], whole[0], p)
-    gain[(left[0] < max(p.min_rows, 1e-9)) | (right[0] < max(p.min_rows, 1e-9))] = -np.inf
-    flat = gain.reshape(len(gain), -1)
-    at = flat.argmax(axis=1)
-    best = flat[np.arange(len(flat)), at]
-    n, total = whole[0, :, 0, 0], whole[1, :, 0, 0]
-    ok = best > 1e-9 * np.maximum(1.0, _score(total, n, p))
-    below = left[0].reshape(len(gain), -1)[np.arange(len(flat)), at]
-    return np.where(ok, cols[at // h.shape[3]], -1), at % h.shape[3], np.where(ok, best, 0.0), n, total, below
-
-
-def grow_rest(x, r, w, root: int, p: Params, cols: np.ndarray, bins: int) -> list[tuple]:
-    """All nodes below ``root`` (heap number) for the rows of one node, level by level."""
-    out, node = [], np.full(len(r), root, np.int64)
-    while len(r):
-        here, slot = np.unique(node, return_inverse=True)
-        parts = [best_splits(histograms(x[a], r[a], w[a], slot[a] - lo, min(512, len(here) - lo), cols, bins), cols, p)
-                 for lo in range(0, len(here), 512) for a in [(slot >= lo) & (slot < lo + 512)]]
-        feature, cut, gain, n, total, below = (np.concatenate(q) for q in zip(*parts))
-        if int(here[0]).bit_length() > p.depth:
-            feature[:] = -1
+    ends = np.cumsum(sizes)
+    starts, least = ends - sizes, max(p.min_rows, 1e-9)
+    left, right = np.empty_like(h), np.empty_like(h)
+    for lo, hi in zip(starts.tolist(), ends.tolist()):
+        np.cumsum(h[:, :, lo:hi], axis=2, out=left[:, :, lo:hi])
+        np.subtract(left[:, :, hi - 1:hi], left[:, :, lo:hi], out=right[:, :, lo:hi])
+    n, total = left[0, :, ends[0] - 1], left[1, :, ends[0] - 1]
+    whole = _score(total, n, p)
+    # a cut after an empty bin is the cut before it
+    slot, at = np.nonzero((h[0] > 0) & (left[0] >= least) & (right[0] >= least))
+    gain = np.full(h.shape[1:], -np.inf)
+    gain[slot, at] = _score(left[1, slot, at], left[0, slot, at], p) + _score(right[1, slot, at], right[0, slot, at], p) - whole[slot]
+    at, every = gain.argmax(axis=1), np.arange(len(gain))
+    best, of = gain[every, at], np.searchsorted(ends, at, side="right")
+    ok = best > 1e-9 * np.maximum(1.0, whole)
+    return np.where(ok, cols[of], -1), at - starts[of], np.where(ok, best, 0.0), n, total, left[0, every, at]
+
+
+def grow_rest(x, r, w, root: int, p: Params, cols: np.ndarray, sizes: list[int]) -> list[tuple]:
+    """All nodes below ``root`` (heap number) for the rows of one node, level by level.
+
+    The rows of a node stand together, in the order they came in; of nodes that are
+    not split any more only the first column is summed, for their totals.  Sums of
+    whole numbers are exact in any order: there, of two siblings only the smaller
+    is summed, and taken from the parent's sums for the other."""
+    out, x, wr, own = [], np.ascontiguousarray(x[:, cols].T), w * r, [sizes[c] for c in cols]
+    column = np.zeros(len(sizes), np.int64)
+    column[cols] = np.arange(len(cols))
+    exact = bool((wr == np.rint(wr)).all()) and float(np.abs(wr).sum()) < 2.0 ** 53
+    fits = GROUP_BYTES // (16 * sum(own))  # nodes whose sums are held at once
+    here, slot, parents = np.array([root]), np.zeros(len(wr), np.int64), None
+    summed = open_ = int(root.bit_length() <= p.depth)
+    while len(slot):
+        rows = np.searchsorted(slot, np.arange(len(here) + 1))
+        feature, cut = np.full(len(here), -1), np.zeros(len(here), np.int64)
+        gain, n, total, below = np.zeros((4, len(here)))
+        held = np.empty((2, open_, sum(own))) if exact and open_ <= fits else None
+
+        def split_up(lo, hi, h):
+            feature[lo:hi], cut[lo:hi], gain[lo:hi], n[lo:hi], total[lo:hi], below[lo:hi] = best_splits(h, cols, own, p)
+
+        hi = 0
+        while hi < summed:  # first the nodes that are summed, then those taken from a parent, then those not split any more
+            lo, hi = hi, min(hi + PASS, summed, max(hi + 1, int(np.searchsorted(rows, rows[hi] + CACHED, side="right")) - 1))
+            a = slice(rows[lo], rows[hi])
+            h = _opened_out(np.concatenate(_summed(slot[a] - lo, hi - lo, x[:, a], wr[a], w[a], own)), hi - lo, own)
+            if held is None:
+                split_up(lo, hi, h)
+            else:
+                held[:, lo:hi] = h
+        if held is not None:
+            if parents is not None:
+                held[:, summed:] = parents - held[:, twins]
+            for lo in range(0, open_, PASS):
+                split_up(lo, min(lo + PASS, open_), held[:, lo:lo + PASS])
+        if open_ < len(here):
+            a, more = slice(rows[open_], None), len(here) - open_
+            n[open_:], total[open_:] = (q.reshape(more, -1).cumsum(axis=1)[:, -1]
+                                        for q in _summed(slot[a] - open_, more, x[:1, a], wr[a], w[a], own[:1]))
         out += zip(*(q.tolist() for q in (here, feature, cut, gain, n, total, below)))
-        go = feature[slot] >= 0
-        x, r, w, slot, node = x[go], r[go], w[go], slot[go], node[go]
-        node = 2 * node + (x[np.arange(len(r)), feature[slot]] > cut[slot])
+        split = np.flatnonzero(feature >= 0)
+        sides = np.stack([below[split], n[split] - below[split]], axis=1)
+        last = sides < 2 * p.min_rows if 2 * int(here[0]) < 1 << p.depth else np.ones(sides.shape, bool)
+        kind = np.where(last, 2, 0)
+        if held is not None and 2 * len(split) <= fits:
+            larger = np.where(sides[:, 0] <= sides[:, 1], 1, 0)
+            some, every = ~last.all(axis=1), np.arange(len(split))
+            kind[every[some], larger[some]], kind[every[some], 1 - larger[some]] = 1, 0
+        order = np.argsort(kind.ravel(), kind="stable")
+        to = np.empty(2 * len(here), np.int64)
+        to[(2 * split[:, None] + [0, 1]).ravel()[order]] = np.arange(len(order))
+        summed, open_ = int((kind == 0).sum()), int((kind < 2).sum())
+        taken = order[summed:open_]  # places of children; a child's sibling is one beside it
+        parents = held[:, split[taken // 2]] if len(taken) else None
+        twins = to[2 * split[taken // 2] + 1 - taken % 2]
+        go = np.flatnonzero(feature.take(slot) >= 0)
+        at = slot.take(go)
+        slot = to.take(2 * at + (x[column[feature.take(at)], go] > cut.take(at)))
+        moved = np.argsort(slot.astype(np.uint16) if len(order) < 1 << 16 else slot, kind="stable")
+        slot, go, here = slot.take(moved), go.take(moved), (2 * here[split, None] + [0, 1]).ravel()[order]
+        x, wr, w = x.take(go, axis=1), wr.take(go), w.take(go)
     return out
 
 
@@ -270,30 +342,32 @@ class Grower:
     """Grows some trees at once over packed rows whose targets are y - f, f less
     what ``since`` trees added after the rows were written."""
 
-    def __init__(self, rows: DataFrame, p: Params, width: int, bins: int, small: int, since=()):
-        self.rows, self.p, self.width, self.bins, self.small = rows, p, width, bins, small
+    def __init__(self, rows: DataFrame, p: Params, sizes: list[int], small: int, since=()):
+        self.rows, self.p, self.sizes, self.small = rows, p, sizes, small
         self.since = [_compact(t, p.step) for t in since]
 
     def _sums(self, trees: dict[int, Tree], open_: dict[int, np.ndarray]) -> DataFrame:
         """Best splits of the open nodes, a row each, and one row of tree -1 with
         the number and squared error of the validation rows."""
-        p, width, bins, since = self.p, self.width, self.bins, self.since
+        p, sizes, width, since = self.p, self.sizes, len(self.sizes), self.since
 
         def run(batches):
             held, loss, n_loss = {}, 0.0, 0.0
             for batch in batches:
                 for block, x, y, f, v in _blocks(batch, width):
-                    r, learn = y - f - _scores(since, x), ~v
+                    r, learn, x = y - f - _scores(since, x), ~v, np.ascontiguousarray(x.T)
                     loss, n_loss = loss + float((r[v] ** 2).sum()), n_loss + float(v.sum())
                     for t, nodes in open_.items():
-                        w = weights(p, t, block, len(y)) * learn
+                        w, cols = weights(p, t, block, len(y)) * learn, columns_of(p, t, width)
                         slot = np.full(len(trees[t].feature), -1, np.int64)
                         slot[nodes] = np.arange(len(nodes))
-                        mine = slot[trees[t].leaf(x)]
-                        a = (mine >= 0) & (w > 0)
-                        h = histograms(x[a], r[a], w[a], mine[a], len(nodes), columns_of(p, t, width), bins)
+                        mine = slot.take(_nodes(trees[t], x))
+                        a = np.flatnonzero((mine >= 0) & (w > 0))
+                        mine, w = mine.take(a), w.take(a)
+                        h = np.concatenate(_summed(mine, len(nodes), (x[c].take(a) for c in cols), w * r.take(a), w, [sizes[c] for c in cols]))
                         held[t] = held[t] + h if t in held else h
-            out = [(t, int(node), 0.0, 0.0, np.ascontiguousarray(h[:, k]).tobytes()) for t, h in held.items() for k, node in enumerate(open_[t])]
+            held = {t: _opened_out(h, len(open_[t]), [sizes[c] for c in columns_of(p, t, width)]) for t, h in held.items()}
+            out = [(t, int(node), 0.0, 0.0, h[:, k].tobytes()) for t, h in held.items() for k, node in enumerate(open_[t])]
             out.append((-1, 0, n_loss, loss, b""))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.binary()))],
                                              names=["tree", "node", "n", "total", "bytes"])
@@ -304,8 +378,8 @@ class Grower:
                 row = (-1, 0, -1, 0, 0.0, sum(table.column("n").to_pylist()), sum(table.column("total").to_pylist()), 0.0)
             else:
                 cols = columns_of(p, t, width)
-                h = sum(np.frombuffer(b.as_buffer(), np.float64).reshape(2, 1, len(cols), bins) for b in table.column("bytes"))
-                split = best_splits(h, cols, p)
+                h = sum(np.frombuffer(b.as_buffer(), np.float64).reshape(2, 1, -1) for b in table.column("bytes"))
+                split = best_splits(h, cols, [sizes[c] for c in cols], p)
                 row = (t, node, *(q[0] for q in split))
             return pa.table([pa.array([v], k) for v, k in zip(row, KINDS)], names=NAMES)
 
@@ -314,21 +388,24 @@ class Grower:
     def _rest(self, trees: dict[int, Tree], ends: dict[int, np.ndarray]) -> DataFrame:
         """Node rows of the subtrees below ``ends``, each grown by one task, and
         the row of tree -1 as in ``_sums``."""
-        p, width, bins, since = self.p, self.width, self.bins, self.since
+        p, sizes, width, since = self.p, self.sizes, len(self.sizes), self.since
 
         def deal(batches):
             for batch in batches:
                 for block, x, y, f, v in _blocks(batch, width):
-                    r, learn = y - f - _scores(since, x), ~v
+                    r, learn, by_column = y - f - _scores(since, x), ~v, np.ascontiguousarray(x.T)
                     out = [(-1, 0, b"", np.array([v.sum(), (r[v] ** 2).sum()]).tobytes(), b"")]
                     for t, nodes in ends.items():
                         w = weights(p, t, block, len(y)) * learn
-                        node = trees[t].leaf(x)
-                        order = np.argsort(node, kind="stable")
-                        order = order[(w[order] > 0) & np.isin(node[order], nodes)]
-                        for part in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
-                            if len(part):
-                                out.append((t, int(node[part[0]]), x[part].tobytes(), r[part].tobytes(), w[part].tobytes()))
+                        slot = np.full(len(trees[t].feature), -1, np.int64)
+                        slot[nodes] = np.arange(len(nodes))
+                        mine = slot.take(_nodes(trees[t], by_column))
+                        a = np.flatnonzero((mine >= 0) & (w > 0))
+                        mine = mine.take(a)
+                        order = np.argsort(mine.astype(np.uint16) if len(nodes) < 1 << 16 else mine, kind="stable")
+                        mine, a = mine.take(order), a.take(order)
+                        for part, k in zip(np.split(a, np.flatnonzero(np.diff(mine)) + 1), np.unique(mine)):
+                            out.append((t, int(nodes[k]), x[part].tobytes(), r[part].tobytes(), w[part].tobytes()))
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32()) + (pa.binary(),) * 3)],
                                                      names=["tree", "node", "x", "r", "w"])
 
@@ -340,7 +417,7 @@ class Grower:
                 nodes = [(0, -1, 0, 0.0, float(r[0::2].sum()), float(r[1::2].sum()), 0.0)]
             else:
                 x = np.frombuffer(joined["x"], np.uint8).reshape(-1, width)
-                nodes = grow_rest(x, r, np.frombuffer(joined["w"], np.float64), root, p, columns_of(p, t, width), bins)
+                nodes = grow_rest(x, r, np.frombuffer(joined["w"], np.float64), root, p, columns_of(p, t, width), sizes)
             return pa.table([pa.array(c, k) for c, k in zip([[t] * len(nodes), *map(list, zip(*nodes))], KINDS)], names=NAMES)
 
         dealt = self.rows.mapInArrow(deal, "tree int, node int, x binary, r binary, w binary")
@@ -396,11 +473,12 @@ def _spread(packed: DataFrame, rows: int) -> tuple[DataFrame, int]:
     return packed.repartition(parts, "block").persist(), small
 
 
-def _prepared(train: DataFrame, cols, label: str, bins: int, folder: str, validation) -> tuple[DataFrame, list[np.ndarray], int]:
-    """The packed table of a run and its bin edges; read where a run left them."""
+def _prepared(train: DataFrame, cols, label: str, bins: int, folder: str, validation, made=None) -> tuple[DataFrame, list[np.ndarray], int]:
+    """The packed table of a run and its bin edges (from ``made``, if given); read
+    where a run left them."""
     spark = train.sparkSession
     if not exists(spark, f"{folder}/rows/_SUCCESS"):
-        cuts = edges(train, cols, bins)
+        cuts = made() if made else edges(train, cols, bins)
         pack(train, cols, label, cuts, validation).write.mode("overwrite").parquet(f"{folder}/rows")
         spark.createDataFrame([(json.dumps([c.tolist() for c in cuts]),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/edges")
     cuts = [np.array(c) for c in json.loads(spark.read.text(f"{folder}/edges").first()[0])]
@@ -408,6 +486,15 @@ def _prepared(train: DataFrame, cols, label: str, bins: int, folder: str, valida
     return packed, cuts, int(packed.agg(F.sum("n")).first()[0] or 0)
 
 
+class GivenUp(Exception):
+    """A run was ended from outside; what it has written stays."""
+
+
+def _go_on(stop) -> None:
+    if stop and stop():
+        raise GivenUp
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/salescast-trees/{name}-{uuid.uuid4().hex}"
 
@@ -478,15 +565,19 @@ def _nodes(tree: Tree, x: np.ndarray) -> np.ndarray:
     return node
 
 
+def _with(f: np.ndarray, trees: list[Tree], x: np.ndarray, step: float) -> np.ndarray:
+    """Predictions with more trees in them; ``x`` is by column."""
+    for t in trees:
+        f = f + (t.value * step).take(_nodes(t, x))
+    return f
+
+
 def _moved(rows, trees: list[Tree], step: float, base: float | None = None):
     """Rows with more trees, or the constant they start from, in their predictions."""
     def run(parts):
         _settle()
         for x, y, f, v, blocks in parts:
-            f = f if base is None else np.full(len(y), base)
-            for t in trees:
-                f = f + (t.value * step).take(_nodes(t, x))
-            yield x, y, f, v, blocks
+            yield x, y, _with(f if base is None else np.full(len(y), base), trees, x, step), v, blocks
     return rows.mapPartitions(run)
 
 
@@ -497,34 +588,15 @@ def _sample(p: Params, number: int, v: np.ndarray, blocks) -> np.ndarray:
     return w
 
 
-def _summed(mine: np.ndarray, slots: int, columns, wr: np.ndarray, w: np.ndarray | None, sizes: list[int]) -> list[np.ndarray]:
-    """One after the other for each column, (weights, weighted targets) by slot and
-    bin; rows without weights ``w`` are there once each."""
-    out = []
-    for x, size in zip(columns, sizes):
-        key = mine * size + x
-        out += [np.bincount(key, w, slots * size), np.bincount(key, wr, slots * size)]
-    return out
-
-
-def _opened_out(flat: np.ndarray, slots: int, sizes: list[int], bins: int) -> np.ndarray:
-    """[2, slots, columns, bins] from joined sums."""
-    h, at = np.zeros((2, slots, len(sizes), bins)), 0
-    for k, size in enumerate(sizes):
-        more = 2 * slots * size
-        h[:, :, k, :size] = flat[at:at + more].reshape(2, slots, size)
-        at += more
-    return h
-
-
-def _passed(rows, p: Params, number: int, tree: Tree, open_: np.ndarray, cols: np.ndarray, sizes: list[int]):
-    """(histograms of the open nodes, validation rows and their squared error)."""
+def _passed(rows, p: Params, number: int, tree: Tree, open_: np.ndarray, cols: np.ndarray, sizes: list[int], since=()):
+    """(histograms of the open nodes, validation rows and their squared error);
+    the trees ``since`` are not in the rows' predictions yet."""
     own = [sizes[c] for c in cols]
 
     def run(parts):
         _settle()
         for x, y, f, v, blocks in parts:
-            r = y - f
+            r = y - _with(f, since, x, p.step)
             held, loss = float(v.sum()), float((r[v] ** 2).sum())
             w = _sample(p, number, v, blocks)
             slot = np.full(len(tree.feature), -1, np.int64)
@@ -539,18 +611,19 @@ def _passed(rows, p: Params, number: int, tree: Tree, open_: np.ndarray, cols: n
         flat = sums.treeReduce(np.add)
     else:
         flat = sum(sums.collect())
-    return _opened_out(flat[2:], len(open_), own, max(sizes)), (flat[0], flat[1])
+    return _opened_out(flat[2:], len(open_), own), (flat[0], flat[1])
 
 
-def _put(nodes: dict[int, tuple], some, h: np.ndarray, cols: np.ndarray, p: Params) -> None:
+def _put(nodes: dict[int, tuple], some, h: np.ndarray, cols: np.ndarray, own: list[int], p: Params) -> None:
     """Adds the nodes ``some`` of histograms ``h``, and what their children are if
     they are not split."""
-    feature, cut, gain, n, total, below = best_splits(h, cols, p)
+    feature, cut, gain, n, total, below = best_splits(h, cols, own, p)
+    starts = dict(zip(cols.tolist(), (np.cumsum(own) - own).tolist()))
     for s, k in enumerate(some):
         f = int(feature[s]) if k.bit_length() <= p.depth else -1
         nodes[k] = (f, int(cut[s]), float(gain[s]), float(n[s]), float(total[s]), float(below[s]))
         if f >= 0:
-            left = float(h[1, s, np.searchsorted(cols, f), :cut[s] + 1].sum())
+            left = float(h[1, s, starts[f]:starts[f] + cut[s] + 1].sum())
             rest = (n[s] - below[s], total[s] - left)
             nodes[2 * k], nodes[2 * k + 1] = ((-1, 0, 0.0, float(a), float(b), 0.0) for a, b in ((below[s], left), rest))
 
@@ -564,9 +637,9 @@ def _split(tree: Tree, nodes: dict[int, tuple], level: list[int], p: Params) ->
 
 
 def _finished(rows, p: Params, number: int, tree: Tree, nodes: dict[int, tuple], ends: list[int], cols: np.ndarray,
-              sizes: list[int]) -> dict[int, tuple]:
+              sizes: list[int], since=()) -> dict[int, tuple]:
     """The nodes of the subtrees of ``ends``, grown by tasks that are dealt their rows."""
-    own, bins = [sizes[c] for c in cols], max(sizes)
+    own = [sizes[c] for c in cols]
     parts = min(len(ends), rows.getNumPartitions())
     free, place = [(0.0, k) for k in range(parts)], {}
     for k in sorted(ends, key=lambda k: (-nodes[k][3], k)):
@@ -578,14 +651,14 @@ def _finished(rows, p: Params, number: int, tree: Tree, nodes: dict[int, tuple],
     def deal(index, parts_):
         _settle()
         for x, y, f, v, blocks in parts_:
-            w, node = _sample(p, number, v, blocks), _nodes(tree, x)
+            w, node, r, own_x = _sample(p, number, v, blocks), _nodes(tree, x), y - _with(f, since, x, p.step), x[cols]
             to = np.full(len(tree.feature), -1, np.int64)
             to[list(place)] = list(place.values())
             to = np.where(w > 0, to.take(node), -1)
             for k in range(parts):
                 a = np.flatnonzero(to == k)
                 if len(a):
-                    yield k, (index, node[a].astype(np.int32), x[cols].take(a, axis=1), w[a] * (y - f)[a], w[a] if p.bootstrap else None)
+                    yield k, (index, node[a].astype(np.int32), own_x.take(a, axis=1), w[a] * r[a], w[a] if p.bootstrap else None)
 
     def finish(items):
         _settle()
@@ -605,7 +678,7 @@ def _finished(rows, p: Params, number: int, tree: Tree, nodes: dict[int, tuple],
                         a = np.flatnonzero(at >= 0)
                         at, x, wr, w = at[a], x.take(a, axis=1), wr[a], None if w is None else w[a]
                     h = h + np.concatenate(_summed(at, len(some), x, wr, w, own))
-                _put(mine, some, _opened_out(h, len(some), own, bins), cols, p)
+                _put(mine, some, _opened_out(h, len(some), own), cols, own, p)
             open_ = _split(part, mine, open_, p)
             left = np.zeros(2 << p.depth, bool)
             left[open_] = True
@@ -640,7 +713,7 @@ def _wanted(nodes: dict[int, tuple], level: list[int], p: Params) -> list[int]:
     return [k for k in split if len(ahead) < p.max_leaves - 1 or least[k] >= ahead[-1]] if ahead else []
 
 
-def _grown(rows, p: Params, number: int, sizes: list[int], alone: int = 0) -> tuple[dict[int, tuple], tuple[float, float]]:
+def _grown(rows, p: Params, number: int, sizes: list[int], alone: int = 0, since=()) -> tuple[dict[int, tuple], tuple[float, float]]:
     """All nodes of one tree that may be needed, and the validation rows' number
     and squared error.  Below the root, nodes of at most ``alone`` rows (twice that
     where little was split off) that three or more passes would follow are grown by
@@ -650,19 +723,19 @@ def _grown(rows, p: Params, number: int, sizes: list[int], alone: int = 0) -> tu
     while open_:
         for lo in range(0, len(open_), PASS):
             some = np.array(open_[lo:lo + PASS])
-            h, loss = _passed(rows, p, number, tree, some, cols, sizes)
-            _put(nodes, some.tolist(), h, cols, p)
+            h, loss = _passed(rows, p, number, tree, some, cols, sizes, since)
+            _put(nodes, some.tolist(), h, cols, [sizes[c] for c in cols], p)
         below = _split(tree, nodes, open_, p)
         most = {k: twice if nodes[k][3] > MOST * nodes[k // 2][3] else alone for k in below}
         open_ = [k for k in below if nodes[k][3] > most[k] or k.bit_length() + 2 > p.depth]
         ends += sorted(set(below) - set(open_))
     if ends:
-        nodes |= _finished(rows, p, number, tree, nodes, ends, cols, sizes)
+        nodes |= _finished(rows, p, number, tree, nodes, ends, cols, sizes, since)
     return nodes, loss
 
 
 def boost(train: DataFrame, cols, label: str, p: Params, rounds: int, patience: int | None = None, validation=None, bins: int = 64,
-          folder: str | None = None, kept: int = KEPT, on_block=None) -> "Ensemble":
+          folder: str | None = None, kept: int = KEPT, on_block=None, made=None, stop=None) -> "Ensemble":
     """Boosted trees for squared error; the model is cut back to its best round.
 
     The constant model (the mean of the training rows) is round 0; after each
@@ -670,11 +743,12 @@ def boost(train: DataFrame, cols, label: str, p: Params, rounds: int, patience:
     ``patience`` rounds without a better one.  Every ``kept`` rounds the trees
     and the curve are written below ``folder``; a run that finds them there scores
     its rows by them and goes on from the last complete block, with the same result.
-    ``on_block`` is called with the number of rounds after each of these.
+    ``on_block`` is called with the number of rounds after each of these.  ``made``
+    gives the bin edges; a run whose ``stop`` says so ends with ``GivenUp``.
     """
     spark, began = train.sparkSession, time.time()
     folder = (folder or run_folder(spark, "boost")).rstrip("/")
-    packed, cuts, n = _prepared(train, cols, label, bins, folder, validation)
+    packed, cuts, n = _prepared(train, cols, label, bins, folder, validation, made)
     width = len(cols)
     sizes = [1 + len(c) for c in cuts]
     base, trees, curve, at = None, [], [], 0
@@ -688,38 +762,42 @@ def boost(train: DataFrame, cols, label: str, p: Params, rounds: int, patience:
         sums = held.map(lambda q: np.array([q[1][~q[3]].sum(), (~q[3]).sum()])).fold(np.zeros(2), np.add)
         base = float(sums[0] / sums[1]) if sums[1] else 0.0
     rows = _moved(held, trees, p.step, base).persist(StorageLevel.MEMORY_AND_DISK)
-    alone = max(ALONE, n // held.getNumPartitions())
-    stop, ended, last = Patience(patience or rounds + 1), False, None
-    stop.curve = curve
+    alone, moved, moves = max(ALONE, n // held.getNumPartitions()), len(trees), 0
+    waits, ended, last = Patience(patience or rounds + 1), False, None
+    waits.curve = curve
     while len(trees) < rounds and n:
+        _go_on(stop)
         number = len(trees) + 1
-        nodes, (n_valid, loss) = _grown(rows, p, number, sizes, alone)
+        nodes, (n_valid, loss) = _grown(rows, p, number, sizes, alone, trees[moved:])
         if last is not None:  # its rows were made into this round's by the first pass
             last.unpersist()
+            last = None
         # the pass for a round measures the rounds before it
-        if len(stop.curve) < number and n_valid:
-            ended = stop.add(float(np.sqrt(loss / n_valid)))
+        if len(waits.curve) < number and n_valid:
+            ended = waits.add(float(np.sqrt(loss / n_valid)))
             if ended:
                 break
         trees.append(budgeted(nodes, p))
-        last, rows = rows, _moved(rows, trees[-1:], p.step).persist(StorageLevel.MEMORY_AND_DISK)
-        if number % CUT == 0:  # a lost executor's rows are not made from the first round on
-            rows.checkpoint()
+        if number - moved >= CARRIED:
+            last, rows = rows, _moved(rows, trees[moved:], p.step).persist(StorageLevel.MEMORY_AND_DISK)
+            moved, moves = number, moves + 1
+            if moves % CUT == 0:  # a lost executor's rows are not made from the first round on
+                rows.checkpoint()
         if number % kept == 0 and number < rounds:
-            state = {"base": base, "curve": stop.curve, "trees": [_listed(t) for t in trees[-kept:]]}
+            state = {"base": base, "curve": waits.curve, "trees": [_listed(t) for t in trees[-kept:]]}
             spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/block-{number}/done")
             if on_block:
                 on_block(number)
-    if not ended and n and len(stop.curve) == len(trees):  # the last round's error
-        _, (n_valid, loss) = _passed(rows, p, 0, Tree.empty(0), np.zeros(0, np.int64), columns_of(p, 0, width), sizes)
+    if not ended and n and len(waits.curve) == len(trees):  # the last round's error
+        _, (n_valid, loss) = _passed(rows, p, 0, Tree.empty(0), np.zeros(0, np.int64), columns_of(p, 0, width), sizes, trees[moved:])
         if n_valid:
-            stop.add(float(np.sqrt(loss / n_valid)))
+            waits.add(float(np.sqrt(loss / n_valid)))
     for held in (rows, last):
         if held is not None:
             held.unpersist()
-    best = stop.best if stop.curve else len(trees)
+    best = waits.best if waits.curve else len(trees)
     tables = [_compact(t, p.step) for t in trees[:best]]
-    return Ensemble("boost", list(cols), cuts, tables, base, rounds=len(trees), best_round=best, curve=list(stop.curve),
+    return Ensemble("boost", list(cols), cuts, tables, base, rounds=len(trees), best_round=best, curve=list(waits.curve),
                     seconds=time.time() - began, gains=_gains(trees[:best], width), params=asdict(p))
 
 
@@ -755,32 +833,37 @@ def _compact(tree: Tree, step: float) -> tuple:
 # ---- forest
 
 def forest(train: DataFrame, cols, label: str, p: Params, trees: int, bins: int = 64, folder: str | None = None,
-           group: int | None = None, parallelism: int = 2) -> "Ensemble":
+           group: int | None = None, parallelism: int = 2, made=None, stop=None) -> "Ensemble":
     """Trees over bootstrap samples, grown in groups that are jobs of their own.
 
     A group is as large as the histograms of its trees allow (``GROUP_BYTES`` a
     task) unless given.  Each group's node table is written below ``folder``; a
     run that finds complete ones grows only the others.  A tree's sample follows
     from the seed, its number and the block of a row, so the model is the same
-    whatever the groups.
+    whatever the groups.  ``made`` and ``stop`` are those of ``boost``.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     spark, began = train.sparkSession, time.time()
     folder = (folder or run_folder(spark, "forest")).rstrip("/")
-    packed, cuts, n = _prepared(train, cols, label, bins, folder, None)
-    width, bins = len(cols), 1 + max([len(c) for c in cuts], default=0)
+    packed, cuts, n = _prepared(train, cols, label, bins, folder, None, made)
+    width, sizes = len(cols), [1 + len(c) for c in cuts]
     rows, small = _spread(packed, n)
     if group is None:
         frontier = max(1, 2 * n // small)
-        group = int(max(1, min(25, trees, GROUP_BYTES // (frontier * width * bins * 16))))
+        group = int(max(1, min(25, trees, GROUP_BYTES // (frontier * width * max(sizes, default=1) * 16))))
+
+    def group_path(first: int) -> str:
+        """Has the trees in its name: a run of fewer ends with a shorter group."""
+        return f"{folder}/groups-{group}/group-{first}-{min(first + group, trees)}"
 
     def grow(first: int) -> None:
         numbers = list(range(first, min(first + group, trees)))
-        path = f"{folder}/groups-{group}/group-{first}"
+        path = group_path(first)
+        _go_on(stop)
         if exists(spark, f"{path}/_SUCCESS"):
             return
-        grower = Grower(rows, p, width, bins, small)
+        grower = Grower(rows, p, sizes, small)
         nodes, partial, ends, _ = grower.top(numbers, n)
         out = spark.createDataFrame([(t, k, *v) for t, ns in nodes.items() for k, v in ns.items()], NODES)
         if ends:
@@ -791,7 +874,7 @@ def forest(train: DataFrame, cols, label: str, p: Params, trees: int, bins: int
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             list(pool.map(grow, range(0, trees, group)))
     rows.unpersist()
-    nodes = spark.read.schema(NODES).parquet(*[f"{folder}/groups-{group}/group-{k}" for k in range(0, trees, group)]) if n else None
+    nodes = spark.read.schema(NODES).parquet(*[group_path(k) for k in range(0, trees, group)]) if n else None
     gains = np.zeros(width)
     tables = []
     if n:

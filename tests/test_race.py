@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -72,6 +73,42 @@ def test_race_that_broke_makes_only_what_is_missing(history, tmpdir_path, two_co
     assert len(two_columns) - before == len(out) - 5
 
 
+def test_free_threads_begin_later_folds_that_count_only_for_models_that_get_there(history, tmpdir_path, monkeypatch):
+    last, real, tested, began, made = history.agg(F.max("date")).first()[0], tr.fit, bt.paired, threading.Event(), []
+    candidates = {n: dict(kind="dt", maxDepth=4, minInstancesPerNode=k) for n, k in (("a", 1), ("b", 2))}
+
+    def fit(train, config, label="sales"):
+        fold = 4 - (last - train.agg(F.max("date")).first()[0]).days // 90
+        made.append((config["minInstancesPerNode"], fold))
+        if fold == 2:
+            began.set()
+        elif fold == 1 and made.count((2, 1)) == 2 and config["minInstancesPerNode"] == 2:
+            assert began.wait(60)  # a later fold has begun while this rung is not over
+        return real(train, config, label, cols=["a", "b"])
+
+    def drop(fits):  # at rung 1
+        rung = fits.agg(F.max("rung")).first()[0]
+        return tested(fits).withColumn("worse", (F.col("model") == "b") & F.lit(rung == 1))
+    monkeypatch.setattr(tr, "fit", fit)
+    monkeypatch.setattr(bt, "paired", drop)
+    go = lambda k: [r.asDict() for r in bt.race(history, candidates, lambda a, b: (a, b), f"{tmpdir_path}/race-{k}", parallelism=k)
+                    .drop("seconds").orderBy("model", "rung").collect()]
+    ahead = go(6)
+    assert [(r["model"], r["rung"], r["dropped_at"]) for r in ahead] == [("a", k, None) for k in range(4)] + [("b", 0, 1), ("b", 1, 1)]
+    assert (2, 2) in made  # begun, and not counted
+    made.clear()
+    assert go(1) == ahead and len(made) == len(ahead)
+
+
+def test_a_frame_is_prepared_and_binned_once_for_all_fits(history, tmpdir_path, two_columns, monkeypatch):
+    frames, binned, real = [], [], tr.trees.edges
+    monkeypatch.setattr(tr.trees, "edges", lambda *a: binned.append(1) or real(*a))
+    candidates = {"boost": CANDIDATES["boost"] | {"rounds": 12}, "other": CANDIDATES["boost"] | {"rounds": 12, "step": 0.2},
+                  "forest": dict(kind="forest", trees=12, depth=4, bootstrap=True)}
+    out = bt.race(history, candidates, lambda a, b: frames.append(1) or (a, b), f"{tmpdir_path}/race", rungs=((1, 0.5), (1, 1.0)), parallelism=3)
+    assert {r.model for r in out.collect()} == set(candidates) and len(frames) == 1 and len(binned) == 1
+
+
 def test_paired_test_against_numpy(spark):
     rng = np.random.default_rng(2)
     a, b, c = rng.random(20) + 1, rng.random(20) + 1.9, rng.random(20) + 1.1

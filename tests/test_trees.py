@@ -104,6 +104,50 @@ def test_nodes_that_lose_few_rows_a_split_leave_the_passes_early(spark, monkeypa
     assert all(np.array_equal(a, b) for t, u in zip(*found) for a, b in zip(t, u))
 
 
+def plain(x, r, w, node, p, cols, sizes):
+    """{node: (feature, bin, n, total)}, each from sums over all of its rows."""
+    own = [sizes[c] for c in cols]
+    h = trees._opened_out(np.concatenate(trees._summed(np.zeros(len(r), np.int64), 1, x.T[cols], w * r, w, own)), 1, own)
+    feature, cut, _, n, total, _ = (q[0] for q in trees.best_splits(h, cols, own, p))
+    if feature < 0 or node.bit_length() > p.depth:
+        return {node: (-1, 0, n, total)}
+    right = x[:, feature] > cut
+    return {node: (feature, cut, n, total)} | {k: v for a, c in ((~right, 2 * node), (right, 2 * node + 1)) for k, v in plain(x[a], r[a], w[a], c, p, cols, sizes).items()}
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_a_subtree_is_the_same_to_the_bit_however_its_rows_are_summed(whole, monkeypatch):
+    rng, sizes = np.random.default_rng(11), [12, 2, 40, 7, 1]
+    x = np.stack([rng.integers(0, k, 4000) for k in sizes], axis=1).astype(np.uint8)
+    r = np.rint(9 * rng.random(4000)) + 3 * (x[:, 2] > 11) + (0 if whole else 0.1)
+    w, cols, summed, real = rng.integers(1, 4, 4000).astype(float), np.array([0, 2, 3, 4]), [], trees._summed
+    for p, root in ((trees.Params(depth=9, min_rows=8), 1), (trees.Params(depth=5, min_rows=1, l1=0.5, l2=1.0), 3), (trees.Params(depth=2), 9)):
+        want = plain(x, r, w, root, p, cols, sizes)
+        for cached, most, group in ((1 << 14, 512, 64 << 20), (100, 3, 64 << 20), (500, 512, 16 * 60 * 5)):
+            with monkeypatch.context() as other:
+                for name, v in (("CACHED", cached), ("PASS", most), ("GROUP_BYTES", group)):
+                    other.setattr(trees, name, v)
+                other.setattr(trees, "_summed", lambda *a: summed.append(len(a[0]) if len(a[-1]) > 1 else 0) or real(*a))
+                summed.clear()
+                got = trees.grow_rest(x, r, w, root, p, cols, sizes)
+            assert {k: (f, c if f >= 0 else 0, n, t) for k, f, c, _, n, t, _ in got} == want and len(got) == len(want)
+            if whole and group > 1 << 20 and p.depth == 9:  # of two siblings one is summed
+                assert sum(summed) < 4000 + 0.6 * 4000 * 8
+
+
+def test_runs_are_given_up_when_asked(rows):
+    for make in (trees.boost, trees.forest):
+        with pytest.raises(trees.GivenUp):
+            make(rows, COLS, "sales", trees.Params(depth=3), 5, stop=lambda: True)
+
+
+def test_a_longer_forest_takes_only_whole_groups_of_a_shorter_one(rows, tmpdir_path):
+    p, folder = trees.Params(depth=4, min_rows=10, bootstrap=True), f"{tmpdir_path}/forest"
+    trees.forest(rows, COLS, "sales", p, 3, folder=folder, group=2)
+    more = trees.forest(rows, COLS, "sales", p, 6, folder=folder, group=2)
+    assert len(more.tables) == 6 and np.array_equal(predictions(more, rows), predictions(trees.forest(rows, COLS, "sales", p, 6, group=2), rows))
+
+
 def test_patience_outlives_a_pause_and_cuts_back():
     stop = trees.Patience(50)
     curve = [10 - 0.1 * k for k in range(30)] + [9.0] * 20 + [6.5 - 0.1 * k for k in range(10)] + [8.0] * 60
