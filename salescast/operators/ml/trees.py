@@ -6,12 +6,13 @@ current predictions for some thousand rows) and written to the shared folder.
 
 Boosting grows one tree after the other, so what counts is the number of its jobs.
 Blocks are dealt evenly to as many partitions as there are cores and cached with
-their predictions; a pass sums each partition's rows into (node, feature, bin)
-histograms for all open nodes of a level, and the driver adds these up, finds the
-splits and sends them with the next pass.  What is sent follows from the
-configuration, not from the rows.  Nodes that are small enough for a task leave the
-passes: one job deals their rows to tasks that grow all the rest of them.  A task
-adds up in the order of the partitions, like the driver, so the trees are the same.
+their predictions of a few rounds ago; a pass adds the trees since and sums each
+partition's rows into (node, feature, bin) histograms for all open nodes of a level,
+and the driver adds these up, finds the splits and sends them with the next pass.
+What is sent follows from the configuration, not from the rows.  Nodes that are small
+enough for a task leave the passes: one job deals their rows to tasks that grow all
+the rest of them.  A task adds up in the order of the partitions, like the driver, so
+the trees are the same.
 
 A forest's trees don't wait for each other, and are grown in groups, level by level:
 
